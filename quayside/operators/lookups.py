@@ -30,7 +30,7 @@ def dedupe_by_key(dim: DataFrame, key: str, cols, keep: str = "last", ordinal: s
     packed = F.struct(*[F.col(c) for c in cols])
     out = (dim.filter(F.col(key).isNotNull())
            .groupBy(key).agg(pick(packed, F.col(ordinal)).alias("_v")))
-    return out.select(F.col(key).alias(key_alias or key), *[F.col(f"_v.{c}").alias(c) for c in cols])
+    return out.select(F.col(key).alias(key_alias or key), *[F.col("_v").getField(c).alias(c) for c in cols])
 
 
 def lookup_join(base: DataFrame, dim: DataFrame, base_key, dim_key: str, cols: dict[str, str] | list,
@@ -52,6 +52,27 @@ def lookup_join(base: DataFrame, dim: DataFrame, base_key, dim_key: str, cols: d
     return base.join(d, bk == d[tmp], "left").drop(tmp)
 
 
+def lookup_join_rules(base: DataFrame, dim: DataFrame, base_key, dim_key: str,
+                      last: dict[str, str] | None = None, first: dict[str, str] | None = None,
+                      ordinal: str = "ordinal") -> DataFrame:
+    """One grouped pass over `dim` serving both rules for the same key: the
+    `last` columns from the highest-ordinal row and the `first` columns from
+    the lowest, then a single left join."""
+    last, first = dict(last or {}), dict(first or {})
+    tmp = f"_lk_{dim_key}"
+    aggs = []
+    if last:
+        aggs.append(F.max_by(F.struct(*[F.col(c) for c in last]), F.col(ordinal)).alias("_l"))
+    if first:
+        aggs.append(F.min_by(F.struct(*[F.col(c) for c in first]), F.col(ordinal)).alias("_f"))
+    d = dim.filter(F.col(dim_key).isNotNull()).groupBy(dim_key).agg(*aggs)
+    d = d.select(F.col(dim_key).alias(tmp),
+                 *[F.col("_l").getField(s).alias(t) for s, t in last.items()],
+                 *[F.col("_f").getField(s).alias(t) for s, t in first.items()])
+    bk: Column = F.col(base_key) if isinstance(base_key, str) else base_key
+    return base.join(d, bk == d[tmp], "left").drop(tmp)
+
+
 def reference_table(spark, rows, schema: str) -> DataFrame:
     """A literal reference table (bounded size, safe to broadcast)."""
     return spark.createDataFrame(list(rows), schema)

@@ -29,6 +29,8 @@ def with_ctes(*names: str) -> str:
 
     for n in names:
         visit(n)
+    if not order:
+        return ""
     return "WITH " + ",\n".join(f"{n} AS (\n{CTE[n][0]}\n)" for n in order) + "\n"
 
 
@@ -395,3 +397,307 @@ LEFT JOIN (
     FROM stg_ship WHERE container_number IS NOT NULL) WHERE rn = 1) p
   ON g.container_number = p.container_number
 WHERE g.rn = 1""")
+
+
+# --------------------------------------------------------------- report
+def s(x: str) -> str:
+    return f"CAST({x} AS VARCHAR)"
+
+
+def nk(x: str) -> str:
+    """Normalised numeric shipment id (spreadsheet serials -> yyyymmdd)."""
+    v = f"CAST({x} AS DOUBLE)"
+    return (f"(CASE WHEN {v} > 20000 AND {v} < 90000 THEN CAST(strftime(DATE '1899-12-30' + "
+            f"CAST(floor({v}) AS INTEGER), '%Y%m%d') AS BIGINT) ELSE CAST({v} AS BIGINT) END)")
+
+
+def dedupe(src: str, key: str, cols: str, keep: str = "last", ordinal: str = "ordinal") -> str:
+    order = "DESC" if keep == "last" else "ASC"
+    return (f"SELECT * EXCLUDE (rn_) FROM (SELECT {key} AS k, {cols}, row_number() OVER "
+            f"(PARTITION BY {key} ORDER BY {ordinal} {order}) AS rn_ FROM {src} WHERE {key} IS NOT NULL) "
+            f"WHERE rn_ = 1")
+
+
+_CT = "[" + ", ".join("'" + c[0].replace("'", "''") + "'" for c in
+                      __import__("quayside.config", fromlist=["x"]).CONTAINER_REF) + "]"
+_CONSOL = "['528177112', '544931926', '543129368', '687767889']"
+
+cte("it", f"""
+SELECT l_orderkey AS sti, 'SID' || {s('l_orderkey')} AS shipment_id_number,
+  'P' || {s('l_partkey')} AS part_number, CAST(l_quantity AS DOUBLE) AS quantity,
+  ['LCL', 'lcl', 'FCL'][l_orderkey % 3 + 1] AS service_level,
+  CASE WHEN l_orderkey % 10 > 0 AND l_orderkey % 7 <> 0 THEN l_shipdate END AS shipment_datetime,
+  CASE WHEN l_orderkey % 10 = 9 AND (l_orderkey + 8) % 7 <> 0 THEN l_shipdate + INTERVAL 24 DAY END
+    AS actual_arrival_final_dest
+FROM lineitem""")
+
+_Q3 = f"""
+  o_orderkey AS sti, {{ordinal}} AS ordinal, {{origin}} AS origin_dun, {{so}} AS so,
+  CAST(o_orderkey % 20 + 1 AS DOUBLE) AS number_of_packages,
+  ['PALLET', 'CARTON', 'CRATE'][o_orderkey % 3 + 1] AS packaging_type,
+  'PRN' || {s('o_orderkey')} AS prn, {{hbl}} AS hbl,
+  CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 8 = 1 THEN '' ELSE 'M' || {s('o_orderkey')} END AS mbl,
+  'CONT' || lpad({s('o_custkey % 150')}, 7, '0') AS cont_id,
+  CASE WHEN o_orderkey % 13 < 11 THEN {_CT}[o_orderkey % 13 + 1] ELSE 'Flat Rack' END AS cont_type,
+  'BTC' || {s('o_custkey % 30')} AS btc,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_custkey % 4000 AS DOUBLE) END AS vol1,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_custkey % 4000 AS DOUBLE) * 10 END AS weight1,
+  CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST((o_custkey * 3) % 4000 AS DOUBLE) END AS vol2,
+  CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST((o_custkey * 3) % 4000 AS DOUBLE) * 10 END AS weight2,
+  CASE WHEN o_orderkey % 6 < 4 THEN {_CONSOL}[o_orderkey % 6 + 1] ELSE '000000000' END AS consol_dun,
+  {s('o_custkey')} AS dest_dun, 'MAN' || {s('o_orderkey % 1000')} AS manifest,
+  {s('o_orderkey')} AS master_unitload_id, 'SC' || {s('o_custkey % 25')} AS scac_code,
+  {{vessel}} AS vessel_name,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'DIRECT' ELSE 'TRANSSHIP' END AS path,
+  CASE WHEN o_orderkey % 5 = 0 THEN 'LOC_' || {s('o_custkey % 50')} WHEN o_orderkey % 5 = 1 THEN '' END
+    AS cca_location,
+  {{lane}} AS lane_id"""
+
+cte("q3", "SELECT " + _Q3.format(
+    ordinal="o_orderkey * 2", origin=s("o_orderkey % 200"), so="'SO' || " + s("o_custkey"),
+    hbl="'H' || " + s("o_orderkey % 500"), vessel="'VESSEL ' || " + s("o_orderkey % 40"),
+    lane=f"CASE WHEN o_orderkey % 9 = 0 THEN '' WHEN o_orderkey % 4 = 0 THEN NULL "
+         f"ELSE 'LANE' || {s('o_orderkey % 30')} END")
+    + " FROM orders UNION ALL SELECT " + _Q3.format(
+    ordinal="o_orderkey * 2 + 1", origin=s("(o_orderkey + 1) % 200"), so="CAST(NULL AS VARCHAR)",
+    hbl="'H' || " + s("(o_orderkey + 7) % 500"), vessel="'VESSEL X'", lane="'LANE-DUP'")
+    + " FROM orders WHERE o_orderkey % 13 = 0")
+
+cte("loc", f"""
+SELECT {s('c_custkey')} AS location_alias, c_name AS name, 'CITY_' || {s('c_nationkey')} AS city,
+  c_mktsegment AS state,
+  CASE WHEN c_nationkey % 3 = 0 THEN 'United States of America' ELSE n_name END AS country_name,
+  c_custkey * 2 AS ordinal
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+UNION ALL
+SELECT {s('c_custkey')}, c_name || ' II', 'CITY_' || {s('c_nationkey')}, c_mktsegment,
+  CASE WHEN c_nationkey % 3 = 0 THEN 'United States of America' ELSE n_name END, c_custkey * 2 + 1
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 100 = 0""")
+
+cte("ccs", f"""
+SELECT {s('c_custkey')} AS duns_number,
+  CASE c_custkey % 16 WHEN 0 THEN 'CCA' WHEN 4 THEN ' CCA ' WHEN 8 THEN '' ELSE 'OTHER' END AS cca,
+  'PLANT ' || c_name AS supplier_name, c_custkey AS ordinal
+FROM customer WHERE c_custkey % 4 = 0""")
+
+cte("io", f"SELECT 'BTC' || {s('s_suppkey % 30')} AS code, s_name AS supplier_name, s_suppkey AS ordinal FROM supplier")
+cte("notes", f"SELECT 'SC' || {s('n_nationkey')} AS carrier_scac, n_name AS name, n_nationkey AS ordinal FROM nation")
+cte("trl", f"""
+SELECT o_orderkey AS lsc_tracking_number, 'TRL' || {s('o_orderkey % 300')} AS outbound_trailer,
+  'TMS' || {s('o_orderkey')} AS outbound_tms, o_orderkey AS ordinal
+FROM orders WHERE o_orderkey % 4 = 1""")
+cte("yst", f"""
+SELECT o_orderkey AS lsc_tracking_number,
+  CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE CAST(o_orderkey % 60 AS DOUBLE) + 0.5 END AS cbm,
+  CASE WHEN o_orderkey % 15 = 0 THEN NULL ELSE CAST(o_custkey % 900 AS DOUBLE) * 10 END AS weight_kg,
+  CASE WHEN o_orderkey % 12 = 0 THEN '' ELSE 'YLANE' || {s('o_orderkey % 17')} END AS lane_id,
+  o_orderkey * 2 AS ordinal
+FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL
+SELECT o_orderkey, CAST(o_orderkey % 60 AS DOUBLE) + 1.5, 1.0, 'YLANE-B', o_orderkey * 2 + 1
+FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 9 = 0""")
+cte("csp", f"""
+SELECT 'H' || {s('o_orderkey % 500')} AS hwb, CAST(o_orderkey % 50 AS DOUBLE) + 0.25 AS cubic_meters,
+  CAST(o_orderkey % 700 AS DOUBLE) * 2 AS actual_wt_kgs,
+  CASE WHEN o_orderkey % 46 = 0 THEN '' ELSE 'CLANE' || {s('o_orderkey % 23')} END AS lane_id,
+  'CM' || {s('o_orderkey')} AS last_mb_number, o_orderkey AS ordinal
+FROM orders WHERE o_orderkey % 2 = 0""")
+
+
+def _q4(shift: int, ordinal: str, where: str) -> str:
+    def sh(x):
+        return f"{x} + INTERVAL {shift} DAY" if shift else x
+
+    def exp(n):
+        return f"o_orderdate + INTERVAL {n + shift} DAY"
+
+    return f"""
+SELECT CAST(o_orderkey AS DOUBLE) AS em_shipment_id,
+  {sh(f"({_d(1)}) - INTERVAL 1 DAY")} AS arrived_at_consol_actual_date_time,
+  {sh(_d(1))} AS departed_consol_actual_date_time,
+  {sh(_d(2))} AS actual_date_of_arrival_to_the_origin_port,
+  {exp(10)} AS expected_arrival_date_to_transshipment_port,
+  {sh(f"({_d(3)}) + INTERVAL 1 DAY")} AS actual_arrival_date_to_transshipment_port,
+  {exp(11)} AS expected_departure_date_from_transshipment_port,
+  {sh(f"({_d(3)}) + INTERVAL 2 DAY")} AS actual_departure_date_from_transshipment_port,
+  {exp(9)} AS expected_date_of_departure_from_origin_port,
+  {sh(_d(3))} AS actual_date_of_departure_from_origin_port,
+  {exp(12)} AS expected_date_of_arrival_to_destination_port,
+  {sh(_d(4))} AS actual_date_of_arrival_to_destination_port,
+  {exp(15)} AS expected_outgate_date_from_destination_port,
+  {sh(_d(5))} AS actual_outgate_date_from_destination_port,
+  {exp(18)} AS estimated_arrival_date_to_destination_rail_yard,
+  {sh(_d(6))} AS actual_arrival_date_to_destination_rail_yard,
+  {exp(21)} AS expected_departure_date_from_destination_rail_yard,
+  {sh(_d(7))} AS actual_departure_from_dest_rail,
+  'POL' || {s('o_orderkey % 9')} AS port_of_loading_code,
+  'TS' || {s('o_orderkey % 5')} AS transshipment_port_name,
+  'POD' || {s('o_orderkey % 11')} AS port_of_destination_code,
+  {ordinal} AS ordinal
+FROM orders WHERE {where}"""
+
+
+cte("q4", _q4(0, "o_orderkey * 2", "o_orderkey % 5 <> 0") + "\nUNION ALL\n"
+    + _q4(1, "o_orderkey * 2 + 1", "o_orderkey % 5 <> 0 AND o_orderkey % 25 = 1"))
+
+_MS = ("arrived_at_consol_actual_date_time, departed_consol_actual_date_time, "
+       "actual_date_of_arrival_to_the_origin_port, expected_arrival_date_to_transshipment_port, "
+       "actual_arrival_date_to_transshipment_port, expected_departure_date_from_transshipment_port, "
+       "actual_departure_date_from_transshipment_port, expected_date_of_departure_from_origin_port, "
+       "actual_date_of_departure_from_origin_port, expected_date_of_arrival_to_destination_port, "
+       "actual_date_of_arrival_to_destination_port, expected_outgate_date_from_destination_port, "
+       "actual_outgate_date_from_destination_port, estimated_arrival_date_to_destination_rail_yard, "
+       "actual_arrival_date_to_destination_rail_yard, expected_departure_date_from_destination_rail_yard, "
+       "actual_departure_from_dest_rail, port_of_loading_code, transshipment_port_name, port_of_destination_code")
+
+cte("q3l", dedupe("q3", nk("sti"), "origin_dun, so, manifest, master_unitload_id, scac_code, vessel_name, path, "
+                  "number_of_packages, packaging_type, prn, hbl, mbl, cont_id, cont_type, btc, vol1, weight1, "
+                  "vol2, weight2, consol_dun, dest_dun, cca_location", "last"), ("q3",))
+cte("q3f", dedupe("q3", nk("sti"), "lane_id", "first"), ("q3",))
+cte("locl", dedupe("loc", "location_alias", "name, city, state, country_name", "last"), ("loc",))
+cte("ccal", dedupe("ccs", "duns_number", "cca, supplier_name", "last"), ("ccs",))
+cte("iol", dedupe("io", "code", "supplier_name", "last"), ("io",))
+cte("notesl", dedupe("notes", "carrier_scac", "name", "last"), ("notes",))
+cte("trll", dedupe("trl", nk("lsc_tracking_number"), "outbound_trailer, outbound_tms", "last"), ("trl",))
+cte("ystf", dedupe("yst", nk("lsc_tracking_number"), "cbm, weight_kg, lane_id", "first"), ("yst",))
+cte("cspf", dedupe("csp", "hwb", "cubic_meters, actual_wt_kgs, lane_id, last_mb_number", "first"), ("csp",))
+cte("q4f", dedupe("q4", nk("em_shipment_id"), _MS, "first"), ("q4",))
+
+_CREF = " UNION ALL ".join(
+    f"SELECT '{t.replace(chr(39), chr(39) * 2)}' AS container_type, CAST({c} AS DOUBLE) AS max_cbm, "
+    f"CAST({w} AS DOUBLE) AS max_weight"
+    for t, c, w in __import__("quayside.config", fromlist=["x"]).CONTAINER_REF)
+cte("cref", _CREF)
+cte("consol", " UNION ALL ".join(
+    f"SELECT '{d}' AS origin_consol_duns, '{n}' AS origin_consol"
+    for d, n in __import__("quayside.config", fromlist=["x"]).ORIGIN_CONSOL))
+
+cte("rep0", f"""
+SELECT {nk('it.sti')} AS lsc_tracking_number, 'CEVV' AS lsc, 'NO' AS specialized_transport,
+  it.shipment_id_number AS sid_number, it.part_number, it.quantity, it.service_level,
+  it.shipment_datetime AS ship_date_from_supplier, 'OCEAN' AS mode, 'MGOB' AS provider_lane_id,
+  it.actual_arrival_final_dest,
+  q3l.origin_dun AS supplier_duns, q3l.so AS so_number, q3l.manifest, q3l.master_unitload_id AS mti,
+  q3l.scac_code AS steamship_line_scac, q3l.vessel_name, q3l.path, q3l.number_of_packages,
+  q3l.packaging_type, q3l.prn AS prn_number, q3l.hbl AS hbol, q3l.mbl AS mbol_q3, q3l.cont_id AS container_number,
+  q3l.cont_type AS container_type, q3l.btc AS bill_to_cisco, q3l.vol1, q3l.weight1, q3l.vol2, q3l.weight2,
+  q3l.consol_dun AS origin_consol_duns, q3l.dest_dun, q3l.cca_location AS q3_cca_location,
+  q3f.lane_id AS q3_lane_id,
+  trll.outbound_trailer, trll.outbound_tms,
+  q4f.* EXCLUDE (k),
+  ystf.cbm AS yesterday_cbm, ystf.weight_kg AS yesterday_weight_kg, ystf.lane_id AS yesterday_lane_id
+FROM it
+LEFT JOIN q3l ON q3l.k = {nk('it.sti')}
+LEFT JOIN q3f ON q3f.k = {nk('it.sti')}
+LEFT JOIN trll ON trll.k = {nk('it.sti')}
+LEFT JOIN q4f ON q4f.k = {nk('it.sti')}
+LEFT JOIN ystf ON ystf.k = {nk('it.sti')}""", ("it", "q3l", "q3f", "trll", "q4f", "ystf"))
+
+cte("rep1", """
+SELECT r.*, notesl.name AS steamship_line,
+  ls.name AS supplier_name, ls.city AS origin_supplier_city, ls.state AS origin_supplier_province,
+  ls.country_name AS origin_supplier_country, ld.country_name AS dest_country, c1.cca
+FROM rep0 r
+LEFT JOIN notesl ON notesl.k = r.steamship_line_scac
+LEFT JOIN locl ls ON ls.k = r.supplier_duns
+LEFT JOIN locl ld ON ld.k = r.dest_dun
+LEFT JOIN ccal c1 ON c1.k = r.dest_dun""", ("rep0", "notesl", "locl", "ccal"))
+
+cte("rep2", """
+SELECT *, CASE WHEN cca = 'CCA' AND upper(service_level) = 'LCL'
+                AND upper(dest_country) = 'UNITED STATES OF AMERICA' THEN '101452410' ELSE dest_dun END
+  AS destination_duns
+FROM rep1""", ("rep1",))
+
+cte("rep3", f"""
+SELECT r.*, lf.name AS final_delivery_location_name, lf.city AS destination_city,
+  lf.state AS destination_state, lf.country_name AS destination_country,
+  iol.supplier_name AS io_name, c2.supplier_name AS cca_plant_name,
+  cspf.cubic_meters AS csp_cbm, cspf.actual_wt_kgs AS csp_weight_kg, cspf.lane_id AS csp_lane_id,
+  cspf.last_mb_number AS csp_mbol, cref.max_cbm, cref.max_weight, consol.origin_consol
+FROM rep2 r
+LEFT JOIN locl lf ON lf.k = r.destination_duns
+LEFT JOIN iol ON iol.k = r.bill_to_cisco
+LEFT JOIN ccal c2 ON c2.k = r.destination_duns
+LEFT JOIN cspf ON cspf.k = r.hbol
+LEFT JOIN cref ON cref.container_type = r.container_type
+LEFT JOIN consol ON consol.origin_consol_duns = r.origin_consol_duns""",
+    ("rep2", "locl", "iol", "ccal", "cspf", "cref", "consol"))
+
+cte("rep", f"""
+SELECT *,
+  coalesce(CASE WHEN coalesce({trim_ws('cca')}, '') = '' THEN io_name
+                WHEN {trim_ws('cca')} = 'CCA' THEN
+                  CASE WHEN coalesce({trim_ws('q3_cca_location')}, '') <> '' THEN q3_cca_location
+                       WHEN destination_duns = '101452410' THEN 'UNIVERSAL PONTIAC CROSS DOCK'
+                       ELSE cca_plant_name END END, '') AS plant_name,
+  coalesce(yesterday_cbm,
+           CASE WHEN least(vol1, vol2) * CAST(0.02831685 AS DOUBLE) <= max_cbm
+                THEN least(vol1, vol2) * CAST(0.02831685 AS DOUBLE) END, csp_cbm) AS cbm,
+  coalesce(yesterday_weight_kg,
+           CASE WHEN least(weight1, weight2) * CAST(0.45359237 AS DOUBLE) <= max_weight
+                THEN least(weight1, weight2) * CAST(0.45359237 AS DOUBLE) END, csp_weight_kg) AS weight_in_kg,
+  coalesce(nullif(yesterday_lane_id, ''), nullif(q3_lane_id, ''), nullif(csp_lane_id, '')) AS ocean_or_air_lane_id,
+  nullif(coalesce(mbol_q3, csp_mbol), '') AS mbol,
+  CASE WHEN actual_arrival_final_dest IS NOT NULL THEN '12. Delivered'
+       WHEN actual_departure_from_dest_rail IS NOT NULL THEN '11. Outgate Destination Rail'
+       WHEN actual_arrival_date_to_destination_rail_yard IS NOT NULL THEN '10. Arrived Destination Rail'
+       WHEN actual_outgate_date_from_destination_port IS NOT NULL THEN '9. Outgate POD'
+       WHEN actual_date_of_arrival_to_destination_port IS NOT NULL THEN '7. Arrived POD'
+       WHEN actual_date_of_departure_from_origin_port IS NOT NULL THEN '6. Departed POL'
+       WHEN actual_date_of_arrival_to_the_origin_port IS NOT NULL THEN '5. Arrived POL'
+       WHEN departed_consol_actual_date_time IS NOT NULL THEN '4. Outgate CFS'
+       WHEN ship_date_from_supplier IS NOT NULL THEN '2. Departed Supplier' END AS status_of_container
+FROM rep3""", ("rep3",))
+
+_K = "lsc_tracking_number"
+q("base_fields", ("rep0",), f"""SELECT {_K}, lsc, specialized_transport, sid_number, part_number, quantity,
+  service_level, ship_date_from_supplier, mode, provider_lane_id FROM rep0""")
+q("lookup_last", ("rep",), f"""SELECT {_K}, supplier_duns, so_number, manifest, mti, steamship_line_scac,
+  vessel_name, path, number_of_packages, packaging_type, prn_number, hbol, mbol_q3 AS mbol, container_number,
+  container_type, bill_to_cisco, vol1, weight1, vol2, weight2, origin_consol_duns, dest_dun, steamship_line,
+  outbound_trailer, outbound_tms FROM rep""")
+q("lookup_first", ("rep",), f"""SELECT {_K}, hbol, yesterday_cbm, yesterday_weight_kg, yesterday_lane_id,
+  q3_lane_id, csp_cbm, csp_weight_kg, csp_lane_id, csp_mbol FROM rep""")
+q("role_locations", ("rep",), f"""SELECT {_K}, supplier_duns, supplier_name, origin_supplier_city,
+  origin_supplier_province, origin_supplier_country, dest_dun, dest_country, destination_duns,
+  final_delivery_location_name, destination_city, destination_state, destination_country FROM rep""")
+q("destination_duns", ("rep",), f"SELECT {_K}, cca, service_level, dest_country, dest_dun, destination_duns FROM rep")
+q("plant_name", ("rep",), f"SELECT {_K}, cca, bill_to_cisco, destination_duns, plant_name FROM rep")
+q("container_ref", ("rep",), f"SELECT {_K}, container_type, max_cbm, max_weight FROM rep")
+q("origin_consol_name", ("rep",), f"SELECT {_K}, origin_consol_duns, origin_consol FROM rep")
+q("milestone_merge", ("rep",), f"SELECT {_K}, {_MS} FROM rep")
+q("cbm_fill", ("rep",), f"SELECT {_K}, cbm FROM rep")
+q("weight_fill", ("rep",), f"SELECT {_K}, weight_in_kg FROM rep")
+q("lane_fill", ("rep",), f"SELECT {_K}, ocean_or_air_lane_id FROM rep")
+q("mbol_fill", ("rep",), f"SELECT {_K}, mbol FROM rep")
+q("shipment_status", ("rep",), f"SELECT {_K}, status_of_container FROM rep")
+q("master_report", ("rep",), f"""SELECT {_K}, lsc, specialized_transport, sid_number, part_number, quantity,
+  service_level, ship_date_from_supplier, mode, provider_lane_id, supplier_duns, so_number, manifest, mti,
+  steamship_line_scac, vessel_name, path, number_of_packages, packaging_type, supplier_name,
+  origin_supplier_city, origin_supplier_province, origin_supplier_country, prn_number, hbol, mbol,
+  container_number, container_type, bill_to_cisco, vol1, weight1, vol2, weight2, origin_consol_duns,
+  dest_dun, dest_country, cca, steamship_line, outbound_trailer, outbound_tms, {_MS},
+  actual_arrival_final_dest, destination_duns, final_delivery_location_name, destination_city,
+  destination_state, destination_country, plant_name, cbm, weight_in_kg, ocean_or_air_lane_id,
+  origin_consol, status_of_container FROM rep""")
+q("dim_suppliers", ("locl", "q3"), """SELECT k AS location_alias, name, city, state, country_name FROM locl
+WHERE k IN (SELECT origin_dun FROM q3)""")
+
+_NUM = "CAST(id_number AS DOUBLE)"
+_TXT0 = trim_ws("id_text")
+_TXT = (f"CASE WHEN regexp_matches({_TXT0}, '^[+-]?\\d+(_\\d+)*(\\.(\\d+(_\\d+)*)?)?$') "
+        f"THEN replace({_TXT0}, '_', '') ELSE {_TXT0} END")
+q("normalize_id", (), f"""
+SELECT o_orderkey,
+  CASE WHEN {_NUM} > 20000 AND {_NUM} < 90000 THEN CAST(strftime(DATE '1899-12-30' +
+    CAST(floor({_NUM}) AS INTEGER), '%Y%m%d') AS DOUBLE) ELSE {_NUM} END AS from_number,
+  CASE WHEN regexp_matches({_TXT}, '^[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?$')
+       THEN TRY_CAST({_TXT} AS DOUBLE) END AS from_text,
+  CAST(strftime(o_orderdate, '%Y%m%d') AS DOUBLE) AS from_timestamp
+FROM (SELECT o_orderkey, o_orderdate,
+  CASE o_orderkey % 10 WHEN 0 THEN 20000.0 WHEN 1 THEN 90000.0 WHEN 2 THEN CAST(45000 + o_orderkey % 1000 AS DOUBLE)
+    WHEN 3 THEN NULL WHEN 4 THEN 45000.75 ELSE CAST(o_orderkey AS DOUBLE) END AS id_number,
+  CASE o_orderkey % 8 WHEN 0 THEN '45000' WHEN 1 THEN ' 12 ' WHEN 2 THEN 'abc' WHEN 3 THEN NULL
+    WHEN 4 THEN '1_000' WHEN 5 THEN '1e3' WHEN 6 THEN '1d' ELSE CAST(o_orderkey AS VARCHAR) END AS id_text
+  FROM orders)""")

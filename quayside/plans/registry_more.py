@@ -1 +1,142 @@
 """Further registered queries (report, TMS, ingest, streaming, quality)."""
+
+from pyspark.sql import functions as F
+
+from quayside.functions import timeparse as TP
+from quayside.plans import report as RP
+from quayside.plans.registry import query
+from quayside.sources import standins as S
+from quayside.sources.catalog import load_inputs
+
+K = RP.KEY
+
+
+# ---------------------------------------------------------------- report
+@query("base_fields")
+def q_base_fields(spark, d):
+    return RP.base_fields(load_inputs(spark, d)).drop("actual_arrival_final_dest")
+
+
+@query("normalize_id")
+def q_normalize_id(spark, d):
+    m = S.mixed_ids(load_inputs(spark, d))
+    return m.select("o_orderkey",
+                    TP.normalize_id_numeric("id_number").alias("from_number"),
+                    TP.normalize_id_text("id_text").alias("from_text"),
+                    TP.normalize_id_timestamp("id_ts").alias("from_timestamp"))
+
+
+@query("lookup_last")
+def q_lookup_last(spark, d):
+    t = load_inputs(spark, d)
+    df = RP.with_trailers(RP.with_master(RP.base_fields(t), t, first=False), t)
+    df = RP.with_notes(df, t)
+    cols = [K] + [v for v in RP.MASTER_LAST.values() if v != "q3_cca_location"] + [
+        "steamship_line", "outbound_trailer", "outbound_tms"]
+    return df.select(*cols)
+
+
+@query("lookup_first")
+def q_lookup_first(spark, d):
+    t = load_inputs(spark, d)
+    df = RP.with_master(RP.base_fields(t), t)
+    df = RP.with_csp(RP.with_yesterday(df, t), t)
+    return df.select(K, "hbol", "yesterday_cbm", "yesterday_weight_kg", "yesterday_lane_id", "q3_lane_id",
+                     "csp_cbm", "csp_weight_kg", "csp_lane_id", "csp_mbol")
+
+
+def _routed(t):
+    df = RP.with_master(RP.base_fields(t), t, first=False)
+    df = RP.with_supplier_location(df, t)
+    df = RP.with_dest_location(df, t)
+    df = RP.with_cca(df, t)
+    return RP.with_destination(df, t)
+
+
+@query("role_locations")
+def q_role_locations(spark, d):
+    df = _routed(load_inputs(spark, d))
+    return df.select(K, "supplier_duns", "supplier_name", "origin_supplier_city", "origin_supplier_province",
+                     "origin_supplier_country", "dest_dun", "dest_country", "destination_duns",
+                     "final_delivery_location_name", "destination_city", "destination_state",
+                     "destination_country")
+
+
+@query("destination_duns")
+def q_destination_duns(spark, d):
+    df = _routed(load_inputs(spark, d))
+    return df.select(K, "cca", "service_level", "dest_country", "dest_dun", "destination_duns")
+
+
+@query("plant_name")
+def q_plant_name(spark, d):
+    t = load_inputs(spark, d)
+    df = RP.with_plant(_routed(t), t)
+    return df.select(K, "cca", "bill_to_cisco", "destination_duns", "plant_name")
+
+
+@query("container_ref")
+def q_container_ref(spark, d):
+    t = load_inputs(spark, d)
+    df = RP.with_container_caps(RP.with_master(RP.base_fields(t), t, first=False), spark)
+    return df.select(K, "container_type", "max_cbm", "max_weight")
+
+
+@query("origin_consol_name")
+def q_origin_consol_name(spark, d):
+    t = load_inputs(spark, d)
+    df = RP.with_origin_consol(RP.with_master(RP.base_fields(t), t, first=False), spark)
+    return df.select(K, "origin_consol_duns", "origin_consol")
+
+
+@query("milestone_merge")
+def q_milestone_merge(spark, d):
+    t = load_inputs(spark, d)
+    df = RP.with_milestones(RP.base_fields(t), t)
+    return df.select(K, *[c for _, c in RP.MILESTONE_COLUMNS])
+
+
+def _filled(t, spark):
+    df = RP.with_master(RP.base_fields(t), t)
+    df = RP.with_yesterday(df, t)
+    df = RP.with_csp(df, t)
+    df = RP.with_container_caps(df, spark)
+    return RP.with_fills(df)
+
+
+@query("cbm_fill")
+def q_cbm_fill(spark, d):
+    return _filled(load_inputs(spark, d), spark).select(K, "cbm")
+
+
+@query("weight_fill")
+def q_weight_fill(spark, d):
+    return _filled(load_inputs(spark, d), spark).select(K, "weight_in_kg")
+
+
+@query("lane_fill")
+def q_lane_fill(spark, d):
+    return _filled(load_inputs(spark, d), spark).select(K, "ocean_or_air_lane_id")
+
+
+@query("mbol_fill")
+def q_mbol_fill(spark, d):
+    return _filled(load_inputs(spark, d), spark).select(K, "mbol")
+
+
+@query("shipment_status")
+def q_shipment_status(spark, d):
+    t = load_inputs(spark, d)
+    df = RP.with_status(RP.with_milestones(RP.base_fields(t), t))
+    return df.select(K, "status_of_container")
+
+
+@query("master_report")
+def q_master_report(spark, d):
+    return RP.master_report(load_inputs(spark, d))
+
+
+@query("dim_suppliers")
+def q_dim_suppliers(spark, d):
+    return RP.dim_suppliers(load_inputs(spark, d)).select(
+        F.col("location_alias"), "name", "city", "state", "country_name")
