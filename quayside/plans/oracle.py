@@ -701,3 +701,102 @@ FROM (SELECT o_orderkey, o_orderdate,
   CASE o_orderkey % 8 WHEN 0 THEN '45000' WHEN 1 THEN ' 12 ' WHEN 2 THEN 'abc' WHEN 3 THEN NULL
     WHEN 4 THEN '1_000' WHEN 5 THEN '1e3' WHEN 6 THEN '1d' ELSE CAST(o_orderkey AS VARCHAR) END AS id_text
   FROM orders)""")
+
+
+# ------------------------------------------------------------------ TMS
+cte("es", f"""
+SELECT o_orderkey AS em_shipment_id, 'SID' || {s('o_orderkey')} AS shipment_id_number,
+  CAST(o_orderkey % 20 + 1 AS BIGINT) AS shipment_pieces, {s('o_orderkey % 200')} AS ultimate_origin_alias,
+  {s('o_custkey')} AS ultimate_dest_alias,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_custkey % 4000 AS DOUBLE) END AS shipment_cube,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_custkey % 4000 AS DOUBLE) * 10 END AS shipment_weight,
+  CAST(CASE WHEN o_orderstatus IN ('O', 'P') THEN 100000 ELSE 100002 END AS BIGINT) AS current_state_type_id
+FROM orders""")
+cte("srefs", f"""
+SELECT o_orderkey AS em_shipment_id, CAST(100033 AS BIGINT) AS reference_type_id, o_orderpriority AS reference_number FROM orders
+UNION ALL SELECT o_orderkey, 100033, o_orderpriority || '/ALT' FROM orders WHERE o_orderkey % 50 = 0
+UNION ALL SELECT o_orderkey, 100265, 'LOC_' || {s('o_custkey % 50')} FROM orders WHERE o_orderkey % 5 = 0
+UNION ALL SELECT o_orderkey, 100318, 'PRN' || {s('o_orderkey')} FROM orders WHERE o_orderkey % 3 <> 0
+UNION ALL SELECT o_orderkey, 100742, 'SO' || {s('o_custkey')} FROM orders WHERE o_orderkey % 2 = 0""")
+cte("ulrefs", f"""
+SELECT l_orderkey AS master_unitload_id,
+  CAST([100000, 100006, 100183, 100352][l_linenumber % 4 + 1] AS BIGINT) AS reference_type_id,
+  {s('l_partkey')} AS reference_number FROM lineitem""")
+cte("oms", """
+SELECT l_orderkey AS em_shipment_id, l_orderkey AS master_unitload_id, l_suppkey AS location_entity_id,
+  CAST(CASE WHEN l_linenumber = 1 THEN 100001 ELSE 100002 END AS BIGINT) AS operational_milestone_type_id
+FROM lineitem""")
+cte("cassn", "SELECT o_orderkey AS master_unitload_id, o_custkey AS container_attributes_id FROM orders")
+cte("cattr", f"""
+SELECT p_partkey AS container_attributes_id, 'CONT' || lpad({s('p_partkey % 150')}, 7, '0') AS conveyance_id_number,
+  CASE WHEN p_partkey % 13 < 11 THEN {_CT}[p_partkey % 13 + 1] ELSE 'Flat Rack' END AS conveyance_type_desc,
+  CAST(p_size * 100 AS DOUBLE) AS conveyance_cube, CAST(p_size * 250 AS DOUBLE) AS conveyance_weight
+FROM part""")
+cte("sdoc", "SELECT o_orderkey AS status_doc_id, o_orderkey AS master_unitload_id FROM orders WHERE o_orderkey % 3 <> 0")
+cte("sdocref", f"""
+SELECT o_orderkey AS status_doc_id, CAST(100794 AS BIGINT) AS reference_type_id,
+  'LANE' || {s('o_orderkey % 30')} AS reference_number FROM orders WHERE o_orderkey % 3 <> 0
+UNION ALL SELECT o_orderkey, 100795, 'OTHER' FROM orders WHERE o_orderkey % 3 <> 0""")
+cte("oassn", "SELECT o_orderkey AS em_shipment_id, o_orderkey AS order_id FROM orders")
+cte("opkg", f"SELECT l_orderkey AS order_id, 'PKG' || {s('l_linenumber % 3')} AS package_id_number FROM lineitem")
+cte("lent", f"""
+SELECT s_suppkey AS entity_id,
+  CASE WHEN s_suppkey % 6 < 4 THEN {_CONSOL}[s_suppkey % 6 + 1] ELSE {s('s_suppkey')} END AS location_alias
+FROM supplier""")
+
+q("eav_references", ("es", "srefs"), """
+SELECT es.em_shipment_id, p.mode, p.cca_location, p.prn, p.so FROM es LEFT JOIN (
+  SELECT em_shipment_id,
+    max(reference_number) FILTER (WHERE reference_type_id = 100033) AS mode,
+    max(reference_number) FILTER (WHERE reference_type_id = 100265) AS cca_location,
+    max(reference_number) FILTER (WHERE reference_type_id = 100318) AS prn,
+    max(reference_number) FILTER (WHERE reference_type_id = 100742) AS so
+  FROM srefs WHERE reference_type_id IN (100033, 100265, 100318, 100742) GROUP BY em_shipment_id) p
+ON es.em_shipment_id = p.em_shipment_id""")
+
+cte("mblp", """
+SELECT master_unitload_id, reference_type_id AS mbl_type_id, reference_number AS mbl FROM (
+  SELECT *, row_number() OVER (PARTITION BY master_unitload_id ORDER BY
+    CASE WHEN reference_type_id = 100000 THEN 1 WHEN reference_type_id = 100006 THEN 2
+         WHEN reference_type_id = 100183 THEN 3 ELSE 4 END, reference_number) AS rn
+  FROM ulrefs WHERE reference_type_id IN (100000, 100006, 100183)) WHERE rn = 1""", ("ulrefs",))
+q("mbl_priority", ("mblp",), "SELECT * FROM mblp")
+
+q("consol_dun", ("oms", "lent"), """
+SELECT E5.em_shipment_id, E5.master_unitload_id, E5.location_entity_id, E5.operational_milestone_type_id,
+  L.location_alias AS consol_dun
+FROM oms E5 LEFT JOIN lent L ON L.entity_id = E5.location_entity_id
+  AND E5.operational_milestone_type_id = 100001
+  AND L.location_alias IN ('528177112', '544931926', '543129368', '687767889')""")
+
+q("sti_semi_join", ("es", "it"), """
+SELECT em_shipment_id, shipment_id_number, current_state_type_id FROM es
+WHERE em_shipment_id IN (SELECT sti FROM it)""")
+
+q("tms_extract", ("es", "srefs", "oms", "ulrefs", "mblp", "cassn", "cattr", "sdoc", "sdocref", "oassn", "opkg",
+                  "lent", "it"), """
+SELECT DISTINCT
+  ES.em_shipment_id AS sti, ES.shipment_id_number, ES.shipment_pieces AS number_of_packages,
+  ES.ultimate_origin_alias AS origin_dun, ES.ultimate_dest_alias AS dest_dun,
+  E1.reference_number AS mode, E2.reference_number AS cca_location, E3.reference_number AS prn,
+  E4.reference_number AS so, U.reference_number AS hbl, U2.mbl AS mbl,
+  C.conveyance_id_number AS cont_id, C.conveyance_type_desc AS cont_type, S.reference_number AS lane_id,
+  ES.shipment_cube AS vol1, ES.shipment_weight AS weight1, C.conveyance_cube AS vol2, C.conveyance_weight AS weight2,
+  OP.package_id_number AS packaging_type, L.location_alias AS consol_dun
+FROM es ES
+LEFT JOIN srefs E1 ON E1.em_shipment_id = ES.em_shipment_id AND E1.reference_type_id = 100033
+LEFT JOIN srefs E2 ON E2.em_shipment_id = ES.em_shipment_id AND E2.reference_type_id = 100265
+LEFT JOIN srefs E3 ON E3.em_shipment_id = ES.em_shipment_id AND E3.reference_type_id = 100318
+LEFT JOIN srefs E4 ON E4.em_shipment_id = ES.em_shipment_id AND E4.reference_type_id = 100742
+LEFT JOIN oms E5 ON E5.em_shipment_id = ES.em_shipment_id
+LEFT JOIN ulrefs U ON U.master_unitload_id = E5.master_unitload_id AND U.reference_type_id = 100352
+LEFT JOIN mblp U2 ON U2.master_unitload_id = E5.master_unitload_id
+LEFT JOIN cassn V ON V.master_unitload_id = E5.master_unitload_id
+LEFT JOIN cattr C ON C.container_attributes_id = V.container_attributes_id
+LEFT JOIN sdoc T ON T.master_unitload_id = E5.master_unitload_id
+LEFT JOIN sdocref S ON S.status_doc_id = T.status_doc_id AND S.reference_type_id = 100794
+LEFT JOIN oassn E6 ON E6.em_shipment_id = ES.em_shipment_id
+LEFT JOIN opkg OP ON OP.order_id = E6.order_id
+LEFT JOIN lent L ON L.entity_id = E5.location_entity_id AND E5.operational_milestone_type_id = 100001
+  AND L.location_alias IN ('528177112', '544931926', '543129368', '687767889')
+WHERE ES.current_state_type_id = 100000 AND ES.em_shipment_id IN (SELECT sti FROM it)""")

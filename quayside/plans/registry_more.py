@@ -140,3 +140,46 @@ def q_master_report(spark, d):
 def q_dim_suppliers(spark, d):
     return RP.dim_suppliers(load_inputs(spark, d)).select(
         F.col("location_alias"), "name", "city", "state", "country_name")
+
+
+# ------------------------------------------------------------------- TMS
+from quayside import config as C  # noqa: E402
+from quayside.operators import tms as TM  # noqa: E402
+
+EAV_TYPES = {C.REF_MODE: "mode", C.REF_CCA_LOCATION: "cca_location", C.REF_PRN: "prn", C.REF_SO: "so"}
+
+
+@query("eav_references")
+def q_eav_references(spark, d):
+    t = load_inputs(spark, d)
+    es = S.em_shipment(t).select("em_shipment_id")
+    attrs = TM.eav_attributes(S.shipment_refs(t), "em_shipment_id", EAV_TYPES)
+    return es.join(attrs, "em_shipment_id", "left")
+
+
+@query("mbl_priority")
+def q_mbl_priority(spark, d):
+    t = load_inputs(spark, d)
+    return TM.priority_pick(S.unitload_refs(t), "master_unitload_id", dict(C.MBL_PRIORITY), "mbl")
+
+
+@query("consol_dun")
+def q_consol_dun(spark, d):
+    t = load_inputs(spark, d)
+    return TM.consol_locations(S.shipment_milestones(t), S.location_entities(t))
+
+
+@query("sti_semi_join")
+def q_sti_semi_join(spark, d):
+    t = load_inputs(spark, d)
+    return TM.restrict_to_ids(S.em_shipment(t), S.intransit(t), "em_shipment_id", "sti").select(
+        "em_shipment_id", "shipment_id_number", "current_state_type_id")
+
+
+@query("tms_extract")
+def q_tms_extract(spark, d):
+    t = load_inputs(spark, d)
+    return TM.shipment_extract(
+        S.em_shipment(t), S.shipment_refs(t), S.shipment_milestones(t), S.unitload_refs(t),
+        S.container_assn(t), S.container_attributes(t), S.status_docs(t), S.status_doc_refs(t),
+        S.orders_assn(t), S.order_packages(t), S.location_entities(t), S.intransit(t))
