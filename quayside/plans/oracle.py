@@ -60,7 +60,8 @@ SELECT event_id AS ordinal,
   lpad(CAST((hour(ts) // 6) * 6 AS VARCHAR), 2, '0') || ':00' AS time,
   CASE WHEN event_id % 2 = 0 THEN 'VESSEL ' || CAST(event_id % 40 AS VARCHAR) ELSE '' END AS transport,
   '' AS vessel_name,
-  ts AS raw_ts
+  strftime(ts, '%Y%m%d') || '_235900' AS scraped_at,
+  CAST(day(ts) AS BIGINT) AS scrape_day
 FROM events""")
 
 cte("hx0", """
@@ -800,3 +801,118 @@ LEFT JOIN opkg OP ON OP.order_id = E6.order_id
 LEFT JOIN lent L ON L.entity_id = E5.location_entity_id AND E5.operational_milestone_type_id = 100001
   AND L.location_alias IN ('528177112', '544931926', '543129368', '687767889')
 WHERE ES.current_state_type_id = 100000 AND ES.em_shipment_id IN (SELECT sti FROM it)""")
+
+
+# ------------------------------------------------ ingest, upsert, files
+_ID = (f"coalesce({trim_ws('container_number')}, '') || '|' || coalesce({trim_ws('status')}, '') || '|' || "
+       f"coalesce({trim_ws('date')}, '') || '|' || coalesce({trim_ws('time')}, '')")
+T1 = "TIMESTAMP '2024-01-19 00:00:00'"
+cte("ev", f"SELECT carrier, {_ID} AS _id, ordinal, container_number, status, place, date, time, transport FROM trk",
+    ("trk",))
+cte("tgt", f"SELECT *, {T1} AS last_updated, ordinal * 2 AS seq FROM ev WHERE ordinal % 3 <> 0", ("ev",))
+cte("bat", f"""
+SELECT *, {AS_OF} AS last_updated, ordinal * 2 AS seq FROM ev WHERE ordinal % 4 < 2
+UNION ALL
+SELECT carrier, _id, ordinal, container_number, status, place, date, time, transport || ' (resent)',
+  {AS_OF}, ordinal * 2 + 1 FROM ev WHERE ordinal % 20 < 2""", ("ev",))
+cte("ups", """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY carrier, _id ORDER BY last_updated DESC, seq DESC) AS rn
+  FROM (SELECT * FROM tgt UNION ALL SELECT * FROM bat)) WHERE rn = 1""", ("tgt", "bat"))
+
+q("event_upsert", ("ups",), "SELECT * EXCLUDE (seq) FROM ups")
+q("stream_upsert", ("ups",), "SELECT * EXCLUDE (seq) FROM ups")
+q("incremental_read", ("ups",), f"SELECT * EXCLUDE (seq) FROM ups WHERE last_updated > {T1}")
+q("upsert_metrics", ("tgt", "bat"), """
+SELECT b.carrier, count(*) FILTER (WHERE t._id IS NULL) AS inserted,
+  CAST(sum(b.n) AS BIGINT) - count(*) FILTER (WHERE t._id IS NULL) AS updated,
+  CAST(sum(b.n) AS BIGINT) AS total_processed, CAST(0 AS BIGINT) AS failed
+FROM (SELECT carrier, _id, count(*) AS n FROM bat GROUP BY carrier, _id) b
+LEFT JOIN (SELECT DISTINCT carrier, _id FROM tgt) t ON b.carrier = t.carrier AND b._id = t._id
+GROUP BY b.carrier""")
+q("raw_append", ("tgt", "bat"), f"""
+SELECT * EXCLUDE (last_updated), {T1} AS _loaded_at FROM tgt
+UNION ALL SELECT * EXCLUDE (last_updated), {AS_OF} AS _loaded_at FROM bat""")
+
+q("watchlist_scan", ("watch",), """
+SELECT 'HLCU' AS carrier, ordinal, container_number FROM watch WHERE container_number IS NOT NULL
+UNION ALL SELECT 'MAEU', ordinal, container_number FROM watch""")
+
+q("payload_build", ("trk",), "SELECT carrier, scraped_at, count(*) AS total_events FROM trk GROUP BY carrier, scraped_at")
+q("payload_explode", ("trk",), "SELECT carrier, scraped_at, ordinal, container_number, status, date, time FROM trk")
+q("stream_ingest", ("trk",), "SELECT carrier, scraped_at, ordinal, container_number, status, date, time FROM trk")
+
+q("dq_payload", ("trk",), """
+, parts AS (SELECT CAST(greatest(1, ceil(max(n) / 50000.0)) AS BIGINT) AS p
+            FROM (SELECT count(*) AS n FROM trk GROUP BY carrier, scraped_at))
+, env AS (SELECT carrier, scraped_at, scrape_day, ordinal % p AS part, count(*) AS n
+          FROM trk, parts GROUP BY carrier, scraped_at, scrape_day, ordinal % p)
+, chk AS (
+  SELECT CASE WHEN part = 0 AND carrier = 'MAEU' AND scrape_day % 11 = 0 THEN 'missing_field'
+              WHEN part = 0 AND scrape_day % 5 = 0 THEN 'count_mismatch' ELSE 'ok' END AS check_name, n FROM env
+  UNION ALL
+  SELECT 'corrupt_json', 0 FROM (SELECT DISTINCT scraped_at FROM trk WHERE carrier = 'HLCU' AND scrape_day % 7 = 0))
+SELECT check_name, count(*) AS n_payloads, CAST(sum(n) AS BIGINT) AS n_records FROM chk GROUP BY check_name""")
+SQL["dq_payload"] = SQL["dq_payload"].replace("\n\n, parts", "\n, parts").replace(")\n\n, parts", ")\n, parts")
+
+q("latest_file_per_carrier", ("trk",), """
+, files AS (SELECT DISTINCT carrier, scraped_at, scrape_day FROM trk)
+, listing AS (
+  SELECT lower(carrier) || '_tracking_' || scraped_at || '.json' AS file_name,
+         strptime(scraped_at, '%Y%m%d_%H%M%S') AS modified_at FROM files
+  UNION ALL
+  SELECT lower(carrier) || '_tracking_' || scraped_at || '_copy.json',
+         strptime(scraped_at, '%Y%m%d_%H%M%S') + INTERVAL 1 MINUTE FROM files WHERE scrape_day % 10 = 0
+  UNION ALL
+  SELECT 'notes_' || scraped_at || '.txt', strptime(scraped_at, '%Y%m%d_%H%M%S') + INTERVAL 1 DAY FROM files)
+, m AS (SELECT *, CASE WHEN regexp_matches(file_name, '^hlcu_tracking_.*\\.json$') THEN 'HLCU'
+                       WHEN regexp_matches(file_name, '^maeu_tracking_.*\\.json$') THEN 'MAEU' END AS carrier
+        FROM listing)
+SELECT carrier, file_name, modified_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY carrier ORDER BY modified_at DESC, file_name DESC) AS rn
+  FROM m WHERE carrier IS NOT NULL) WHERE rn = 1""")
+
+_TD = "'<td> ' || coalesce({c}, '') || ' </td>'"
+q("extract_table_rows", ("trk",), f"""
+, pg AS (
+  SELECT CAST(floor(ordinal / 8) AS BIGINT) AS page_id,
+    '<html><body><table>' || string_agg('<tr>' || {_TD.format(c='status')} || {_TD.format(c='place')} ||
+      {_TD.format(c='date')} || {_TD.format(c='time')} ||
+      CASE WHEN ordinal % 13 = 0 THEN '' ELSE {_TD.format(c='transport')} END || '</tr>', '' ORDER BY ordinal)
+      || '</table></body></html>' AS html
+  FROM trk WHERE carrier = 'HLCU' GROUP BY 1)
+, r AS (SELECT page_id, unnest(l) AS tr, unnest(range(len(l))) AS row_no
+        FROM (SELECT page_id, regexp_extract_all(html, '(?s)<tr(?:\\s[^>]*)?>(.*?)</tr>', 1) AS l FROM pg))
+, c AS (SELECT page_id, row_no, regexp_extract_all(tr, '(?s)<td(?:\\s[^>]*)?>(.*?)</td>', 1) AS cells FROM r)
+SELECT page_id, CAST(row_no AS BIGINT) AS row_no, {trim_ws('cells[1]')} AS status,
+  {trim_ws('cells[2]')} AS place_of_activity, {trim_ws('cells[3]')} AS date, {trim_ws('cells[4]')} AS time,
+  {trim_ws('cells[5]')} AS transport
+FROM c WHERE len(cells) >= 5""")
+
+q("extract_list_cards", (), f"""
+SELECT page_id, item_no, raw_data, CAST(len(string_split(raw_data, chr(10))) AS BIGINT) AS n_parts FROM (
+  SELECT page_id, CAST(item_no AS BIGINT) AS item_no,
+    {trim_ws("regexp_replace(li, '<[^>]*>', '', 'g')")} AS raw_data
+  FROM (SELECT page_id, unnest(l) AS li, unnest(range(len(l))) AS item_no
+        FROM (SELECT page_id, regexp_extract_all(html, '(?s)<li(?:\\s[^>]*)?>(.*?)</li>', 1) AS l FROM pages)))
+WHERE raw_data <> ''""")
+
+# ---------------------------------------------------------------- quality
+q("dq_duplicate_events", ("hexp", "trk"), """
+SELECT carrier, container_number, status, event_timestamp, count(*) AS n_events FROM (
+  SELECT 'HLCU' AS carrier, container_number, status, event_ts AS event_timestamp FROM hexp
+  UNION ALL
+  SELECT 'MAEU', container_number, status, try_strptime(date || ' ' || time, '%d %b %Y %H:%M') FROM trk
+  WHERE carrier = 'MAEU')
+WHERE status IS NOT NULL
+GROUP BY carrier, container_number, status, event_timestamp HAVING count(*) > 1""")
+
+q("dq_tracking_types", ("fct",), """
+SELECT carrier, type_of_tracking,
+  coalesce(type_of_tracking IN ('Historic Tracking', 'Current Tracking', 'Future Tracking'), false) AS accepted,
+  count(*) AS n_events
+FROM fct GROUP BY carrier, type_of_tracking""")
+
+q("dq_required_columns", (), """
+SELECT * FROM (VALUES ('tracking_cards', 'status'), ('tracking_cards', 'date'), ('tracking_cards', 'time'))
+  AS t(source, missing_column)""")

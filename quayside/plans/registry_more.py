@@ -183,3 +183,215 @@ def q_tms_extract(spark, d):
         S.em_shipment(t), S.shipment_refs(t), S.shipment_milestones(t), S.unitload_refs(t),
         S.container_assn(t), S.container_attributes(t), S.status_docs(t), S.status_doc_refs(t),
         S.orders_assn(t), S.order_packages(t), S.location_entities(t), S.intransit(t))
+
+
+# ------------------------------------------------- ingest, upsert, files
+import datetime as _dt  # noqa: E402
+
+from quayside.operators import events as E  # noqa: E402
+from quayside.operators import quality as Q  # noqa: E402
+from quayside.operators import upsert as U  # noqa: E402
+from quayside.plans import tracking as TR  # noqa: E402
+from quayside.session import scratch_path  # noqa: E402
+from quayside.sources import pages as PG  # noqa: E402
+from quayside.sources import payload as PL  # noqa: E402
+from quayside.streaming import ingest as ING  # noqa: E402
+
+# Load times of the two daily loads used by the upsert queries.
+T1 = C.AS_OF - _dt.timedelta(days=1)
+T2 = C.AS_OF
+MAX_RECORDS_PER_PAYLOAD = 50000
+RECORD_COLS = ["carrier", "_id", "ordinal", "container_number", "status", "place", "date", "time", "transport"]
+
+
+def _ts(v):
+    return F.lit(v).cast("timestamp_ntz")
+
+
+def upsert_inputs(t):
+    """Target = events with ordinal % 3 != 0 loaded at T1; batch = ordinals
+    with ordinal % 4 < 2 (both carriers) loaded at T2, where ordinals with
+    ordinal % 20 < 2 are sent twice (the second copy, with a later
+    sequence, carries a changed transport)."""
+    ev = E.with_event_id(S.tracking_events(t)).select(*RECORD_COLS)
+    target = ev.filter(F.col("ordinal") % 3 != 0).withColumns(
+        {"last_updated": _ts(T1), "seq": F.col("ordinal") * 2})
+    first = ev.filter(F.col("ordinal") % 4 < 2).withColumns(
+        {"last_updated": _ts(T2), "seq": F.col("ordinal") * 2})
+    again = ev.filter(F.col("ordinal") % 20 < 2).withColumns(
+        {"transport": F.concat(F.col("transport"), F.lit(" (resent)")),
+         "last_updated": _ts(T2), "seq": F.col("ordinal") * 2 + 1})
+    return target, first.unionByName(again)
+
+
+KEYS = ["carrier", "_id"]
+
+
+@query("event_upsert")
+def q_event_upsert(spark, d):
+    target, batch = upsert_inputs(load_inputs(spark, d))
+    return U.upsert(target, batch, KEYS).drop("seq")
+
+
+@query("upsert_metrics")
+def q_upsert_metrics(spark, d):
+    target, batch = upsert_inputs(load_inputs(spark, d))
+    return U.upsert_metrics(target, batch, KEYS, group=["carrier"])
+
+
+@query("incremental_read")
+def q_incremental_read(spark, d):
+    target, batch = upsert_inputs(load_inputs(spark, d))
+    table = U.SnapshotTable(spark, scratch_path(spark, "events"), partition_by=["carrier"])
+    table.write(U.latest_per_key(target, KEYS), 0)
+    table.write(U.upsert(table.read(), batch, KEYS), 1)
+    return ING.incremental_read(table.read(), T1).drop("seq")
+
+
+@query("raw_append")
+def q_raw_append(spark, d):
+    target, batch = upsert_inputs(load_inputs(spark, d))
+    path = scratch_path(spark, "raw")
+    for df, ts in ((target, T1), (batch, T2)):
+        df.drop("last_updated").withColumn("_loaded_at", _ts(ts)).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("watchlist_scan")
+def q_watchlist_scan(spark, d):
+    w = S.watchlist(load_inputs(spark, d))
+    h = w.filter(F.col("container_number").isNotNull()).select(F.lit(S.H).alias("carrier"), "ordinal",
+                                                                "container_number")
+    m = w.select(F.lit(S.M).alias("carrier"), "ordinal", "container_number")
+    return h.unionByName(m)
+
+
+def _export_events(t):
+    return S.tracking_events(t).withColumn("place_of_activity", F.col("place")) \
+        .withColumn("location", F.col("place"))
+
+
+@query("payload_build")
+def q_payload_build(spark, d):
+    path = scratch_path(spark, "payload-lines")
+    PL.write_event_lines(_export_events(load_inputs(spark, d)), path)
+    return PL.payload_manifest(spark, path)
+
+
+@query("payload_explode")
+def q_payload_explode(spark, d):
+    ev = _export_events(load_inputs(spark, d))
+    path = scratch_path(spark, "payload-env")
+    PL.write_envelopes(PL.build_envelopes(ev, PL.parts_needed(ev, MAX_RECORDS_PER_PAYLOAD)), path)
+    out = PL.explode_envelopes(PL.read_envelopes(spark, path))
+    return out.select(F.col("payload_carrier").alias("carrier"), "scraped_at", "ordinal",
+                      F.col("Container_Number").alias("container_number"), F.col("Status").alias("status"),
+                      F.col("Date").alias("date"), F.col("Time").alias("time"))
+
+
+@query("dq_payload")
+def q_dq_payload(spark, d):
+    """Envelopes with planted defects: part 0 of days % 5 = 0 declares one
+    record too many; part 0 of carrier-M days % 11 = 0 lacks scraped_at;
+    each carrier-H day % 7 = 0 adds one truncated envelope."""
+    ev = _export_events(load_inputs(spark, d))
+    parts = PL.parts_needed(ev, MAX_RECORDS_PER_PAYLOAD)
+    env = PL.build_envelopes(ev, parts).join(
+        ev.select("carrier", "scraped_at", "scrape_day").distinct(), ["carrier", "scraped_at"])
+    p0 = F.col("part") == 0
+    env = env.withColumns({
+        "total_events": F.when(p0 & (F.col("scrape_day") % 5 == 0), F.col("total_events") + 1)
+                         .otherwise(F.col("total_events")),
+        "scraped_at": F.when(p0 & (F.col("carrier") == S.M) & (F.col("scrape_day") % 11 == 0),
+                             F.lit(None).cast("string")).otherwise(F.col("scraped_at")),
+    })
+    path = scratch_path(spark, "payload-dq")
+    PL.write_envelopes(env, path)
+    bad = (ev.filter((F.col("carrier") == S.H) & (F.col("scrape_day") % 7 == 0))
+           .select("scraped_at").distinct()
+           .select(F.concat(F.lit('{"carrier": "HLCU", "scraped_at": "'), F.col("scraped_at"),
+                            F.lit('", "total_events": 3, "records": [{"Status": ')).alias("value")))
+    bad.write.mode("append").text(path)
+    return PL.payload_checks(PL.read_envelopes(spark, path))
+
+
+@query("latest_file_per_carrier")
+def q_latest_file_per_carrier(spark, d):
+    ev = S.tracking_events(load_inputs(spark, d))
+    files = ev.groupBy("carrier", "scraped_at", "scrape_day").agg(F.count(F.lit(1)).alias("n"))
+    mtime = F.to_timestamp("scraped_at", "yyyyMMdd_HHmmss").cast("timestamp_ntz")
+    name = F.concat(F.lower("carrier"), F.lit("_tracking_"), F.col("scraped_at"))
+    listing = files.select(F.concat(name, F.lit(".json")).alias("file_name"), mtime.alias("modified_at"))
+    copies = files.filter(F.col("scrape_day") % 10 == 0).select(
+        F.concat(name, F.lit("_copy.json")).alias("file_name"),
+        (mtime + F.expr("INTERVAL 1 MINUTE")).alias("modified_at"))
+    other = files.select(F.concat(F.lit("notes_"), F.col("scraped_at"), F.lit(".txt")).alias("file_name"),
+                         (mtime + F.expr("INTERVAL 1 DAY")).alias("modified_at"))
+    return PL.latest_file_per_carrier(listing.unionByName(copies).unionByName(other))
+
+
+@query("extract_table_rows")
+def q_extract_table_rows(spark, d):
+    caps = PG.event_table_pages(S.hlcu_events(load_inputs(spark, d)))
+    return PG.extract_table_rows(caps)
+
+
+@query("extract_list_cards")
+def q_extract_list_cards(spark, d):
+    return PG.extract_list_items(load_inputs(spark, d).pages)
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, d):
+    ev = _export_events(load_inputs(spark, d))
+    src = scratch_path(spark, "stream-src")
+    PL.write_event_lines(ev, src)
+    out = ING.ingest_available(spark, src, scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt"))
+    return out.select("carrier", "scraped_at", "ordinal", F.col("Container_Number").alias("container_number"),
+                      F.col("Status").alias("status"), F.col("Date").alias("date"), F.col("Time").alias("time"))
+
+
+@query("stream_upsert")
+def q_stream_upsert(spark, d):
+    """Target snapshot + the batch streamed in as files, every batch file
+    delivered twice; must equal the one-shot upsert."""
+    target, batch = upsert_inputs(load_inputs(spark, d))
+    table = U.SnapshotTable(spark, scratch_path(spark, "stream-events"), partition_by=["carrier"])
+    table.write(U.latest_per_key(target, KEYS), 0)
+    src = scratch_path(spark, "stream-batch")
+    lines = batch.withColumn("last_updated", F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss"))
+    for copy in ("a", "b"):
+        lines.repartition(3, "ordinal").write.mode("overwrite").json(f"{src}/copy={copy}")
+    schema = ("carrier string, _id string, ordinal bigint, container_number string, status string, "
+              "place string, date string, time string, transport string, last_updated string, seq bigint, "
+              "copy string")
+
+    def prepare(df):
+        return df.drop("copy").withColumn("last_updated", F.to_timestamp("last_updated").cast("timestamp_ntz"))
+
+    out = ING.upsert_available(spark, src, table, KEYS, prepare, scratch_path(spark, "stream-ckpt"),
+                               max_files_per_trigger=2, schema=schema)
+    return out.drop("seq")
+
+
+# ---------------------------------------------------------------- quality
+@query("dq_duplicate_events")
+def q_dq_duplicate_events(spark, d):
+    t = load_inputs(spark, d)
+    h = TR.hlcu_export(t).select(F.lit(S.H).alias("carrier"), "container_number", "status",
+                                 F.col("event_ts").alias("event_timestamp"))
+    m = E.with_maeu_ts(S.maeu_events(t)).select(F.lit(S.M).alias("carrier"), "container_number", "status",
+                                                F.col("event_ts").alias("event_timestamp"))
+    return Q.duplicate_events(h.unionByName(m).filter(F.col("status").isNotNull()))
+
+
+@query("dq_tracking_types")
+def q_dq_tracking_types(spark, d):
+    return Q.tracking_type_check(TR.fct_tracking_events(load_inputs(spark, d)))
+
+
+@query("dq_required_columns")
+def q_dq_required_columns(spark, d):
+    t = load_inputs(spark, d)
+    return Q.missing_columns(spark, {"hlcu_export": TR.hlcu_export(t), "maeu_export": TR.maeu_export(t),
+                                     "tracking_cards": S.tracking_cards(t)})

@@ -80,6 +80,8 @@ def tracking_events(t: Inputs) -> DataFrame:
         F.concat(F.lpad(_s(slot), 2, "0"), F.lit(":00")).alias("time"),
         F.when(is_h, F.concat(F.lit("VESSEL "), n)).otherwise(F.lit("")).alias("transport"),
         F.lit("").alias("vessel_name"),
+        F.concat(F.date_format("ts", "yyyyMMdd"), F.lit("_235900")).alias("scraped_at"),
+        F.dayofmonth("ts").cast("bigint").alias("scrape_day"),
     )
 
 
