@@ -10,8 +10,6 @@ combined per partition before the shuffle, and the join key is unique.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +17,35 @@ from quayside import config as C
 from quayside.functions import text as T
 from quayside.functions import timeparse as TP
 
-_MIN_TS = _dt.datetime(1, 1, 1)
+# Winner keys are packed into one decimal(38,0): shifted epoch microseconds
+# in the high digits, (2^63 - 1 - ordinal) in the low 19.  A single
+# fixed-width value lets `max` run as a hash aggregate (struct keys force a
+# sort-based aggregate) while keeping the exact "latest, then lowest
+# ordinal" order.
+_D = "decimal(38,0)"
+_LOW = 10 ** 19
+_TS_SHIFT = 10 ** 17  # makes every timestamp's epoch micros positive
+_ORD_MAX = 2 ** 63 - 1
+
+
+def _dec(v) -> Column:
+    return F.lit(str(v)).cast(_D)
+
+
+def latest_first_key(ts: str, ordinal: str) -> Column:
+    """Orderable key: greater = later timestamp (null lowest), then lower
+    ordinal.  Ordinals must be non-negative 64-bit integers."""
+    micros = F.unix_micros(F.col(ts).cast("timestamp")).cast(_D) + _dec(_TS_SHIFT)
+    t = F.coalesce(micros, _dec(0))
+    return t * _dec(_LOW) + (_dec(_ORD_MAX) - F.col(ordinal).cast(_D))
+
+
+def ordinal_of_key(key: Column) -> Column:
+    return (_dec(_ORD_MAX) - F.pmod(key, _dec(_LOW))).cast("bigint")
+
+
+def key_has_ts(key: Column) -> Column:
+    return key >= _dec(_LOW)
 
 
 def _as_of(as_of) -> Column:
@@ -56,9 +82,8 @@ def classify_tracking(df: DataFrame, as_of=None, key: str = "container_number",
     """
     now = _as_of(as_of)
     past = df.filter(F.col(ts) <= now)
-    winners = (past.groupBy(key)
-               .agg(F.max(F.struct(F.col(ts).alias("t"), (-F.col(ordinal)).alias("neg"))).alias("w"))
-               .select((-F.col("w.neg")).alias(ordinal)))
+    winners = (past.groupBy(key).agg(F.max(latest_first_key(ts, ordinal)).alias("w"))
+               .select(ordinal_of_key(F.col("w")).alias(ordinal)))
     marked = mark_ordinals(df, winners, "_is_current", ordinal)
     label = (F.when(F.col(ts).isNull() | (F.col(ts) > now), F.lit(C.FUTURE))
              .when(F.col("_is_current"), F.lit(C.CURRENT))
@@ -98,16 +123,11 @@ def flag_latest(df: DataFrame, group: str = "concat_2", ts: str = "event_ts",
     wins when `fallback_first` (carrier H) and no row does otherwise
     (carrier M).  All other rows get ''.
     """
-    key = F.struct(
-        F.col(ts).isNotNull().alias("has"),
-        F.coalesce(F.col(ts), F.lit(_MIN_TS).cast("timestamp_ntz")).alias("t"),
-        (-F.col(ordinal)).alias("neg"),
-    )
-    g = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("w"))
+    g = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.max(latest_first_key(ts, ordinal)).alias("w"))
     g = g.filter(F.col("n") > 1)
     if not fallback_first:
-        g = g.filter(F.col("w.has"))
-    winners = g.select((-F.col("w.neg")).alias(ordinal))
+        g = g.filter(key_has_ts(F.col("w")))
+    winners = g.select(ordinal_of_key(F.col("w")).alias(ordinal))
     marked = mark_ordinals(df, winners, "_is_latest", ordinal)
     return marked.withColumn(out, F.when(F.col("_is_latest"), F.lit(C.LATEST)).otherwise(F.lit(""))) \
                  .drop("_is_latest")
