@@ -111,16 +111,32 @@ def parse_card_parts(parts) -> dict[str, Column]:
     Per line, in order: a date-time line (last one wins), else a status line
     (last one wins), else the first remaining non-blank line is the location
     and the second the terminal.  Returns status (with vessel split off),
-    location, date, time and vessel name.
+    location, date, time and vessel name.  Each line is classified once
+    (one pass of the two pattern tests), then picked by its kind.
     """
-    p = col_(parts)
-    dt_lines = F.filter(p, lambda x: is_card_datetime(x))
-    st_lines = F.filter(p, lambda x: ~is_card_datetime(x) & is_card_status(x))
-    other = F.filter(
-        p, lambda x: ~is_card_datetime(x) & ~is_card_status(x) & (F.coalesce(x, F.lit("")) != "")
-    )
-    dt_text = F.coalesce(F.try_element_at(dt_lines, F.lit(-1)), F.lit(""))
-    status = F.coalesce(F.try_element_at(st_lines, F.lit(-1)), F.lit(""))
+    return card_fields(card_line_kinds(parts))
+
+
+def card_line_kinds(parts) -> Column:
+    """array<struct<t, k>>: each line with its kind (1 date-time, 2 status,
+    3 other non-blank, 0 blank).  Materialise it as a column before
+    `card_fields` so the pattern tests run once per line."""
+    return F.transform(col_(parts), lambda x: F.struct(
+        x.alias("t"),
+        F.when(is_card_datetime(x), F.lit(1)).when(is_card_status(x), F.lit(2))
+         .when(F.coalesce(x, F.lit("")) != "", F.lit(3)).otherwise(F.lit(0)).alias("k")))
+
+
+def card_fields(kinds) -> dict[str, Column]:
+    """Card fields from classified lines (see `parse_card_parts`)."""
+    kinds = col_(kinds)
+
+    def texts(kind):
+        return F.transform(F.filter(kinds, lambda e: e["k"] == kind), lambda e: e["t"])
+
+    dt_text = F.coalesce(F.try_element_at(texts(1), F.lit(-1)), F.lit(""))
+    status = F.coalesce(F.try_element_at(texts(2), F.lit(-1)), F.lit(""))
+    other = texts(3)
     location = F.coalesce(F.get(other, 0), F.lit(""))
     terminal = F.coalesce(F.get(other, 1), F.lit(""))
     matched = F.regexp_extract(dt_text, C.CARD_DATETIME_PATTERN, 0)

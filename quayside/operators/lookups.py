@@ -52,6 +52,21 @@ def lookup_join(base: DataFrame, dim: DataFrame, base_key, dim_key: str, cols: d
     return base.join(d, bk == d[tmp], "left").drop(tmp)
 
 
+def join_dimension(base: DataFrame, dim: DataFrame, base_key, dim_key: str, cols: dict[str, str],
+                   broadcast: bool = False) -> DataFrame:
+    """Left-join an already de-duplicated dimension (one row per key).
+
+    Used for role-playing dimensions: one de-duplicated dimension definition
+    (every column any role needs) joined once per role; Catalyst prunes each
+    use to the columns that role reads."""
+    tmp = f"_dj_{dim_key}"
+    d = dim.select(F.col(dim_key).alias(tmp), *[F.col(s).alias(t) for s, t in cols.items()])
+    if broadcast:
+        d = F.broadcast(d)
+    bk: Column = F.col(base_key) if isinstance(base_key, str) else base_key
+    return base.join(d, bk == d[tmp], "left").drop(tmp)
+
+
 def lookup_join_rules(base: DataFrame, dim: DataFrame, base_key, dim_key: str,
                       last: dict[str, str] | None = None, first: dict[str, str] | None = None,
                       ordinal: str = "ordinal") -> DataFrame:

@@ -58,52 +58,60 @@ def restrict_to_ids(df: DataFrame, ids: DataFrame, df_col: str, ids_col: str) ->
 def shipment_extract(es: DataFrame, srefs: DataFrame, milestones: DataFrame, ul_refs: DataFrame,
                      cassn: DataFrame, cattr: DataFrame, sdocs: DataFrame, sdoc_refs: DataFrame,
                      oassn: DataFrame, opkg: DataFrame, entities: DataFrame, active_ids: DataFrame) -> DataFrame:
-    """Shipment master rows exactly as the TMS query builds them: left joins
-    (which fan out on multi-valued references, milestones and packages)
-    followed by DISTINCT over the whole row.
-
-    Joins are grouped by key so each key's shuffle is shared: shipment-id
-    joins first, then unit-load joins, then the remaining 2-hop lookups.
+    """Shipment master rows as the TMS query returns them: every combination
+    of the left-joined attributes (multi-valued references, milestones and
+    packages fan out), then DISTINCT over the whole row.
+
+    Because the result is a set, each fan-out branch is reduced to the
+    distinct values the output needs *before* it is joined (and combined
+    map-side): milestone rows to (shipment, unit load, consol DUNS), unit-load
+    attributes to one set per unit load, packages to one set per shipment.
+    The branches then meet on the shipment id, so the shipment side is
+    partitioned once; the final DISTINCT gives the same rows as joining the
+    raw tables.
     """
     s = es.filter(F.col("current_state_type_id") == C.ACTIVE_STATE)
     s = restrict_to_ids(s, active_ids, "em_shipment_id", "sti")
 
     def ref(type_id, name):
         return srefs.filter(F.col("reference_type_id") == type_id).select(
-            F.col("em_shipment_id").alias(f"_e_{name}"), F.col("reference_number").alias(name))
+            F.col("em_shipment_id").alias(f"_e_{name}"), F.col("reference_number").alias(name)).distinct()
 
     for type_id, name in ((C.REF_MODE, "mode"), (C.REF_CCA_LOCATION, "cca_location"),
                           (C.REF_PRN, "prn"), (C.REF_SO, "so")):
         r = ref(type_id, name)
         s = s.join(r, s["em_shipment_id"] == r[f"_e_{name}"], "left").drop(f"_e_{name}")
 
-    oa = oassn.select(F.col("em_shipment_id").alias("_oa_sid"), F.col("order_id").alias("_order"))
-    s = s.join(oa, s["em_shipment_id"] == oa["_oa_sid"], "left").drop("_oa_sid")
-    ms = milestones.select(F.col("em_shipment_id").alias("_m_sid"), "master_unitload_id",
-                           "location_entity_id", "operational_milestone_type_id")
-    s = s.join(ms, s["em_shipment_id"] == ms["_m_sid"], "left").drop("_m_sid")
-
+    # Unit-load branch: milestones (with their consol DUNS) x unit-load attributes.
+    ms = consol_locations(milestones, entities).select(
+        F.col("em_shipment_id").alias("_m_sid"), "master_unitload_id", "consol_dun").distinct()
     hbl = ul_refs.filter(F.col("reference_type_id") == C.REF_HBL).select(
-        F.col("master_unitload_id").alias("_u"), F.col("reference_number").alias("hbl"))
-    s = s.join(hbl, s["master_unitload_id"] == hbl["_u"], "left").drop("_u")
+        F.col("master_unitload_id").alias("_u"), F.col("reference_number").alias("hbl")).distinct()
     mbl = priority_pick(ul_refs, "master_unitload_id", dict(C.MBL_PRIORITY), "mbl").select(
         F.col("master_unitload_id").alias("_u2"), "mbl")
-    s = s.join(mbl, s["master_unitload_id"] == mbl["_u2"], "left").drop("_u2")
     ca = cassn.select(F.col("master_unitload_id").alias("_v"), F.col("container_attributes_id").alias("_cid"))
-    s = s.join(ca, s["master_unitload_id"] == ca["_v"], "left").drop("_v")
-    sd = sdocs.select(F.col("master_unitload_id").alias("_t"), F.col("status_doc_id").alias("_doc"))
-    s = s.join(sd, s["master_unitload_id"] == sd["_t"], "left").drop("_t")
-
     c = cattr.select(F.col("container_attributes_id").alias("_c"), F.col("conveyance_id_number").alias("cont_id"),
                      F.col("conveyance_type_desc").alias("cont_type"), F.col("conveyance_cube").alias("vol2"),
                      F.col("conveyance_weight").alias("weight2"))
-    s = s.join(c, s["_cid"] == c["_c"], "left").drop("_c", "_cid")
-    lane = sdoc_refs.filter(F.col("reference_type_id") == C.REF_LANE).select(
+    cont = ca.join(c, ca["_cid"] == c["_c"], "left").drop("_c", "_cid").distinct()
+    sd = sdocs.select(F.col("master_unitload_id").alias("_t"), F.col("status_doc_id").alias("_doc"))
+    lane_ref = sdoc_refs.filter(F.col("reference_type_id") == C.REF_LANE).select(
         F.col("status_doc_id").alias("_sd"), F.col("reference_number").alias("lane_id"))
-    s = s.join(lane, s["_doc"] == lane["_sd"], "left").drop("_sd", "_doc")
+    lanes = sd.join(lane_ref, sd["_doc"] == lane_ref["_sd"], "left").drop("_sd", "_doc").distinct()
+
+    u = ms.join(hbl, ms["master_unitload_id"] == hbl["_u"], "left").drop("_u")
+    u = u.join(mbl, u["master_unitload_id"] == mbl["_u2"], "left").drop("_u2")
+    u = u.join(cont, u["master_unitload_id"] == cont["_v"], "left").drop("_v")
+    u = u.join(lanes, u["master_unitload_id"] == lanes["_t"], "left").drop("_t")
+    u = u.drop("master_unitload_id").distinct()
+
+    # Package branch.
+    oa = oassn.select(F.col("em_shipment_id").alias("_p_sid"), F.col("order_id").alias("_order"))
     pk = opkg.select(F.col("order_id").alias("_op"), F.col("package_id_number").alias("packaging_type"))
-    s = s.join(pk, s["_order"] == pk["_op"], "left").drop("_op", "_order")
-    s = consol_locations(s, entities)
+    pkg = oa.join(pk, oa["_order"] == pk["_op"], "left").drop("_op", "_order").distinct()
+
+    s = s.join(u, s["em_shipment_id"] == u["_m_sid"], "left").drop("_m_sid")
+    s = s.join(pkg, s["em_shipment_id"] == pkg["_p_sid"], "left").drop("_p_sid")
 
     return s.select(
         F.col("em_shipment_id").alias("sti"), "shipment_id_number",

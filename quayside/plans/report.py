@@ -98,38 +98,49 @@ def with_yesterday(df: DataFrame, t: Inputs) -> DataFrame:
                                              "lane_id": "yesterday_lane_id"}, keep="first")
 
 
+LOCATION_COLS = ["name", "city", "state", "country_name"]
+CCA_COLS = ["cca", "supplier_name"]
+
+
+def locations_dim(t: Inputs) -> DataFrame:
+    """Location sheet, last row per alias, every column any role uses."""
+    return L.dedupe_by_key(S.locations(t), "location_alias", LOCATION_COLS, keep="last")
+
+
+def cca_dim(t: Inputs) -> DataFrame:
+    return L.dedupe_by_key(S.cca_sheet(t), "duns_number", CCA_COLS, keep="last")
+
+
 def with_notes(df: DataFrame, t: Inputs) -> DataFrame:
     return L.lookup_join(df, S.carrier_notes(t), "steamship_line_scac", "carrier_scac",
                          {"name": "steamship_line"}, keep="last")
 
 
 def with_supplier_location(df: DataFrame, t: Inputs) -> DataFrame:
-    return L.lookup_join(df, S.locations(t), "supplier_duns", "location_alias", {
+    return L.join_dimension(df, locations_dim(t), "supplier_duns", "location_alias", {
         "name": "supplier_name", "city": "origin_supplier_city", "state": "origin_supplier_province",
-        "country_name": "origin_supplier_country"}, keep="last")
+        "country_name": "origin_supplier_country"})
 
 
 def with_dest_location(df: DataFrame, t: Inputs) -> DataFrame:
-    return L.lookup_join(df, S.locations(t), "dest_dun", "location_alias",
-                         {"country_name": "dest_country"}, keep="last")
+    return L.join_dimension(df, locations_dim(t), "dest_dun", "location_alias", {"country_name": "dest_country"})
 
 
 def with_cca(df: DataFrame, t: Inputs) -> DataFrame:
-    return L.lookup_join(df, S.cca_sheet(t), "dest_dun", "duns_number", {"cca": "cca"}, keep="last")
+    return L.join_dimension(df, cca_dim(t), "dest_dun", "duns_number", {"cca": "cca"})
 
 
 def with_destination(df: DataFrame, t: Inputs) -> DataFrame:
     df = df.withColumn("destination_duns",
                        R.destination_duns("cca", "service_level", "dest_country", "dest_dun"))
-    return L.lookup_join(df, S.locations(t), "destination_duns", "location_alias", {
+    return L.join_dimension(df, locations_dim(t), "destination_duns", "location_alias", {
         "name": "final_delivery_location_name", "city": "destination_city",
-        "state": "destination_state", "country_name": "destination_country"}, keep="last")
+        "state": "destination_state", "country_name": "destination_country"})
 
 
 def with_plant(df: DataFrame, t: Inputs) -> DataFrame:
     df = L.lookup_join(df, S.io_sheet(t), "bill_to_cisco", "code", {"supplier_name": "io_name"}, keep="last")
-    df = L.lookup_join(df, S.cca_sheet(t), "destination_duns", "duns_number",
-                       {"supplier_name": "cca_plant_name"}, keep="last")
+    df = L.join_dimension(df, cca_dim(t), "destination_duns", "duns_number", {"supplier_name": "cca_plant_name"})
     return df.withColumn("plant_name", R.plant_name("cca", "io_name", "q3_cca_location",
                                                     "destination_duns", "cca_plant_name"))
 

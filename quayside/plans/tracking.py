@@ -127,9 +127,8 @@ def cross_carrier_counts(t: Inputs, as_of=None) -> DataFrame:
 
 def parse_cards(t: Inputs) -> DataFrame:
     """Tracking cards -> event fields (not-found cards become marker rows)."""
-    cards = S.tracking_cards(t)
-    parts = F.split(T.trim_ws("text"), "\n")
-    p = T.parse_card_parts(parts)
+    cards = S.tracking_cards(t).withColumn("_kinds", T.card_line_kinds(F.split(T.trim_ws("text"), "\n")))
+    p = T.card_fields("_kinds")
     not_found = F.col("text").rlike(C.NOT_FOUND_PATTERN)
 
     def nf(c, default):
@@ -156,7 +155,12 @@ def extract_vessel_q(t: Inputs) -> DataFrame:
 
 
 def not_found_rows(t: Inputs) -> DataFrame:
-    return parse_cards(t).filter(F.col("status") == C.NOT_FOUND_STATUS)
+    """Marker rows only: the page-text test runs before any card parsing."""
+    cards = S.tracking_cards(t).filter(F.col("text").rlike(C.NOT_FOUND_PATTERN))
+    return cards.select(
+        "card_id", "container_number", F.lit(C.CURRENT).alias("type_of_tracking"),
+        F.lit(C.NOT_FOUND_STATUS).alias("status"), *[F.lit("").alias(c) for c in
+                                                      ("location", "date", "time", "vessel_name", "transport")])
 
 
 def run_summary(t: Inputs, as_of=None) -> DataFrame:
