@@ -13,6 +13,13 @@ from quayside.sources import standins as S
 from quayside.sources.catalog import Inputs
 
 
+# Export layouts (column order of the per-run carrier files).
+HLCU_EXPORT_COLUMNS = ("container_number", "concat_1", "concat_2", "concat_3", "type_of_tracking", "status",
+                       "place_of_activity", "date", "time", "transport", "duplicates")
+MAEU_EXPORT_COLUMNS = ("container_number", "concat_1", "concat_2", "concat_3", "type_of_tracking", "status",
+                       "location", "date", "time", "vessel_name", "transport", "duplicates")
+
+
 def hlcu_export(t: Inputs, as_of=None) -> DataFrame:
     """Carrier-H export rows: parsed timestamp, tracking type, keys, flag."""
     df = E.with_hlcu_ts(S.hlcu_events(t))

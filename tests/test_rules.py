@@ -198,3 +198,23 @@ def test_upsert_idempotent_and_batch_order(spark):
     assert {(r.k, r.v) for r in twice.collect()} == want
     m = U.upsert_metrics(target, batch, ["k"]).first()
     assert (m.inserted, m.updated, m.total_processed, m.failed) == (1, 2, 3, 0)
+
+
+def test_column_helpers(spark):
+    from quayside.operators.columns import reorder, select_existing, to_snake_case
+
+    df = spark.createDataFrame([(1, 2)], "`Bill to Cisco` int, b int")
+    assert select_existing(df, ["b", "zz", "Bill to Cisco"]).columns == ["b", "Bill to Cisco"]
+    assert reorder(df, ["zz", "b"], fill_missing=True).columns == ["zz", "b"]
+    assert to_snake_case(df).columns == ["bill_to_cisco", "b"]
+
+
+def test_materialize_layers(spark, tmp_path):
+    from quayside.plans.warehouse import materialize_layers
+    from quayside.sources.catalog import load_inputs
+
+    paths = materialize_layers(load_inputs(spark, "/root/testdata/sf0.001"), str(tmp_path), AS_OF, AS_OF)
+    assert set(paths) >= {"raw/hlcu_tracking", "staging/stg_shipments", "analytics/dim_containers"}
+    assert spark.read.parquet(paths["analytics/fct_tracking_events"]).count() > 0
+    raw = spark.read.parquet(paths["raw/hlcu_tracking"])
+    assert raw.columns[:3] == ["container_number", "concat_1", "concat_2"]
