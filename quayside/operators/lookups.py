@@ -57,8 +57,9 @@ def join_dimension(base: DataFrame, dim: DataFrame, base_key, dim_key: str, cols
     """Left-join an already de-duplicated dimension (one row per key).
 
     Used for role-playing dimensions: one de-duplicated dimension definition
-    (every column any role needs) joined once per role; Catalyst prunes each
-    use to the columns that role reads."""
+    (every column any role needs) joined once per role, so the identical
+    de-dup shuffles are planned once and reused (ReusedExchange), and for
+    literal reference tables whose keys are unique."""
     tmp = f"_dj_{dim_key}"
     d = dim.select(F.col(dim_key).alias(tmp), *[F.col(s).alias(t) for s, t in cols.items()])
     if broadcast:

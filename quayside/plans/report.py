@@ -152,9 +152,9 @@ def with_csp(df: DataFrame, t: Inputs) -> DataFrame:
 
 
 def with_container_caps(df: DataFrame, spark: SparkSession) -> DataFrame:
-    ref = container_ref(spark).withColumn("ordinal", F.lit(0))  # keys are unique
-    return L.lookup_join(df, ref, "container_type", "container_type",
-                         {"max_cbm": "max_cbm", "max_weight": "max_weight"}, keep="last", broadcast=True)
+    # Literal table with unique keys: no de-dup needed, bounded size -> broadcast.
+    return L.join_dimension(df, container_ref(spark), "container_type", "container_type",
+                            {"max_cbm": "max_cbm", "max_weight": "max_weight"}, broadcast=True)
 
 
 def with_fills(df: DataFrame) -> DataFrame:
@@ -168,9 +168,8 @@ def with_fills(df: DataFrame) -> DataFrame:
 
 
 def with_origin_consol(df: DataFrame, spark: SparkSession) -> DataFrame:
-    ref = consol_ref(spark).withColumn("ordinal", F.lit(0))  # keys are unique
-    return L.lookup_join(df, ref, "origin_consol_duns", "origin_consol_duns",
-                         {"origin_consol": "origin_consol"}, keep="last", broadcast=True)
+    return L.join_dimension(df, consol_ref(spark), "origin_consol_duns", "origin_consol_duns",
+                            {"origin_consol": "origin_consol"}, broadcast=True)
 
 
 def with_status(df: DataFrame) -> DataFrame:
