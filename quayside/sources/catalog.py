@@ -33,3 +33,9 @@ class Inputs:
 
 def load_inputs(spark: SparkSession, base_dir: str) -> Inputs:
     return Inputs(spark, base_dir)
+
+
+def read_csv_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Daily CSV export (header row) read with an explicit schema, as RAW
+    tables are loaded; no schema inference pass over the data."""
+    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
