@@ -48,40 +48,103 @@ def upsert_metrics(target: DataFrame, batch: DataFrame, keys: list[str], group:
 
 # ---------------------------------------------------------- snapshots
 class SnapshotTable:
-    """Versioned parquet snapshots under `base` plus a small commit log.
-
-    Each version is written to `base/v=<n>` with Spark's commit protocol (a
-    failed write leaves no visible files), then a row (version) is appended
-    to `base/_commits`; readers take the highest committed version.
-    Re-running a version overwrites the same directory, so retries are
-    idempotent.  `partition_by` (e.g. carrier) lets readers prune.
+    """Copy-on-write snapshot table on plain parquet.
+
+    Rows live in partitions whose columns are functions of the merge key
+    (e.g. carrier and event day), so a key never moves between partitions.
+    A write stores the *complete* new content of every partition it touches
+    under `base/v=<version>/...` (Spark's commit protocol: a failed write
+    leaves nothing visible), then appends (partition, version) rows to
+    `base/_commits`.  Readers take, per partition, the highest committed
+    version; untouched partitions keep their older files, so a daily batch
+    rewrites only the partitions it touches.  Rewriting a version is
+    idempotent, which makes retried micro-batches safe.
     """
 
-    def __init__(self, spark: SparkSession, base: str, partition_by: list[str] | None = None):
+    def __init__(self, spark: SparkSession, base: str, partition_by: list[str]):
+        if not partition_by:
+            raise ValueError("partition_by must name key-derived columns")
         self.spark = spark
         self.base = base.rstrip("/")
-        self.partition_by = partition_by or []
+        self.partition_by = list(partition_by)
+        self.data_schema = None
 
-    def _path(self, version: int) -> str:
-        return f"{self.base}/v={version}"
+    @property
+    def commits_path(self) -> str:
+        return f"{self.base}/_commits"
 
-    def current_version(self) -> int | None:
+    def _commits(self) -> DataFrame | None:
         try:
-            r = self.spark.read.parquet(f"{self.base}/_commits").agg(F.max("version")).first()
-        except Exception:  # noqa: BLE001 - no commit yet
+            return self.spark.read.parquet(self.commits_path)
+        except Exception:  # noqa: BLE001 - nothing committed yet
             return None
-        return None if r is None else r[0]
-
-    def write(self, df: DataFrame, version: int) -> None:
-        w = df.write.mode("overwrite")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(self._path(version))
-        self.spark.createDataFrame([(int(version),)], "version bigint") \
-            .write.mode("append").parquet(f"{self.base}/_commits")
-
-    def read(self, version: int | None = None) -> DataFrame:
-        v = self.current_version() if version is None else version
-        if v is None:
-            raise FileNotFoundError(f"no committed snapshot under {self.base}")
-        return self.spark.read.parquet(self._path(v))
+
+    def next_version(self) -> int:
+        c = self._commits()
+        v = None if c is None else c.agg(F.max("version")).first()[0]
+        return 0 if v is None else int(v) + 1
+
+    def write(self, df: DataFrame, version: int, partitions: DataFrame | None = None) -> None:
+        """Store `df` as the full content of each partition it contains.
+
+        `partitions` (the partition values `df` covers, e.g. those a merge
+        batch touched) avoids recomputing `df` for the commit log; without
+        it the values are read back from the written folders (partition
+        columns only, no data pages)."""
+        data_cols = [c for c in df.columns if c not in self.partition_by]
+        self.data_schema = df.select(*data_cols, *self.partition_by).schema
+        # REBALANCE: AQE groups rows by output partition, coalescing small
+        # ones and splitting skewed ones, so a hot partition is written by
+        # several tasks and small ones do not explode into many files.
+        (df.hint("rebalance", *self.partition_by).write.mode("overwrite")
+         .partitionBy(*self.partition_by).parquet(f"{self.base}/v={version}"))
+        if partitions is None:
+            schema = ", ".join(f"`{c}` string" for c in self.partition_by)
+            partitions = self.spark.read.schema(schema).parquet(f"{self.base}/v={version}")
+        (partitions.select(*[F.col(c).cast("string") for c in self.partition_by]).distinct()
+         .withColumn("version", F.lit(int(version)).cast("bigint"))
+         .write.mode("append").parquet(self.commits_path))
+
+    def _infer_schema(self) -> None:
+        c = self._commits()
+        if c is None:
+            raise FileNotFoundError(f"no snapshot committed under {self.base}")
+        v = c.agg(F.max("version")).first()[0]
+        sample = self.spark.read.parquet(f"{self.base}/v={v}")
+        data = [f for f in sample.schema.fields if f.name not in self.partition_by]
+        from pyspark.sql.types import StringType, StructField, StructType
+        self.data_schema = StructType(data + [StructField(p, StringType()) for p in self.partition_by])
+
+    def read(self, partitions: DataFrame | None = None, before_version: int | None = None) -> DataFrame:
+        """Current content (optionally only `partitions`, a frame of
+        partition values, and only versions below `before_version`).  The
+        semi join on partition columns lets dynamic partition pruning skip
+        superseded and untouched files."""
+        if self.data_schema is None:
+            self._infer_schema()
+        commits = self._commits()
+        if before_version is not None:
+            commits = commits.filter(F.col("version") < before_version)
+        latest = commits.groupBy(*self.partition_by).agg(F.max("version").alias("v"))
+        if partitions is not None:
+            latest = latest.join(partitions.select(*[F.col(c).cast("string") for c in self.partition_by])
+                                 .distinct(), self.partition_by, "left_semi")
+        fields = list(self.data_schema.fields)
+        schema = (", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields
+                            if f.name not in self.partition_by)
+                  + ", v bigint, " + ", ".join(f"`{c}` string" for c in self.partition_by))
+        files = self.spark.read.schema(schema).parquet(self.base)
+        cur = files.join(latest, self.partition_by + ["v"], "left_semi")
+        return cur.select(*[F.col(f.name).cast(f.dataType) for f in fields])
+
+    def merge(self, batch: DataFrame, keys: list[str], version: int | None = None,
+              load_ts: str = "last_updated", seq: str = "seq") -> int:
+        """Upsert `batch`, rewriting only the partitions it touches.  The
+        merge reads versions below `version` only, so re-running a version
+        (a retried micro-batch) never reads the files it overwrites."""
+        version = self.next_version() if version is None else version
+        touched = batch.select(*self.partition_by)
+        current = self.read(touched, before_version=version)
+        merged = upsert(current, batch.select(*current.columns), keys, load_ts, seq)
+        self.write(merged, version, partitions=touched)
+        return version

@@ -239,13 +239,25 @@ def q_upsert_metrics(spark, d):
     return U.upsert_metrics(target, batch, KEYS, group=["carrier"])
 
 
+# Snapshot partitions: carrier and the event's date text, both parts of the
+# key, so an event id never changes partition.
+PARTITIONS = ["carrier", "_pday"]
+
+
+def with_event_partition(df):
+    return df.withColumn("_pday", F.when(F.coalesce(F.col("date"), F.lit("")) == "", F.lit("undated"))
+                         .otherwise(F.col("date")))
+
+
 @query("incremental_read")
 def q_incremental_read(spark, d):
+    """Snapshot = target; merge the batch (rewriting touched partitions
+    only); read what changed after the previous load."""
     target, batch = upsert_inputs(load_inputs(spark, d))
-    table = U.SnapshotTable(spark, scratch_path(spark, "events"), partition_by=["carrier"])
-    table.write(U.latest_per_key(target, KEYS), 0)
-    table.write(U.upsert(table.read(), batch, KEYS), 1)
-    return ING.incremental_read(table.read(), T1).drop("seq")
+    table = U.SnapshotTable(spark, scratch_path(spark, "events"), PARTITIONS)
+    table.write(with_event_partition(U.latest_per_key(target, KEYS)), 0)
+    table.merge(with_event_partition(batch), KEYS, 1)
+    return ING.incremental_read(table.read(), T1).drop("seq", "_pday")
 
 
 @query("raw_append")
@@ -356,8 +368,8 @@ def q_stream_upsert(spark, d):
     """Target snapshot + the batch streamed in as files, every batch file
     delivered twice; must equal the one-shot upsert."""
     target, batch = upsert_inputs(load_inputs(spark, d))
-    table = U.SnapshotTable(spark, scratch_path(spark, "stream-events"), partition_by=["carrier"])
-    table.write(U.latest_per_key(target, KEYS), 0)
+    table = U.SnapshotTable(spark, scratch_path(spark, "stream-events"), PARTITIONS)
+    table.write(with_event_partition(U.latest_per_key(target, KEYS)), 0)
     src = scratch_path(spark, "stream-batch")
     lines = batch.withColumn("last_updated", F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss"))
     for copy in ("a", "b"):
@@ -367,11 +379,12 @@ def q_stream_upsert(spark, d):
               "copy string")
 
     def prepare(df):
-        return df.drop("copy").withColumn("last_updated", F.to_timestamp("last_updated").cast("timestamp_ntz"))
+        return with_event_partition(
+            df.drop("copy").withColumn("last_updated", F.to_timestamp("last_updated").cast("timestamp_ntz")))
 
     out = ING.upsert_available(spark, src, table, KEYS, prepare, scratch_path(spark, "stream-ckpt"),
-                               max_files_per_trigger=2, schema=schema)
-    return out.drop("seq")
+                               max_files_per_trigger=3, schema=schema)
+    return out.drop("seq", "_pday")
 
 
 # ---------------------------------------------------------------- quality

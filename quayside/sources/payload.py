@@ -93,8 +93,9 @@ def explode_envelopes(env: DataFrame) -> DataFrame:
 def write_event_lines(events: DataFrame, path: str) -> None:
     """Scalable payload form: one JSON event per line, partitioned by
     carrier and scrape, so no envelope array is ever built."""
-    records_struct(events).select("carrier", "scraped_at", "record.*") \
-        .write.mode("overwrite").partitionBy("carrier", "scraped_at").json(path)
+    (records_struct(events).select("carrier", "scraped_at", "record.*")
+     .hint("rebalance", "carrier", "scraped_at")
+     .write.mode("overwrite").partitionBy("carrier", "scraped_at").json(path))
 
 
 LINES_SCHEMA = T.StructType(list(RECORD_SCHEMA.fields) + [

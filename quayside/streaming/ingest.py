@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators.upsert import SnapshotTable, upsert
+from quayside.operators.upsert import SnapshotTable
 from quayside.sources.payload import LINES_SCHEMA
 
 
@@ -29,17 +29,15 @@ def upsert_available(spark: SparkSession, source_dir: str, table: SnapshotTable,
                      prepare, checkpoint: str, max_files_per_trigger: int = 1, schema=LINES_SCHEMA) -> DataFrame:
     """Stream new payload files into `table` by key.
 
-    Every micro-batch is merged into the latest committed snapshot and
-    written as version `epoch + 1` (a retried epoch rewrites the same
-    version).  The merge picks one winner per key by (load time, sequence),
+    Every micro-batch is merged into the partitions of the latest committed
+    snapshot it touches, written as version `epoch + 1` (a retried epoch
+    rewrites the same version from the versions before it).  The merge picks one winner per key by (load time, sequence),
     so a key repeated inside one batch, or a file delivered twice, leaves
     the table as if it had been seen once.  `prepare(df)` turns raw lines
     into rows with the table's columns.
     """
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        current = table.read()
-        merged = upsert(current, prepare(batch), keys)
-        table.write(merged, epoch_id + 1)
+        table.merge(prepare(batch), keys, version=epoch_id + 1)
 
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
               .json(source_dir))
