@@ -294,7 +294,7 @@ def q_payload_build(spark, d):
 def q_payload_explode(spark, d):
     ev = _export_events(load_inputs(spark, d))
     path = scratch_path(spark, "payload-env")
-    PL.write_envelopes(PL.build_envelopes(ev, PL.parts_needed(ev, MAX_RECORDS_PER_PAYLOAD)), path)
+    PL.write_envelopes(PL.build_envelopes(ev, MAX_RECORDS_PER_PAYLOAD), path)
     out = PL.explode_envelopes(PL.read_envelopes(spark, path))
     return out.select(F.col("payload_carrier").alias("carrier"), "scraped_at", "ordinal",
                       F.col("Container_Number").alias("container_number"), F.col("Status").alias("status"),
@@ -303,18 +303,16 @@ def q_payload_explode(spark, d):
 
 @query("dq_payload")
 def q_dq_payload(spark, d):
-    """Envelopes with planted defects: part 0 of days % 5 = 0 declares one
-    record too many; part 0 of carrier-M days % 11 = 0 lacks scraped_at;
-    each carrier-H day % 7 = 0 adds one truncated envelope."""
+    """Envelopes with planted defects: envelopes of days % 5 = 0 declare
+    one record too many; carrier-M envelopes of days % 11 = 0 lack
+    scraped_at; each carrier-H day % 7 = 0 adds one truncated envelope."""
     ev = _export_events(load_inputs(spark, d))
-    parts = PL.parts_needed(ev, MAX_RECORDS_PER_PAYLOAD)
-    env = PL.build_envelopes(ev, parts).join(
+    env = PL.build_envelopes(ev, MAX_RECORDS_PER_PAYLOAD).join(
         ev.select("carrier", "scraped_at", "scrape_day").distinct(), ["carrier", "scraped_at"])
-    p0 = F.col("part") == 0
     env = env.withColumns({
-        "total_events": F.when(p0 & (F.col("scrape_day") % 5 == 0), F.col("total_events") + 1)
+        "total_events": F.when(F.col("scrape_day") % 5 == 0, F.col("total_events") + 1)
                          .otherwise(F.col("total_events")),
-        "scraped_at": F.when(p0 & (F.col("carrier") == S.M) & (F.col("scrape_day") % 11 == 0),
+        "scraped_at": F.when((F.col("carrier") == S.M) & (F.col("scrape_day") % 11 == 0),
                              F.lit(None).cast("string")).otherwise(F.col("scraped_at")),
     })
     path = scratch_path(spark, "payload-dq")

@@ -3,7 +3,6 @@ total_events, records: [...]}`, event JSON lines, and file selection."""
 
 from __future__ import annotations
 
-import math
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,22 +44,16 @@ def records_struct(df: DataFrame) -> DataFrame:
     return df.select("carrier", "scraped_at", F.struct(*fields).alias("record"))
 
 
-def parts_needed(df: DataFrame, max_records: int, group=("carrier", "scraped_at")) -> int:
-    """How many payload files per (carrier, scrape) keep each under
-    `max_records` records (one small aggregate; only a number reaches the
-    driver)."""
-    biggest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-    return max(1, math.ceil(biggest / max_records))
+def build_envelopes(events: DataFrame, max_records: int) -> DataFrame:
+    """Group event rows into envelopes of at most `max_records` records.
 
-
-def build_envelopes(events: DataFrame, parts: int) -> DataFrame:
-    """Group event rows into envelopes of at most ~rows/parts records each.
-
-    Records are spread over `parts` envelopes per (carrier, scrape) by their
-    unique ordinal, so no envelope (one collect_list) grows past the bound
-    chosen with `parts_needed`.
+    An envelope is (carrier, scrape, floor(ordinal / max_records)): since
+    ordinals are unique integers, no envelope -- one `collect_list` -- can
+    exceed the bound, whatever the data volume or skew, and no counting pass
+    is needed to size it.
     """
-    r = records_struct(events).withColumn("part", F.pmod(F.col("record.ordinal"), F.lit(parts)))
+    r = records_struct(events).withColumn(
+        "part", F.floor(F.col("record.ordinal") / F.lit(max_records)).cast("bigint"))
     g = r.groupBy("carrier", "scraped_at", "part").agg(F.collect_list("record").alias("records"))
     return g.select("carrier", "scraped_at", "part", F.size("records").cast("bigint").alias("total_events"),
                     "records")
