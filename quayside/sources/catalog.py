@@ -3,11 +3,28 @@
 `load_inputs(spark, dir)` exposes the parquet tables of one data directory as
 lazily-read DataFrames (one scan per use; Catalyst prunes columns and pushes
 filters into each scan).
+
+A table's schema is read from its footer once per process and then passed
+to `spark.read.schema(...)`, so building a plan that reads `orders` eight
+times does not run eight schema-inference jobs.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+_SCHEMAS: dict[tuple, StructType] = {}
+
+
+def _schema_key(path: str) -> tuple:
+    try:
+        st = os.stat(path)
+        return (path, st.st_mtime_ns, st.st_size)
+    except OSError:  # remote storage: the path alone
+        return (path,)
 
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -23,7 +40,14 @@ class Inputs:
         self.base_dir = base_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base_dir}/{name}.parquet")
+        path = f"{self.base_dir}/{name}.parquet"
+        key = _schema_key(path)
+        schema = _SCHEMAS.get(key)
+        if schema is None:
+            df = self.spark.read.parquet(path)
+            _SCHEMAS[key] = df.schema
+            return df
+        return self.spark.read.schema(schema).parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in DRIVER_TABLES:
