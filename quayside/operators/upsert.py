@@ -61,12 +61,16 @@ class SnapshotTable:
     idempotent, which makes retried micro-batches safe.
     """
 
-    def __init__(self, spark: SparkSession, base: str, partition_by: list[str]):
+    def __init__(self, spark: SparkSession, base: str, partition_by: list[str],
+                 sort_by: list[str] | None = None):
         if not partition_by:
             raise ValueError("partition_by must name key-derived columns")
         self.spark = spark
         self.base = base.rstrip("/")
         self.partition_by = list(partition_by)
+        # Sorting within files keeps parquet min/max statistics tight on the
+        # point-lookup column (e.g. container), so lookups skip row groups.
+        self.sort_by = list(sort_by or [])
         self.data_schema = None
 
     @property
@@ -96,8 +100,10 @@ class SnapshotTable:
         # REBALANCE: AQE groups rows by output partition, coalescing small
         # ones and splitting skewed ones, so a hot partition is written by
         # several tasks and small ones do not explode into many files.
-        (df.hint("rebalance", *self.partition_by).write.mode("overwrite")
-         .partitionBy(*self.partition_by).parquet(f"{self.base}/v={version}"))
+        out = df.hint("rebalance", *self.partition_by)
+        if self.sort_by:
+            out = out.sortWithinPartitions(*self.sort_by)
+        out.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.base}/v={version}")
         if partitions is None:
             schema = ", ".join(f"`{c}` string" for c in self.partition_by)
             partitions = self.spark.read.schema(schema).parquet(f"{self.base}/v={version}")

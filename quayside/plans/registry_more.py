@@ -254,7 +254,7 @@ def q_incremental_read(spark, d):
     """Snapshot = target; merge the batch (rewriting touched partitions
     only); read what changed after the previous load."""
     target, batch = upsert_inputs(load_inputs(spark, d))
-    table = U.SnapshotTable(spark, scratch_path(spark, "events"), PARTITIONS)
+    table = U.SnapshotTable(spark, scratch_path(spark, "events"), PARTITIONS, sort_by=["container_number"])
     table.write(with_event_partition(U.latest_per_key(target, KEYS)), 0)
     table.merge(with_event_partition(batch), KEYS, 1)
     return ING.incremental_read(table.read(), T1).drop("seq", "_pday")
@@ -366,7 +366,7 @@ def q_stream_upsert(spark, d):
     """Target snapshot + the batch streamed in as files, every batch file
     delivered twice; must equal the one-shot upsert."""
     target, batch = upsert_inputs(load_inputs(spark, d))
-    table = U.SnapshotTable(spark, scratch_path(spark, "stream-events"), PARTITIONS)
+    table = U.SnapshotTable(spark, scratch_path(spark, "stream-events"), PARTITIONS, sort_by=["container_number"])
     table.write(with_event_partition(U.latest_per_key(target, KEYS)), 0)
     src = scratch_path(spark, "stream-batch")
     lines = batch.withColumn("last_updated", F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss"))

@@ -26,7 +26,8 @@ def ingest_available(spark: SparkSession, source_dir: str, out_dir: str, checkpo
 
 
 def upsert_available(spark: SparkSession, source_dir: str, table: SnapshotTable, keys: list[str],
-                     prepare, checkpoint: str, max_files_per_trigger: int = 1, schema=LINES_SCHEMA) -> DataFrame:
+                     prepare, checkpoint: str, max_files_per_trigger: int = 1, schema=LINES_SCHEMA,
+                     after_merge=None) -> DataFrame:
     """Stream new payload files into `table` by key.
 
     Every micro-batch is merged into the partitions of the latest committed
@@ -38,6 +39,8 @@ def upsert_available(spark: SparkSession, source_dir: str, table: SnapshotTable,
     """
     def merge(batch: DataFrame, epoch_id: int) -> None:
         table.merge(prepare(batch), keys, version=epoch_id + 1)
+        if after_merge is not None:  # test hook: fail between write and offset commit
+            after_merge(epoch_id)
 
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
               .json(source_dir))
