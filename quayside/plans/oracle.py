@@ -581,7 +581,7 @@ SELECT {nk('it.sti')} AS lsc_tracking_number, 'CEVV' AS lsc, 'NO' AS specialized
   q3l.origin_dun AS supplier_duns, q3l.so AS so_number, q3l.manifest, q3l.master_unitload_id AS mti,
   q3l.scac_code AS steamship_line_scac, q3l.vessel_name, q3l.path, q3l.number_of_packages,
   q3l.packaging_type, q3l.prn AS prn_number, q3l.hbl AS hbol, q3l.mbl AS mbol_q3, q3l.cont_id AS container_number,
-  q3l.cont_type AS container_type, q3l.btc AS bill_to_cisco, q3l.vol1, q3l.weight1, q3l.vol2, q3l.weight2,
+  q3l.cont_type AS container_type, q3l.btc AS bill_to_code, q3l.vol1, q3l.weight1, q3l.vol2, q3l.weight2,
   q3l.consol_dun AS origin_consol_duns, q3l.dest_dun, q3l.cca_location AS q3_cca_location,
   q3f.lane_id AS q3_lane_id,
   trll.outbound_trailer, trll.outbound_tms,
@@ -618,7 +618,7 @@ SELECT r.*, lf.name AS final_delivery_location_name, lf.city AS destination_city
   cspf.last_mb_number AS csp_mbol, cref.max_cbm, cref.max_weight, consol.origin_consol
 FROM rep2 r
 LEFT JOIN locl lf ON lf.k = r.destination_duns
-LEFT JOIN iol ON iol.k = r.bill_to_cisco
+LEFT JOIN iol ON iol.k = r.bill_to_code
 LEFT JOIN ccal c2 ON c2.k = r.destination_duns
 LEFT JOIN cspf ON cspf.k = r.hbol
 LEFT JOIN cref ON cref.container_type = r.container_type
@@ -656,7 +656,7 @@ q("base_fields", ("rep0",), f"""SELECT {_K}, lsc, specialized_transport, sid_num
   service_level, ship_date_from_supplier, mode, provider_lane_id FROM rep0""")
 q("lookup_last", ("rep",), f"""SELECT {_K}, supplier_duns, so_number, manifest, mti, steamship_line_scac,
   vessel_name, path, number_of_packages, packaging_type, prn_number, hbol, mbol_q3 AS mbol, container_number,
-  container_type, bill_to_cisco, vol1, weight1, vol2, weight2, origin_consol_duns, dest_dun, steamship_line,
+  container_type, bill_to_code, vol1, weight1, vol2, weight2, origin_consol_duns, dest_dun, steamship_line,
   outbound_trailer, outbound_tms FROM rep""")
 q("lookup_first", ("rep",), f"""SELECT {_K}, hbol, yesterday_cbm, yesterday_weight_kg, yesterday_lane_id,
   q3_lane_id, csp_cbm, csp_weight_kg, csp_lane_id, csp_mbol FROM rep""")
@@ -664,7 +664,7 @@ q("role_locations", ("rep",), f"""SELECT {_K}, supplier_duns, supplier_name, ori
   origin_supplier_province, origin_supplier_country, dest_dun, dest_country, destination_duns,
   final_delivery_location_name, destination_city, destination_state, destination_country FROM rep""")
 q("destination_duns", ("rep",), f"SELECT {_K}, cca, service_level, dest_country, dest_dun, destination_duns FROM rep")
-q("plant_name", ("rep",), f"SELECT {_K}, cca, bill_to_cisco, destination_duns, plant_name FROM rep")
+q("plant_name", ("rep",), f"SELECT {_K}, cca, bill_to_code, destination_duns, plant_name FROM rep")
 q("container_ref", ("rep",), f"SELECT {_K}, container_type, max_cbm, max_weight FROM rep")
 q("origin_consol_name", ("rep",), f"SELECT {_K}, origin_consol_duns, origin_consol FROM rep")
 q("milestone_merge", ("rep",), f"SELECT {_K}, {_MS} FROM rep")
@@ -677,7 +677,7 @@ q("master_report", ("rep",), f"""SELECT {_K}, lsc, specialized_transport, sid_nu
   service_level, ship_date_from_supplier, mode, provider_lane_id, supplier_duns, so_number, manifest, mti,
   steamship_line_scac, vessel_name, path, number_of_packages, packaging_type, supplier_name,
   origin_supplier_city, origin_supplier_province, origin_supplier_country, prn_number, hbol, mbol,
-  container_number, container_type, bill_to_cisco, vol1, weight1, vol2, weight2, origin_consol_duns,
+  container_number, container_type, bill_to_code, vol1, weight1, vol2, weight2, origin_consol_duns,
   dest_dun, dest_country, cca, steamship_line, outbound_trailer, outbound_tms, {_MS},
   actual_arrival_final_dest, destination_duns, final_delivery_location_name, destination_city,
   destination_state, destination_country, plant_name, cbm, weight_in_kg, ocean_or_air_lane_id,

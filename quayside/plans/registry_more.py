@@ -72,7 +72,7 @@ def q_destination_duns(spark, d):
 def q_plant_name(spark, d):
     t = load_inputs(spark, d)
     df = RP.with_plant(_routed(t), t)
-    return df.select(K, "cca", "bill_to_cisco", "destination_duns", "plant_name")
+    return df.select(K, "cca", "bill_to_code", "destination_duns", "plant_name")
 
 
 @query("container_ref")

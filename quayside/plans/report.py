@@ -28,7 +28,7 @@ MASTER_LAST = {
     "master_unitload_id": "mti", "scac_code": "steamship_line_scac", "vessel_name": "vessel_name",
     "path": "path", "number_of_packages": "number_of_packages", "packaging_type": "packaging_type",
     "prn": "prn_number", "hbl": "hbol", "mbl": "mbol", "cont_id": "container_number",
-    "cont_type": "container_type", "btc": "bill_to_cisco", "vol1": "vol1", "weight1": "weight1",
+    "cont_type": "container_type", "btc": "bill_to_code", "vol1": "vol1", "weight1": "weight1",
     "vol2": "vol2", "weight2": "weight2", "consol_dun": "origin_consol_duns", "dest_dun": "dest_dun",
     "cca_location": "q3_cca_location",
 }
@@ -139,7 +139,7 @@ def with_destination(df: DataFrame, t: Inputs) -> DataFrame:
 
 
 def with_plant(df: DataFrame, t: Inputs) -> DataFrame:
-    df = L.lookup_join(df, S.io_sheet(t), "bill_to_cisco", "code", {"supplier_name": "io_name"}, keep="last")
+    df = L.lookup_join(df, S.io_sheet(t), "bill_to_code", "code", {"supplier_name": "io_name"}, keep="last")
     df = L.join_dimension(df, cca_dim(t), "destination_duns", "duns_number", {"supplier_name": "cca_plant_name"})
     return df.withColumn("plant_name", R.plant_name("cca", "io_name", "q3_cca_location",
                                                     "destination_duns", "cca_plant_name"))
@@ -181,7 +181,7 @@ REPORT_COLUMNS = (
      "ship_date_from_supplier", "mode", "provider_lane_id", "supplier_duns", "so_number", "manifest",
      "mti", "steamship_line_scac", "vessel_name", "path", "number_of_packages", "packaging_type",
      "supplier_name", "origin_supplier_city", "origin_supplier_province", "origin_supplier_country",
-     "prn_number", "hbol", "mbol", "container_number", "container_type", "bill_to_cisco", "vol1",
+     "prn_number", "hbol", "mbol", "container_number", "container_type", "bill_to_code", "vol1",
      "weight1", "vol2", "weight2", "origin_consol_duns", "dest_dun", "dest_country", "cca",
      "steamship_line", "outbound_trailer", "outbound_tms"]
     + [c for _, c in MILESTONE_COLUMNS]

@@ -59,7 +59,7 @@ def test_vessel_extraction(spark):
 
 def test_card_parse(spark):
     parts = [["Port of Baltimore", "Dundalk Marine Terminal", "Discharge", "06 Oct 2025 20:19"],
-             ["", "06 Oct 2025 20:19", "Load on MAERSK X", "Port A", "Port A"],
+             ["", "06 Oct 2025 20:19", "Load on EVER X", "Port A", "Port A"],
              ["Gate in"]]
     df = spark.createDataFrame([(p,) for p in parts], "parts array<string>")
     p = T.parse_card_parts("parts")
@@ -67,7 +67,7 @@ def test_card_parse(spark):
     assert (rows[0].location, rows[0].status, rows[0].date, rows[0].time) == (
         "Port of Baltimore - Dundalk Marine Terminal", "Discharge", "06 Oct 2025", "20:19")
     # blank line skipped; terminal equal to location is not repeated
-    assert (rows[1].location, rows[1].status, rows[1].vessel_name) == ("Port A", "Load on", "MAERSK X")
+    assert (rows[1].location, rows[1].status, rows[1].vessel_name) == ("Port A", "Load on", "EVER X")
     assert (rows[2].location, rows[2].date, rows[2].time) == ("", "", "")
 
 
@@ -203,10 +203,10 @@ def test_upsert_idempotent_and_batch_order(spark):
 def test_column_helpers(spark):
     from quayside.operators.columns import reorder, select_existing, to_snake_case
 
-    df = spark.createDataFrame([(1, 2)], "`Bill to Cisco` int, b int")
-    assert select_existing(df, ["b", "zz", "Bill to Cisco"]).columns == ["b", "Bill to Cisco"]
+    df = spark.createDataFrame([(1, 2)], "`Bill to Code` int, b int")
+    assert select_existing(df, ["b", "zz", "Bill to Code"]).columns == ["b", "Bill to Cisco"]
     assert reorder(df, ["zz", "b"], fill_missing=True).columns == ["zz", "b"]
-    assert to_snake_case(df).columns == ["bill_to_cisco", "b"]
+    assert to_snake_case(df).columns == ["bill_to_code", "b"]
 
 
 def test_materialize_layers(spark, tmp_path):
