@@ -177,32 +177,45 @@ def latest_duplicates(df: DataFrame) -> DataFrame:
 
 
 def journey_timeline(df: DataFrame, key: str = "container_number", ts: str = "event_ts",
-                     ordinal: str = "ordinal", status: str = "status") -> DataFrame:
+                     ordinal: str = "ordinal", status: str = "status", parts: int | None = None) -> DataFrame:
     """Step number and previous status of every dated event of a container.
 
-    Two levels keep a container with many events out of a single task:
-    per-(container, day) counts and last statuses are aggregated first
-    (a bounded number of days per container feeds the running offsets), and
-    the in-day order is a window over (container, day).
+    Ordered per container without ever putting a whole container in one
+    task: the rows are range-partitioned on (container, ts, ordinal), so a
+    container with a large share of all rows spans several partitions in
+    order.  The partition index is fixed with a reliable checkpoint (shared
+    checkpoint folder; re-reads are stable even if executors are lost).
+    Per-(container, partition) counts and last statuses -- at most one row
+    per partition per container -- give each slice its running offset and
+    the status before it; inside a slice, row_number/lag run over at most one
+    partition's rows.
     """
-    ev = df.filter(F.col(ts).isNotNull()).withColumn("_day", F.to_date(F.col(ts)))
+    spark = df.sparkSession
+    from quayside.session import checkpoint_root
+
+    checkpoint_root(spark)  # make sure a checkpoint folder is configured
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ev = (df.filter(F.col(ts).isNotNull())
+          .repartitionByRange(n, F.col(key), F.col(ts), F.col(ordinal))
+          .withColumn("_slice", F.spark_partition_id())
+          .checkpoint(eager=True))
     order_key = F.struct(F.col(ts), F.col(ordinal))
-    days = ev.groupBy(key, "_day").agg(F.count(F.lit(1)).alias("_n"),
-                                       F.max_by(F.col(status), order_key).alias("_last"))
-    wd = Window.partitionBy(key).orderBy("_day")
-    days = days.select(
-        key, "_day",
-        F.coalesce(F.sum("_n").over(wd.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
-        F.lag("_last").over(wd).alias("_prev_day_last"),
+    slices = ev.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n"),
+                                           F.max_by(F.col(status), order_key).alias("_last"))
+    ws = Window.partitionBy(key).orderBy("_slice")
+    slices = slices.select(
+        key, "_slice",
+        F.coalesce(F.sum("_n").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
+        F.lag("_last").over(ws).alias("_prev_last"),
     )
-    wi = Window.partitionBy(key, "_day").orderBy(ts, ordinal)
+    wi = Window.partitionBy(key, "_slice").orderBy(ts, ordinal)
     ev = ev.withColumn("_rn", F.row_number().over(wi)).withColumn("_lag", F.lag(status).over(wi))
-    out = ev.join(days, [key, "_day"], "inner")
+    out = ev.join(slices, [key, "_slice"], "inner")
     return out.select(
         "*",
         (F.col("_offset") + F.col("_rn")).cast("bigint").alias("step"),
-        F.when(F.col("_rn") == 1, F.col("_prev_day_last")).otherwise(F.col("_lag")).alias("prev_status"),
-    ).drop("_day", "_rn", "_lag", "_offset", "_prev_day_last")
+        F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col("_lag")).alias("prev_status"),
+    ).drop("_slice", "_rn", "_lag", "_offset", "_prev_last")
 
 
 def container_lookup(df: DataFrame, container: str, tracking_type: str | None = None) -> DataFrame:
