@@ -9,8 +9,24 @@ from quayside import config as C
 from quayside.functions.text import col_, trim_ws
 
 
-def _ntz(c: Column) -> Column:
-    return c.cast("timestamp_ntz")
+def ntz_lit(v) -> Column:
+    """A TIMESTAMP_NTZ literal from a naive datetime or text, never passing
+    through a time zone (PySpark maps naive datetimes via the machine's
+    local zone, and LTZ -> NTZ casts via the session zone)."""
+    if isinstance(v, Column):
+        return v.cast("timestamp_ntz")
+    text = v.isoformat(sep=" ") if hasattr(v, "isoformat") else str(v)
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def parse_ntz(text: Column, fmt: str) -> Column:
+    """Parse local date-time text to TIMESTAMP_NTZ; unparseable -> null.
+
+    `try_to_timestamp` validates (null instead of an error under ANSI) and
+    `to_timestamp_ntz` parses, so the value never passes through the session
+    time zone (no daylight-saving gaps, same result in any session)."""
+    ok = F.try_to_timestamp(text, F.lit(fmt)).isNotNull()
+    return F.when(ok, F.to_timestamp_ntz(text, F.lit(fmt)))
 
 
 def hlcu_event_ts(date, time) -> Column:
@@ -20,18 +36,18 @@ def hlcu_event_ts(date, time) -> Column:
     strptime-based parser.
     """
     text = F.concat_ws(" ", F.coalesce(col_(date), F.lit("")), F.coalesce(col_(time), F.lit("")))
-    return _ntz(F.try_to_timestamp(text, F.lit("yyyy-M-d H:m")))
+    return parse_ntz(text, "yyyy-M-d H:m")
 
 
 def maeu_event_date(date) -> Column:
     """'06 Oct 2025' -> timestamp at midnight; invalid -> null."""
-    return _ntz(F.try_to_timestamp(F.coalesce(col_(date), F.lit("")), F.lit("d MMM yyyy")))
+    return parse_ntz(F.coalesce(col_(date), F.lit("")), "d MMM yyyy")
 
 
 def maeu_event_ts(date, time) -> Column:
     """'06 Oct 2025' + '20:19' -> timestamp; invalid -> null."""
     text = F.concat_ws(" ", F.coalesce(col_(date), F.lit("")), F.coalesce(col_(time), F.lit("")))
-    return _ntz(F.try_to_timestamp(text, F.lit("d MMM yyyy H:m")))
+    return parse_ntz(text, "d MMM yyyy H:m")
 
 
 def iso_date_text(ts) -> Column:

@@ -35,7 +35,12 @@ def _dec(v) -> Column:
 def latest_first_key(ts: str, ordinal: str) -> Column:
     """Orderable key: greater = later timestamp (null lowest), then lower
     ordinal.  Ordinals must be non-negative 64-bit integers."""
-    micros = F.unix_micros(F.col(ts).cast("timestamp")).cast(_D) + _dec(_TS_SHIFT)
+    t_ = F.col(ts).cast("timestamp_ntz")
+    # Epoch microseconds of the local (NTZ) value from calendar parts, so the
+    # key is monotonic in any session time zone.
+    micros = (F.unix_date(F.to_date(t_)).cast(_D) * _dec(86_400_000_000)
+              + F.hour(t_).cast(_D) * _dec(3_600_000_000) + F.minute(t_).cast(_D) * _dec(60_000_000)
+              + (F.date_part(F.lit("SECOND"), t_) * 1_000_000).cast(_D) + _dec(_TS_SHIFT))
     t = F.coalesce(micros, _dec(0))
     return t * _dec(_LOW) + (_dec(_ORD_MAX) - F.col(ordinal).cast(_D))
 
@@ -51,7 +56,7 @@ def key_has_ts(key: Column) -> Column:
 def _as_of(as_of) -> Column:
     if isinstance(as_of, Column):
         return as_of.cast("timestamp_ntz")
-    return F.lit(as_of or C.AS_OF).cast("timestamp_ntz")
+    return TP.ntz_lit(as_of or C.AS_OF)
 
 
 def mark_ordinals(df: DataFrame, winners: DataFrame, flag: str, ordinal: str = "ordinal") -> DataFrame:

@@ -205,7 +205,7 @@ RECORD_COLS = ["carrier", "_id", "ordinal", "container_number", "status", "place
 
 
 def _ts(v):
-    return F.lit(v).cast("timestamp_ntz")
+    return TP.ntz_lit(v)
 
 
 def upsert_inputs(t):
@@ -329,7 +329,7 @@ def q_dq_payload(spark, d):
 def q_latest_file_per_carrier(spark, d):
     ev = S.tracking_events(load_inputs(spark, d))
     files = ev.groupBy("carrier", "scraped_at", "scrape_day").agg(F.count(F.lit(1)).alias("n"))
-    mtime = F.to_timestamp("scraped_at", "yyyyMMdd_HHmmss").cast("timestamp_ntz")
+    mtime = TP.parse_ntz(F.col("scraped_at"), "yyyyMMdd_HHmmss")
     name = F.concat(F.lower("carrier"), F.lit("_tracking_"), F.col("scraped_at"))
     listing = files.select(F.concat(name, F.lit(".json")).alias("file_name"), mtime.alias("modified_at"))
     copies = files.filter(F.col("scrape_day") % 10 == 0).select(
@@ -378,7 +378,7 @@ def q_stream_upsert(spark, d):
 
     def prepare(df):
         return with_event_partition(
-            df.drop("copy").withColumn("last_updated", F.to_timestamp("last_updated").cast("timestamp_ntz")))
+            df.drop("copy").withColumn("last_updated", F.to_timestamp_ntz("last_updated")))
 
     out = ING.upsert_available(spark, src, table, KEYS, prepare, scratch_path(spark, "stream-ckpt"),
                                max_files_per_trigger=3, schema=schema)

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.functions.timeparse import ntz_lit
 from quayside.operators.upsert import SnapshotTable
 from quayside.sources.payload import LINES_SCHEMA
 
@@ -52,4 +53,4 @@ def upsert_available(spark: SparkSession, source_dir: str, table: SnapshotTable,
 
 def incremental_read(df: DataFrame, watermark, col: str = "last_updated") -> DataFrame:
     """Rows changed after the stored high-water mark (pushed to the scan)."""
-    return df.filter(F.col(col) > F.lit(watermark).cast("timestamp_ntz"))
+    return df.filter(F.col(col) > ntz_lit(watermark))

@@ -29,7 +29,7 @@ def test_stream_upsert_survives_a_crash_after_write(spark):
 
     def prepare(df):
         return RM.with_event_partition(df.withColumn("last_updated",
-                                                     F.to_timestamp("last_updated").cast("timestamp_ntz")))
+                                                     F.to_timestamp_ntz("last_updated")))
 
     def crash_once(epoch):
         if epoch == 1:
