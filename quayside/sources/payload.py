@@ -106,6 +106,14 @@ def glob_regex(pattern: str) -> str:
     return "^" + re.escape(pattern).replace(r"\*", ".*").replace(r"\?", ".") + "$"
 
 
+def list_files(spark: SparkSession, directory: str, glob: str = "*") -> DataFrame:
+    """(file_name, modified_at) of the files in `directory`, from the
+    `binaryFile` source; the content column is never read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
+    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+                        F.col("modificationTime").alias("modified_at"))
+
+
 def latest_file_per_carrier(listing: DataFrame, name_col: str = "file_name",
                             mtime_col: str = "modified_at", config=CARRIER_FILES) -> DataFrame:
     """Most recently modified file per carrier pattern; carriers without a
