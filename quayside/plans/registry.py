@@ -155,7 +155,6 @@ def q_not_found_rows(spark, d):
     return TR.not_found_rows(load_inputs(spark, d))
 
 
-_ = C  # constants are referenced by sibling modules
 
 
 @query("stg_shipments")

@@ -1,12 +1,26 @@
 """Further registered queries (report, TMS, ingest, streaming, quality)."""
 
+from __future__ import annotations
+
+import datetime as _dt
+
 from pyspark.sql import functions as F
 
+from quayside import config as C
 from quayside.functions import timeparse as TP
+from quayside.operators import events as E
+from quayside.operators import quality as Q
+from quayside.operators import tms as TM
+from quayside.operators import upsert as U
 from quayside.plans import report as RP
+from quayside.plans import tracking as TR
 from quayside.plans.registry import query
+from quayside.session import scratch_path
+from quayside.sources import pages as PG
+from quayside.sources import payload as PL
 from quayside.sources import standins as S
 from quayside.sources.catalog import load_inputs
+from quayside.streaming import ingest as ING
 
 K = RP.KEY
 
@@ -143,8 +157,6 @@ def q_dim_suppliers(spark, d):
 
 
 # ------------------------------------------------------------------- TMS
-from quayside import config as C  # noqa: E402
-from quayside.operators import tms as TM  # noqa: E402
 
 EAV_TYPES = {C.REF_MODE: "mode", C.REF_CCA_LOCATION: "cca_location", C.REF_PRN: "prn", C.REF_SO: "so"}
 
@@ -186,16 +198,7 @@ def q_tms_extract(spark, d):
 
 
 # ------------------------------------------------- ingest, upsert, files
-import datetime as _dt  # noqa: E402
-
-from quayside.operators import events as E  # noqa: E402
-from quayside.operators import quality as Q  # noqa: E402
-from quayside.operators import upsert as U  # noqa: E402
-from quayside.plans import tracking as TR  # noqa: E402
-from quayside.session import scratch_path  # noqa: E402
-from quayside.sources import pages as PG  # noqa: E402
-from quayside.sources import payload as PL  # noqa: E402
-from quayside.streaming import ingest as ING  # noqa: E402
+
 
 # Load times of the two daily loads used by the upsert queries.
 T1 = C.AS_OF - _dt.timedelta(days=1)
