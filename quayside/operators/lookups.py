@@ -43,13 +43,19 @@ def lookup_join(base: DataFrame, dim: DataFrame, base_key, dim_key: str, cols: d
     (literal reference tables).
     """
     mapping = dict(cols) if isinstance(cols, dict) else {c: c for c in cols}
-    tmp = f"_lk_{dim_key}"
-    d = dedupe_by_key(dim, dim_key, list(mapping), keep, ordinal, key_alias=tmp)
-    d = d.select(tmp, *[F.col(s).alias(t) for s, t in mapping.items()])
+    d = dedupe_by_key(dim, dim_key, list(mapping), keep, ordinal, key_alias="_lk")
+    return _left_join(base, d.select("_lk", *[F.col(s).alias(t) for s, t in mapping.items()]),
+                      base_key, broadcast)
+
+
+def _left_join(base: DataFrame, d: DataFrame, base_key, broadcast: bool = False) -> DataFrame:
+    """Left join on `d._lk`.  For a named base key the dimension key is
+    renamed to it and joined by name (one analysed step, no extra column)."""
     if broadcast:
         d = F.broadcast(d)
-    bk: Column = F.col(base_key) if isinstance(base_key, str) else base_key
-    return base.join(d, bk == d[tmp], "left").drop(tmp)
+    if isinstance(base_key, str):
+        return base.join(d.withColumnRenamed("_lk", base_key), base_key, "left")
+    return base.join(d, base_key == d["_lk"], "left").drop("_lk")
 
 
 def join_dimension(base: DataFrame, dim: DataFrame, base_key, dim_key: str, cols: dict[str, str],
@@ -60,12 +66,8 @@ def join_dimension(base: DataFrame, dim: DataFrame, base_key, dim_key: str, cols
     (every column any role needs) joined once per role, so the identical
     de-dup shuffles are planned once and reused (ReusedExchange), and for
     literal reference tables whose keys are unique."""
-    tmp = f"_dj_{dim_key}"
-    d = dim.select(F.col(dim_key).alias(tmp), *[F.col(s).alias(t) for s, t in cols.items()])
-    if broadcast:
-        d = F.broadcast(d)
-    bk: Column = F.col(base_key) if isinstance(base_key, str) else base_key
-    return base.join(d, bk == d[tmp], "left").drop(tmp)
+    d = dim.select(F.col(dim_key).alias("_lk"), *[F.col(s).alias(t) for s, t in cols.items()])
+    return _left_join(base, d, base_key, broadcast)
 
 
 def lookup_join_rules(base: DataFrame, dim: DataFrame, base_key, dim_key: str,
@@ -75,18 +77,16 @@ def lookup_join_rules(base: DataFrame, dim: DataFrame, base_key, dim_key: str,
     `last` columns from the highest-ordinal row and the `first` columns from
     the lowest, then a single left join."""
     last, first = dict(last or {}), dict(first or {})
-    tmp = f"_lk_{dim_key}"
     aggs = []
     if last:
         aggs.append(F.max_by(F.struct(*[F.col(c) for c in last]), F.col(ordinal)).alias("_l"))
     if first:
         aggs.append(F.min_by(F.struct(*[F.col(c) for c in first]), F.col(ordinal)).alias("_f"))
     d = dim.filter(F.col(dim_key).isNotNull()).groupBy(dim_key).agg(*aggs)
-    d = d.select(F.col(dim_key).alias(tmp),
+    d = d.select(F.col(dim_key).alias("_lk"),
                  *[F.col("_l").getField(s).alias(t) for s, t in last.items()],
                  *[F.col("_f").getField(s).alias(t) for s, t in first.items()])
-    bk: Column = F.col(base_key) if isinstance(base_key, str) else base_key
-    return base.join(d, bk == d[tmp], "left").drop(tmp)
+    return _left_join(base, d, base_key)
 
 
 def reference_table(spark, rows, schema: str) -> DataFrame:

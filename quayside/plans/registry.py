@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside import config as C
 from quayside.operators import events as E
 from quayside.plans import tracking as TR
 from quayside.sources import standins as S
