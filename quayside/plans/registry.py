@@ -104,9 +104,17 @@ def q_journey_timeline(spark, d):
 
 @query("container_lookup")
 def q_container_lookup(spark, d):
-    ex = TR.hlcu_export(load_inputs(spark, d))
-    return E.container_lookup(ex, LOOKUP_CONTAINER).select(
-        "ordinal", "container_number", "status", "date", "time", "type_of_tracking", "duplicates")
+    """Point access against the stored export: written sorted by container
+    (tight parquet min/max per row group), then read with the equality
+    filter pushed into the scan."""
+    from quayside.session import scratch_path
+
+    path = scratch_path(spark, "hlcu-export")
+    cols = ["ordinal", "container_number", "status", "date", "time", "type_of_tracking", "duplicates"]
+    (TR.hlcu_export(load_inputs(spark, d)).select(*cols)
+     .repartitionByRange("container_number").sortWithinPartitions("container_number")
+     .write.parquet(path))
+    return E.container_lookup(spark.read.parquet(path), LOOKUP_CONTAINER)
 
 
 @query("run_summary")
