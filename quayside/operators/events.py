@@ -173,6 +173,18 @@ def sample_per_type(df: DataFrame, n: int = 3, col: str = "type_of_tracking",
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
+def latest_duplicates_preview(df: DataFrame, n: int = 10, ordinal: str = "ordinal") -> DataFrame:
+    """The first `n` rows flagged Latest, in input order (a top-k report:
+    planned as a per-partition top-k merged on the driver side of one
+    small exchange)."""
+    return df.filter(F.col("duplicates") == C.LATEST).orderBy(ordinal).limit(n)
+
+
+def container_summary_preview(summary: DataFrame, n: int = 20, key: str = "container_number") -> DataFrame:
+    """The first `n` container summaries in container order (top-k report)."""
+    return summary.orderBy(key).limit(n)
+
+
 def current_events(df: DataFrame) -> DataFrame:
     return df.filter(F.col("type_of_tracking") == C.CURRENT)
 

@@ -60,3 +60,16 @@ def test_csv_export_reader(spark, tmp_path):
     S.watchlist(load_inputs(spark, SMALL)).write.option("header", True).csv(p)
     df = read_csv_export(spark, p, "ordinal bigint, container_number string")
     assert df.count() == load_inputs(spark, SMALL).customer.count()
+
+
+def test_preview_reports(spark):
+    from quayside.operators import events as E
+
+    ex = TR.hlcu_export(load_inputs(spark, SMALL))
+    prev = E.latest_duplicates_preview(ex)
+    rows = prev.collect()
+    want = sorted(r.ordinal for r in ex.filter(F.col("duplicates") == C.LATEST).collect())[:10]
+    assert [r.ordinal for r in rows] == want
+    summ = E.container_summary_preview(E.container_summary(ex))
+    names = [r.container_number for r in summ.collect()]
+    assert names == sorted(names) and len(names) == min(20, ex.select("container_number").distinct().count())
