@@ -20,6 +20,31 @@ SESSION_DEFAULTS = {
 }
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+                 broadcast_limit_bytes: int = 64 << 20) -> dict[str, str]:
+    """Settings sized from the input volume (e.g. 100 TB -> ~400k shuffle
+    partitions of ~256 MiB before AQE coalescing).
+
+    * scans split into `target_partition_bytes` pieces;
+    * the initial shuffle partition count keeps each reducer near that size,
+      and AQE coalesces small ones and splits skewed ones (a partition is
+      skewed above 5x the median and 1 GiB);
+    * broadcast joins only for sides measured below `broadcast_limit_bytes`
+      at runtime, with a sort-merge fallback beyond it.
+    """
+    parts = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_limit_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_limit_bytes),
+    }
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "quayside",
                   extra: dict | None = None) -> SparkSession:
     b = (SparkSession.builder.master(master).appName(app)

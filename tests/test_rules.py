@@ -218,3 +218,12 @@ def test_materialize_layers(spark, tmp_path):
     assert spark.read.parquet(paths["analytics/fct_tracking_events"]).count() > 0
     raw = spark.read.parquet(paths["raw/hlcu_tracking"])
     assert raw.columns[:3] == ["container_number", "concat_1", "concat_2"]
+
+
+def test_cluster_conf_scales_with_input():
+    from quayside.session import cluster_conf
+
+    small, big = cluster_conf(10 << 30), cluster_conf(100 << 40)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.autoBroadcastJoinThreshold"] == str(64 << 20)
