@@ -21,18 +21,20 @@ SESSION_DEFAULTS = {
 
 
 def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
-                 broadcast_limit_bytes: int = 64 << 20) -> dict[str, str]:
-    """Settings sized from the input volume (e.g. 100 TB -> ~400k shuffle
-    partitions of ~256 MiB before AQE coalescing).
+                 broadcast_limit_bytes: int = 64 << 20, max_partitions: int = 65536) -> dict[str, str]:
+    """Settings sized from the input volume.
 
     * scans split into `target_partition_bytes` pieces;
-    * the initial shuffle partition count keeps each reducer near that size,
-      and AQE coalesces small ones and splits skewed ones (a partition is
-      skewed above 5x the median and 1 GiB);
+    * the initial shuffle partition count aims at that size per reducer but
+      is capped at `max_partitions` (map tasks x reducers is the number of
+      shuffle blocks, so 100 TB gets 65536 partitions of ~1.6 GB input each;
+      partial aggregation usually shrinks what is shuffled well below the
+      input).  AQE then coalesces small partitions and splits skewed ones (a
+      partition is skewed above 5x the median and 1 GiB);
     * broadcast joins only for sides measured below `broadcast_limit_bytes`
       at runtime, with a sort-merge fallback beyond it.
     """
-    parts = max(200, -(-input_bytes // target_partition_bytes))
+    parts = min(max_partitions, max(200, -(-input_bytes // target_partition_bytes)))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),

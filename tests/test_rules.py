@@ -225,5 +225,6 @@ def test_cluster_conf_scales_with_input():
 
     small, big = cluster_conf(10 << 30), cluster_conf(100 << 40)
     assert int(small["spark.sql.shuffle.partitions"]) == 200
-    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert int(big["spark.sql.shuffle.partitions"]) == 65536
+    assert int(cluster_conf(1 << 40)["spark.sql.shuffle.partitions"]) == 4096
     assert big["spark.sql.adaptive.autoBroadcastJoinThreshold"] == str(64 << 20)
