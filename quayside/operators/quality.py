@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside import config as C
@@ -21,10 +21,23 @@ def tracking_type_check(df: DataFrame, col: str = "type_of_tracking", group=("ca
     return g.select(*group, col, accepted.alias("accepted"), "n_events")
 
 
-def missing_columns(spark: SparkSession, sources: dict[str, DataFrame],
-                    required=C.REQUIRED_EVENT_COLUMNS) -> DataFrame:
-    """(source, missing_column) for every contract column a source lacks.
-
-    Only the schemas are inspected; no data is read."""
-    rows = [(name, c) for name, df in sources.items() for c in required if c not in df.columns]
-    return spark.createDataFrame(rows, "source string, missing_column string")
+def required_columns(sources: dict[str, DataFrame], required=C.REQUIRED_EVENT_COLUMNS) -> DataFrame:
+    """Contract check per (source, required column): whether the column
+    exists, the source's row count, and how many rows lack a value (null or
+    blank; every row when the column is absent).  One aggregate pass per
+    source; the per-column counts are unpivoted into rows."""
+    from quayside.functions.text import is_blank
+
+    out = None
+    for name, df in sources.items():
+        aggs = [F.count(F.lit(1)).alias("n_rows")]
+        for c in required:
+            missing = F.count_if(is_blank(c)) if c in df.columns else F.count(F.lit(1))
+            aggs.append(missing.cast("bigint").alias(c))
+        counts = df.agg(*aggs).unpivot(["n_rows"], list(required), "column_name", "n_missing")
+        counts = counts.select(
+            F.lit(name).alias("source"), "column_name",
+            F.col("column_name").isin([c for c in required if c in df.columns]).alias("present"),
+            "n_rows", "n_missing")
+        out = counts if out is None else out.unionByName(counts)
+    return out

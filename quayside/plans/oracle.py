@@ -910,6 +910,28 @@ SELECT carrier, type_of_tracking,
   count(*) AS n_events
 FROM fct GROUP BY carrier, type_of_tracking""")
 
-q("dq_required_columns", (), """
-SELECT * FROM (VALUES ('tracking_cards', 'status'), ('tracking_cards', 'date'), ('tracking_cards', 'time'))
-  AS t(source, missing_column)""")
+q("dq_required_columns", ("hexp", "mexp", "cards"), """
+SELECT 'hlcu_export' AS source, 'container_number' AS column_name, true AS present, count(*) AS n_rows, count(*) FILTER (WHERE coalesce(regexp_replace(container_number, '^\\s+|\\s+$', '', 'g'), '') = '') AS n_missing FROM hexp
+UNION ALL
+SELECT 'hlcu_export' AS source, 'status' AS column_name, true AS present, count(*) AS n_rows, count(*) FILTER (WHERE coalesce(regexp_replace(status, '^\\s+|\\s+$', '', 'g'), '') = '') AS n_missing FROM hexp
+UNION ALL
+SELECT 'hlcu_export' AS source, 'date' AS column_name, true AS present, count(*) AS n_rows, count(*) FILTER (WHERE coalesce(regexp_replace(date, '^\\s+|\\s+$', '', 'g'), '') = '') AS n_missing FROM hexp
+UNION ALL
+SELECT 'hlcu_export' AS source, 'time' AS column_name, true AS present, count(*) AS n_rows, count(*) FILTER (WHERE coalesce(regexp_replace(time, '^\\s+|\\s+$', '', 'g'), '') = '') AS n_missing FROM hexp
+UNION ALL
+SELECT 'maeu_export' AS source, 'container_number' AS column_name, true AS present, count(*) AS n_rows, count(*) FILTER (WHERE coalesce(regexp_replace(container_number, '^\\s+|\\s+$', '', 'g'), '') = '') AS n_missing FROM mexp
+UNION ALL
+SELECT 'maeu_export' AS source, 'status' AS column_name, true AS present, count(*) AS n_rows, count(*) FILTER (WHERE coalesce(regexp_replace(status, '^\\s+|\\s+$', '', 'g'), '') = '') AS n_missing FROM mexp
+UNION ALL
+SELECT 'maeu_export' AS source, 'date' AS column_name, true AS present, count(*) AS n_rows, count(*) FILTER (WHERE coalesce(regexp_replace(date, '^\\s+|\\s+$', '', 'g'), '') = '') AS n_missing FROM mexp
+UNION ALL
+SELECT 'maeu_export' AS source, 'time' AS column_name, true AS present, count(*) AS n_rows, count(*) FILTER (WHERE coalesce(regexp_replace(time, '^\\s+|\\s+$', '', 'g'), '') = '') AS n_missing FROM mexp
+UNION ALL
+SELECT 'tracking_cards', 'container_number', true, count(*), count(*) FILTER (WHERE coalesce(regexp_replace(container_number, '^\\s+|\\s+$', '', 'g'), '') = '') FROM cards
+UNION ALL
+SELECT 'tracking_cards', 'status', false, count(*), count(*) FROM cards
+UNION ALL
+SELECT 'tracking_cards', 'date', false, count(*), count(*) FROM cards
+UNION ALL
+SELECT 'tracking_cards', 'time', false, count(*), count(*) FROM cards""")
+

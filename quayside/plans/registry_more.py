@@ -407,5 +407,5 @@ def q_dq_tracking_types(spark, d):
 @query("dq_required_columns")
 def q_dq_required_columns(spark, d):
     t = load_inputs(spark, d)
-    return Q.missing_columns(spark, {"hlcu_export": TR.hlcu_export(t), "maeu_export": TR.maeu_export(t),
-                                     "tracking_cards": S.tracking_cards(t)})
+    return Q.required_columns({"hlcu_export": TR.hlcu_export(t), "maeu_export": TR.maeu_export(t),
+                               "tracking_cards": S.tracking_cards(t)})
