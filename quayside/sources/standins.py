@@ -8,7 +8,7 @@ proportional to the driver tables.  The same derivations are written as
 DuckDB SQL in `quayside.plans.oracle`.
 
 All derivations are narrow (row-local) except `locations`, which joins the
-25-row nation table (fixed by the TPC-H spec, so broadcasting it is bounded).
+nation table (AQE broadcasts it after measuring its runtime size).
 
 Row-order semantics ("first/last duplicate wins", "input order") use an
 explicit `ordinal` column; Spark has no row order of its own.
@@ -303,7 +303,7 @@ def shipment_master(t: Inputs) -> DataFrame:
 def locations(t: Inputs) -> DataFrame:
     """Location sheet from customer x nation; a second, later row for
     customers with key % 100 = 0 (last one wins)."""
-    nation = F.broadcast(t.nation.select("n_nationkey", "n_name"))
+    nation = t.nation.select("n_nationkey", "n_name")  # AQE broadcasts it after measuring its size
     c = t.customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     k = F.col("c_custkey")
     country = F.when(F.col("c_nationkey") % 3 == 0, F.lit("United States of America")).otherwise(F.col("n_name"))
