@@ -254,13 +254,16 @@ def with_event_partition(df):
 
 @query("incremental_read")
 def q_incremental_read(spark, d):
-    """Snapshot = target; merge the batch (rewriting touched partitions
-    only); read what changed after the previous load."""
+    """Snapshot = target, consumed once by a downstream reader (its stored
+    high-water mark is the target's load time); merge the batch (rewriting
+    touched partitions only); the reader then sees exactly what changed."""
     target, batch = upsert_inputs(load_inputs(spark, d))
     table = U.SnapshotTable(spark, scratch_path(spark, "events"), PARTITIONS, sort_by=["container_number"])
     table.write(with_event_partition(U.latest_per_key(target, KEYS)), 0)
+    reader = ING.HighWaterMark(spark, scratch_path(spark, "events-mark"))
+    reader.commit(reader.changes(table.read()))
     table.merge(with_event_partition(batch), KEYS, 1)
-    return ING.incremental_read(table.read(), T1).drop("seq", "_pday")
+    return reader.changes(table.read()).drop("seq", "_pday")
 
 
 @query("raw_append")

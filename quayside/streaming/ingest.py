@@ -54,3 +54,35 @@ def upsert_available(spark: SparkSession, source_dir: str, table: SnapshotTable,
 def incremental_read(df: DataFrame, watermark, col: str = "last_updated") -> DataFrame:
     """Rows changed after the stored high-water mark (pushed to the scan)."""
     return df.filter(F.col(col) > ntz_lit(watermark))
+
+
+class HighWaterMark:
+    """Stored high-water mark for incremental reads (a one-column parquet
+    table on shared storage).  `changes(df)` returns the rows newer than
+    the stored mark (all rows the first time); `commit(changes)` appends the
+    greatest value seen, written by Spark from an aggregate; only the single
+    stored mark is read back to the driver.  Commit only after the changes were processed, so
+    a failure re-reads them instead of skipping them."""
+
+    def __init__(self, spark: SparkSession, path: str, col: str = "last_updated"):
+        self.spark, self.path, self.col = spark, path.rstrip("/"), col
+
+    def _marks(self) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(self.path)
+        except Exception:  # noqa: BLE001 - no mark stored yet
+            return None
+
+    def current(self):
+        marks = self._marks()
+        return None if marks is None else marks.agg(F.max("mark")).first()[0]
+
+    def changes(self, df: DataFrame) -> DataFrame:
+        """Rows newer than the stored mark.  The mark (one scalar) becomes a
+        literal predicate, so it is pushed into the parquet scan."""
+        wm = self.current()
+        return df if wm is None else incremental_read(df, wm, self.col)
+
+    def commit(self, changes: DataFrame) -> None:
+        (changes.agg(F.max(self.col).alias("mark")).filter(F.col("mark").isNotNull())
+         .write.mode("append").parquet(self.path))

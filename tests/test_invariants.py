@@ -73,3 +73,20 @@ def test_preview_reports(spark):
     summ = E.container_summary_preview(E.container_summary(ex))
     names = [r.container_number for r in summ.collect()]
     assert names == sorted(names) and len(names) == min(20, ex.select("container_number").distinct().count())
+
+
+def test_stored_high_water_mark(spark, tmp_path):
+    import datetime as dt
+
+    from quayside.streaming.ingest import HighWaterMark
+
+    schema = "k string, last_updated timestamp_ntz"
+    t1, t2, t3 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3)
+    snap = spark.createDataFrame([("a", t1), ("b", t2)], schema)
+    hwm = HighWaterMark(spark, str(tmp_path / "wm"))
+    first = hwm.changes(snap)
+    assert first.count() == 2
+    hwm.commit(first)
+    assert hwm.changes(snap).count() == 0
+    snap2 = snap.unionByName(spark.createDataFrame([("c", t3)], schema))
+    assert [r.k for r in hwm.changes(snap2).collect()] == ["c"]
