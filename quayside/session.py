@@ -67,11 +67,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     only filled in here when unset (local runs and tests).
     """
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not d:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="quayside-ckpt-"))
-        d = sc.getCheckpointDir()
-    return d.rstrip("/")
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir() is None:
+        # Apply the cluster's setting to the context (RDD/DataFrame
+        # checkpoints use it); only an unset session gets a local folder.
+        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="quayside-ckpt-"))
+    return (configured or sc.getCheckpointDir()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
