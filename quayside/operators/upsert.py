@@ -36,7 +36,10 @@ def upsert_metrics(target: DataFrame, batch: DataFrame, keys: list[str], group:
     times counts one insert and k-1 updates when new, k updates otherwise."""
     group = group or []
     ops = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ops"))
-    known = target.select(*keys).distinct().withColumn("_known", F.lit(True))
+    # Only target keys that the batch touches matter: the semi join lets a
+    # small batch be broadcast so the target is filtered without a shuffle.
+    known = (target.select(*keys).join(ops.select(*keys), keys, "left_semi")
+             .distinct().withColumn("_known", F.lit(True)))
     j = ops.join(known, keys, "left")
     m = j.groupBy(*group).agg(
         F.count_if(F.col("_known").isNull()).alias("inserted"),
