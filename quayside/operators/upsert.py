@@ -17,7 +17,11 @@ from pyspark.sql import functions as F
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], load_ts: str = "last_updated",
            seq: str = "seq") -> DataFrame:
-    """Merge `batch` into `target` by `keys`; both carry `load_ts` and `seq`."""
+    """Merge `batch` into `target` by `keys`; both carry `load_ts` and `seq`.
+
+    This is the whole-table merge; on a large stored target use
+    `SnapshotTable.merge`, which feeds it only the partitions a batch
+    touches."""
     return latest_per_key(target.unionByName(batch.select(*target.columns)), keys, load_ts, seq)
 
 
