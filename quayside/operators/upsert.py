@@ -54,6 +54,15 @@ def upsert_metrics(target: DataFrame, batch: DataFrame, keys: list[str], group:
 
 
 # ---------------------------------------------------------- snapshots
+# Characters Spark escapes in partition folder names (as %XX) on write.
+_ESCAPED = set(chr(c) for c in range(1, 32)) | set('"#%\'*/:=?\\\x7f{[]^')
+
+
+def _escape(value) -> str:
+    if value is None:
+        return "__HIVE_DEFAULT_PARTITION__"
+    return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED else ch for ch in str(value))
+
 class SnapshotTable:
     """Copy-on-write snapshot table on plain parquet.
 
@@ -128,13 +137,9 @@ class SnapshotTable:
         from pyspark.sql.types import StringType, StructField, StructType
         self.data_schema = StructType(data + [StructField(p, StringType()) for p in self.partition_by])
 
-    def read(self, partitions: DataFrame | None = None, before_version: int | None = None) -> DataFrame:
-        """Current content (optionally only `partitions`, a frame of
-        partition values, and only versions below `before_version`).  The
-        semi join on partition columns lets dynamic partition pruning skip
-        superseded and untouched files."""
-        if self.data_schema is None:
-            self._infer_schema()
+    def _current(self, partitions: DataFrame | None, before_version: int | None) -> list:
+        """(partition values..., version) of the current version of every
+        partition (metadata: one row per partition, never data rows)."""
         commits = self._commits()
         if before_version is not None:
             commits = commits.filter(F.col("version") < before_version)
@@ -142,13 +147,26 @@ class SnapshotTable:
         if partitions is not None:
             latest = latest.join(partitions.select(*[F.col(c).cast("string") for c in self.partition_by])
                                  .distinct(), self.partition_by, "left_semi")
+        return latest.collect()
+
+    def read(self, partitions: DataFrame | None = None, before_version: int | None = None) -> DataFrame:
+        """Current content (optionally only `partitions`, a frame of
+        partition values, and only versions below `before_version`).
+
+        Only the folders of each partition's current version are listed and
+        read; superseded versions are never touched."""
+        if self.data_schema is None:
+            self._infer_schema()
         fields = list(self.data_schema.fields)
         schema = (", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields
                             if f.name not in self.partition_by)
                   + ", v bigint, " + ", ".join(f"`{c}` string" for c in self.partition_by))
-        files = self.spark.read.schema(schema).parquet(self.base)
-        cur = files.join(latest, self.partition_by + ["v"], "left_semi")
-        return cur.select(*[F.col(f.name).cast(f.dataType) for f in fields])
+        paths = [f"{self.base}/v={r['v']}/" + "/".join(f"{c}={_escape(r[c])}" for c in self.partition_by)
+                 for r in self._current(partitions, before_version)]
+        if not paths:
+            return self.spark.createDataFrame([], self.data_schema)
+        files = self.spark.read.schema(schema).option("basePath", self.base).parquet(*paths)
+        return files.select(*[F.col(f.name).cast(f.dataType) for f in fields])
 
     def merge(self, batch: DataFrame, keys: list[str], version: int | None = None,
               load_ts: str = "last_updated", seq: str = "seq") -> int:
