@@ -35,14 +35,24 @@ def canonical(cols, rows):
     return sorted(tuple(repr(_norm(r[i])) for i in order) for r in rows)
 
 
+# Spark type -> the DuckDB type the oracle must produce for it.
+SPARK_TO_DUCK = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP",
+                 "boolean": "BOOLEAN", "int": "INTEGER", "date": "DATE"}
+
+
 def compare(df, con, sql: str):
-    """Return (ok, message) for a Spark DataFrame vs a DuckDB query."""
+    """Return (ok, message) for a Spark DataFrame vs a DuckDB query:
+    same column names, matching column types, same multiset of rows."""
     srows = [tuple(r) for r in df.collect()]
-    cur = con.execute(sql)
-    dcols = [d[0] for d in cur.description]
-    drows = cur.fetchall()
+    rel = con.sql(sql)
+    dcols, dtypes = rel.columns, [str(t) for t in rel.types]
+    drows = rel.fetchall()
     if sorted(df.columns) != sorted(dcols):
         return False, f"columns differ: spark={sorted(df.columns)} duck={sorted(dcols)}"
+    stypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    bad = [(c, stypes[c], t) for c, t in zip(dcols, dtypes) if SPARK_TO_DUCK.get(stypes[c], stypes[c]) != t]
+    if bad:
+        return False, f"column types differ: {bad}"
     a, b = canonical(df.columns, srows), canonical(dcols, drows)
     if a == b:
         return True, f"rows={len(a)}"
