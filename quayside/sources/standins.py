@@ -32,22 +32,6 @@ PACKAGING = ["PALLET", "CARTON", "CRATE"]
 UL_REF_TYPES = [100000, 100006, 100183, 100352]
 
 
-def _memo(builder):
-    """Build each derived input once per `Inputs` object (DataFrames are
-    immutable and lazy, so reusing one within a plan is safe and saves
-    driver-side plan construction)."""
-    import functools
-
-    @functools.wraps(builder)
-    def wrapper(t: Inputs) -> DataFrame:
-        cache = t.__dict__.setdefault("_derived", {})
-        if builder.__name__ not in cache:
-            cache[builder.__name__] = builder(t)
-        return cache[builder.__name__]
-
-    return wrapper
-
-
 def _s(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -62,7 +46,6 @@ def _day(ts: Column, days) -> Column:
 
 
 # ---------------------------------------------------------------- events
-@_memo
 def tracking_events(t: Inputs) -> DataFrame:
     """Carrier event rows (both carriers) from `events`.
 
@@ -102,21 +85,18 @@ def tracking_events(t: Inputs) -> DataFrame:
     )
 
 
-@_memo
 def hlcu_events(t: Inputs) -> DataFrame:
     return (tracking_events(t).filter(F.col("carrier") == H)
             .select("ordinal", "container_number", "status",
                     F.col("place").alias("place_of_activity"), "date", "time", "transport"))
 
 
-@_memo
 def maeu_events(t: Inputs) -> DataFrame:
     return (tracking_events(t).filter(F.col("carrier") == M)
             .select("ordinal", "container_number", "status", F.col("place").alias("location"),
                     "date", "time", "vessel_name", "transport"))
 
 
-@_memo
 def tracking_cards(t: Inputs) -> DataFrame:
     """Multi-line tracking cards (carrier M page items) from odd `events`.
 
@@ -152,7 +132,6 @@ def tracking_cards(t: Inputs) -> DataFrame:
 
 
 # ------------------------------------------------------------ TMS tables
-@_memo
 def em_shipment(t: Inputs) -> DataFrame:
     o = F.col("o_orderkey")
     vol = (F.col("o_custkey") % 4000).cast("double")
@@ -169,7 +148,6 @@ def em_shipment(t: Inputs) -> DataFrame:
     )
 
 
-@_memo
 def shipment_refs(t: Inputs) -> DataFrame:
     """Tall (shipment, reference type, value) rows; mode doubled when % 50 = 0."""
     o = F.col("o_orderkey")
@@ -187,7 +165,6 @@ def shipment_refs(t: Inputs) -> DataFrame:
             .unionByName(part(o % 2 == 0, C.REF_SO, F.concat(F.lit("SO"), _s("o_custkey")))))
 
 
-@_memo
 def unitload_refs(t: Inputs) -> DataFrame:
     return t.lineitem.select(
         F.col("l_orderkey").alias("master_unitload_id"),
@@ -196,7 +173,6 @@ def unitload_refs(t: Inputs) -> DataFrame:
     )
 
 
-@_memo
 def shipment_milestones(t: Inputs) -> DataFrame:
     return t.lineitem.select(
         F.col("l_orderkey").alias("em_shipment_id"),
@@ -207,13 +183,11 @@ def shipment_milestones(t: Inputs) -> DataFrame:
     )
 
 
-@_memo
 def container_assn(t: Inputs) -> DataFrame:
     return t.orders.select(F.col("o_orderkey").alias("master_unitload_id"),
                            F.col("o_custkey").alias("container_attributes_id"))
 
 
-@_memo
 def container_attributes(t: Inputs) -> DataFrame:
     p = F.col("p_partkey")
     return t.part.select(
@@ -226,13 +200,11 @@ def container_attributes(t: Inputs) -> DataFrame:
     )
 
 
-@_memo
 def status_docs(t: Inputs) -> DataFrame:
     o = F.col("o_orderkey")
     return t.orders.filter(o % 3 != 0).select(o.alias("status_doc_id"), o.alias("master_unitload_id"))
 
 
-@_memo
 def status_doc_refs(t: Inputs) -> DataFrame:
     o = F.col("o_orderkey")
     base = t.orders.filter(o % 3 != 0)
@@ -243,18 +215,15 @@ def status_doc_refs(t: Inputs) -> DataFrame:
     return lane.unionByName(other)
 
 
-@_memo
 def orders_assn(t: Inputs) -> DataFrame:
     return t.orders.select(F.col("o_orderkey").alias("em_shipment_id"), F.col("o_orderkey").alias("order_id"))
 
 
-@_memo
 def order_packages(t: Inputs) -> DataFrame:
     return t.lineitem.select(F.col("l_orderkey").alias("order_id"),
                              F.concat(F.lit("PKG"), _s(F.col("l_linenumber") % 3)).alias("package_id_number"))
 
 
-@_memo
 def location_entities(t: Inputs) -> DataFrame:
     s = F.col("s_suppkey")
     return t.supplier.select(
@@ -264,7 +233,6 @@ def location_entities(t: Inputs) -> DataFrame:
 
 
 # ------------------------------------------------------- report inputs
-@_memo
 def intransit(t: Inputs) -> DataFrame:
     """Base report rows: one per lineitem (several per shipment)."""
     k = F.col("l_orderkey")
@@ -281,7 +249,6 @@ def intransit(t: Inputs) -> DataFrame:
     )
 
 
-@_memo
 def shipment_master(t: Inputs) -> DataFrame:
     """Shipment master sheet ("Query 3"): one row per order plus a revised
     second row (later ordinal) for orders with key % 13 = 0."""
@@ -333,7 +300,6 @@ def shipment_master(t: Inputs) -> DataFrame:
     return first.unionByName(second)
 
 
-@_memo
 def locations(t: Inputs) -> DataFrame:
     """Location sheet from customer x nation; a second, later row for
     customers with key % 100 = 0 (last one wins)."""
@@ -352,7 +318,6 @@ def locations(t: Inputs) -> DataFrame:
     return first.unionByName(second)
 
 
-@_memo
 def cca_sheet(t: Inputs) -> DataFrame:
     k = F.col("c_custkey")
     m = k % 16
@@ -363,21 +328,18 @@ def cca_sheet(t: Inputs) -> DataFrame:
         F.concat(F.lit("PLANT "), F.col("c_name")).alias("supplier_name"), k.alias("ordinal"))
 
 
-@_memo
 def io_sheet(t: Inputs) -> DataFrame:
     s = F.col("s_suppkey")
     return t.supplier.select(F.concat(F.lit("BTC"), _s(s % 30)).alias("code"),
                              F.col("s_name").alias("supplier_name"), s.alias("ordinal"))
 
 
-@_memo
 def carrier_notes(t: Inputs) -> DataFrame:
     n = F.col("n_nationkey")
     return t.nation.select(F.concat(F.lit("SC"), _s(n)).alias("carrier_scac"),
                            F.col("n_name").alias("name"), n.cast("bigint").alias("ordinal"))
 
 
-@_memo
 def trailers(t: Inputs) -> DataFrame:
     o = F.col("o_orderkey")
     return t.orders.filter(o % 4 == 1).select(
@@ -385,7 +347,6 @@ def trailers(t: Inputs) -> DataFrame:
         F.concat(F.lit("TMS"), _s(o)).alias("outbound_tms"), o.alias("ordinal"))
 
 
-@_memo
 def yesterday(t: Inputs) -> DataFrame:
     """Previous report: orders % 3 = 0, plus a later second row when % 9 = 0."""
     o = F.col("o_orderkey")
@@ -403,7 +364,6 @@ def yesterday(t: Inputs) -> DataFrame:
     return first.unionByName(second)
 
 
-@_memo
 def csp_sheet(t: Inputs) -> DataFrame:
     o = F.col("o_orderkey")
     return t.orders.filter(o % 2 == 0).select(
@@ -425,7 +385,6 @@ def milestone_dates(key: Column, base: Column) -> list[Column]:
     return out
 
 
-@_memo
 def milestone_export(t: Inputs) -> DataFrame:
     """Milestone sheet ("Query 4"), source column names; orders % 5 != 0;
     a second, later row (dates + 1 day) for % 25 = 1 (first one wins)."""
@@ -468,7 +427,6 @@ def milestone_export(t: Inputs) -> DataFrame:
     return first.unionByName(second)
 
 
-@_memo
 def staged_shipments_raw(t: Inputs) -> DataFrame:
     """RAW shipments export (warehouse design): one row per order with the
     nine stage dates, plus a later reload (``_loaded_at`` + 1 day, new vessel)
@@ -508,7 +466,6 @@ def staged_shipments_raw(t: Inputs) -> DataFrame:
     return first.unionByName(second)
 
 
-@_memo
 def mixed_ids(t: Inputs) -> DataFrame:
     """Shipment ids as they arrive in spreadsheets: numbers (incl. serial
     dates and the exact bounds), free text, and timestamps."""
@@ -526,7 +483,6 @@ def mixed_ids(t: Inputs) -> DataFrame:
                            F.col("o_orderdate").cast("timestamp_ntz").alias("id_ts"))
 
 
-@_memo
 def watchlist(t: Inputs) -> DataFrame:
     """Container watch list from `customer`: one row per customer (so ids
     repeat nothing but can miss), container null when key % 37 = 0."""
