@@ -1,5 +1,5 @@
 """Keyed upsert without a table format: merge = union + per-key winner,
-written as a new immutable snapshot version.
+written as new immutable versions of the touched snapshot partitions.
 
 Per key, the row with the greatest (load time, sequence) wins: batch rows
 beat target rows, and within one batch the later copy of a repeated key

@@ -1,5 +1,6 @@
 """Structured Streaming ingestion: payload folders picked up incrementally,
-and an idempotent streaming upsert into versioned snapshots."""
+an idempotent streaming upsert into partitioned snapshot versions, and a
+stored high-water mark for incremental readers."""
 
 from __future__ import annotations
 
