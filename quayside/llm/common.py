@@ -41,3 +41,10 @@ def fresh(df: DataFrame, stem: str) -> str:
     while name.lower() in have:
         name = "_" + name
     return name
+
+
+def merged(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A sort-merge join, whatever the sizes at hand: for sides that both grow
+    with the corpus, so the plan is the same at every size.  Adaptive execution
+    splits the partitions of hot keys."""
+    return left.join(right.hint("merge"), on, how)

@@ -8,11 +8,12 @@ documents meet in a table if band i and band j both agree; at similarity
 0.85 that fails in all 49 tables with probability 0.0003.
 
 Equal shingle sets are collapsed first, so copies never meet each other in a
-table.  Inside a table key no pairs are listed: every member is compared with
-the key's centre (the smallest id in the first round).  The following rounds
-look only at keys whose members lie in different components, with a centre
-drawn anew per key from each side, and go on until a round adds no link.
-Each candidate is verified on the full shingle sets.
+table.  In the first round, every member of a table key is compared with the
+key's smallest id.  Further rounds look only at keys whose members still lie in
+different components: every member meets a few centres drawn anew from both
+sides, until a round adds no link; then all pairs across components of the keys
+with few members are compared, and the rounds go on if that adds a link.  Each
+candidate is verified on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -20,13 +21,19 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, small_batches, stored, table, utf8
+from .common import fresh, merged, small_batches, stored, table, utf8
 
 BANDS, ROWS = 7, 2
-_SEEDS = np.random.default_rng(20240229).integers(1, 2**63, size=(2, BANDS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
+# centres drawn from each side of a table key, and members up to which all
+# pairs of a key are compared in the end
+DRAWS, FEW = 3, 16
+# multiplier (odd) and summand of every minhash
+_SEEDS = np.random.default_rng(20240229).integers(1, 2**63, size=(2 * BANDS * ROWS, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+# shingles hashed at a time
+SLICE = 8192
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -56,15 +63,15 @@ def shingle_set(text: bytes | None, size: int) -> np.ndarray:
 
 def band_values(shingles: np.ndarray) -> list[int]:
     """The band hashes of both collections, one after the other."""
-    out = []
-    for side in _SEEDS:
-        low = [(_mixed(shingles * a + b)).min() for a, b in side]
-        for band in range(BANDS):
-            v = np.uint64(band)
-            for m in low[band * ROWS:(band + 1) * ROWS]:
-                v = _mixed(np.array([v * _MIX + m], np.uint64))[0]
-            out.append(int(v.astype(np.int64)))
-    return out
+    low = np.full(len(_SEEDS), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(shingles), SLICE):
+        part = shingles[at:at + SLICE]
+        low = np.minimum(low, (_SEEDS[:, :1] * part + _SEEDS[:, 1:]).min(axis=1))
+    rows = low.reshape(2 * BANDS, ROWS)
+    band = np.arange(2 * BANDS, dtype=np.uint64) % np.uint64(BANDS)
+    for k in range(ROWS):
+        band = _mixed(band * _MIX + rows[:, k])
+    return band.view(np.int64).tolist()
 
 
 def _sketch(size: int):
@@ -116,39 +123,92 @@ def _sizes_fit(a: str, b: str, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def components(edges: DataFrame, before: DataFrame | None = None) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, comp): the smallest node reachable over `edges` (a, b), for
     every node with an edge.  Alternating large-star and small-star steps
-    (each a groupBy with map-side combining), stored after every step, until
-    the edge set stands still."""
-    edges = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "cc")
-    state = None
+    (groupBy with map-side combining), stored once per turn, until the edge
+    set stands still (its count and hash sum are observed while it is written)."""
+    def turned(now: DataFrame) -> tuple[DataFrame, tuple]:
+        seen = Observation()
+        now = now.where("u != v").distinct().observe(
+            seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
+        return stored(now, "edges"), tuple(sorted(seen.get.items()))
+
+    edges, state = turned(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.where("u != v").distinct(), "cc")
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        edges = stored(small.where("u != v").distinct(), "cc")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(now) == state:
+        edges, now = turned(small)
+        if now == state:
             break
-        state = tuple(now)
+        state = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("comp"))).distinct()
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _sets(nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(node, shingles): the full shingle sets of `nodes`."""
+    named = docs.where("doc_id is not null").withColumnRenamed("doc_id", "node")
+    texts = merged(named, nodes, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
+    return stored(texts.select("node", _full_set(size)(utf8("text")).alias("shingles")), "sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold."""
-    nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = docs.where("doc_id is not null").join(nodes, "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.min("text").alias("text")).select(F.col("doc_id").alias("node"), _full_set(size)(utf8("text")).alias("shingles"))
-    sets = stored(sets, "sets")
-    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-    both = left.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-    return both.where(_alike(percent)("sa", "sb")).select("a", "b")
+    left = merged(pairs, sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+    both = merged(left, sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+    return stored(both.where(_alike(percent)("sa", "sb")).select("a", "b"), "links")
+
+
+def _across(shared: DataFrame, comp: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Candidates among the table keys whose members lie in several
+    components: each member against `DRAWS` centres of the key's smallest
+    component and `DRAWS` of the rest, drawn anew every turn.  The draw goes by
+    a hash of the document alone, so keys with the same members draw alike."""
+    label = merged(shared, comp, "node", "left").select("tkey", "node", "n", F.coalesce("comp", "node").alias("comp"))
+    many = label.groupBy("tkey").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").drop("hi")
+    mixed = stored(merged(label, many, "tkey"), "mixed")
+
+    def draw(side: Column, k: int) -> Column:
+        return F.min(F.when(side, F.struct(F.xxhash64("node", F.lit(turn * DRAWS + k)).alias("r"), "node", "n", "comp")))
+
+    low = F.col("comp") == F.col("lo")
+    centres = mixed.groupBy("tkey").agg(F.array(*[draw(side, k) for side in (low, ~low) for k in range(DRAWS)]).alias("c"))
+    centres = centres.select("tkey", F.explode(F.array_distinct("c")).alias("c")).select(
+        "tkey", F.col("c.node").alias("node2"), F.col("c.n").alias("n2"), F.col("c.comp").alias("comp2"))
+    return _pairs(mixed, centres, percent)
+
+
+def _all_across(shared: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """All pairs across components in table keys of at most `FEW` members."""
+    label = merged(shared, comp, "node", "left").select("tkey", "node", "n", F.coalesce("comp", "node").alias("comp"))
+    many = label.groupBy("tkey").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k")) \
+        .where("lo != hi").where(F.col("k") <= FEW).select("tkey")
+    mixed = stored(merged(label, many, "tkey"), "mixed")
+    return _pairs(mixed, mixed.select("tkey", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("comp").alias("comp2")), percent)
+
+
+def _pairs(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
+    members = members.select(F.col("tkey").alias("t"), "node", "n", "comp")
+    near = (F.col("t") == F.col("tkey")) & (F.col("comp") != F.col("comp2")) & _sizes_fit("n", "n2", percent)
+    return merged(members, centres, near).select(
+        F.greatest("node", "node2").alias("a"), F.least("node", "node2").alias("b")).distinct()
+
+
+def _joined(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after new links, which join whole components."""
+    by_node = comp.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
+    ends = merged(merged(links, by_node, "a", "left"), by_node.select(F.col("a").alias("b"), F.col("ca").alias("cb")), "b", "left")
+    ends = ends.select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
+    new = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).select(F.col("node").alias("old"), F.col("comp").alias("new"))
+    fresh_nodes = ends.select(F.col("a").alias("node"), F.col("ca").alias("old")).union(
+        ends.select(F.col("b").alias("node"), F.col("cb").alias("old"))).where("node = old")
+    known = comp.select("node", F.col("comp").alias("old")).union(fresh_nodes).distinct()
+    return stored(merged(known, new, "old", "left").select("node", F.coalesce("new", "old").alias("comp")), "comp")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -172,37 +232,26 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     # First round: every member against the smallest id of its key.
     centres = keys.groupBy("tkey").agg(F.min(F.struct("node", "n")).alias("c"), F.count("*").alias("k")).where("k > 1")
-    shared = stored(keys.join(centres, "tkey").select("tkey", "node", "n", F.col("c.node").alias("c"),
-                                                      F.col("c.n").alias("cn")), "shared")
-    pairs = stored(shared.where("node != c").where(_sizes_fit("n", "cn", percent)).select(
-        F.col("node").alias("a"), F.col("c").alias("b")).distinct(), "pairs")
-    links = stored(_confirmed(pairs, docs, size, percent), "links")
-    tried, turn = pairs, 0
-    comp = stored(components(links), "comp")
+    shared = stored(merged(keys, centres, "tkey").select("tkey", "node", "n", F.col("c.node").alias("c"),
+                                                         F.col("c.n").alias("cn")), "shared")
+    pairs = shared.where("node != c").where(_sizes_fit("n", "cn", percent)).select(
+        F.col("node").alias("a"), F.col("c").alias("b")).distinct()
+    shared = shared.select("tkey", "node", "n")
+    sets = _sets(shared.select("node").distinct(), docs, size)
+    comp = stored(components(_confirmed(pairs, sets, percent)), "comp")
+    turn, last = 0, False
     while True:
-        # Keys with members of several components: a fresh centre per key,
-        # drawn by hash, once among all members and once among those outside
-        # the first centre's component.
+        links = _confirmed(_all_across(shared, comp, percent) if last else _across(shared, comp, percent, turn), sets, percent)
         turn += 1
-        label = shared.select("tkey", "node", "n").join(comp, "node", "left").select(
-            "tkey", "node", "n", F.coalesce("comp", "node").alias("comp"))
-        many = label.groupBy("tkey").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
-        draw = F.struct(F.xxhash64("tkey", "node", F.lit(turn)).alias("r"), "node", "n", "comp")
-        mixed = stored(label.join(many, "tkey"), "mixed")
-        first = mixed.groupBy("tkey").agg(F.min(F.when(F.col("comp") == F.col("lo"), draw)).alias("x"),
-                                          F.min(F.when(F.col("comp") != F.col("lo"), draw)).alias("y"))
-        around = mixed.join(first, "tkey").select("node", "n", "comp", F.explode(F.array("x", "y")).alias("c"))
-        cand = around.where("comp != c.comp").where(_sizes_fit("n", "c.n", percent)).select(
-            F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b")).distinct()
-        cand = stored(cand.join(tried, ["a", "b"], "left_anti"), "cand")
-        more = stored(_confirmed(cand, docs, size, percent), "links")
-        if more.isEmpty():
+        if not links.isEmpty():
+            comp, last = _joined(comp, links), False
+        elif last:
             break
-        tried, links = tried.union(cand), links.union(more)
-        comp = stored(components(links), "comp")
+        else:
+            last = True
 
-    by_set = reps.join(comp, "node", "left").select("key", F.coalesce("comp", "node").alias("comp"))
-    out = sk.join(by_set, "key", "left")
+    by_set = merged(reps, comp, "node", "left").select("key", F.coalesce("comp", "node").alias("comp"))
+    out = merged(sk, by_set, "key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
