@@ -8,16 +8,18 @@ documents meet in a table if band i and band j both agree; at similarity
 0.85 that fails in all 49 tables with probability 0.0003.
 
 Equal shingle sets are collapsed first, so copies never meet each other in a
-table.  In the first round, every member of a table key is compared with the
-key's smallest id.  Further rounds look only at keys whose members still lie in
-different components: every member meets a few centres drawn anew from both
-sides, until a round adds no link; then all pairs across components of the keys
-with few members are compared, and the rounds go on if that adds a link.  Each
-candidate is verified on the full shingle sets.
+table.  Inside a table key no pairs are listed: in the first round, every
+member is compared with a few centres of its key.  Further rounds look only at
+keys whose members still lie in different components, with centres drawn anew
+from both sides, and go on for the keys that the last round changed; where that
+adds no link, all pairs across components of the keys with few members are
+compared.  Each candidate is verified on the full shingle sets.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -29,7 +31,7 @@ from .common import fresh, merged, small_batches, stored, table, utf8
 BANDS, ROWS = 7, 2
 # centres drawn from each side of a table key, and members up to which all
 # pairs of a key are compared in the end
-DRAWS, FEW = 3, 16
+DRAWS, FEW = 2, 16
 # multiplier (odd) and summand of every minhash
 _SEEDS = np.random.default_rng(20240229).integers(1, 2**63, size=(2 * BANDS * ROWS, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 # shingles hashed at a time
@@ -164,23 +166,30 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(both.where(_alike(percent)("sa", "sb")).select("a", "b"), "links")
 
 
-def _across(shared: DataFrame, comp: DataFrame, percent: int, turn: int) -> DataFrame:
+def _draws(rows: DataFrame, sides: list[Column], turn: int, also: Column | None = None) -> DataFrame:
+    """`DRAWS` centres of each side of every table key (and `also`): tkey,
+    node2, n2, comp2.  The draw goes by a hash of the document alone, so keys
+    with the same members draw alike."""
+    def draw(side: Column, k: int) -> Column:
+        return F.min(F.when(side, F.struct(F.xxhash64("node", F.lit(turn * DRAWS + k)).alias("r"), "node", "n", "comp")))
+
+    drawn = [draw(side, k) for side in sides for k in range(DRAWS)]
+    if also is not None:
+        drawn.append(F.min(F.struct(also.alias("r"), "node", "n", "comp")))
+    centres = rows.groupBy("tkey").agg(F.array(*drawn).alias("c"), F.count("*").alias("k")).where("k > 1")
+    return centres.select("tkey", F.explode(F.array_distinct(F.transform("c", lambda c: c.dropFields("r")))).alias("c")).where(
+        "c is not null").select("tkey", F.col("c.node").alias("node2"), F.col("c.n").alias("n2"), F.col("c.comp").alias("comp2"))
+
+
+def _across(rows: DataFrame, comp: DataFrame, percent: int, turn: int) -> DataFrame:
     """Candidates among the table keys whose members lie in several
     components: each member against `DRAWS` centres of the key's smallest
-    component and `DRAWS` of the rest, drawn anew every turn.  The draw goes by
-    a hash of the document alone, so keys with the same members draw alike."""
-    label = merged(shared, comp, "node", "left").select("tkey", "node", "n", F.coalesce("comp", "node").alias("comp"))
+    component and `DRAWS` of the rest, drawn anew every turn."""
+    label = merged(rows, comp, "node", "left").select("tkey", "node", "n", F.coalesce("comp", "node").alias("comp"))
     many = label.groupBy("tkey").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").drop("hi")
     mixed = stored(merged(label, many, "tkey"), "mixed")
-
-    def draw(side: Column, k: int) -> Column:
-        return F.min(F.when(side, F.struct(F.xxhash64("node", F.lit(turn * DRAWS + k)).alias("r"), "node", "n", "comp")))
-
     low = F.col("comp") == F.col("lo")
-    centres = mixed.groupBy("tkey").agg(F.array(*[draw(side, k) for side in (low, ~low) for k in range(DRAWS)]).alias("c"))
-    centres = centres.select("tkey", F.explode(F.array_distinct("c")).alias("c")).select(
-        "tkey", F.col("c.node").alias("node2"), F.col("c.n").alias("n2"), F.col("c.comp").alias("comp2"))
-    return _pairs(mixed, centres, percent)
+    return _pairs(mixed, _draws(mixed, [low, ~low], turn), percent)
 
 
 def _all_across(shared: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
@@ -192,6 +201,13 @@ def _all_across(shared: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
     return _pairs(mixed, mixed.select("tkey", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("comp").alias("comp2")), percent)
 
 
+def _touched(shared: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of the table keys that hold a newly linked document."""
+    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    hit = merged(shared, ends, "node", "left_semi").select("tkey").distinct()
+    return stored(merged(shared, hit, "tkey", "left_semi"), "touched")
+
+
 def _pairs(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
     members = members.select(F.col("tkey").alias("t"), "node", "n", "comp")
     near = (F.col("t") == F.col("tkey")) & (F.col("comp") != F.col("comp2")) & _sizes_fit("n", "n2", percent)
@@ -230,25 +246,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
                                            F.first("bands").alias("bands")), "reps")
     keys = table_keys(reps)
 
-    # First round: every member against the smallest id of its key.
-    centres = keys.groupBy("tkey").agg(F.min(F.struct("node", "n")).alias("c"), F.count("*").alias("k")).where("k > 1")
-    shared = stored(merged(keys, centres, "tkey").select("tkey", "node", "n", F.col("c.node").alias("c"),
-                                                         F.col("c.n").alias("cn")), "shared")
-    pairs = shared.where("node != c").where(_sizes_fit("n", "cn", percent)).select(
-        F.col("node").alias("a"), F.col("c").alias("b")).distinct()
-    shared = shared.select("tkey", "node", "n")
+    # First round: every member against a few centres of its key.
+    several = keys.groupBy("tkey").agg(F.count("*").alias("k")).where("k > 1").select("tkey")
+    shared = stored(merged(keys, several, "tkey").select("tkey", "node", "n"), "shared")
     sets = _sets(shared.select("node").distinct(), docs, size)
-    comp = stored(components(_confirmed(pairs, sets, percent)), "comp")
-    turn, last = 0, False
+    alone = shared.withColumn("comp", F.col("node"))
+    links = _confirmed(_pairs(alone, _draws(alone, [F.lit(True)], 0, F.col("node")), percent), sets, percent)
+    comp = stored(components(links), "comp")
+    # Further rounds: draws on the keys that the last round changed; where they
+    # add nothing, all pairs of the small keys changed since the last time.
+    drawn, listed, turn = shared, [shared], 0
     while True:
-        links = _confirmed(_all_across(shared, comp, percent) if last else _across(shared, comp, percent, turn), sets, percent)
         turn += 1
-        if not links.isEmpty():
-            comp, last = _joined(comp, links), False
-        elif last:
-            break
-        else:
-            last = True
+        links = _confirmed(_across(drawn, comp, percent, turn), sets, percent)
+        if links.isEmpty():
+            rows = reduce(DataFrame.union, listed).distinct() if len(listed) > 1 else listed[0]
+            links = _confirmed(_all_across(rows, comp, percent), sets, percent)
+            if links.isEmpty():
+                break
+            listed = []
+        comp, drawn = _joined(comp, links), _touched(shared, links)
+        if not any(x is shared for x in listed):
+            listed.append(drawn)
 
     by_set = merged(reps, comp, "node", "left").select("key", F.coalesce("comp", "node").alias("comp"))
     out = merged(sk, by_set, "key", "left")
