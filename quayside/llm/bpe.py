@@ -169,7 +169,7 @@ def decoded(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -
     @F.pandas_udf("string")
     def decode(sequences: pd.Series) -> pd.Series:
         c = codec(SparkFiles.get(name))
-        return sequences.map(lambda s: c.decode(s.tolist()) if s is not None else "")
+        return sequences.map(lambda s: c.decode(list(s)) if s is not None else "")
 
     return df.withColumn(text, decode(F.col(ids)))
 
