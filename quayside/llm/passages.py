@@ -4,13 +4,15 @@ A gear hash rolls over the bytes of the normalised text (ASCII-lower-cased
 words between single spaces).  Where its tested bits are zero, the chunk ends
 with the current word, so cuts depend on the neighbouring bytes only and an
 insertion moves no cut but those beside it.  Chunks are compared by digest:
-a digest found in two documents is a repeat, and neighbouring repeated chunks
-make a run.
-
-A run of `LEAST` words or more is a repeated passage.  A run may lose a part
-of a chunk at either end, so a shorter run that could reach `LEAST` words with
-its neighbouring chunks is decided exactly: windows of `LEAST` words around it
-are hashed and looked for among the other documents that hold its chunks.
+a digest found in two documents is a repeat.
+
+A repeated passage is a window of `LEAST` words that two documents share.  A
+passage that is a little longer than that holds a cut early enough for the
+window that starts there to lie inside; so the windows that start with a
+repeated chunk are compared by digest first.  In documents without such a
+match, a run of repeated chunks that could be a part of a passage is decided
+exactly: all windows around it are compared with those around the same chunks
+in the other documents.
 """
 
 from __future__ import annotations
@@ -22,17 +24,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import small_batches, stored, table, utf8
+from .common import merged, small_batches, stored, table, utf8
 
 # words of a passage worth reporting: over 50
 LEAST = 51
 # a chunk ends where these bits of the 32-bit gear hash are zero: once in 32 bytes
 CUT_BITS = np.uint32(0x1F << 11)
+# words that the 16 bytes which decide a cut can belong to
+REACH = 9
 # words of a chunk where no cut is found (runs of one character, for example)
-LONGEST = 64
+LONGEST = 256
 _GEAR = np.random.default_rng(20240301).integers(0, 1 << 32, size=256, dtype=np.uint32)
 
-_CHUNKS = "array<struct<digest:bigint,first:int,n:int>>"
+_CHUNKS = "array<struct<digest:bigint,first:int,n:int,window:bigint>>"
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -47,8 +51,10 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunks(words: list[bytes]) -> list[tuple[int, int, int]]:
-    """(digest, first word, word count) of the chunks of a word sequence."""
+def chunks(words: list[bytes]) -> list[tuple[int, int, int, int | None]]:
+    """(digest, first word, word count, digest of the `LEAST` words from the
+    first on, or None if the text ends before) of the chunks of a word
+    sequence."""
     if not words:
         return []
     text = b" ".join(words)
@@ -62,24 +68,28 @@ def chunks(words: list[bytes]) -> list[tuple[int, int, int]]:
         forced = [np.arange(end - size + LONGEST, end, LONGEST) for end, size in zip(last, sizes) if size > LONGEST]
         last = np.unique(np.concatenate([last, *forced]))
         sizes = np.diff(np.append(-1, last))
-    stops = np.append(spaces, len(text))[last]
+    firsts = (last - sizes + 1).tolist()
+    ends = np.append(spaces, len(text)).tolist()  # of every word
     digest, out, at = xxhash.xxh3_64_intdigest, [], 0
-    for stop in stops.tolist():
-        out.append(digest(text[at:stop]) - (1 << 63))
+    for first, end in zip(firsts, last.tolist()):
+        stop, far = ends[end], first + LEAST - 1
+        window = digest(text[at:ends[far]]) - (1 << 63) if far < len(ends) else None
+        out.append((digest(text[at:stop]) - (1 << 63), first, end - first + 1, window))
         at = stop + 1
-    return list(zip(out, (last - sizes + 1).tolist(), sizes.tolist()))
+    return out
 
 
 def _chunked(texts: pd.Series) -> pd.Series:
-    return pd.Series([[{"digest": d, "first": w, "n": n} for d, w, n in chunks(t.lower().split())] for t in texts])
+    return pd.Series([[{"digest": d, "first": f, "n": n, "window": w} for d, f, n, w in chunks(t.lower().split())] for t in texts])
 
 
 def chunk_rows(docs: DataFrame) -> DataFrame:
-    """One row per chunk: doc_id, idx, digest, first word, word count and the
-    word counts of its neighbours (0 at an end of the text)."""
+    """One row per chunk: doc_id, idx, digest, first word, word count, digest of
+    the window that starts with it, and the word counts of its neighbours (0 at
+    an end of the text)."""
     c = docs.select("doc_id", F.pandas_udf(_chunked, _CHUNKS)(utf8("text")).alias("c"))
     beside = F.transform("c", lambda x, i: F.struct(
-        x["digest"].alias("digest"), x["first"].alias("first"), x["n"].alias("n"),
+        x["digest"].alias("digest"), x["first"].alias("first"), x["n"].alias("n"), x["window"].alias("window"),
         F.coalesce(F.get("c.n", i - 1), F.lit(0)).alias("before"), F.coalesce(F.get("c.n", i + 1), F.lit(0)).alias("after")))
     return c.select("doc_id", F.posexplode(beside).alias("idx", "x")).select("doc_id", "idx", "x.*")
 
@@ -96,36 +106,42 @@ def _windows(batches):
         yield pd.DataFrame(rows, columns=["window", "doc_id", "word"])
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """The rows of `chunk_rows` whose digest occurs in two documents or more,
-    with the smallest doc_id that has it.  Counts are combined before the
-    shuffle; the join's key is unique on the digests' side, so a digest of a
-    great many documents can be split."""
-    rows = chunk_rows(docs)
-    known = rows.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
-    known = known.where("first_doc < last_doc").select("digest", "first_doc")
-    return rows.join(known, "digest")
+def repeated(rows: DataFrame, key: str) -> DataFrame:
+    """The rows whose `key` occurs in two documents or more, with the smallest
+    doc_id that has it.  Counts are combined before the shuffle; the join's key
+    is unique on the counts' side, so a key of a great many documents can be
+    split."""
+    known = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
+    return merged(rows, known.where("first_doc < last_doc").select(key, "first_doc"), key)
 
 
 def runs(chunks_: DataFrame) -> DataFrame:
     """Maximal runs of neighbouring repeated chunks of each document: doc_id,
-    word range [lo, hi), the words it could reach with its neighbours (`most`),
-    and the smallest first_doc of its chunks."""
+    their digests and the word range [wide_lo, wide_hi) with the neighbouring
+    chunks, which holds any passage that the run is a part of (the cut that
+    starts the chunk before the run can depend on words `REACH` before it)."""
     order = Window.partitionBy("doc_id").orderBy("idx")
     grouped = chunks_.withColumn("run", F.col("idx") - F.dense_rank().over(order))
-    edge = F.struct("idx", "before", "after")
-    out = grouped.groupBy("doc_id", "run").agg(
-        F.min("first").alias("lo"), F.max(F.col("first") + F.col("n")).alias("hi"), F.min("first_doc").alias("first_doc"),
-        F.min(edge).alias("left"), F.max(edge).alias("right"), F.collect_list("digest").alias("digests"))
-    return out.select("doc_id", "lo", "hi", "first_doc", "digests",
-                      (F.col("hi") - F.col("lo") + F.col("left.before") + F.col("right.after")).alias("most"),
-                      (F.col("lo") - F.col("left.before")).alias("wide_lo"), (F.col("hi") + F.col("right.after")).alias("wide_hi"))
+    return grouped.groupBy("doc_id", "run").agg(
+        F.min(F.col("first") - F.col("before") - REACH).alias("wide_lo"),
+        F.max(F.col("first") + F.col("n") + F.col("after")).alias("wide_hi"), F.collect_set("digest").alias("digests"))
+
+
+def joined_windows(windows: DataFrame) -> DataFrame:
+    """Rows (doc_id, word, first_doc) of shared windows -> passages: the words
+    covered by windows that overlap or touch."""
+    order = Window.partitionBy("doc_id").orderBy("word")
+    one = windows.groupBy("doc_id", "word").agg(F.min("first_doc").alias("first_doc"))
+    gap = F.when(F.col("word") > F.lag("word").over(order) + LEAST, 1).otherwise(0)
+    numbered = one.withColumn("gap", gap).withColumn("run", F.sum("gap").over(order))
+    return numbered.groupBy("doc_id", "run").agg(
+        F.min("word").alias("lo"), (F.max("word") + LEAST).alias("hi"), F.min("first_doc").alias("first_doc")).drop("run")
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """(doc_id, start_word, n_words, first_doc_id): the passages of `LEAST`
-    words or more that a document shares with another, one row each, ordered
-    by nothing; first_doc_id is the smallest doc_id that shares a part of it.
+    words or more that a document shares with another, one row each;
+    first_doc_id is the smallest doc_id that shares a part of it.
 
     Words are runs without ASCII white space, A-Z lower-cased.  Documents that
     repeat no passage (null and empty texts too) have no row.  Rows with one
@@ -134,30 +150,25 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     docs = docs.where("doc_id is not null").select("doc_id", "text")
-    repeated = stored(repeated_chunks(docs), "chunks")
-    found = stored(runs(repeated), "runs")
-    sure = found.where(F.col("hi") - F.col("lo") >= LEAST)
+    found = stored(repeated(chunk_rows(docs), "digest").drop("first_doc"), "chunks")
+    sure = stored(joined_windows(repeated(found.select("doc_id", F.col("first").alias("word"), "window"), "window")), "sure")
 
-    # Documents without such a run: windows around the runs that could be one,
-    # and around the same chunks in documents that have one.
+    # Documents without a shared window at a cut: all windows of the runs that
+    # could be a part of a passage, and of the surroundings of the same chunks
+    # in the other documents.
     sure_docs = sure.select("doc_id").distinct()
-    open_ = stored(found.where(F.col("most") >= LEAST).where(F.col("hi") - F.col("lo") < LEAST).join(
-        sure_docs, "doc_id", "left_anti"), "open")
-    wanted = open_.select(F.explode("digests").alias("digest")).distinct()
-    partners = repeated.join(wanted, "digest", "left_semi").join(sure_docs, "doc_id", "left_semi").select(
+    near = runs(found).where(F.col("wide_hi") - F.col("wide_lo") >= LEAST)
+    near = stored(merged(near, sure_docs, "doc_id", "left_anti"), "near")
+    wanted = near.select(F.explode("digests").alias("digest")).distinct()
+    partners = merged(merged(found, wanted, "digest", "left_semi"), sure_docs, "doc_id", "left_semi").select(
         "doc_id", (F.col("first") - LEAST + 1).alias("lo"), (F.col("first") + F.col("n") + LEAST - 1).alias("hi"))
-    regions = open_.select("doc_id", F.col("wide_lo").alias("lo"), F.col("wide_hi").alias("hi")).union(partners) \
+    regions = near.select("doc_id", F.col("wide_lo").alias("lo"), F.col("wide_hi").alias("hi")).union(partners) \
         .groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("regions"))
-    texts = docs.join(regions.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
-    near = texts.join(regions, "doc_id").select(
-        "doc_id", F.col("text").cast("binary").alias("text"), F.col("regions.lo").alias("lo"), F.col("regions.hi").alias("hi"))
-    windows = stored(near.mapInPandas(_windows, "window bigint, doc_id bigint, word int"), "windows")
-    twice = windows.groupBy("window").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).where("first_doc < last_doc")
-    decided = windows.join(twice, "window").join(open_.select("doc_id").distinct(), "doc_id", "left_semi")
-    order = Window.partitionBy("doc_id").orderBy("word")
-    gap = F.when(F.col("word") > F.lag("word").over(order) + LEAST, 1).otherwise(0)
-    islands = decided.dropDuplicates(["doc_id", "word"]).withColumn("gap", gap).withColumn("run", F.sum("gap").over(order))
-    exact = islands.groupBy("doc_id", "run").agg(F.min("word").alias("lo"), (F.max("word") + LEAST).alias("hi"), F.min("first_doc").alias("first_doc"))
+    texts = merged(docs, regions, "doc_id").groupBy("doc_id").agg(
+        F.min(F.coalesce("text", F.lit(""))).alias("text"), F.first("regions").alias("regions"))
+    texts = texts.select("doc_id", F.col("text").cast("binary").alias("text"), F.col("regions.lo").alias("lo"), F.col("regions.hi").alias("hi"))
+    windows = stored(texts.mapInPandas(_windows, "window bigint, doc_id bigint, word int"), "windows")
+    exact = joined_windows(merged(repeated(windows, "window"), near.select("doc_id").distinct(), "doc_id", "left_semi"))
     both = sure.select("doc_id", "lo", "hi", "first_doc").union(exact.select("doc_id", "lo", "hi", "first_doc"))
     return both.select("doc_id", F.col("lo").cast("bigint").alias("start_word"), (F.col("hi") - F.col("lo")).cast("bigint").alias("n_words"),
                        F.col("first_doc").alias("first_doc_id"))

@@ -40,7 +40,8 @@ from .common import small_batches, table
 
 END_ID = 0
 MASK = 0xA282EAD8
-_HEAD, _ID, _ENTRY = struct.Struct("<QI"), struct.Struct("<?q"), struct.Struct("<QI")
+# struct formats of a record's head, a payload's document and an index entry
+_HEAD, _ID, _ENTRY = "<QI", "<?q", "<QI"
 READ_ROWS = 4096
 _CODECS: dict[str, "ByteLevelCodec"] = {}
 
@@ -113,7 +114,7 @@ def _open(uri: str):
 
 def write_shards(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, shards: int | None = None) -> DataFrame:
     """Encode `docs` (doc_id, text) and write shards into `folder`; returns
-    the manifest (shard, file, index, n_records, n_tokens, width), committed
+    the manifest (shard, file, index_file, n_records, n_tokens, width), committed
     as `folder`/manifest.
 
     Null text is empty; a null doc_id comes first; rows with one doc_id are
@@ -143,19 +144,19 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int = END_ID,
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 ids = codec.encode(text) + end
                 null = pd.isna(doc_id)
-                payload = _ID.pack(null, 0 if null else int(doc_id)) + ids
+                payload = struct.pack(_ID, null, 0 if null else int(doc_id)) + ids
                 head = struct.pack("<Q", len(payload))
                 data.write(head + struct.pack("<I", masked(head)) + payload + struct.pack("<I", masked(payload)))
-                index.write(_ENTRY.pack(at, len(ids) // width))
+                index.write(struct.pack(_ENTRY, at, len(ids) // width))
                 at += 16 + len(payload)
                 records, tokens = records + 1, tokens + len(ids) // width
         if data is not None:
             data.close()
             index.close()
             yield pd.DataFrame([(shard, stem + ".rec", stem + ".idx", records, tokens, width)],
-                               columns=["shard", "file", "index", "n_records", "n_tokens", "width"])
+                               columns=["shard", "file", "index_file", "n_records", "n_tokens", "width"])
 
-    schema = "shard int, file string, index string, n_records bigint, n_tokens bigint, width int"
+    schema = "shard int, file string, index_file string, n_records bigint, n_tokens bigint, width int"
     # ids as objects keep 64 bits beside nulls
     rows = dealt.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     rows.mapInPandas(write, schema).write.parquet(f"{folder}/manifest")
@@ -163,12 +164,12 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int = END_ID,
 
 
 def _payload(payload: bytes, width: int) -> tuple[int | None, np.ndarray]:
-    null, doc_id = _ID.unpack_from(payload)
-    return None if null else doc_id, np.frombuffer(payload, f"<u{width}", offset=_ID.size)
+    null, doc_id = struct.unpack_from(_ID, payload)
+    return None if null else doc_id, np.frombuffer(payload, f"<u{width}", offset=struct.calcsize(_ID))
 
 
 def _checked(head: bytes, read) -> bytes:
-    length, crc = _HEAD.unpack(head)
+    length, crc = struct.unpack(_HEAD, head)
     if masked(head[:8]) != crc:
         raise ValueError("a record's length does not match its checksum")
     payload = read(length)
@@ -181,7 +182,7 @@ def records(file: str, width: int) -> Iterator[tuple[int | None, np.ndarray]]:
     """(doc_id, ids) of every record of a shard, in order, checksums verified."""
     system, path = _open(file)
     with system.open_input_stream(path, buffer_size=1 << 20) as stream:
-        while head := stream.read(_HEAD.size):
+        while head := stream.read(struct.calcsize(_HEAD)):
             yield _payload(_checked(head, stream.read), width)
 
 
@@ -189,11 +190,12 @@ def read_record(file: str, index: str, k: int, width: int) -> tuple[int | None,
     """Record `k` of a shard, found by the offset index."""
     system, path = _open(index)
     with system.open_input_file(path) as f:
-        at, _ = _ENTRY.unpack(f.read_at(_ENTRY.size, k * _ENTRY.size))
+        size = struct.calcsize(_ENTRY)
+        at, _ = struct.unpack(_ENTRY, f.read_at(size, k * size))
     system, path = _open(file)
     with system.open_input_file(path) as f:
         f.seek(at)
-        return _payload(_checked(f.read(_HEAD.size), f.read), width)
+        return _payload(_checked(f.read(struct.calcsize(_HEAD)), f.read), width)
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from .common import fresh
 
-# Code points of text kept on either side of a match as its context.
+# Code points of text kept on either side of a match as its context (up to the
+# neighbouring match of the same kind).
 CONTEXT = 48
 
-HIT = f"array<struct<start:int,end:int,hit:string,before:string,after:string>>"
+HIT = "array<struct<start:int,end:int,hit:string,before:string,after:string>>"
 
 
 def running_sum(numbers: Column) -> Column:
@@ -60,9 +61,12 @@ def with_matches(df: DataFrame, text: str, patterns: dict[str, str], only_if: di
     for kind in patterns:
         out[kind] = fresh(df, f"{kind}_spans")
         h, e = F.col(hits[kind]), F.col(ends[kind])
-        zipped = F.transform(F.arrays_zip(h["hit"], e, F.slice(h["gap"], 1, F.size(e)), F.slice(h["gap"], 2, F.size(e))), lambda z: F.struct(
-            (z["1"] - F.length(z["0"])).alias("start"), z["1"].alias("end"), z["0"].alias("hit"),
-            F.right(z["2"], F.lit(CONTEXT)).alias("before"), F.left(z["3"], F.lit(CONTEXT)).alias("after")))
+        parts = F.arrays_zip(h["hit"].alias("hit"), e.alias("end"), F.slice(h["gap"], 1, F.size(e)).alias("left"),
+                             F.slice(h["gap"], 2, F.size(e)).alias("right"))
+        parts = parts.cast("array<struct<hit:string,end:int,before:string,after:string>>")
+        zipped = F.transform(parts, lambda z: F.struct(
+            (z["end"] - F.length(z["hit"])).alias("start"), z["end"].alias("end"), z["hit"].alias("hit"),
+            F.right(z["before"], F.lit(CONTEXT)).alias("before"), F.left(z["after"], F.lit(CONTEXT)).alias("after")))
         df = df.withColumn(out[kind], F.when(h.isNotNull(), zipped.cast(HIT)).otherwise(F.array().cast(HIT)))
     return df.drop(*hits.values(), *ends.values()), out
 

@@ -34,6 +34,7 @@ def test_chunks_cover_the_text_and_resist_insertions(rng):
     moved = P.chunks(words[:1000] + [b"inserted"] + words[1000:])
     assert len({x[0] for x in c} - {x[0] for x in moved}) <= 4
     assert P.chunks([]) == [] and max(x[2] for x in P.chunks([b"a"] * 1000)) <= P.LONGEST
+    assert all((x[3] is None) == (x[1] + P.LEAST > 3000) for x in c)
 
 
 def test_planted_passages(spark, rng):

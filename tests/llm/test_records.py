@@ -53,7 +53,7 @@ def test_round_trip_in_order(spark, odd_docs, tmp_path):
     assert got == table
     for s in shards:  # shuffled reads by the index
         for k, (i, ids) in reversed(list(enumerate(R.records(s.file, s.width)))):
-            j, same = R.read_record(s.file, s.index, k, s.width)
+            j, same = R.read_record(s.file, s.index_file, k, s.width)
             assert i == j and (ids == same).all()
 
 
