@@ -1,5 +1,6 @@
-"""Keyed upsert without a table format: merge = union + per-key winner,
-written as new immutable versions of the touched snapshot partitions.
+"""Keyed upsert without a table format: merge = union + per-key winner, and
+snapshots kept as partitioned parquet folders that Spark itself overwrites
+partition by partition.
 
 Per key, the row with the greatest (load time, sequence) wins: batch rows
 beat target rows, and within one batch the later copy of a repeated key
@@ -11,18 +12,44 @@ gives the same winners, so the merge is idempotent.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from quayside.session import drop_scratch
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], load_ts: str = "last_updated",
            seq: str = "seq") -> DataFrame:
     """Merge `batch` into `target` by `keys`; both carry `load_ts` and `seq`.
 
-    This is the whole-table merge; on a large stored target use
-    `SnapshotTable.merge`, which feeds it only the partitions a batch
-    touches."""
-    return latest_per_key(target.unionByName(batch.select(*target.columns)), keys, load_ts, seq)
+    The merge sets fields: columns the batch does not have keep the target's
+    values (null for new keys).  Batch rows with a null in a key cannot be
+    stored and are left out (`upsert_metrics` counts them as failed).  This is
+    the whole-table merge; `merge_snapshot` feeds it only the partitions a
+    batch touches."""
+    stored = batch.where(_has_key(keys))
+    sent = [c for c in target.columns if c in batch.columns and c not in keys]
+    kept = [c for c in target.columns if c not in batch.columns]
+    order = F.struct(F.col(load_ts), F.col(seq))
+    both = target.withColumn("_old", F.lit(True)).unionByName(
+        stored.select(*keys, *sent).withColumn("_old", F.lit(False)), allowMissingColumns=True)
+    picks = [F.max_by(F.struct(*sent), order).alias("_w")]
+    if kept:
+        picks.append(F.max_by(F.struct(*kept), F.when(F.col("_old"), order)).alias("_k"))
+    g = both.groupBy(*keys).agg(*picks)
+    return g.select(*[F.col(c) if c in keys else F.col("_w" if c in sent else "_k").getField(c).alias(c)
+                      for c in target.columns])
+
+
+def _has_key(keys: list[str]) -> Column:
+    ok = F.lit(True)
+    for k in keys:
+        ok = ok & F.col(k).isNotNull()
+    return ok
 
 
 def latest_per_key(df: DataFrame, keys: list[str], load_ts: str = "last_updated", seq: str = "seq") -> DataFrame:
@@ -34,148 +61,92 @@ def latest_per_key(df: DataFrame, keys: list[str], load_ts: str = "last_updated"
     return g.select(*keys, *[F.col("_w").getField(c).alias(c) for c in cols])
 
 
-def upsert_metrics(target: DataFrame, batch: DataFrame, keys: list[str], group: list[str] | None = None) -> DataFrame:
-    """Counts of one bulk upsert: keys inserted (new), operations that
-    updated an existing key, operations total, failed (0).  A key sent k
-    times counts one insert and k-1 updates when new, k updates otherwise."""
+def upsert_metrics(target: DataFrame, batch: DataFrame, keys: list[str], group: list[str] | None = None,
+                   seq: str = "seq") -> DataFrame:
+    """Counts of one bulk upsert: `inserted` keys that are new; `updated`
+    operations that modify a stored document (an identical resend modifies
+    nothing: of equal contents sent for one key only one counts, and none if
+    the target holds it already); `failed` operations without a full key;
+    `total_processed` all operations."""
     group = group or []
-    ops = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ops"))
-    # Only target keys that the batch touches matter: the semi join lets a
-    # small batch be broadcast so the target is filtered without a shuffle.
-    known = (target.select(*keys).join(ops.select(*keys), keys, "left_semi")
-             .distinct().withColumn("_known", F.lit(True)))
-    j = ops.join(known, keys, "left")
-    m = j.groupBy(*group).agg(
-        F.count_if(F.col("_known").isNull()).alias("inserted"),
-        F.sum("_ops").cast("bigint").alias("total_processed"))
-    return m.select(*group, "inserted",
-                    (F.col("total_processed") - F.col("inserted")).alias("updated"),
-                    "total_processed", F.lit(0).cast("bigint").alias("failed"))
+    content = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in batch.columns if c != seq])
+    stored = batch.where(_has_key(keys)).withColumn("_h", content)
+    sent = stored.groupBy(*keys, "_h").agg(F.count(F.lit(1)).alias("_ops"))
+    # Only target keys that the batch touches matter.
+    have = [c for c in batch.columns if c != seq]
+    old = target.select(*[c for c in have if c in target.columns], *[F.lit(None).cast("string").alias(c) for c in have if c not in target.columns])
+    old = old.select(*keys, F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in have]).alias("_old"))
+    known = old.join(stored.select(*keys), keys, "left_semi").groupBy(*keys).agg(F.max("_old").alias("_old"))
+    per = sent.join(known, keys, "left").groupBy(*keys).agg(
+        F.sum("_ops").alias("_ops"), F.max(F.col("_old").isNull()).alias("_new"),
+        F.count_if(F.col("_old").isNull() | (F.col("_old") != F.col("_h"))).alias("_changes"))
+    m = per.groupBy(*group).agg(
+        F.count_if("_new").alias("inserted"),
+        F.sum(F.col("_changes") - F.col("_new").cast("bigint")).cast("bigint").alias("updated"),
+        F.sum("_ops").cast("bigint").alias("_stored"))
+    lost = batch.where(~_has_key(keys)).groupBy(*group).agg(F.count(F.lit(1)).alias("failed"))
+    zero = F.lit(0).cast("bigint")
+    if group:
+        lost = lost.select(*[F.col(c).alias(f"_l_{c}") for c in group], "failed")
+        same = [F.col(c).eqNullSafe(F.col(f"_l_{c}")) for c in group]
+        j = m.join(lost, same, "full")
+        j = j.select(*[F.when(F.col("_stored").isNull(), F.col(f"_l_{c}")).otherwise(F.col(c)).alias(c) for c in group],
+                     "inserted", "updated", "_stored", "failed")
+    else:
+        j = m.withColumn("_one", F.lit(1)).join(lost.withColumn("_one", F.lit(1)), "_one")  # one row each
+    return j.select(*group, F.coalesce("inserted", zero).alias("inserted"), F.coalesce("updated", zero).alias("updated"),
+                    (F.coalesce("_stored", zero) + F.coalesce("failed", zero)).alias("total_processed"),
+                    F.coalesce("failed", zero).alias("failed"))
 
 
 # ---------------------------------------------------------- snapshots
-# Characters Spark escapes in partition folder names (as %XX) on write.
-_ESCAPED = set(chr(c) for c in range(1, 32)) | set('"#%\'*/:=?\\\x7f{[]^')
-
-
-def _escape(value) -> str:
-    if value is None:
-        return "__HIVE_DEFAULT_PARTITION__"
-    return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED else ch for ch in str(value))
-
-class SnapshotTable:
-    """Copy-on-write snapshot table on plain parquet.
-
-    Rows live in partitions whose columns are functions of the merge key
-    (e.g. carrier and event day), so a key never moves between partitions.
-    A write stores the *complete* new content of every partition it touches
-    under `base/v=<version>/...` (Spark's commit protocol: a failed write
-    leaves nothing visible), then appends (partition, version) rows to
-    `base/_commits`.  Readers take, per partition, the highest committed
-    version; untouched partitions keep their older files, so a daily batch
-    rewrites only the partitions it touches.  Rewriting a version is
-    idempotent, which makes retried micro-batches safe.
-    """
-
-    def __init__(self, spark: SparkSession, base: str, partition_by: list[str],
-                 sort_by: list[str] | None = None):
-        if not partition_by:
-            raise ValueError("partition_by must name key-derived columns")
-        self.spark = spark
-        self.base = base.rstrip("/")
-        self.partition_by = list(partition_by)
-        # Sorting within files keeps parquet min/max statistics tight on the
-        # point-lookup column (e.g. container), so lookups skip row groups.
-        self.sort_by = list(sort_by or [])
-        self.data_schema = None
-
-    @property
-    def commits_path(self) -> str:
-        return f"{self.base}/_commits"
-
-    def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.commits_path)
-        except Exception:  # noqa: BLE001 - nothing committed yet
-            return None
-
-    def next_version(self) -> int:
-        c = self._commits()
-        v = None if c is None else c.agg(F.max("version")).first()[0]
-        return 0 if v is None else int(v) + 1
-
-    def write(self, df: DataFrame, version: int, partitions: DataFrame | None = None) -> None:
-        """Store `df` as the full content of each partition it contains.
-
-        `partitions` (the partition values `df` covers, e.g. those a merge
-        batch touched) avoids recomputing `df` for the commit log; without
-        it the values are read back from the written folders (partition
-        columns only, no data pages)."""
-        data_cols = [c for c in df.columns if c not in self.partition_by]
-        self.data_schema = df.select(*data_cols, *self.partition_by).schema
-        # REBALANCE: AQE groups rows by output partition, coalescing small
-        # ones and splitting skewed ones, so a hot partition is written by
-        # several tasks and small ones do not explode into many files.
-        out = df.hint("rebalance", *self.partition_by)
-        if self.sort_by:
-            out = out.sortWithinPartitions(*self.sort_by)
-        out.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.base}/v={version}")
-        if partitions is None:
-            schema = ", ".join(f"`{c}` string" for c in self.partition_by)
-            partitions = self.spark.read.schema(schema).parquet(f"{self.base}/v={version}")
-        (partitions.select(*[F.col(c).cast("string") for c in self.partition_by]).distinct()
-         .withColumn("version", F.lit(int(version)).cast("bigint"))
-         .write.mode("append").parquet(self.commits_path))
-
-    def _infer_schema(self) -> None:
-        c = self._commits()
-        if c is None:
-            raise FileNotFoundError(f"no snapshot committed under {self.base}")
-        v = c.agg(F.max("version")).first()[0]
-        sample = self.spark.read.parquet(f"{self.base}/v={v}")
-        data = [f for f in sample.schema.fields if f.name not in self.partition_by]
-        from pyspark.sql.types import StringType, StructField, StructType
-        self.data_schema = StructType(data + [StructField(p, StringType()) for p in self.partition_by])
-
-    def _current(self, partitions: DataFrame | None, before_version: int | None) -> list:
-        """(partition values..., version) of the current version of every
-        partition (metadata: one row per partition, never data rows)."""
-        commits = self._commits()
-        if before_version is not None:
-            commits = commits.filter(F.col("version") < before_version)
-        latest = commits.groupBy(*self.partition_by).agg(F.max("version").alias("v"))
-        if partitions is not None:
-            latest = latest.join(partitions.select(*[F.col(c).cast("string") for c in self.partition_by])
-                                 .distinct(), self.partition_by, "left_semi")
-        return latest.collect()
-
-    def read(self, partitions: DataFrame | None = None, before_version: int | None = None) -> DataFrame:
-        """Current content (optionally only `partitions`, a frame of
-        partition values, and only versions below `before_version`).
-
-        Only the folders of each partition's current version are listed and
-        read; superseded versions are never touched."""
-        if self.data_schema is None:
-            self._infer_schema()
-        fields = list(self.data_schema.fields)
-        schema = (", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields
-                            if f.name not in self.partition_by)
-                  + ", v bigint, " + ", ".join(f"`{c}` string" for c in self.partition_by))
-        paths = [f"{self.base}/v={r['v']}/" + "/".join(f"{c}={_escape(r[c])}" for c in self.partition_by)
-                 for r in self._current(partitions, before_version)]
-        if not paths:
-            return self.spark.createDataFrame([], self.data_schema)
-        files = self.spark.read.schema(schema).option("basePath", self.base).parquet(*paths)
-        return files.select(*[F.col(f.name).cast(f.dataType) for f in fields])
-
-    def merge(self, batch: DataFrame, keys: list[str], version: int | None = None,
-              load_ts: str = "last_updated", seq: str = "seq") -> int:
-        """Upsert `batch`, rewriting only the partitions it touches.  The
-        merge reads versions below `version` only, so re-running a version
-        (a retried micro-batch) never reads the files it overwrites."""
-        version = self.next_version() if version is None else version
-        touched = batch.select(*self.partition_by)
-        current = self.read(touched, before_version=version)
-        merged = upsert(current, batch.select(*current.columns), keys, load_ts, seq)
-        self.write(merged, version, partitions=touched)
-        return version
+def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows stored under `path`; none if nothing was stored yet.  Any
+    other read error is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def write_partitions(df: DataFrame, path: str, partition_by: list[str], sort_by: list[str] | None = None) -> None:
+    """Store `df` as the full content of each partition it contains, leaving
+    other partitions alone (Spark's dynamic partition overwrite).
+
+    REBALANCE: AQE coalesces small partitions and splits skewed ones, so a hot
+    partition is written by several tasks.  Sorting within files keeps
+    min/max statistics tight on the point-lookup column."""
+    out = df.hint("rebalance", *partition_by)
+    if sort_by:
+        out = out.sortWithinPartitions(*partition_by, *sort_by)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def merge_snapshot(path: str, batch: DataFrame, keys: list[str], partition_by: list[str], staging: str,
+                   sort_by: list[str] | None = None, load_ts: str = "last_updated", seq: str = "seq",
+                   schema: StructType | None = None, after_stage=None) -> None:
+    """Upsert `batch` into the snapshot at `path`, rewriting only the
+    partitions the batch touches.
+
+    `partition_by` columns must be functions of the key, so that a key never
+    changes partition, and without null or blank values.  The merged content is
+    first written under `staging` and then swapped in.  If a run dies in
+    between, running the same batch with the same `staging` again merges the
+    snapshot, what was staged and the batch, so nothing is lost whichever
+    partitions the first run had swapped, and merges made meanwhile stay.
+    `staging` is removed at the end.  `schema` is the snapshot's schema
+    (default: the batch's)."""
+    spark = batch.sparkSession
+    schema = schema or batch.schema
+    touched = batch.select(*partition_by).distinct()
+    current = read_snapshot(spark, path, schema).join(touched, partition_by, "left_semi")
+    staged = read_snapshot(spark, f"{staging}/*", schema)
+    known = current.select(*schema.names).unionByName(staged.select(*schema.names))
+    attempt = f"{staging}/{uuid.uuid4().hex[:12]}"
+    upsert(known, batch, keys, load_ts, seq).write.parquet(attempt)
+    if after_stage is not None:  # test hook: fail between the two writes
+        after_stage()
+    write_partitions(spark.read.schema(schema).parquet(attempt), path, partition_by, sort_by)
+    drop_scratch(spark, staging)

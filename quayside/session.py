@@ -48,12 +48,18 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "quayside",
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, checkpoint_dir: str | None = None,
+                  input_bytes: int | None = None) -> SparkSession:
+    """A session with the defaults above.  `checkpoint_dir` names the shared
+    folder for intermediate files (required off local mode, see
+    `checkpoint_root`); `input_bytes` adds the settings of `cluster_conf`."""
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.ui.enabled", "false")
          .config("spark.driver.memory", os.environ.get("QUAYSIDE_DRIVER_MEMORY", "8g")))
-    for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
+    sized = cluster_conf(input_bytes) if input_bytes else {}
+    shared = {"spark.checkpoint.dir": checkpoint_dir} if checkpoint_dir else {}
+    for k, v in {**SESSION_DEFAULTS, **sized, **shared, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -63,18 +69,34 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`.
 
-    On a cluster this setting names storage every executor can reach; it is
-    only filled in here when unset (local runs and tests).
+    On a cluster it must be named: executors could not read each other's
+    files in a folder of one machine, so an unset folder is an error there.
+    Only a session in local mode (one machine) falls back to a temporary one.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
-        # Apply the cluster's setting to the context (RDD/DataFrame
-        # checkpoints use it); only an unset session gets a local folder.
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="quayside-ckpt-"))
+        if configured is None:
+            if not is_local(sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            configured = tempfile.mkdtemp(prefix="quayside-ckpt-")
+        # DataFrame checkpoints use the context's folder.
+        sc.setCheckpointDir(configured)
     return (configured or sc.getCheckpointDir()).rstrip("/")
 
 
+def is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the checkpoint folder for one run's files."""
     return f"{checkpoint_root(spark)}/quayside/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Remove scratch folders whose files nothing reads any more."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)

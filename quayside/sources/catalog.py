@@ -49,6 +49,12 @@ class Inputs:
             return df
         return self.spark.read.schema(schema).parquet(path)
 
+    def domain(self, name: str) -> DataFrame:
+        """A domain input, derived from the driver tables."""
+        from quayside.sources import standins
+
+        return getattr(standins, name)(self)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in DRIVER_TABLES:
             return self.table(name)
@@ -59,7 +65,14 @@ def load_inputs(spark: SparkSession, base_dir: str) -> Inputs:
     return Inputs(spark, base_dir)
 
 
-def read_csv_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def write_csv_export(df: DataFrame, path: str, null_value: str = "\\N") -> None:
+    """CSV export with a header row; nulls are written apart from empty text."""
+    (df.write.option("header", True).option("nullValue", null_value)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+def read_csv_export(spark: SparkSession, path: str, schema: str | StructType, null_value: str = "\\N") -> DataFrame:
     """Daily CSV export (header row) read with an explicit schema, as RAW
     tables are loaded; no schema inference pass over the data."""
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    reader = spark.read.schema(schema).option("header", True).option("nullValue", null_value)
+    return reader.option("mode", "PERMISSIVE").csv(path)

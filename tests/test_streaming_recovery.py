@@ -1,6 +1,6 @@
-"""A micro-batch that dies after writing its snapshot version but before the
-stream commits its offset is re-run on restart; the table ends up exactly
-as the one-shot batch upsert."""
+"""Merges into the stored snapshot survive crashes, replays and other writers."""
+
+import datetime as dt
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -18,27 +18,107 @@ SCHEMA = ("carrier string, _id string, ordinal bigint, container_number string,
           "date string, time string, transport string, last_updated string, seq bigint")
 
 
-def test_stream_upsert_survives_a_crash_after_write(spark):
+def _stored_target(spark):
     target, batch = RM.upsert_inputs(load_inputs(spark, SMALL))
-    table = U.SnapshotTable(spark, scratch_path(spark, "t-recover"), RM.PARTITIONS)
-    table.write(RM.with_event_partition(U.latest_per_key(target, RM.KEYS)), 0)
-    src = scratch_path(spark, "t-recover-src")
-    batch.withColumn("last_updated", F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss")) \
-        .repartition(4, "ordinal").write.json(src)
-    ckpt = scratch_path(spark, "t-recover-ckpt")
+    first = RM.with_event_partition(U.latest_per_key(target, RM.KEYS))
+    path = scratch_path(spark, "t-recover")
+    U.write_partitions(first, path, RM.PARTITIONS)
+    return target, batch, first, path
 
+
+def _prepare(columns):
     def prepare(df):
-        return RM.with_event_partition(df.withColumn("last_updated",
-                                                     F.to_timestamp_ntz("last_updated")))
+        return RM.with_event_partition(df.withColumn("last_updated", F.to_timestamp_ntz("last_updated"))).select(*columns)
+    return prepare
+
+
+def _same(got, want):
+    got = got.select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("when", ["after_stage", "after_merge"])
+def test_stream_upsert_survives_a_crash(spark, when):
+    """A micro-batch that dies between its two writes, or after them but
+    before the stream commits its offset, is run again on restart."""
+    target, batch, first, path = _stored_target(spark)
+    src, ckpt = scratch_path(spark, "t-recover-src"), scratch_path(spark, "t-recover-ckpt")
+    batch.withColumn("last_updated", F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss")) \
+        .repartition(4, "ordinal").write.json(src)
 
-    def crash_once(epoch):
+    def crash(epoch):
         if epoch == 1:
-            raise RuntimeError("simulated loss after the snapshot write")
+            raise RuntimeError("simulated loss")
 
+    run = dict(schema=SCHEMA, max_files_per_trigger=2)
     with pytest.raises(StreamingQueryException):
-        ING.upsert_available(spark, src, table, RM.KEYS, prepare, ckpt, max_files_per_trigger=2,
-                             schema=SCHEMA, after_merge=crash_once)
-    out = ING.upsert_available(spark, src, table, RM.KEYS, prepare, ckpt, max_files_per_trigger=2, schema=SCHEMA)
-    want = U.upsert(target, batch, RM.KEYS).drop("seq")
-    got = out.drop("seq", "_pday").select(*want.columns)
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        ING.upsert_available(spark, src, path, RM.KEYS, RM.PARTITIONS, _prepare(first.columns), ckpt, **run, **{when: crash})
+    # Another writer merges before the stream comes back.
+    extra = first.limit(1).withColumns({"_id": F.lit("other|x|2024-01-05|1"), "date": F.lit("2024-01-05"), "last_updated": F.lit(dt.datetime(2024, 2, 1))})
+    extra = RM.with_event_partition(extra.drop(*RM.PARTITIONS)).select(*first.columns)
+    U.merge_snapshot(path, extra, RM.KEYS, RM.PARTITIONS, scratch_path(spark, "t-other"))
+    ING.upsert_available(spark, src, path, RM.KEYS, RM.PARTITIONS, _prepare(first.columns), ckpt, **run)
+    want = U.upsert(U.upsert(target, batch, RM.KEYS), extra.drop(*RM.PARTITIONS), RM.KEYS).drop("seq")
+    _same(U.read_snapshot(spark, path, first.schema).drop("seq", *RM.PARTITIONS), want)
+
+
+def test_a_daily_merge_and_a_new_stream_keep_each_others_rows(spark):
+    target, batch, first, path = _stored_target(spark)
+    rows = RM.with_event_partition(batch).select(*first.columns)
+    U.merge_snapshot(path, rows.filter("seq % 4 = 0"), RM.KEYS, RM.PARTITIONS, scratch_path(spark, "t-daily"))
+    src = scratch_path(spark, "t-new-src")
+    batch.filter("seq % 4 != 0").withColumn("last_updated", F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss")).write.json(src)
+    ING.upsert_available(spark, src, path, RM.KEYS, RM.PARTITIONS, _prepare(first.columns), scratch_path(spark, "t-new-ckpt"), schema=SCHEMA)
+    _same(U.read_snapshot(spark, path, first.schema).drop("seq", *RM.PARTITIONS), U.upsert(target, batch, RM.KEYS).drop("seq"))
+
+
+def _rows(spark, rows):
+    schema = ("carrier string, _id string, date string, container_number string, status string, "
+              "last_updated timestamp_ntz, seq bigint")
+    return RM.with_event_partition(spark.createDataFrame(rows, schema))
+
+
+def test_padded_dates_and_blank_carriers_share_their_keys_partition(spark):
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    path = scratch_path(spark, "t-odd")
+    first = _rows(spark, [("HLCU", "a", "2024-01-05 ", "C", "old", t1, 1), ("", "b", "", "C", "old", t1, 2),
+                          (" ", "c", "x/y=z", "C", "old", t1, 3)])
+    U.write_partitions(first, path, RM.PARTITIONS)
+    batch = _rows(spark, [("HLCU", "a", "2024-01-05", "C", "new", t2, 4), ("", "b", None, "C", "new", t2, 5)])
+    U.merge_snapshot(path, batch, RM.KEYS, RM.PARTITIONS, scratch_path(spark, "t-odd-staged"))
+    got = sorted((r._id, r.status) for r in U.read_snapshot(spark, path, first.schema).collect())
+    assert got == [("a", "new"), ("b", "new"), ("c", "old")]
+
+
+def test_only_a_missing_path_reads_as_empty(spark, tmp_path):
+    schema = spark.range(1).schema
+    assert U.read_snapshot(spark, str(tmp_path / "none"), schema).count() == 0
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        U.read_snapshot(spark, str(tmp_path / "bad"), schema).count()
+
+
+def test_rows_that_arrive_late_with_the_marks_time_are_read(spark, tmp_path):
+    t1 = dt.datetime(2024, 1, 1)
+    schema = "k string, last_updated timestamp_ntz"
+    a = spark.createDataFrame([("a", t1)], schema)
+    mark = ING.HighWaterMark(spark, str(tmp_path / "mark"))
+    mark.commit(mark.changes(a))
+    both = a.unionByName(spark.createDataFrame([("late", t1)], schema))
+    changes = mark.changes(both)
+    assert [r.k for r in changes.collect()] == ["late"]
+    mark.commit(changes)
+    assert mark.changes(both).count() == 0
+
+
+def test_fields_absent_from_a_batch_survive_and_failures_count(spark):
+    schema = "k string, v string, w string, last_updated timestamp_ntz, seq bigint"
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    target = spark.createDataFrame([("a", "old", "keep", t1, 1)], schema)
+    batch = spark.createDataFrame([("a", "new", t2, 2), ("a", "new", t2, 3), ("b", "x", t2, 4), (None, "lost", t2, 5)],
+                                  "k string, v string, last_updated timestamp_ntz, seq bigint")
+    got = sorted((r.k, r.v, r.w) for r in U.upsert(target, batch, ["k"]).collect())
+    assert got == [("a", "new", "keep"), ("b", "x", None)]
+    m = U.upsert_metrics(target, batch, ["k"]).first()
+    assert (m.inserted, m.updated, m.total_processed, m.failed) == (1, 1, 4, 1)
