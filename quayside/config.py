@@ -17,6 +17,10 @@ AS_OF_SQL = "TIMESTAMP '2024-01-20 00:00:00'"
 # FIXED VALUES -- must equal the reference's for right results.
 # ---------------------------------------------------------------------------
 
+# Carrier codes.
+HLCU = "HLCU"
+MAEU = "MAEU"
+
 # Tracking-type labels.
 HISTORIC = "Historic Tracking"
 CURRENT = "Current Tracking"
@@ -25,6 +29,20 @@ TRACKING_TYPES = (HISTORIC, CURRENT, FUTURE)
 LATEST = "Latest"
 NOT_FOUND_STATUS = "Container Not Found"
 
+# Column order of the per-run carrier files.
+HLCU_EXPORT_COLUMNS = ("container_number", "concat_1", "concat_2", "concat_3", "type_of_tracking", "status",
+                       "place_of_activity", "date", "time", "transport", "duplicates")
+MAEU_EXPORT_COLUMNS = ("container_number", "concat_1", "concat_2", "concat_3", "type_of_tracking", "status",
+                       "location", "date", "time", "vessel_name", "transport", "duplicates")
+
+# Payload files: name pattern per carrier, and record fields.
+CARRIER_FILES = (
+    {"pattern": "hapag_lloyd_tracking_*.json", "carrier": "HLCU"},
+    {"pattern": "maersk_tracking_*.json", "carrier": "MAEU"},
+)
+RECORD_FIELDS = ("Container_Number", "Concat_1", "Concat_2", "Concat_3", "Type_of_Tracking", "Status",
+                 "Place_of_Activity", "Location", "Date", "Time", "Vessel_Name", "Transport", "Duplicates")
+
 # Statuses whose concat key carries the transport text (carrier H).
 TRANSPORT_STATUSES = ("Arrival in", "Departure from")
 

@@ -89,6 +89,13 @@ def normalize_id_timestamp(v) -> Column:
     return F.date_format(col_(v), "yyyyMMdd").cast("double")
 
 
-def id_key(v) -> Column:
-    """Normalised numeric id as a bigint join key (exact for integral ids)."""
-    return normalize_id_numeric(v).cast("bigint")
+def id_key(v, spreadsheet: bool = False) -> Column:
+    """Shipment id as a bigint join key (exact for integral ids).  Numbers in
+    spreadsheet cells may be serial dates (`spreadsheet`); ids of staged tables
+    are declared integers and stay what they are."""
+    return normalize_id_numeric(v).cast("bigint") if spreadsheet else col_(v).cast("bigint")
+
+
+def run_stamp(v) -> Column:
+    """A run's time as file names carry it: yyyyMMdd_HHmmss."""
+    return F.date_format(ntz_lit(v), "yyyyMMdd_HHmmss")

@@ -107,6 +107,11 @@ def with_concat_keys_hlcu(df: DataFrame) -> DataFrame:
     return df.withColumns(keys)
 
 
+def with_concat_2_hlcu(df: DataFrame) -> DataFrame:
+    """The duplicate key alone; it does not depend on the tracking type."""
+    return df.withColumn("concat_2", T.concat_keys_hlcu("container_number", "status", "transport", F.lit(""))["concat_2"])
+
+
 def with_concat_keys_maeu(df: DataFrame) -> DataFrame:
     keys = T.concat_keys_maeu("container_number", "status", "type_of_tracking")
     return df.withColumns(keys)
@@ -120,15 +125,16 @@ def with_event_id(df: DataFrame, out: str = "_id",
 # ---------------------------------------------------- latest-duplicate flag
 def flag_latest(df: DataFrame, group: str = "concat_2", ts: str = "event_ts",
                 ordinal: str = "ordinal", fallback_first: bool = True,
-                out: str = "duplicates") -> DataFrame:
+                out: str = "duplicates", rows: DataFrame | None = None) -> DataFrame:
     """In every group with more than one row, mark one row 'Latest'.
 
     The winner is the row with the greatest timestamp, first in input order
     on ties.  If no row of the group has a valid timestamp, the first row
     wins when `fallback_first` (carrier H) and no row does otherwise
-    (carrier M).  All other rows get ''.
+    (carrier M).  All other rows get ''.  `rows` may name a leaner frame with
+    the same ordinals to pick the winners from.
     """
-    g = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.max(latest_first_key(ts, ordinal)).alias("w"))
+    g = (df if rows is None else rows).groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.max(latest_first_key(ts, ordinal)).alias("w"))
     g = g.filter(F.col("n") > 1)
     if not fallback_first:
         g = g.filter(key_has_ts(F.col("w")))
@@ -185,6 +191,12 @@ def container_summary_preview(summary: DataFrame, n: int = 20, key: str = "conta
     return summary.orderBy(key).limit(n)
 
 
+def distinct_types(df: DataFrame, col: str = "type_of_tracking", ordinal: str = "ordinal") -> DataFrame:
+    """The distinct values of a column in order of first appearance (their
+    smallest ordinal)."""
+    return df.groupBy(col).agg(F.min(ordinal).alias("first_ordinal")).orderBy("first_ordinal")
+
+
 def current_events(df: DataFrame) -> DataFrame:
     return df.filter(F.col("type_of_tracking") == C.CURRENT)
 
@@ -201,15 +213,16 @@ def journey_timeline(df: DataFrame, key: str = "container_number", ts: str = "ev
     task: the rows are range-partitioned on (container, ts, ordinal), so a
     container with a large share of all rows spans several partitions in
     order.  The partition index is fixed with a reliable checkpoint (shared
-    checkpoint folder; re-reads are stable even if executors are lost).
+    checkpoint folder; re-reads are stable even if executors are lost), which
+    runs when the plan is built: both branches below must see the same slices.
     Per-(container, partition) counts and last statuses -- at most one row
     per partition per container -- give each slice its running offset and
     the status before it; inside a slice, row_number/lag run over at most one
     partition's rows.
     """
-    spark = df.sparkSession
     from quayside.session import checkpoint_root
 
+    spark = df.sparkSession
     checkpoint_root(spark)  # make sure a checkpoint folder is configured
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ev = (df.filter(F.col(ts).isNotNull())

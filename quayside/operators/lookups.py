@@ -10,7 +10,8 @@ aggregate, which Spark combines per map partition before the shuffle, so a
 key holding a large share of the dimension does not concentrate in one task.
 The join itself is left to the planner: AQE broadcasts the de-duplicated
 side when its measured size is under `spark.sql.autoBroadcastJoinThreshold`
-and falls back to a (skew-split) shuffle join otherwise.
+and falls back to a shuffle join otherwise, with null keys spread and hot
+keys split (`_left_join`).
 """
 
 from __future__ import annotations
@@ -48,14 +49,29 @@ def lookup_join(base: DataFrame, dim: DataFrame, base_key, dim_key: str, cols: d
                       base_key, broadcast)
 
 
+# Places over which base rows with a null key are spread.
+NULL_PLACES = 256
+
+
 def _left_join(base: DataFrame, d: DataFrame, base_key, broadcast: bool = False) -> DataFrame:
-    """Left join on `d._lk`.  For a named base key the dimension key is
-    renamed to it and joined by name (one analysed step, no extra column)."""
+    """Left join on `d._lk` (a column name is kept as the base's column).
+
+    The join key is (key, place): 0 for every value, and for a null key a
+    place by the row's hash, so null-key rows (which never match) are spread
+    over the reducers instead of meeting in one.  Having its own key, the join
+    also shuffles the de-duplicated side anew, and adaptive execution can
+    split the partition of a hot key.
+    """
     if broadcast:
         d = F.broadcast(d)
-    if isinstance(base_key, str):
-        return base.join(d.withColumnRenamed("_lk", base_key), base_key, "left")
-    return base.join(d, base_key == d["_lk"], "left").drop("_lk")
+    key = F.col(base_key) if isinstance(base_key, str) else base_key
+    if broadcast:
+        return base.join(d, key == d["_lk"], "left").drop("_lk")
+    spread = F.pmod(F.xxhash64(*base.columns), F.lit(NULL_PLACES - 1)) + 1
+    b = base.withColumn("_place", F.when(key.isNull(), spread).otherwise(F.lit(0)).cast("bigint"))
+    # always 0, but not a constant that could be folded out of the join key
+    d = d.withColumn("_zero", F.pmod(F.xxhash64("_lk"), F.lit(1)).cast("bigint"))
+    return b.join(d, (key == d["_lk"]) & (b["_place"] == d["_zero"]), "left").drop("_lk", "_place", "_zero")
 
 
 def join_dimension(base: DataFrame, dim: DataFrame, base_key, dim_key: str, cols: dict[str, str],
@@ -70,23 +86,21 @@ def join_dimension(base: DataFrame, dim: DataFrame, base_key, dim_key: str, cols
     return _left_join(base, d, base_key, broadcast)
 
 
-def lookup_join_rules(base: DataFrame, dim: DataFrame, base_key, dim_key: str,
-                      last: dict[str, str] | None = None, first: dict[str, str] | None = None,
-                      ordinal: str = "ordinal") -> DataFrame:
+def dedupe_rules(dim: DataFrame, key: str, last: dict[str, str] | None = None, first: dict[str, str] | None = None,
+                 ordinal: str = "ordinal", key_alias: str | None = None) -> DataFrame:
     """One grouped pass over `dim` serving both rules for the same key: the
     `last` columns from the highest-ordinal row and the `first` columns from
-    the lowest, then a single left join."""
+    the lowest."""
     last, first = dict(last or {}), dict(first or {})
     aggs = []
     if last:
         aggs.append(F.max_by(F.struct(*[F.col(c) for c in last]), F.col(ordinal)).alias("_l"))
     if first:
         aggs.append(F.min_by(F.struct(*[F.col(c) for c in first]), F.col(ordinal)).alias("_f"))
-    d = dim.filter(F.col(dim_key).isNotNull()).groupBy(dim_key).agg(*aggs)
-    d = d.select(F.col(dim_key).alias("_lk"),
-                 *[F.col("_l").getField(s).alias(t) for s, t in last.items()],
-                 *[F.col("_f").getField(s).alias(t) for s, t in first.items()])
-    return _left_join(base, d, base_key)
+    d = dim.filter(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    return d.select(F.col(key).alias(key_alias or key),
+                    *[F.col("_l").getField(s).alias(t) for s, t in last.items()],
+                    *[F.col("_f").getField(s).alias(t) for s, t in first.items()])
 
 
 def reference_table(spark, rows, schema: str) -> DataFrame:

@@ -67,34 +67,47 @@ def shipment_extract(es: DataFrame, srefs: DataFrame, milestones: DataFrame, ul_
     map-side): milestone rows to (shipment, unit load, consol DUNS), unit-load
     attributes to one set per unit load, packages to one set per shipment.
     The branches then meet on the shipment id, so the shipment side is
-    partitioned once; the final DISTINCT gives the same rows as joining the
-    raw tables.
+    partitioned once.
+
+    Only active shipments are kept, so every branch is first reduced to their
+    ids (semi joins), and the unit-load tables to the unit loads of those.  The
+    four kinds of references come from one scan and one de-duplication.  Every
+    branch is distinct per shipment, so their combinations are distinct and no
+    DISTINCT over the wide result is needed.
     """
     s = es.filter(F.col("current_state_type_id") == C.ACTIVE_STATE)
-    s = restrict_to_ids(s, active_ids, "em_shipment_id", "sti")
-
-    def ref(type_id, name):
-        return srefs.filter(F.col("reference_type_id") == type_id).select(
-            F.col("em_shipment_id").alias(f"_e_{name}"), F.col("reference_number").alias(name)).distinct()
-
-    for type_id, name in ((C.REF_MODE, "mode"), (C.REF_CCA_LOCATION, "cca_location"),
-                          (C.REF_PRN, "prn"), (C.REF_SO, "so")):
-        r = ref(type_id, name)
+    s = restrict_to_ids(s, active_ids, "em_shipment_id", "sti").select(
+        "em_shipment_id", "shipment_id_number", "shipment_pieces", "ultimate_origin_alias", "ultimate_dest_alias",
+        "shipment_cube", "shipment_weight").distinct()
+    ids = s.select(F.col("em_shipment_id").alias("_id")).distinct()
+
+    def active(df: DataFrame, col: str, of: DataFrame = ids) -> DataFrame:
+        return df.join(of, df[col] == of["_id"], "left_semi")
+
+    kinds = ((C.REF_MODE, "mode"), (C.REF_CCA_LOCATION, "cca_location"), (C.REF_PRN, "prn"), (C.REF_SO, "so"))
+    refs = srefs.filter(F.col("reference_type_id").isin([k for k, _ in kinds]))
+    refs = active(refs.select("em_shipment_id", "reference_type_id", "reference_number"), "em_shipment_id").distinct()
+    for type_id, name in kinds:
+        r = refs.filter(F.col("reference_type_id") == type_id).select(
+            F.col("em_shipment_id").alias(f"_e_{name}"), F.col("reference_number").alias(name))
         s = s.join(r, s["em_shipment_id"] == r[f"_e_{name}"], "left").drop(f"_e_{name}")
 
     # Unit-load branch: milestones (with their consol DUNS) x unit-load attributes.
-    ms = consol_locations(milestones, entities).select(
+    ms = consol_locations(active(milestones, "em_shipment_id"), entities).select(
         F.col("em_shipment_id").alias("_m_sid"), "master_unitload_id", "consol_dun").distinct()
-    hbl = ul_refs.filter(F.col("reference_type_id") == C.REF_HBL).select(
+    loads = active(milestones, "em_shipment_id").select(F.col("master_unitload_id").alias("_id")).distinct()
+    ul = active(ul_refs, "master_unitload_id", loads)
+    hbl = ul.filter(F.col("reference_type_id") == C.REF_HBL).select(
         F.col("master_unitload_id").alias("_u"), F.col("reference_number").alias("hbl")).distinct()
-    mbl = priority_pick(ul_refs, "master_unitload_id", dict(C.MBL_PRIORITY), "mbl").select(
+    mbl = priority_pick(ul, "master_unitload_id", dict(C.MBL_PRIORITY), "mbl").select(
         F.col("master_unitload_id").alias("_u2"), "mbl")
-    ca = cassn.select(F.col("master_unitload_id").alias("_v"), F.col("container_attributes_id").alias("_cid"))
+    ca = active(cassn, "master_unitload_id", loads).select(
+        F.col("master_unitload_id").alias("_v"), F.col("container_attributes_id").alias("_cid"))
     c = cattr.select(F.col("container_attributes_id").alias("_c"), F.col("conveyance_id_number").alias("cont_id"),
                      F.col("conveyance_type_desc").alias("cont_type"), F.col("conveyance_cube").alias("vol2"),
                      F.col("conveyance_weight").alias("weight2"))
     cont = ca.join(c, ca["_cid"] == c["_c"], "left").drop("_c", "_cid").distinct()
-    sd = sdocs.select(F.col("master_unitload_id").alias("_t"), F.col("status_doc_id").alias("_doc"))
+    sd = active(sdocs, "master_unitload_id", loads).select(F.col("master_unitload_id").alias("_t"), F.col("status_doc_id").alias("_doc"))
     lane_ref = sdoc_refs.filter(F.col("reference_type_id") == C.REF_LANE).select(
         F.col("status_doc_id").alias("_sd"), F.col("reference_number").alias("lane_id"))
     lanes = sd.join(lane_ref, sd["_doc"] == lane_ref["_sd"], "left").drop("_sd", "_doc").distinct()
@@ -106,7 +119,7 @@ def shipment_extract(es: DataFrame, srefs: DataFrame, milestones: DataFrame, ul_
     u = u.drop("master_unitload_id").distinct()
 
     # Package branch.
-    oa = oassn.select(F.col("em_shipment_id").alias("_p_sid"), F.col("order_id").alias("_order"))
+    oa = active(oassn, "em_shipment_id").select(F.col("em_shipment_id").alias("_p_sid"), F.col("order_id").alias("_order"))
     pk = opkg.select(F.col("order_id").alias("_op"), F.col("package_id_number").alias("packaging_type"))
     pkg = oa.join(pk, oa["_order"] == pk["_op"], "left").drop("_op", "_order").distinct()
 
@@ -120,4 +133,4 @@ def shipment_extract(es: DataFrame, srefs: DataFrame, milestones: DataFrame, ul_
         "mode", "cca_location", "prn", "so", "hbl", "mbl", "cont_id", "cont_type", "lane_id",
         F.col("shipment_cube").alias("vol1"), F.col("shipment_weight").alias("weight1"), "vol2", "weight2",
         "packaging_type", "consol_dun",
-    ).distinct()
+    )

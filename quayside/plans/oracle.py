@@ -8,7 +8,9 @@ Windows are fine here: the oracle only checks results at small scale.
 
 from __future__ import annotations
 
-AS_OF = "TIMESTAMP '2024-01-20 00:00:00'"
+from quayside import config as C
+
+AS_OF = C.AS_OF_SQL
 
 CTE: dict[str, tuple[str, tuple[str, ...]]] = {}
 
@@ -66,6 +68,7 @@ FROM events""")
 
 cte("hx0", """
 SELECT ordinal, container_number, status, place AS place_of_activity, date, time, transport,
+  strptime(scraped_at, '%Y%m%d_%H%M%S') AS last_updated,
   try_strptime(date || ' ' || time, '%Y-%m-%d %H:%M') AS event_ts
 FROM trk WHERE carrier = 'HLCU'""", ("trk",))
 
@@ -96,6 +99,7 @@ FROM hx2""", ("hx2",))
 
 cte("mx0", """
 SELECT ordinal, container_number, status, place AS location, date, time, vessel_name, transport,
+  strptime(scraped_at, '%Y%m%d_%H%M%S') AS last_updated,
   'Current Tracking' AS type_of_tracking,
   container_number || coalesce(status, '') || 'Current Tracking' AS concat_1,
   container_number || coalesce(status, '') AS concat_2,
@@ -130,26 +134,28 @@ _VS, _VV = _vessel("status")
 
 cte("stg_h", """
 SELECT container_number, status, place_of_activity, event_date, event_time, event_timestamp, transport,
-       type_of_tracking, duplicates, ordinal FROM (
+       type_of_tracking, duplicates, last_updated, ordinal FROM (
   SELECT upper(regexp_replace(container_number, '[^A-Za-z0-9]', '', 'g')) AS container_number, status,
     place_of_activity, date AS event_date, time AS event_time, event_ts AS event_timestamp, transport,
-    type_of_tracking, duplicates, ordinal,
+    type_of_tracking, duplicates, last_updated, ordinal,
     row_number() OVER (PARTITION BY upper(regexp_replace(container_number, '[^A-Za-z0-9]', '', 'g')),
-                       status, event_ts ORDER BY ordinal DESC) AS rn
+                       status, event_ts, CASE WHEN event_ts IS NULL THEN coalesce(date, '') || '|' || coalesce(time, '') END
+                       ORDER BY ordinal DESC) AS rn
   FROM hexp WHERE status IS NOT NULL) WHERE rn = 1""", ("hexp",))
 
 cte("stg_m", f"""
 SELECT container_number, status, location, event_date, event_time, event_timestamp, vessel_name, transport,
-       type_of_tracking, duplicates, ordinal FROM (
-  SELECT *, row_number() OVER (PARTITION BY container_number, status, event_timestamp ORDER BY ordinal DESC) AS rn
+       type_of_tracking, duplicates, last_updated, ordinal FROM (
+  SELECT *, row_number() OVER (PARTITION BY container_number, status, event_timestamp,
+      CASE WHEN event_timestamp IS NULL THEN coalesce(date, '') || '|' || coalesce(event_time, '') END ORDER BY ordinal DESC) AS rn
   FROM (
     SELECT upper(regexp_replace(container_number, '[^A-Za-z0-9]', '', 'g')) AS container_number,
       {_VS} AS status, location,
-      strftime(try_strptime(date, '%d %b %Y'), '%Y-%m-%d') AS event_date,
+      strftime(try_strptime(date, '%d %b %Y'), '%Y-%m-%d') AS event_date, date,
       time AS event_time,
       try_strptime(date || ' ' || time, '%d %b %Y %H:%M') AS event_timestamp,
       CASE WHEN {trim_ws("coalesce(vessel_name, '')")} = '' THEN {_VV} ELSE vessel_name END AS vessel_name,
-      transport, type_of_tracking, duplicates, ordinal
+      transport, type_of_tracking, duplicates, last_updated, ordinal
     FROM mexp WHERE status IS NOT NULL))
 WHERE rn = 1""", ("mexp",))
 
@@ -157,10 +163,10 @@ cte("fct", """
 SELECT carrier || '|' || container_number || '|' || status || '|' ||
          coalesce(strftime(event_timestamp, '%Y-%m-%d %H:%M'), '') AS event_id, * FROM (
   SELECT container_number, 'HLCU' AS carrier, status, place_of_activity AS location, event_timestamp,
-         type_of_tracking, '' AS vessel_name, transport, ordinal FROM stg_h
+         type_of_tracking, '' AS vessel_name, transport, last_updated, ordinal FROM stg_h
   UNION ALL
   SELECT container_number, 'MAEU' AS carrier, status, location, event_timestamp,
-         type_of_tracking, vessel_name, '' AS transport, ordinal FROM stg_m)""", ("stg_h", "stg_m"))
+         type_of_tracking, vessel_name, '' AS transport, last_updated, ordinal FROM stg_m)""", ("stg_h", "stg_m"))
 
 # Card table (carrier M page items).
 cte("cards0", """
@@ -285,6 +291,15 @@ SELECT ordinal, container_number, event_ts, status, type_of_tracking,
 FROM hexp WHERE event_ts IS NOT NULL
 WINDOW w AS (PARTITION BY container_number ORDER BY event_ts, ordinal)""")
 
+q("distinct_types", ("hexp",), "SELECT type_of_tracking, min(ordinal) AS first_ordinal FROM hexp GROUP BY type_of_tracking")
+SQL["container_summary_preview"] = SQL["container_summary"] + " ORDER BY a.container_number LIMIT 20"
+q("latest_duplicates_preview", ("hexp",), f"""
+SELECT ordinal, container_number, status, type_of_tracking, date, time, duplicates
+FROM hexp WHERE duplicates = '{C.LATEST}' ORDER BY ordinal LIMIT 10""")
+q("container_type_lookup", ("hexp",), f"""
+SELECT ordinal, container_number, status, date, time, type_of_tracking
+FROM hexp WHERE container_number = 'CONT0000007' AND type_of_tracking = '{C.HISTORIC}'""")
+
 q("container_lookup", ("hexp",), """
 SELECT ordinal, container_number, status, date, time, type_of_tracking, duplicates
 FROM hexp WHERE container_number = 'CONT0000007'""")
@@ -352,6 +367,8 @@ _SHIP_COLS = f"""
   {_d(5)} AS actual_outgate_pod, {_d(6)} AS actual_arrival_dest_rail, {_d(7)} AS actual_departure_dest_rail,
   {_d(8)} AS actual_arrival_final_dest,
   o_orderdate + INTERVAL 12 DAY AS eta,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderkey % 60 AS DOUBLE) + 0.5 END AS cbm,
+  CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_custkey % 900 AS DOUBLE) * 10 END AS weight_kg,
   {{loaded}} AS _loaded_at"""
 
 cte("ship_raw", "SELECT " + _SHIP_COLS.format(vessel="'VESSEL ' || CAST(o_orderkey % 40 AS VARCHAR)",
@@ -380,7 +397,9 @@ SELECT sti_number, container_number, scac_code AS carrier,
        WHEN actual_departure_consol IS NOT NULL THEN '4. Outgate CFS'
        WHEN ship_date_from_supplier IS NOT NULL THEN '2. Departed Supplier'
   END AS status_of_container,
-  pol, pod, vessel_name, eta, actual_arrival_pod
+  pol, pod, vessel_name, eta, actual_arrival_pod, cbm, weight_kg,
+  ship_date_from_supplier, actual_departure_consol, actual_arrival_pol, actual_departure_pol, actual_outgate_pod,
+  actual_arrival_dest_rail, actual_departure_dest_rail, actual_arrival_final_dest
 FROM stg_ship""")
 
 q("dim_containers", ("fct", "stg_ship"), """
@@ -406,10 +425,8 @@ def s(x: str) -> str:
 
 
 def nk(x: str) -> str:
-    """Normalised numeric shipment id (spreadsheet serials -> yyyymmdd)."""
-    v = f"CAST({x} AS DOUBLE)"
-    return (f"(CASE WHEN {v} > 20000 AND {v} < 90000 THEN CAST(strftime(DATE '1899-12-30' + "
-            f"CAST(floor({v}) AS INTEGER), '%Y%m%d') AS BIGINT) ELSE CAST({v} AS BIGINT) END)")
+    """Shipment id of a table column declared as an integer: kept plain."""
+    return f"CAST({x} AS BIGINT)"
 
 
 def dedupe(src: str, key: str, cols: str, keep: str = "last", ordinal: str = "ordinal") -> str:
@@ -810,11 +827,13 @@ T1 = "TIMESTAMP '2024-01-19 00:00:00'"
 cte("ev", f"SELECT carrier, {_ID} AS _id, ordinal, container_number, status, place, date, time, transport FROM trk",
     ("trk",))
 cte("tgt", f"SELECT *, {T1} AS last_updated, ordinal * 2 AS seq FROM ev WHERE ordinal % 3 <> 0", ("ev",))
+_SENT = "(ordinal % 4 < 2 OR ordinal % 3 = 0)"
 cte("bat", f"""
-SELECT *, {AS_OF} AS last_updated, ordinal * 2 AS seq FROM ev WHERE ordinal % 4 < 2
+SELECT *, {AS_OF} AS last_updated, ordinal * 2 AS seq FROM ev WHERE {_SENT}
 UNION ALL
-SELECT carrier, _id, ordinal, container_number, status, place, date, time, transport || ' (resent)',
-  {AS_OF}, ordinal * 2 + 1 FROM ev WHERE ordinal % 20 < 2""", ("ev",))
+SELECT carrier, _id, ordinal, container_number, status, place, date, time,
+  CASE WHEN ordinal % 20 < 2 THEN transport || ' (resent)' ELSE transport END,
+  {AS_OF}, ordinal * 2 + 1 FROM ev WHERE {_SENT} AND (ordinal % 20 < 2 OR ordinal % 20 = 4)""", ("ev",))
 cte("ups", """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY carrier, _id ORDER BY last_updated DESC, seq DESC) AS rn
@@ -824,12 +843,16 @@ q("event_upsert", ("ups",), "SELECT * EXCLUDE (seq) FROM ups")
 q("stream_upsert", ("ups",), "SELECT * EXCLUDE (seq) FROM ups")
 q("incremental_read", ("ups",), f"SELECT * EXCLUDE (seq) FROM ups WHERE last_updated > {T1}")
 q("upsert_metrics", ("tgt", "bat"), """
-SELECT b.carrier, count(*) FILTER (WHERE t._id IS NULL) AS inserted,
-  CAST(sum(b.n) AS BIGINT) - count(*) FILTER (WHERE t._id IS NULL) AS updated,
-  CAST(sum(b.n) AS BIGINT) AS total_processed, CAST(0 AS BIGINT) AS failed
-FROM (SELECT carrier, _id, count(*) AS n FROM bat GROUP BY carrier, _id) b
-LEFT JOIN (SELECT DISTINCT carrier, _id FROM tgt) t ON b.carrier = t.carrier AND b._id = t._id
-GROUP BY b.carrier""")
+, per AS (
+  SELECT b.carrier, b._id, b.n, b.contents, t._id IS NULL AS is_new FROM (
+    SELECT carrier, _id, count(*) AS n,
+      count(DISTINCT (ordinal, container_number, status, place, date, time, transport)) AS contents
+    FROM bat GROUP BY carrier, _id) b
+  LEFT JOIN (SELECT DISTINCT carrier, _id FROM tgt) t ON b.carrier = t.carrier AND b._id = t._id)
+SELECT carrier, count(*) FILTER (WHERE is_new) AS inserted,
+  CAST(sum(contents) - count(*) FILTER (WHERE is_new) AS BIGINT) AS updated,
+  CAST(sum(n) AS BIGINT) AS total_processed, CAST(0 AS BIGINT) AS failed
+FROM per GROUP BY carrier""")
 q("raw_append", ("tgt", "bat"), f"""
 SELECT * EXCLUDE (last_updated), {T1} AS _loaded_at FROM tgt
 UNION ALL SELECT * EXCLUDE (last_updated), {AS_OF} AS _loaded_at FROM bat""")
@@ -839,35 +862,28 @@ SELECT 'HLCU' AS carrier, ordinal, container_number FROM watch WHERE container_n
 UNION ALL SELECT 'MAEU', ordinal, container_number FROM watch""")
 
 q("payload_build", ("trk",), "SELECT carrier, scraped_at, count(*) AS total_events FROM trk GROUP BY carrier, scraped_at")
-q("payload_explode", ("trk",), "SELECT carrier, scraped_at, ordinal, container_number, status, date, time FROM trk")
+q("payload_explode", ("trk",), f"""
+SELECT carrier, scraped_at, row_number() OVER (PARTITION BY carrier, scraped_at ORDER BY ordinal) - 1 AS ordinal,
+  container_number, container_number || coalesce(status, '') || part || '{C.CURRENT}' AS concat_1,
+  container_number || coalesce(status, '') || part AS concat_2, container_number || '{C.CURRENT}' AS concat_3,
+  status, date, time
+FROM (SELECT *, CASE WHEN carrier = '{C.HLCU}' THEN {_HPART} ELSE '' END AS part FROM trk)""")
 q("stream_ingest", ("trk",), "SELECT carrier, scraped_at, ordinal, container_number, status, date, time FROM trk")
 
-q("dq_payload", ("trk",), """
-, env AS (SELECT carrier, scraped_at, scrape_day, count(*) AS n
-          FROM trk GROUP BY carrier, scraped_at, scrape_day, CAST(floor(ordinal / 50000) AS BIGINT))
+q("dq_payload", ("trk",), f"""
+, env AS (SELECT carrier, scraped_at, scrape_day, count(*) AS n FROM trk GROUP BY carrier, scraped_at, scrape_day)
 , chk AS (
-  SELECT CASE WHEN carrier = 'MAEU' AND scrape_day % 11 = 0 THEN 'missing_field'
+  SELECT CASE WHEN carrier = '{C.MAEU}' AND scrape_day % 11 = 0 THEN 'missing_field'
               WHEN scrape_day % 5 = 0 THEN 'count_mismatch' ELSE 'ok' END AS check_name, n FROM env
   UNION ALL
-  SELECT 'corrupt_json', 0 FROM (SELECT DISTINCT scraped_at FROM trk WHERE carrier = 'HLCU' AND scrape_day % 7 = 0))
+  SELECT 'corrupt_json', 0 FROM (SELECT DISTINCT scraped_at FROM trk WHERE carrier = '{C.HLCU}' AND scrape_day % 7 = 0))
 SELECT check_name, count(*) AS n_payloads, CAST(sum(n) AS BIGINT) AS n_records FROM chk GROUP BY check_name""")
 
-q("latest_file_per_carrier", ("trk",), """
-, files AS (SELECT DISTINCT carrier, scraped_at, scrape_day FROM trk)
-, listing AS (
-  SELECT lower(carrier) || '_tracking_' || scraped_at || '.json' AS file_name,
-         strptime(scraped_at, '%Y%m%d_%H%M%S') AS modified_at FROM files
-  UNION ALL
-  SELECT lower(carrier) || '_tracking_' || scraped_at || '_copy.json',
-         strptime(scraped_at, '%Y%m%d_%H%M%S') + INTERVAL 1 MINUTE FROM files WHERE scrape_day % 10 = 0
-  UNION ALL
-  SELECT 'notes_' || scraped_at || '.txt', strptime(scraped_at, '%Y%m%d_%H%M%S') + INTERVAL 1 DAY FROM files)
-, m AS (SELECT *, CASE WHEN regexp_matches(file_name, '^hlcu_tracking_.*\\.json$') THEN 'HLCU'
-                       WHEN regexp_matches(file_name, '^maeu_tracking_.*\\.json$') THEN 'MAEU' END AS carrier
-        FROM listing)
-SELECT carrier, file_name, modified_at FROM (
-  SELECT *, row_number() OVER (PARTITION BY carrier ORDER BY modified_at DESC, file_name DESC) AS rn
-  FROM m WHERE carrier IS NOT NULL) WHERE rn = 1""")
+_NAMES = {c["carrier"]: c["pattern"].split("*") for c in C.CARRIER_FILES}
+q("latest_file_per_carrier", ("trk",), f"""
+SELECT carrier, CASE carrier WHEN '{C.HLCU}' THEN '{_NAMES[C.HLCU][0]}' ELSE '{_NAMES[C.MAEU][0]}' END
+  || max(scraped_at) || '.json' AS file_name
+FROM trk GROUP BY carrier""")
 
 _TD = "'<td> ' || coalesce({c}, '') || ' </td>'"
 q("extract_table_rows", ("trk",), f"""

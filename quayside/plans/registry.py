@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside import config as C
 from quayside.operators import events as E
 from quayside.plans import tracking as TR
-from quayside.sources import standins as S
+from quayside.sources import inputs as SRC
 from quayside.sources.catalog import load_inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,23 +41,24 @@ def q_parse_event_ts(spark, d):
 
 @query("classify_tracking")
 def q_classify_tracking(spark, d):
-    ex = TR.hlcu_export(load_inputs(spark, d))
-    return ex.select("ordinal", "container_number", "status", "date", "time", "event_ts", "type_of_tracking")
+    df = TR.hlcu_classified(load_inputs(spark, d))
+    return df.select("ordinal", "container_number", "status", "date", "time", "event_ts", "type_of_tracking")
 
 
 @query("concat_keys_hlcu")
 def q_concat_keys_hlcu(spark, d):
-    return TR.hlcu_export(load_inputs(spark, d)).select("ordinal", "concat_1", "concat_2", "concat_3")
+    df = E.with_concat_keys_hlcu(TR.hlcu_classified(load_inputs(spark, d)))
+    return df.select("ordinal", "concat_1", "concat_2", "concat_3")
 
 
 @query("flag_latest_hlcu")
 def q_flag_latest_hlcu(spark, d):
-    return TR.hlcu_export(load_inputs(spark, d)).select("ordinal", "concat_2", "duplicates")
+    return TR.hlcu_flagged(load_inputs(spark, d)).select("ordinal", "concat_2", "duplicates")
 
 
 @query("concat_keys_maeu")
 def q_concat_keys_maeu(spark, d):
-    return TR.maeu_export(load_inputs(spark, d)).select("ordinal", "concat_1", "concat_2", "concat_3")
+    return TR.maeu_rows(load_inputs(spark, d)).select("ordinal", "concat_1", "concat_2", "concat_3")
 
 
 @query("flag_latest_maeu")
@@ -67,54 +69,79 @@ def q_flag_latest_maeu(spark, d):
 
 @query("event_id_key")
 def q_event_id_key(spark, d):
-    ev = E.with_event_id(S.tracking_events(load_inputs(spark, d)))
+    ev = E.with_event_id(SRC.tracking_events(load_inputs(spark, d)))
     return ev.select("ordinal", "carrier", "_id")
 
 
 @query("tracking_type_counts")
 def q_tracking_type_counts(spark, d):
-    return E.tracking_type_counts(TR.hlcu_export(load_inputs(spark, d)))
+    return E.tracking_type_counts(TR.hlcu_classified(load_inputs(spark, d)))
+
+
+@query("distinct_types")
+def q_distinct_types(spark, d):
+    return E.distinct_types(TR.hlcu_classified(load_inputs(spark, d)))
 
 
 @query("container_summary")
 def q_container_summary(spark, d):
-    return E.container_summary(TR.hlcu_export(load_inputs(spark, d)))
+    return E.container_summary(TR.hlcu_classified(load_inputs(spark, d)))
+
+
+@query("container_summary_preview")
+def q_container_summary_preview(spark, d):
+    """The first 20 container summaries (a top-k report)."""
+    return E.container_summary_preview(q_container_summary(spark, d))
+
+
+@query("latest_duplicates_preview")
+def q_latest_duplicates_preview(spark, d):
+    """The first 10 rows flagged Latest (a top-k report)."""
+    df = E.latest_duplicates_preview(TR.hlcu_export(load_inputs(spark, d)))
+    return df.select("ordinal", "container_number", "status", "type_of_tracking", "date", "time", "duplicates")
 
 
 @query("sample_per_type")
 def q_sample_per_type(spark, d):
-    ex = TR.hlcu_export(load_inputs(spark, d))
-    return E.sample_per_type(ex).select("ordinal", "container_number", "status", "date", "time",
+    df = TR.hlcu_classified(load_inputs(spark, d))
+    return E.sample_per_type(df).select("ordinal", "container_number", "status", "date", "time",
                                         "type_of_tracking")
 
 
 @query("current_events")
 def q_current_events(spark, d):
-    ex = TR.hlcu_export(load_inputs(spark, d))
-    return E.current_events(ex).select("ordinal", "container_number", "status", "place_of_activity",
+    df = TR.hlcu_classified(load_inputs(spark, d))
+    return E.current_events(df).select("ordinal", "container_number", "status", "place_of_activity",
                                        "date", "time", "transport", "type_of_tracking")
 
 
 @query("journey_timeline")
 def q_journey_timeline(spark, d):
-    ex = TR.hlcu_export(load_inputs(spark, d))
-    return E.journey_timeline(ex).select("ordinal", "container_number", "event_ts", "status",
+    df = TR.hlcu_classified(load_inputs(spark, d))
+    return E.journey_timeline(df).select("ordinal", "container_number", "event_ts", "status",
                                          "type_of_tracking", "step", "prev_status")
 
 
+LOOKUP_COLUMNS = ["ordinal", "container_number", "status", "date", "time", "type_of_tracking", "duplicates"]
+
+
 @query("container_lookup")
 def q_container_lookup(spark, d):
-    """Point access against the stored export: written sorted by container
-    (tight parquet min/max per row group), then read with the equality
-    filter pushed into the scan."""
-    from quayside.session import scratch_path
-
-    path = scratch_path(spark, "hlcu-export")
-    cols = ["ordinal", "container_number", "status", "date", "time", "type_of_tracking", "duplicates"]
-    (TR.hlcu_export(load_inputs(spark, d)).select(*cols)
-     .repartitionByRange("container_number").sortWithinPartitions("container_number")
-     .write.parquet(path))
-    return E.container_lookup(spark.read.parquet(path), LOOKUP_CONTAINER)
+    """Point access by container.  Tracking type and duplicate flag are rules
+    within one container, so the filter comes before both, right above (for a
+    stored column: inside) the scan."""
+    t = load_inputs(spark, d)
+    rows = E.container_lookup(TR.hlcu_rows(t), LOOKUP_CONTAINER)
+    df = E.with_concat_keys_hlcu(E.classify_tracking(rows))
+    return E.flag_latest(df, rows=E.with_concat_2_hlcu(rows)).select(*LOOKUP_COLUMNS)
+
+
+@query("container_type_lookup")
+def q_container_type_lookup(spark, d):
+    """Point access by (container, tracking type)."""
+    t = load_inputs(spark, d)
+    rows = E.classify_tracking(E.container_lookup(TR.hlcu_rows(t), LOOKUP_CONTAINER))
+    return E.container_lookup(rows, LOOKUP_CONTAINER, C.HISTORIC).select(*LOOKUP_COLUMNS[:-1])
 
 
 @query("run_summary")

@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quayside import config as C
+from quayside.functions import text as T
 from quayside.functions import timeparse as TP
 from quayside.operators import events as E
 from quayside.operators import quality as Q
@@ -15,11 +17,11 @@ from quayside.operators import upsert as U
 from quayside.plans import report as RP
 from quayside.plans import tracking as TR
 from quayside.plans.registry import query
-from quayside.session import scratch_path
+from quayside.session import drop_scratch, scratch_path
 from quayside.sources import pages as PG
 from quayside.sources import payload as PL
-from quayside.sources import standins as S
-from quayside.sources.catalog import load_inputs
+from quayside.sources import inputs as SRC
+from quayside.sources.catalog import load_inputs, read_csv_export, write_csv_export
 from quayside.streaming import ingest as ING
 
 K = RP.KEY
@@ -33,7 +35,7 @@ def q_base_fields(spark, d):
 
 @query("normalize_id")
 def q_normalize_id(spark, d):
-    m = S.mixed_ids(load_inputs(spark, d))
+    m = SRC.mixed_ids(load_inputs(spark, d))
     return m.select("o_orderkey",
                     TP.normalize_id_numeric("id_number").alias("from_number"),
                     TP.normalize_id_text("id_text").alias("from_text"),
@@ -43,8 +45,8 @@ def q_normalize_id(spark, d):
 @query("lookup_last")
 def q_lookup_last(spark, d):
     t = load_inputs(spark, d)
-    df = RP.with_trailers(RP.with_master(RP.base_fields(t), t, first=False), t)
-    df = RP.with_notes(df, t)
+    ship = RP.per_shipment(RP.master_dim(t, first=False), RP.trailers_dim(t))
+    df = RP.attach(RP.base_fields(t), RP.with_notes(ship, t))
     cols = [K] + [v for v in RP.MASTER_LAST.values() if v != "q3_cca_location"] + [
         "steamship_line", "outbound_trailer", "outbound_tms"]
     return df.select(*cols)
@@ -53,18 +55,16 @@ def q_lookup_last(spark, d):
 @query("lookup_first")
 def q_lookup_first(spark, d):
     t = load_inputs(spark, d)
-    df = RP.with_master(RP.base_fields(t), t)
-    df = RP.with_csp(RP.with_yesterday(df, t), t)
-    return df.select(K, "hbol", "yesterday_cbm", "yesterday_weight_kg", "yesterday_lane_id", "q3_lane_id",
-                     "csp_cbm", "csp_weight_kg", "csp_lane_id", "csp_mbol")
+    ship = RP.with_csp(RP.per_shipment(RP.master_dim(t), RP.yesterday_dim(t)), t)
+    cols = ["hbol", "yesterday_cbm", "yesterday_weight_kg", "yesterday_lane_id", "q3_lane_id",
+            "csp_cbm", "csp_weight_kg", "csp_lane_id", "csp_mbol"]
+    return RP.attach(RP.base_fields(t), ship.select(K, *cols)).select(K, *cols)
 
 
 def _routed(t):
-    df = RP.with_master(RP.base_fields(t), t, first=False)
-    df = RP.with_supplier_location(df, t)
-    df = RP.with_dest_location(df, t)
-    df = RP.with_cca(df, t)
-    return RP.with_destination(df, t)
+    """Base rows with supplier and destination."""
+    ship = RP.with_dest(RP.with_supplier_location(RP.master_dim(t, first=False), t), t)
+    return RP.with_destination(RP.attach(RP.base_fields(t), ship), t)
 
 
 @query("role_locations")
@@ -78,70 +78,72 @@ def q_role_locations(spark, d):
 
 @query("destination_duns")
 def q_destination_duns(spark, d):
-    df = _routed(load_inputs(spark, d))
+    t = load_inputs(spark, d)
+    df = RP.with_destination(RP.attach(RP.base_fields(t), RP.with_dest(RP.master_dim(t, first=False), t)), t)
     return df.select(K, "cca", "service_level", "dest_country", "dest_dun", "destination_duns")
 
 
 @query("plant_name")
 def q_plant_name(spark, d):
     t = load_inputs(spark, d)
-    df = RP.with_plant(_routed(t), t)
+    ship = RP.with_io(RP.with_dest(RP.master_dim(t, first=False), t), t)
+    df = RP.with_plant(RP.with_destination(RP.attach(RP.base_fields(t), ship), t))
     return df.select(K, "cca", "bill_to_code", "destination_duns", "plant_name")
 
 
+def _of_shipments(t, ship, *cols):
+    return RP.attach(RP.base_fields(t).select(K), ship.select(K, *cols)).select(K, *cols)
+
+
 @query("container_ref")
 def q_container_ref(spark, d):
     t = load_inputs(spark, d)
-    df = RP.with_container_caps(RP.with_master(RP.base_fields(t), t, first=False), spark)
-    return df.select(K, "container_type", "max_cbm", "max_weight")
+    ship = RP.with_container_caps(RP.master_dim(t, first=False), spark)
+    return _of_shipments(t, ship, "container_type", "max_cbm", "max_weight")
 
 
 @query("origin_consol_name")
 def q_origin_consol_name(spark, d):
     t = load_inputs(spark, d)
-    df = RP.with_origin_consol(RP.with_master(RP.base_fields(t), t, first=False), spark)
-    return df.select(K, "origin_consol_duns", "origin_consol")
+    ship = RP.with_origin_consol(RP.master_dim(t, first=False), spark)
+    return _of_shipments(t, ship, "origin_consol_duns", "origin_consol")
 
 
 @query("milestone_merge")
 def q_milestone_merge(spark, d):
     t = load_inputs(spark, d)
-    df = RP.with_milestones(RP.base_fields(t), t)
-    return df.select(K, *[c for _, c in RP.MILESTONE_COLUMNS])
+    return _of_shipments(t, RP.milestones_dim(t), *[c for _, c in RP.MILESTONE_COLUMNS])
 
 
-def _filled(t, spark):
-    df = RP.with_master(RP.base_fields(t), t)
-    df = RP.with_yesterday(df, t)
-    df = RP.with_csp(df, t)
-    df = RP.with_container_caps(df, spark)
-    return RP.with_fills(df)
+def _filled(t, spark, col):
+    ship = RP.with_csp(RP.per_shipment(RP.master_dim(t), RP.yesterday_dim(t)), t)
+    return _of_shipments(t, RP.with_fills(RP.with_container_caps(ship, spark)), col)
 
 
 @query("cbm_fill")
 def q_cbm_fill(spark, d):
-    return _filled(load_inputs(spark, d), spark).select(K, "cbm")
+    return _filled(load_inputs(spark, d), spark, "cbm")
 
 
 @query("weight_fill")
 def q_weight_fill(spark, d):
-    return _filled(load_inputs(spark, d), spark).select(K, "weight_in_kg")
+    return _filled(load_inputs(spark, d), spark, "weight_in_kg")
 
 
 @query("lane_fill")
 def q_lane_fill(spark, d):
-    return _filled(load_inputs(spark, d), spark).select(K, "ocean_or_air_lane_id")
+    return _filled(load_inputs(spark, d), spark, "ocean_or_air_lane_id")
 
 
 @query("mbol_fill")
 def q_mbol_fill(spark, d):
-    return _filled(load_inputs(spark, d), spark).select(K, "mbol")
+    return _filled(load_inputs(spark, d), spark, "mbol")
 
 
 @query("shipment_status")
 def q_shipment_status(spark, d):
     t = load_inputs(spark, d)
-    df = RP.with_status(RP.with_milestones(RP.base_fields(t), t))
+    df = RP.with_status(RP.attach(RP.base_fields(t), RP.milestones_dim(t)))
     return df.select(K, "status_of_container")
 
 
@@ -164,27 +166,27 @@ EAV_TYPES = {C.REF_MODE: "mode", C.REF_CCA_LOCATION: "cca_location", C.REF_PRN:
 @query("eav_references")
 def q_eav_references(spark, d):
     t = load_inputs(spark, d)
-    es = S.em_shipment(t).select("em_shipment_id")
-    attrs = TM.eav_attributes(S.shipment_refs(t), "em_shipment_id", EAV_TYPES)
+    es = SRC.em_shipment(t).select("em_shipment_id")
+    attrs = TM.eav_attributes(SRC.shipment_refs(t), "em_shipment_id", EAV_TYPES)
     return es.join(attrs, "em_shipment_id", "left")
 
 
 @query("mbl_priority")
 def q_mbl_priority(spark, d):
     t = load_inputs(spark, d)
-    return TM.priority_pick(S.unitload_refs(t), "master_unitload_id", dict(C.MBL_PRIORITY), "mbl")
+    return TM.priority_pick(SRC.unitload_refs(t), "master_unitload_id", dict(C.MBL_PRIORITY), "mbl")
 
 
 @query("consol_dun")
 def q_consol_dun(spark, d):
     t = load_inputs(spark, d)
-    return TM.consol_locations(S.shipment_milestones(t), S.location_entities(t))
+    return TM.consol_locations(SRC.shipment_milestones(t), SRC.location_entities(t))
 
 
 @query("sti_semi_join")
 def q_sti_semi_join(spark, d):
     t = load_inputs(spark, d)
-    return TM.restrict_to_ids(S.em_shipment(t), S.intransit(t), "em_shipment_id", "sti").select(
+    return TM.restrict_to_ids(SRC.em_shipment(t), SRC.intransit(t), "em_shipment_id", "sti").select(
         "em_shipment_id", "shipment_id_number", "current_state_type_id")
 
 
@@ -192,9 +194,9 @@ def q_sti_semi_join(spark, d):
 def q_tms_extract(spark, d):
     t = load_inputs(spark, d)
     return TM.shipment_extract(
-        S.em_shipment(t), S.shipment_refs(t), S.shipment_milestones(t), S.unitload_refs(t),
-        S.container_assn(t), S.container_attributes(t), S.status_docs(t), S.status_doc_refs(t),
-        S.orders_assn(t), S.order_packages(t), S.location_entities(t), S.intransit(t))
+        SRC.em_shipment(t), SRC.shipment_refs(t), SRC.shipment_milestones(t), SRC.unitload_refs(t),
+        SRC.container_assn(t), SRC.container_attributes(t), SRC.status_docs(t), SRC.status_doc_refs(t),
+        SRC.orders_assn(t), SRC.order_packages(t), SRC.location_entities(t), SRC.intransit(t))
 
 
 # ------------------------------------------------- ingest, upsert, files
@@ -213,17 +215,18 @@ def _ts(v):
 
 def upsert_inputs(t):
     """Target = events with ordinal % 3 != 0 loaded at T1; batch = ordinals
-    with ordinal % 4 < 2 (both carriers) loaded at T2, where ordinals with
-    ordinal % 20 < 2 are sent twice (the second copy, with a later
-    sequence, carries a changed transport)."""
-    ev = E.with_event_id(S.tracking_events(t)).select(*RECORD_COLS)
-    target = ev.filter(F.col("ordinal") % 3 != 0).withColumns(
-        {"last_updated": _ts(T1), "seq": F.col("ordinal") * 2})
-    first = ev.filter(F.col("ordinal") % 4 < 2).withColumns(
-        {"last_updated": _ts(T2), "seq": F.col("ordinal") * 2})
-    again = ev.filter(F.col("ordinal") % 20 < 2).withColumns(
-        {"transport": F.concat(F.col("transport"), F.lit(" (resent)")),
-         "last_updated": _ts(T2), "seq": F.col("ordinal") * 2 + 1})
+    with ordinal % 4 < 2 and those outside the target (both carriers) loaded
+    at T2, so every event is in the target, the batch or both.  Ordinals with
+    ordinal % 20 < 2 are sent twice (the second copy, with a later sequence,
+    carries a changed transport), ordinals with ordinal % 20 = 4 twice alike."""
+    ev = E.with_event_id(SRC.tracking_events(t)).select(*RECORD_COLS)
+    o = F.col("ordinal")
+    target = ev.filter(o % 3 != 0).withColumns({"last_updated": _ts(T1), "seq": o * 2})
+    sent = (o % 4 < 2) | (o % 3 == 0)
+    first = ev.filter(sent).withColumns({"last_updated": _ts(T2), "seq": o * 2})
+    again = ev.filter(sent & ((o % 20 < 2) | (o % 20 == 4))).withColumns(
+        {"transport": F.when(o % 20 < 2, F.concat(F.col("transport"), F.lit(" (resent)"))).otherwise(F.col("transport")),
+         "last_updated": _ts(T2), "seq": o * 2 + 1})
     return target, first.unionByName(again)
 
 
@@ -242,14 +245,18 @@ def q_upsert_metrics(spark, d):
     return U.upsert_metrics(target, batch, KEYS, group=["carrier"])
 
 
-# Snapshot partitions: carrier and the event's date text, both parts of the
-# key, so an event id never changes partition.
-PARTITIONS = ["carrier", "_pday"]
+# Snapshot partitions: the carrier and the event's day, both functions of the
+# key (its trimmed parts), never null or blank, so an event id never changes
+# partition; text that is no date shares one partition.
+PARTITIONS = ["_pcarrier", "_pday"]
 
 
 def with_event_partition(df):
-    return df.withColumn("_pday", F.when(F.coalesce(F.col("date"), F.lit("")) == "", F.lit("undated"))
-                         .otherwise(F.col("date")))
+    text = T.trim_ws("date")
+    day = F.coalesce(TP.parse_ntz(text, "yyyy-M-d"), TP.parse_ntz(text, "d MMM yyyy"))
+    return df.withColumns({
+        "_pcarrier": F.when(T.is_blank("carrier"), F.lit("none")).otherwise(T.trim_ws("carrier")),
+        "_pday": F.coalesce(F.date_format(day, "yyyy-MM-dd"), F.lit("undated"))})
 
 
 @query("incremental_read")
@@ -258,35 +265,46 @@ def q_incremental_read(spark, d):
     high-water mark is the target's load time); merge the batch (rewriting
     touched partitions only); the reader then sees exactly what changed."""
     target, batch = upsert_inputs(load_inputs(spark, d))
-    table = U.SnapshotTable(spark, scratch_path(spark, "events"), PARTITIONS, sort_by=["container_number"])
-    table.write(with_event_partition(U.latest_per_key(target, KEYS)), 0)
-    reader = ING.HighWaterMark(spark, scratch_path(spark, "events-mark"))
-    reader.commit(reader.changes(table.read()))
-    table.merge(with_event_partition(batch), KEYS, 1)
-    return reader.changes(table.read()).drop("seq", "_pday")
+    path, mark = scratch_path(spark, "events"), scratch_path(spark, "events-mark")
+    first = with_event_partition(U.latest_per_key(target, KEYS))
+    U.write_partitions(first, path, PARTITIONS, sort_by=["container_number"])
+    reader = ING.HighWaterMark(spark, mark)
+    reader.commit(reader.changes(U.read_snapshot(spark, path, first.schema)))
+    U.merge_snapshot(path, with_event_partition(batch).select(*first.columns), KEYS, PARTITIONS,
+                     scratch_path(spark, "events-staged"), sort_by=["container_number"])
+    return reader.changes(U.read_snapshot(spark, path, first.schema)).drop("seq", *PARTITIONS)
 
 
 @query("raw_append")
 def q_raw_append(spark, d):
+    """Daily CSV exports (header row) loaded into one append-only RAW table."""
     target, batch = upsert_inputs(load_inputs(spark, d))
     path = scratch_path(spark, "raw")
     for df, ts in ((target, T1), (batch, T2)):
-        df.drop("last_updated").withColumn("_loaded_at", _ts(ts)).write.mode("append").parquet(path)
+        export = scratch_path(spark, "export-csv")
+        rows = df.drop("last_updated")
+        write_csv_export(rows, export)
+        loaded = read_csv_export(spark, export, rows.schema).withColumn("_loaded_at", _ts(ts))
+        loaded.write.mode("append").parquet(path)
+        drop_scratch(spark, export)
     return spark.read.parquet(path)
 
 
 @query("watchlist_scan")
 def q_watchlist_scan(spark, d):
-    w = S.watchlist(load_inputs(spark, d))
-    h = w.filter(F.col("container_number").isNotNull()).select(F.lit(S.H).alias("carrier"), "ordinal",
+    w = SRC.watchlist(load_inputs(spark, d))
+    h = w.filter(F.col("container_number").isNotNull()).select(F.lit(C.HLCU).alias("carrier"), "ordinal",
                                                                 "container_number")
-    m = w.select(F.lit(S.M).alias("carrier"), "ordinal", "container_number")
+    m = w.select(F.lit(C.MAEU).alias("carrier"), "ordinal", "container_number")
     return h.unionByName(m)
 
 
 def _export_events(t):
-    return S.tracking_events(t).withColumn("place_of_activity", F.col("place")) \
-        .withColumn("location", F.col("place"))
+    """Events of both carriers in export columns."""
+    h = E.with_concat_keys_hlcu(E.constant_tracking(SRC.tracking_events(t).filter(F.col("carrier") == C.HLCU)))
+    m = E.with_concat_keys_maeu(E.constant_tracking(SRC.tracking_events(t).filter(F.col("carrier") == C.MAEU)))
+    return h.withColumn("place_of_activity", F.col("place")).unionByName(
+        m.withColumn("location", F.col("place")), allowMissingColumns=True)
 
 
 @query("payload_build")
@@ -298,32 +316,27 @@ def q_payload_build(spark, d):
 
 @query("payload_explode")
 def q_payload_explode(spark, d):
-    ev = _export_events(load_inputs(spark, d))
     path = scratch_path(spark, "payload-env")
-    PL.write_envelopes(PL.build_envelopes(ev, MAX_RECORDS_PER_PAYLOAD), path)
-    out = PL.explode_envelopes(PL.read_envelopes(spark, path))
+    PL.write_envelopes(PL.build_envelopes(_export_events(load_inputs(spark, d)), MAX_RECORDS_PER_PAYLOAD), path)
+    out = PL.load_payloads(spark, path, scratch_path(spark, "payload-rejects"))
     return out.select(F.col("payload_carrier").alias("carrier"), "scraped_at", "ordinal",
-                      F.col("Container_Number").alias("container_number"), F.col("Status").alias("status"),
-                      F.col("Date").alias("date"), F.col("Time").alias("time"))
+                      *[F.col(f).alias(f.lower()) for f in ("Container_Number", "Concat_1", "Concat_2", "Concat_3",
+                                                            "Status", "Date", "Time")])
 
 
 @query("dq_payload")
 def q_dq_payload(spark, d):
-    """Envelopes with planted defects: envelopes of days % 5 = 0 declare
-    one record too many; carrier-M envelopes of days % 11 = 0 lack
-    scraped_at; each carrier-H day % 7 = 0 adds one truncated envelope."""
+    """Payloads with planted defects: runs of days % 5 = 0 declare one record
+    too many; carrier-M runs of days % 11 = 0 lack total_events; each
+    carrier-H day % 7 = 0 adds one truncated envelope."""
     ev = _export_events(load_inputs(spark, d))
     env = PL.build_envelopes(ev, MAX_RECORDS_PER_PAYLOAD).join(
         ev.select("carrier", "scraped_at", "scrape_day").distinct(), ["carrier", "scraped_at"])
-    env = env.withColumns({
-        "total_events": F.when(F.col("scrape_day") % 5 == 0, F.col("total_events") + 1)
-                         .otherwise(F.col("total_events")),
-        "scraped_at": F.when((F.col("carrier") == S.M) & (F.col("scrape_day") % 11 == 0),
-                             F.lit(None).cast("string")).otherwise(F.col("scraped_at")),
-    })
+    total = F.when(F.col("scrape_day") % 5 == 0, F.col("total_events") + 1).otherwise(F.col("total_events"))
+    env = env.withColumn("total_events", F.when(~((F.col("carrier") == C.MAEU) & (F.col("scrape_day") % 11 == 0)), total))
     path = scratch_path(spark, "payload-dq")
     PL.write_envelopes(env, path)
-    bad = (ev.filter((F.col("carrier") == S.H) & (F.col("scrape_day") % 7 == 0))
+    bad = (ev.filter((F.col("carrier") == C.HLCU) & (F.col("scrape_day") % 7 == 0))
            .select("scraped_at").distinct()
            .select(F.concat(F.lit('{"carrier": "HLCU", "scraped_at": "'), F.col("scraped_at"),
                             F.lit('", "total_events": 3, "records": [{"Status": ')).alias("value")))
@@ -333,22 +346,27 @@ def q_dq_payload(spark, d):
 
 @query("latest_file_per_carrier")
 def q_latest_file_per_carrier(spark, d):
-    ev = S.tracking_events(load_inputs(spark, d))
-    files = ev.groupBy("carrier", "scraped_at", "scrape_day").agg(F.count(F.lit(1)).alias("n"))
-    mtime = TP.parse_ntz(F.col("scraped_at"), "yyyyMMdd_HHmmss")
-    name = F.concat(F.lower("carrier"), F.lit("_tracking_"), F.col("scraped_at"))
-    listing = files.select(F.concat(name, F.lit(".json")).alias("file_name"), mtime.alias("modified_at"))
-    copies = files.filter(F.col("scrape_day") % 10 == 0).select(
-        F.concat(name, F.lit("_copy.json")).alias("file_name"),
-        (mtime + F.expr("INTERVAL 1 MINUTE")).alias("modified_at"))
-    other = files.select(F.concat(F.lit("notes_"), F.col("scraped_at"), F.lit(".txt")).alias("file_name"),
-                         (mtime + F.expr("INTERVAL 1 DAY")).alias("modified_at"))
-    return PL.latest_file_per_carrier(listing.unionByName(copies).unionByName(other))
+    """Payload files of all runs are written, the newest run of each carrier
+    last but for some notes; the pick is made from the folder's listing."""
+    runs = SRC.tracking_events(load_inputs(spark, d)).groupBy("carrier", "scraped_at").agg(F.count(F.lit(1)).alias("total_events"))
+    runs = runs.withColumn("last", F.col("scraped_at") == F.max("scraped_at").over(Window.partitionBy("carrier")))
+    path = scratch_path(spark, "payload-files")
+
+    def write(df, name):
+        df.select(name.alias("name"), F.to_json(F.struct("carrier", "scraped_at", "total_events")).alias("value")) \
+            .write.mode("append").partitionBy("name").text(path)
+
+    stem = F.coalesce(*[F.when(F.col("carrier") == c["carrier"], F.lit(c["pattern"])) for c in C.CARRIER_FILES])
+    name = F.replace(stem, F.lit("*"), F.col("scraped_at"))
+    write(runs.filter(~F.col("last")), name)
+    write(runs.filter("last"), name)
+    write(runs, F.concat(F.lit("notes_"), F.col("scraped_at"), F.lit(".txt")))
+    return PL.latest_file_per_carrier(PL.list_files(spark, path, folders=True)).select("carrier", "file_name")
 
 
 @query("extract_table_rows")
 def q_extract_table_rows(spark, d):
-    caps = PG.event_table_pages(S.hlcu_events(load_inputs(spark, d)))
+    caps = PG.event_table_pages(SRC.hlcu_events(load_inputs(spark, d)))
     return PG.extract_table_rows(caps)
 
 
@@ -360,9 +378,10 @@ def q_extract_list_cards(spark, d):
 @query("stream_ingest")
 def q_stream_ingest(spark, d):
     ev = _export_events(load_inputs(spark, d))
-    src = scratch_path(spark, "stream-src")
+    src, ckpt = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-ckpt")
     PL.write_event_lines(ev, src)
-    out = ING.ingest_available(spark, src, scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt"))
+    out = ING.ingest_available(spark, src, scratch_path(spark, "stream-out"), ckpt)
+    drop_scratch(spark, src, ckpt)
     return out.select("carrier", "scraped_at", "ordinal", F.col("Container_Number").alias("container_number"),
                       F.col("Status").alias("status"), F.col("Date").alias("date"), F.col("Time").alias("time"))
 
@@ -372,34 +391,32 @@ def q_stream_upsert(spark, d):
     """Target snapshot + the batch streamed in as files, every batch file
     delivered twice; must equal the one-shot upsert."""
     target, batch = upsert_inputs(load_inputs(spark, d))
-    table = U.SnapshotTable(spark, scratch_path(spark, "stream-events"), PARTITIONS, sort_by=["container_number"])
-    table.write(with_event_partition(U.latest_per_key(target, KEYS)), 0)
-    src = scratch_path(spark, "stream-batch")
-    lines = batch.withColumn("last_updated", F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss"))
+    path, src, ckpt = (scratch_path(spark, n) for n in ("stream-events", "stream-batch", "stream-ckpt"))
+    first = with_event_partition(U.latest_per_key(target, KEYS))
+    U.write_partitions(first, path, PARTITIONS, sort_by=["container_number"])
+    lines = batch.withColumn("last_updated", F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     for copy in ("a", "b"):
-        lines.repartition(3, "ordinal").write.mode("overwrite").json(f"{src}/copy={copy}")
+        lines.write.json(f"{src}/copy={copy}")
     schema = ("carrier string, _id string, ordinal bigint, container_number string, status string, "
               "place string, date string, time string, transport string, last_updated string, seq bigint, "
               "copy string")
 
     def prepare(df):
-        return with_event_partition(
-            df.drop("copy").withColumn("last_updated", F.to_timestamp_ntz("last_updated")))
+        rows = df.drop("copy").withColumn("last_updated", F.to_timestamp_ntz("last_updated"))
+        return with_event_partition(rows).select(*first.columns)
 
-    out = ING.upsert_available(spark, src, table, KEYS, prepare, scratch_path(spark, "stream-ckpt"),
-                               max_files_per_trigger=3, schema=schema)
-    return out.drop("seq", "_pday")
+    ING.upsert_available(spark, src, path, KEYS, PARTITIONS, prepare, ckpt, schema=schema, sort_by=["container_number"])
+    drop_scratch(spark, src, ckpt, f"{ckpt}-staged")
+    return U.read_snapshot(spark, path, first.schema).drop("seq", *PARTITIONS)
 
 
 # ---------------------------------------------------------------- quality
 @query("dq_duplicate_events")
 def q_dq_duplicate_events(spark, d):
-    t = load_inputs(spark, d)
-    h = TR.hlcu_export(t).select(F.lit(S.H).alias("carrier"), "container_number", "status",
-                                 F.col("event_ts").alias("event_timestamp"))
-    m = E.with_maeu_ts(S.maeu_events(t)).select(F.lit(S.M).alias("carrier"), "container_number", "status",
-                                                F.col("event_ts").alias("event_timestamp"))
-    return Q.duplicate_events(h.unionByName(m).filter(F.col("status").isNotNull()))
+    """Duplicate natural keys in the raw events: one grouped pass."""
+    ev = SRC.tracking_events(load_inputs(spark, d)).filter(F.col("status").isNotNull())
+    ts = F.when(F.col("carrier") == C.HLCU, TP.hlcu_event_ts("date", "time")).otherwise(TP.maeu_event_ts("date", "time"))
+    return Q.duplicate_events(ev.withColumn("event_timestamp", ts))
 
 
 @query("dq_tracking_types")
@@ -410,5 +427,5 @@ def q_dq_tracking_types(spark, d):
 @query("dq_required_columns")
 def q_dq_required_columns(spark, d):
     t = load_inputs(spark, d)
-    return Q.required_columns({"hlcu_export": TR.hlcu_export(t), "maeu_export": TR.maeu_export(t),
-                               "tracking_cards": S.tracking_cards(t)})
+    return Q.required_columns({"hlcu_export": TR.hlcu_rows(t), "maeu_export": TR.maeu_rows(t),
+                               "tracking_cards": SRC.tracking_cards(t)})

@@ -1,11 +1,12 @@
 """Master shipment report: base rows enriched by lookups, routing, fills and
 status, as one lazy plan.
 
-Join layout: every lookup keyed by the shipment id (master sheet, trailers,
-milestones, previous report) runs while the base is hash-partitioned on that
-key, so the base is shuffled once for all of them; the remaining lookups are
-against small dimensions (locations, CCA, notes, bill-to, literal reference
-tables) that AQE broadcasts when their measured size allows.
+Join layout: every dimension keyed by the shipment id (master sheet, trailers,
+milestones, previous report) has one row per shipment; they meet on one
+partitioning, are enriched by the shipment's own attributes (locations, CCA,
+notes, bill-to, CSP, literal reference tables), and the base rows, several per
+shipment, join the result once.  Only routing needs a column of the base row:
+both outcomes are carried and chosen after that join.
 """
 
 from __future__ import annotations
@@ -18,8 +19,7 @@ from quayside.functions import status as ST
 from quayside.functions import timeparse as TP
 from quayside.operators import lookups as L
 from quayside.operators import report as R
-from quayside.sources import standins as S
-from quayside.sources.catalog import Inputs
+from quayside.sources import inputs as SRC
 
 KEY = "lsc_tracking_number"
 
@@ -59,8 +59,8 @@ def consol_ref(spark: SparkSession) -> DataFrame:
 
 
 # ------------------------------------------------------------------ steps
-def base_fields(t: Inputs) -> DataFrame:
-    it = S.intransit(t)
+def base_fields(t) -> DataFrame:
+    it = SRC.intransit(t)
     lit = C.BASE_LITERALS
     return it.select(
         TP.id_key("sti").alias(KEY),
@@ -75,78 +75,80 @@ def base_fields(t: Inputs) -> DataFrame:
     )
 
 
-def with_master(df: DataFrame, t: Inputs, last=True, first=True) -> DataFrame:
-    m = S.shipment_master(t).withColumn("_k", TP.id_key("sti"))
-    return L.lookup_join_rules(df, m, KEY, "_k", last=MASTER_LAST if last else None,
-                               first=MASTER_FIRST if first else None)
+def master_dim(t, last=True, first=True) -> DataFrame:
+    """The shipment master, one row per shipment id."""
+    m = SRC.shipment_master(t).withColumn("_k", TP.id_key("sti"))
+    return L.dedupe_rules(m, "_k", last=MASTER_LAST if last else None, first=MASTER_FIRST if first else None, key_alias=KEY)
 
 
-def with_trailers(df: DataFrame, t: Inputs) -> DataFrame:
-    tr = S.trailers(t).withColumn("_k", TP.id_key("lsc_tracking_number"))
-    return L.lookup_join(df, tr, KEY, "_k", {"outbound_trailer": "outbound_trailer",
-                                              "outbound_tms": "outbound_tms"}, keep="last")
+def trailers_dim(t) -> DataFrame:
+    tr = SRC.trailers(t).withColumn("_k", TP.id_key("lsc_tracking_number"))
+    return L.dedupe_by_key(tr, "_k", ["outbound_trailer", "outbound_tms"], keep="last", key_alias=KEY)
 
 
-def with_milestones(df: DataFrame, t: Inputs) -> DataFrame:
-    q4 = S.milestone_export(t).withColumn("_k", TP.id_key("EM_SHIPMENT_ID"))
-    return L.lookup_join(df, q4, KEY, "_k", dict(MILESTONE_COLUMNS), keep="first")
+def milestones_dim(t) -> DataFrame:
+    q4 = SRC.milestone_export(t).withColumn("_k", TP.id_key("EM_SHIPMENT_ID"))
+    return L.dedupe_rules(q4, "_k", first=dict(MILESTONE_COLUMNS), key_alias=KEY)
 
 
-def with_yesterday(df: DataFrame, t: Inputs) -> DataFrame:
-    y = S.yesterday(t).withColumn("_k", TP.id_key("lsc_tracking_number"))
-    return L.lookup_join(df, y, KEY, "_k", {"cbm": "yesterday_cbm", "weight_kg": "yesterday_weight_kg",
-                                             "lane_id": "yesterday_lane_id"}, keep="first")
+def yesterday_dim(t) -> DataFrame:
+    y = SRC.yesterday(t).withColumn("_k", TP.id_key("lsc_tracking_number"))
+    return L.dedupe_rules(y, "_k", first={"cbm": "yesterday_cbm", "weight_kg": "yesterday_weight_kg",
+                                          "lane_id": "yesterday_lane_id"}, key_alias=KEY)
+
+
+def per_shipment(*dims: DataFrame) -> DataFrame:
+    """Dimensions with one row per shipment id side by side; an id of any of
+    them is kept, and all meet on one partitioning."""
+    out = dims[0]
+    for d in dims[1:]:
+        out = out.join(d, KEY, "full")
+    return out
+
+
+def attach(base: DataFrame, shipments: DataFrame) -> DataFrame:
+    """The base rows with all columns of their shipment."""
+    return L.join_dimension(base, shipments, KEY, KEY, {c: c for c in shipments.columns if c != KEY})
 
 
 LOCATION_COLS = ["name", "city", "state", "country_name"]
 CCA_COLS = ["cca", "supplier_name"]
 
 
-def locations_dim(t: Inputs) -> DataFrame:
+def locations_dim(t) -> DataFrame:
     """Location sheet, last row per alias, every column any role uses."""
-    return L.dedupe_by_key(S.locations(t), "location_alias", LOCATION_COLS, keep="last")
+    return L.dedupe_by_key(SRC.locations(t), "location_alias", LOCATION_COLS, keep="last")
 
 
-def cca_dim(t: Inputs) -> DataFrame:
-    return L.dedupe_by_key(S.cca_sheet(t), "duns_number", CCA_COLS, keep="last")
+def cca_dim(t) -> DataFrame:
+    return L.dedupe_by_key(SRC.cca_sheet(t), "duns_number", CCA_COLS, keep="last")
 
 
-def with_notes(df: DataFrame, t: Inputs) -> DataFrame:
-    return L.lookup_join(df, S.carrier_notes(t), "steamship_line_scac", "carrier_scac",
+# Enrichments of the shipment rows by their own attributes.
+def with_notes(df: DataFrame, t) -> DataFrame:
+    return L.lookup_join(df, SRC.carrier_notes(t), "steamship_line_scac", "carrier_scac",
                          {"name": "steamship_line"}, keep="last")
 
 
-def with_supplier_location(df: DataFrame, t: Inputs) -> DataFrame:
+def with_supplier_location(df: DataFrame, t) -> DataFrame:
     return L.join_dimension(df, locations_dim(t), "supplier_duns", "location_alias", {
         "name": "supplier_name", "city": "origin_supplier_city", "state": "origin_supplier_province",
         "country_name": "origin_supplier_country"})
 
 
-def with_dest_location(df: DataFrame, t: Inputs) -> DataFrame:
-    return L.join_dimension(df, locations_dim(t), "dest_dun", "location_alias", {"country_name": "dest_country"})
-
-
-def with_cca(df: DataFrame, t: Inputs) -> DataFrame:
-    return L.join_dimension(df, cca_dim(t), "dest_dun", "duns_number", {"cca": "cca"})
-
+def with_dest(df: DataFrame, t) -> DataFrame:
+    """Location and CCA entry of the shipment's own destination."""
+    df = L.join_dimension(df, locations_dim(t), "dest_dun", "location_alias", {
+        "name": "dest_name", "city": "dest_city", "state": "dest_state", "country_name": "dest_country"})
+    return L.join_dimension(df, cca_dim(t), "dest_dun", "duns_number", {"cca": "cca", "supplier_name": "dest_plant"})
 
-def with_destination(df: DataFrame, t: Inputs) -> DataFrame:
-    df = df.withColumn("destination_duns",
-                       R.destination_duns("cca", "service_level", "dest_country", "dest_dun"))
-    return L.join_dimension(df, locations_dim(t), "destination_duns", "location_alias", {
-        "name": "final_delivery_location_name", "city": "destination_city",
-        "state": "destination_state", "country_name": "destination_country"})
 
+def with_io(df: DataFrame, t) -> DataFrame:
+    return L.lookup_join(df, SRC.io_sheet(t), "bill_to_code", "code", {"supplier_name": "io_name"}, keep="last")
 
-def with_plant(df: DataFrame, t: Inputs) -> DataFrame:
-    df = L.lookup_join(df, S.io_sheet(t), "bill_to_code", "code", {"supplier_name": "io_name"}, keep="last")
-    df = L.join_dimension(df, cca_dim(t), "destination_duns", "duns_number", {"supplier_name": "cca_plant_name"})
-    return df.withColumn("plant_name", R.plant_name("cca", "io_name", "q3_cca_location",
-                                                    "destination_duns", "cca_plant_name"))
 
-
-def with_csp(df: DataFrame, t: Inputs) -> DataFrame:
-    return L.lookup_join(df, S.csp_sheet(t), "hbol", "hwb", {
+def with_csp(df: DataFrame, t) -> DataFrame:
+    return L.lookup_join(df, SRC.csp_sheet(t), "hbol", "hwb", {
         "cubic_meters": "csp_cbm", "actual_wt_kgs": "csp_weight_kg", "lane_id": "csp_lane_id",
         "last_mb_number": "csp_mbol"}, keep="first")
 
@@ -157,6 +159,40 @@ def with_container_caps(df: DataFrame, spark: SparkSession) -> DataFrame:
                             {"max_cbm": "max_cbm", "max_weight": "max_weight"}, broadcast=True)
 
 
+# Routing of the base rows: the service level is theirs, the rest their
+# shipment's, so both outcomes are at hand and the row chooses.
+def dock_dim(t) -> DataFrame:
+    """The cross dock's location and CCA name: one row at most."""
+    loc = L.dedupe_by_key(SRC.locations(t).filter(F.col("location_alias") == C.CCA_DOCK_DUNS), "location_alias", LOCATION_COLS)
+    cca = L.dedupe_by_key(SRC.cca_sheet(t).filter(F.col("duns_number") == C.CCA_DOCK_DUNS), "duns_number", ["supplier_name"],
+                          key_alias="location_alias")
+    dock = loc.join(cca, "location_alias", "full")
+    return dock.select(F.col("location_alias").alias("dock"), F.col("name").alias("dock_name"), F.col("city").alias("dock_city"),
+                       F.col("state").alias("dock_state"), F.col("country_name").alias("dock_country"),
+                       F.col("supplier_name").alias("dock_plant"))
+
+
+def with_destination(df: DataFrame, t) -> DataFrame:
+    df = df.withColumn("destination_duns",
+                       R.destination_duns("cca", "service_level", "dest_country", "dest_dun"))
+    at_dock = F.when(F.col("destination_duns") == C.CCA_DOCK_DUNS, F.col("destination_duns"))
+    df = L.join_dimension(df.withColumn("_at_dock", at_dock), dock_dim(t), "_at_dock", "dock",
+                          {c: c for c in ("dock_name", "dock_city", "dock_state", "dock_country", "dock_plant")}, broadcast=True)
+
+    def chosen(name: str):
+        return F.when(F.col("_at_dock").isNotNull(), F.col(f"dock_{name}")).otherwise(F.col(f"dest_{name}"))
+
+    return df.withColumns({
+        "final_delivery_location_name": chosen("name"), "destination_city": chosen("city"),
+        "destination_state": chosen("state"), "destination_country": chosen("country"),
+        "cca_plant_name": chosen("plant")}).drop("_at_dock")
+
+
+def with_plant(df: DataFrame) -> DataFrame:
+    return df.withColumn("plant_name", R.plant_name("cca", "io_name", "q3_cca_location",
+                                                    "destination_duns", "cca_plant_name"))
+
+
 def with_fills(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "cbm": R.volume_fill("yesterday_cbm", "vol1", "vol2", "max_cbm", "csp_cbm"),
@@ -191,31 +227,28 @@ REPORT_COLUMNS = (
 )
 
 
-def master_report(t: Inputs) -> DataFrame:
+def master_report(t) -> DataFrame:
     spark = t.spark
-    df = base_fields(t)
-    # Lookups keyed by the shipment id first: one shuffle of the base serves all.
-    df = with_master(df, t)
-    df = with_trailers(df, t)
-    df = with_milestones(df, t)
-    df = with_yesterday(df, t)
-    # Small dimensions.
-    df = with_notes(df, t)
-    df = with_supplier_location(df, t)
-    df = with_dest_location(df, t)
-    df = with_cca(df, t)
-    df = with_destination(df, t)
-    df = with_plant(df, t)
-    df = with_csp(df, t)
-    df = with_container_caps(df, spark)
-    df = with_fills(df)
-    df = with_origin_consol(df, spark)
-    df = with_status(df)
+    # One row per shipment, enriched by its own attributes; the wide base
+    # rows are joined once.
+    ship = per_shipment(master_dim(t), trailers_dim(t), milestones_dim(t), yesterday_dim(t))
+    ship = with_notes(ship, t)
+    ship = with_supplier_location(ship, t)
+    ship = with_dest(ship, t)
+    ship = with_io(ship, t)
+    ship = with_csp(ship, t)
+    ship = with_origin_consol(with_fills(with_container_caps(ship, spark)), spark)
+    df = attach(base_fields(t), ship)
+    df = with_status(with_plant(with_destination(df, t)))
     return df.select(*REPORT_COLUMNS)
 
 
-def dim_suppliers(t: Inputs) -> DataFrame:
+def dim_suppliers(t) -> DataFrame:
     """Locations (last row per alias) that are some shipment's origin."""
-    loc = L.dedupe_by_key(S.locations(t), "location_alias", ["name", "city", "state", "country_name"])
-    origins = S.shipment_master(t).select(F.col("origin_dun").alias("location_alias"))
+    return suppliers_of(SRC.locations(t), SRC.shipment_master(t))
+
+
+def suppliers_of(locations: DataFrame, master: DataFrame) -> DataFrame:
+    loc = L.dedupe_by_key(locations, "location_alias", ["name", "city", "state", "country_name"], keep="last")
+    origins = master.select(F.col("origin_dun").alias("location_alias"))
     return loc.join(origins, "location_alias", "left_semi")

@@ -1,5 +1,9 @@
 """Event payload files: the carrier envelope `{carrier, scraped_at,
-total_events, records: [...]}`, event JSON lines, and file selection."""
+total_events, records: [...]}`, event JSON lines, and file selection.
+
+A payload record carries no position of its own; `ordinal` (the position in
+the run) comes from its place in the file.
+"""
 
 from __future__ import annotations
 
@@ -8,109 +12,139 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-# Event record fields as they appear in payloads (export column names).
-RECORD_FIELDS = ("Container_Number", "Status", "Date", "Time", "Place_of_Activity", "Location",
-                 "Transport", "Vessel_Name", "Type_of_Tracking", "Duplicates", "ordinal")
+from quayside import config as C
 
-RECORD_SCHEMA = T.StructType(
-    [T.StructField(f, T.LongType() if f == "ordinal" else T.StringType()) for f in RECORD_FIELDS])
+RECORD_FIELDS = C.RECORD_FIELDS
+CARRIER_FILES = C.CARRIER_FILES
+RECORD_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in RECORD_FIELDS])
 
+# `part` numbers the envelopes of a run that was written in several; it is
+# absent where a run is one envelope.  `total_events` counts the whole run.
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("carrier", T.StringType()),
     T.StructField("scraped_at", T.StringType()),
     T.StructField("total_events", T.LongType()),
+    T.StructField("part", T.LongType()),
     T.StructField("records", T.ArrayType(RECORD_SCHEMA)),
     T.StructField("_corrupt_record", T.StringType()),
 ])
-
-# Per-carrier file configuration: file-name pattern and carrier code.
-CARRIER_FILES = (
-    {"pattern": "hlcu_tracking_*.json", "carrier": "HLCU"},
-    {"pattern": "maeu_tracking_*.json", "carrier": "MAEU"},
-)
+RUN = ["carrier", "scraped_at"]
 
 
 def records_struct(df: DataFrame) -> DataFrame:
-    """Event rows (snake_case) -> one `record` struct in payload field names."""
-    src = {
-        "Container_Number": "container_number", "Status": "status", "Date": "date", "Time": "time",
-        "Place_of_Activity": "place_of_activity", "Location": "location", "Transport": "transport",
-        "Vessel_Name": "vessel_name", "Type_of_Tracking": "type_of_tracking", "Duplicates": "duplicates",
-        "ordinal": "ordinal",
-    }
-    fields = [(F.col(c) if c in df.columns else F.lit(None)).cast(RECORD_SCHEMA[f].dataType).alias(f)
-              for f, c in src.items()]
-    return df.select("carrier", "scraped_at", F.struct(*fields).alias("record"))
+    """Event rows (snake_case) -> one `record` struct in payload field names,
+    beside the row's ordinal."""
+    fields = [(F.col(f.lower()) if f.lower() in df.columns else F.lit(None)).cast("string").alias(f) for f in RECORD_FIELDS]
+    return df.select(*RUN, "ordinal", F.struct(*fields).alias("record"))
 
 
 def build_envelopes(events: DataFrame, max_records: int) -> DataFrame:
-    """Group event rows into envelopes of at most `max_records` records.
+    """Event rows -> envelopes of at most `max_records` records.
 
-    An envelope is (carrier, scrape, floor(ordinal / max_records)): since
-    ordinals are unique integers, no envelope -- one `collect_list` -- can
-    exceed the bound, whatever the data volume or skew, and no counting pass
-    is needed to size it.
+    A run (carrier, scraped_at) is cut into parts by floor(ordinal /
+    max_records): ordinals are unique integers, so no envelope -- one
+    `collect_list` -- can exceed the bound, whatever the volume or skew.  The
+    parts of a run follow each other in order, and `total_events` is the
+    run's, so what the envelopes say does not depend on the bound.
     """
-    r = records_struct(events).withColumn(
-        "part", F.floor(F.col("record.ordinal") / F.lit(max_records)).cast("bigint"))
-    g = r.groupBy("carrier", "scraped_at", "part").agg(F.collect_list("record").alias("records"))
-    return g.select("carrier", "scraped_at", "part", F.size("records").cast("bigint").alias("total_events"),
-                    "records")
+    r = records_struct(events).withColumn("part", F.floor(F.col("ordinal") / F.lit(max_records)).cast("bigint"))
+    g = r.groupBy(*RUN, "part").agg(F.array_sort(F.collect_list(F.struct("ordinal", "record"))).alias("rows"))
+    g = g.select(*RUN, "part", F.transform("rows", lambda x: x["record"]).alias("records"))
+    return g.join(r.groupBy(*RUN).agg(F.count(F.lit(1)).alias("total_events")), RUN).select(
+        *RUN, "total_events", "part", "records")
 
 
 def write_envelopes(envelopes: DataFrame, path: str) -> None:
-    """One JSON envelope per line (JSON lines), partitioned by carrier."""
-    out = envelopes.select(F.to_json(F.struct("carrier", "scraped_at", "total_events", "records"))
-                           .alias("value"))
+    """One JSON envelope per line (JSON lines)."""
+    out = envelopes.select(F.to_json(F.struct(*RUN, "total_events", "part", "records")).alias("value"))
     out.write.mode("overwrite").text(path)
 
 
 def read_envelopes(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Read envelopes with an explicit schema; malformed text lands in
-    `_corrupt_record` instead of failing the job.  `multi_line` reads
-    pretty-printed one-envelope-per-file payloads."""
-    return (spark.read.schema(ENVELOPE_SCHEMA).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt_record")
-            .option("multiLine", multi_line).json(path))
+    """Read envelopes with an explicit schema, with the file each came from;
+    malformed text lands in `_corrupt_record` instead of failing the job.
+    `multi_line` reads pretty-printed one-envelope-per-file payloads."""
+    env = (spark.read.schema(ENVELOPE_SCHEMA).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_corrupt_record")
+           .option("multiLine", multi_line).json(path))
+    return env.select("*", F.col("_metadata.file_path").alias("file"))
+
+
+def rejected_envelopes(env: DataFrame) -> DataFrame:
+    """The malformed envelopes: their text, file and what could be read."""
+    return env.filter(F.col("_corrupt_record").isNotNull()).select(
+        F.col("_corrupt_record").alias("text"), "file", "carrier", "scraped_at")
 
 
 def explode_envelopes(env: DataFrame) -> DataFrame:
-    """Envelope rows -> one row per record (missing records -> none)."""
-    e = env.filter(F.col("_corrupt_record").isNull())
-    e = e.select(F.col("carrier").alias("payload_carrier"), "scraped_at",
-                 F.explode(F.coalesce(F.col("records"), F.array())).alias("r"))
-    return e.select("payload_carrier", "scraped_at", "r.*")
+    """Well-formed envelopes -> one row per record (missing records -> none),
+    with its position in the run as `ordinal`: the records of the earlier
+    parts (by part, then file) plus its place in the envelope.  Malformed
+    envelopes are in `rejected_envelopes`."""
+    e = env.filter(F.col("_corrupt_record").isNull()).withColumn("_e", F.struct(
+        F.coalesce("part", F.lit(0)).alias("part"), "file", F.xxhash64("records").alias("h")))
+    e = e.withColumn("records", F.coalesce("records", F.array()))
+    order = Window.partitionBy(*RUN).orderBy("_e").rowsBetween(Window.unboundedPreceding, -1)
+    first = (e.groupBy(*RUN, "_e").agg(F.sum(F.size("records")).alias("_n"))
+             .select(F.col("carrier").alias("_c"), F.col("scraped_at").alias("_s"), F.col("_e").alias("_f"),
+                     F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_first")))
+    same = F.col("carrier").eqNullSafe(F.col("_c")) & F.col("scraped_at").eqNullSafe(F.col("_s")) & F.col("_e").eqNullSafe(F.col("_f"))
+    j = e.join(first, same).select(F.col("carrier").alias("payload_carrier"), "scraped_at", "_first", F.posexplode("records").alias("_pos", "r"))
+    return j.select("payload_carrier", "scraped_at", (F.col("_first") + F.col("_pos")).cast("bigint").alias("ordinal"), "r.*")
+
+
+def load_payloads(spark: SparkSession, path: str, rejects: str, multi_line: bool = False) -> DataFrame:
+    """Records of the payloads under `path`; malformed envelopes are appended
+    as text to the folder `rejects`, so none is lost without a sign."""
+    env = read_envelopes(spark, path, multi_line)
+    rejected_envelopes(env).write.mode("append").parquet(rejects)
+    return explode_envelopes(env)
+
+
+def load_latest(spark: SparkSession, directory: str, rejects: str, config=CARRIER_FILES) -> DataFrame:
+    """The records of each carrier's latest payload file, one load driven by
+    the carrier configuration; carriers without a file are skipped.  Only the
+    chosen names (one per carrier) pass the driver."""
+    out = None
+    for row in latest_file_per_carrier(list_files(spark, directory), config=config).collect():
+        df = load_payloads(spark, f"{directory.rstrip('/')}/{row.file_name}", rejects, multi_line=True)
+        df = df.withColumn("carrier", F.lit(row.carrier))
+        out = df if out is None else out.unionByName(df)
+    return out
 
 
 def write_event_lines(events: DataFrame, path: str) -> None:
-    """Scalable payload form: one JSON event per line, partitioned by
-    carrier and scrape, so no envelope array is ever built."""
-    (records_struct(events).select("carrier", "scraped_at", "record.*")
-     .hint("rebalance", "carrier", "scraped_at")
-     .write.mode("overwrite").partitionBy("carrier", "scraped_at").json(path))
+    """Scalable payload form: one JSON event per line with its ordinal,
+    partitioned by carrier and scrape, so no envelope array is ever built."""
+    (records_struct(events).select(*RUN, "record.*", "ordinal")
+     .hint("rebalance", *RUN)
+     .write.mode("overwrite").partitionBy(*RUN).json(path))
 
 
 LINES_SCHEMA = T.StructType(list(RECORD_SCHEMA.fields) + [
-    T.StructField("carrier", T.StringType()), T.StructField("scraped_at", T.StringType())])
+    T.StructField("ordinal", T.LongType()), T.StructField("carrier", T.StringType()), T.StructField("scraped_at", T.StringType())])
 
 
 def payload_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Per (carrier, scrape) event counts of a JSON-lines payload folder
     (partition folders carrier=/scraped_at= read as strings)."""
     lines = spark.read.schema(LINES_SCHEMA).json(path)
-    return lines.groupBy("carrier", "scraped_at").agg(F.count(F.lit(1)).alias("total_events"))
+    return lines.groupBy(*RUN).agg(F.count(F.lit(1)).alias("total_events"))
 
 
 def glob_regex(pattern: str) -> str:
     return "^" + re.escape(pattern).replace(r"\*", ".*").replace(r"\?", ".") + "$"
 
 
-def list_files(spark: SparkSession, directory: str, glob: str = "*") -> DataFrame:
+def list_files(spark: SparkSession, directory: str, glob: str = "*", folders: bool = False) -> DataFrame:
     """(file_name, modified_at) of the files in `directory`, from the
-    `binaryFile` source; the content column is never read."""
+    `binaryFile` source; the content column is never read.  `folders` names a
+    file by the folder it stands in (`<key>=<name>`), as Spark writes them."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+    name = r"([^/=]+)/[^/]+$" if folders else r"([^/]+)$"
+    return files.select(F.regexp_extract("path", name, 1).alias("file_name"),
                         F.col("modificationTime").alias("modified_at"))
 
 
@@ -133,16 +167,15 @@ def latest_file_per_carrier(listing: DataFrame, name_col: str = "file_name",
 
 
 def payload_checks(env: DataFrame) -> DataFrame:
-    """Structure checks per envelope -> counts per check outcome:
-    corrupt_json, missing_field, count_mismatch, ok; plus the number of
-    records carried by well-formed envelopes."""
-    status = (F.when(F.col("_corrupt_record").isNotNull(), F.lit("corrupt_json"))
-              .when(F.col("carrier").isNull() | F.col("scraped_at").isNull() | F.col("records").isNull()
-                    | F.col("total_events").isNull(), F.lit("missing_field"))
-              .when(F.size("records") != F.col("total_events"), F.lit("count_mismatch"))
-              .otherwise(F.lit("ok")))
-    c = env.select(status.alias("check_name"),
-                   F.when(F.col("_corrupt_record").isNull(), F.size(F.coalesce("records", F.array())))
-                   .otherwise(F.lit(0)).alias("_n"))
-    return c.groupBy("check_name").agg(F.count(F.lit(1)).alias("n_payloads"),
-                                  F.sum("_n").cast("bigint").alias("n_records"))
+    """Structure checks per run -> counts per check outcome: corrupt_json
+    (per envelope), missing_field, count_mismatch (all parts of the run
+    against its total_events), ok; plus the number of records carried."""
+    bare = F.col("carrier").isNull() | F.col("scraped_at").isNull() | F.col("records").isNull() | F.col("total_events").isNull()
+    runs = env.withColumn("_bad", F.col("_corrupt_record").isNotNull()).groupBy(*RUN, "_bad").agg(
+        F.max(bare).alias("bare"), F.max("total_events").alias("total"), F.count(F.lit(1)).alias("_files"),
+        F.sum(F.size(F.coalesce("records", F.array()))).alias("_n"))
+    status = (F.when(F.col("_bad"), F.lit("corrupt_json")).when(F.col("bare"), F.lit("missing_field"))
+              .when(F.col("_n") != F.col("total"), F.lit("count_mismatch")).otherwise(F.lit("ok")))
+    c = runs.select(status.alias("check_name"), F.when(F.col("_bad"), F.col("_files")).otherwise(1).alias("_p"),
+                    F.when(F.col("_bad"), 0).otherwise(F.col("_n")).alias("_n"))
+    return c.groupBy("check_name").agg(F.sum("_p").cast("bigint").alias("n_payloads"), F.sum("_n").cast("bigint").alias("n_records"))

@@ -20,9 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside import config as C
+from quayside.functions import timeparse as TP
 from quayside.sources.catalog import Inputs
 
-H, M = "HLCU", "MAEU"
+H, M = C.HLCU, C.MAEU
 
 CONTAINER_TYPES = [c[0] for c in C.CONTAINER_REF]
 UNKNOWN_CONTAINER_TYPE = "Flat Rack"
@@ -85,16 +86,20 @@ def tracking_events(t: Inputs) -> DataFrame:
     )
 
 
+def _last_updated() -> Column:
+    return TP.parse_ntz(F.col("scraped_at"), "yyyyMMdd_HHmmss").alias("last_updated")
+
+
 def hlcu_events(t: Inputs) -> DataFrame:
     return (tracking_events(t).filter(F.col("carrier") == H)
             .select("ordinal", "container_number", "status",
-                    F.col("place").alias("place_of_activity"), "date", "time", "transport"))
+                    F.col("place").alias("place_of_activity"), "date", "time", "transport", _last_updated()))
 
 
 def maeu_events(t: Inputs) -> DataFrame:
     return (tracking_events(t).filter(F.col("carrier") == M)
             .select("ordinal", "container_number", "status", F.col("place").alias("location"),
-                    "date", "time", "vessel_name", "transport"))
+                    "date", "time", "vessel_name", "transport", _last_updated()))
 
 
 def tracking_cards(t: Inputs) -> DataFrame:
@@ -397,7 +402,7 @@ def milestone_export(t: Inputs) -> DataFrame:
         sh = (lambda c: F.date_add(c, shift).cast("timestamp_ntz")) if shift else (lambda c: c)
         exp = lambda n: _day(od, n + shift)
         cols = [
-            (F.col("o_orderkey").cast("double"), "EM_SHIPMENT_ID"),
+            (F.col("o_orderkey"), "EM_SHIPMENT_ID"),
             (sh(F.date_add(d[1], -1).cast("timestamp_ntz")), " Arrived at Consol"),
             (sh(d[1]), "Depart Consol Center"),
             (sh(d[2]), "Actual Arrived at Port of Departure"),
@@ -457,6 +462,8 @@ def staged_shipments_raw(t: Inputs) -> DataFrame:
         "actual_departure_dest_rail": d[7],
         "actual_arrival_final_dest": d[8],
         "eta": _day(od, 12),
+        "cbm": F.when(o % 7 == 0, F.lit(None).cast("double")).otherwise((o % 60).cast("double") + 0.5),
+        "weight_kg": F.when(o % 11 == 0, F.lit(None).cast("double")).otherwise((F.col("o_custkey") % 900).cast("double") * 10),
         "_loaded_at": od.cast("timestamp_ntz"),
     }
     first = t.orders.select(*[v.alias(k) for k, v in cols.items()])

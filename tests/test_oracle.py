@@ -3,21 +3,23 @@
 import pytest
 
 import __spark_entry__ as ent
+from quayside.plans.oracle import SQL
+from quayside.plans.registry import all_queries
 from quayside.plans.verify import compare
 
 from conftest import SMALL
 
-KEYS = sorted(ent.queries())
+KEYS = sorted(all_queries())
 
 
 def test_every_query_has_an_oracle():
-    assert set(ent.queries()) == set(ent.oracle_sql())
+    assert set(all_queries()) == set(SQL)
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, duck, key):
-    df = ent.queries()[key](spark, SMALL)
-    ok, msg = compare(df, duck, ent.oracle_sql()[key])
+    df = all_queries()[key](spark, SMALL)
+    ok, msg = compare(df, duck, SQL[key])
     assert ok, f"{key}: {msg}"
 
 

@@ -7,7 +7,7 @@ from contextlib import redirect_stdout
 
 import pytest
 
-import __spark_entry__ as ent
+from quayside.plans.registry import all_queries
 
 from conftest import SMALL
 
@@ -21,7 +21,7 @@ def plan_of(df):
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {k: plan_of(q(spark, SMALL)) for k, q in sorted(ent.queries().items())}
+    return {k: plan_of(q(spark, SMALL)) for k, q in sorted(all_queries().items())}
 
 
 def test_no_cross_products_or_python_udfs(plans):
@@ -49,3 +49,32 @@ def test_incremental_read_pushes_watermark_to_scan(plans):
 
 def test_reference_tables_broadcast(plans):
     assert "BroadcastHashJoin" in plans["container_ref"]
+
+
+def _logical(spark, name):
+    return all_queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_queries_take_only_the_steps_they_select(spark):
+    assert "Join" not in _logical(spark, "concat_keys_maeu")
+    dup = _logical(spark, "dq_duplicate_events")
+    assert "Join" not in dup and dup.count("Aggregate") == 1
+    # "_win_ord" is the column that the classification and the flag join on
+    assert "_win_ord" not in _logical(spark, "dim_containers")
+    assert "_is_latest" not in _logical(spark, "fct_tracking_events")
+
+
+def test_container_filter_stands_below_the_winner_picks(spark):
+    """In the optimised plan every aggregate and join has the container filter
+    beneath it."""
+    lines = _logical(spark, "container_lookup").splitlines()
+    scans = [k for k, line in enumerate(lines) if "Relation" in line]
+    for k in scans:
+        above = lines[:k]
+        last_op = max(j for j, line in enumerate(above) if "Aggregate" in line or "Join" in line)
+        assert any("CONT" in line and "Filter" in line for line in above[last_op:]), "\n".join(lines)
+
+
+def test_tms_extract_reduces_branches_first(plans):
+    p = plans["tms_extract"]
+    assert "LeftSemi" in p

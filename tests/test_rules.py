@@ -26,26 +26,26 @@ def test_trim_ws_strips_all_whitespace(spark):
     assert one(df.select(T.trim_ws("s").alias("x")), "x") == ["a b", None]
 
 
-def test_composite_id_golden_and_missing(spark):
+def test_composite_id_keeps_its_places(spark):
     df = spark.createDataFrame(
-        [("TCKU1234567", "Departure from", "2024-08-28", "08:00"), ("X", None, " 1 ", None)],
+        [("BOXU0000011", "Gate in", "2023-02-03", "04:05"), ("X", None, " 1 ", None)],
         "c string, s string, d string, t string")
     got = one(df.select(T.composite_id("c", "s", "d", "t").alias("x")), "x")
-    assert got == ["TCKU1234567|Departure from|2024-08-28|08:00", "X||1|"]
+    assert got == ["BOXU0000011|Gate in|2023-02-03|04:05", "X||1|"]
 
 
-def test_concat_keys_golden(spark):
-    df = spark.createDataFrame([("TCKU1234567", "Departure from", "EVER GIVEN 123W", C.HISTORIC),
-                                ("TCKU1234567", "Gate in", "EVER GIVEN 123W", C.HISTORIC)],
+def test_concat_keys(spark):
+    df = spark.createDataFrame([("BOXU0000011", "Arrival in", "NORTH STAR 7", C.HISTORIC),
+                                ("BOXU0000011", "Gate in", "NORTH STAR 7", C.HISTORIC)],
                                "container_number string, status string, transport string, type_of_tracking string")
     rows = E.with_concat_keys_hlcu(df).collect()
-    assert rows[0].concat_1 == "TCKU1234567Departure fromEVER GIVEN 123WHistoric Tracking"
-    assert rows[0].concat_2 == "TCKU1234567Departure fromEVER GIVEN 123W"
-    assert rows[0].concat_3 == "TCKU1234567Historic Tracking"
-    assert rows[1].concat_2 == "TCKU1234567Gate in"  # transport only for arrival/departure
-    m = spark.createDataFrame([("MRKU9876543", "Discharge", C.CURRENT)],
+    assert rows[0].concat_1 == "BOXU0000011Arrival inNORTH STAR 7" + C.HISTORIC
+    assert rows[0].concat_2 == "BOXU0000011Arrival inNORTH STAR 7"
+    assert rows[0].concat_3 == "BOXU0000011" + C.HISTORIC
+    assert rows[1].concat_2 == "BOXU0000011Gate in"  # transport only for arrival/departure
+    m = spark.createDataFrame([("BOXU0000029", "Off rail", C.CURRENT)],
                               "container_number string, status string, type_of_tracking string")
-    assert E.with_concat_keys_maeu(m).first().concat_2 == "MRKU9876543Discharge"
+    assert E.with_concat_keys_maeu(m).first().concat_2 == "BOXU0000029Off rail"
 
 
 def test_vessel_extraction(spark):
@@ -141,40 +141,17 @@ def test_padded_cca_keeps_duns_but_routes_plant(spark):
     assert r2.p == C.CCA_DOCK_NAME
 
 
-def _pandas_form(v):
-    """The per-row waterfall with its explicit isna guards."""
-    sup, cfs, apol, dpol, apod, opod, arail, drail, dlv = v
-    n = lambda x: x is not None
-    if n(dlv):
-        return "12. Delivered"
-    if n(drail) and not n(dlv):
-        return "11. Outgate Destination Rail"
-    if n(arail) and not n(drail):
-        return "10. Arrived Destination Rail"
-    if n(opod) and not n(arail):
-        return "9. Outgate POD"
-    if n(apod) and not n(opod) and not n(arail):
-        return "7. Arrived POD"
-    if n(dpol) and not n(apod):
-        return "6. Departed POL"
-    if n(apol) and not n(dpol):
-        return "5. Arrived POL"
-    if n(cfs) and not any(map(n, (apol, dpol, apod, opod, arail, drail))):
-        return "4. Outgate CFS"
-    if n(sup) and not any(map(n, (cfs, apol, dpol, apod, opod, arail, drail, dlv))):
-        return "2. Departed Supplier"
-    return None
-
-
 def test_status_all_512_null_patterns(spark):
+    """The status is the label of the highest stage that has a date."""
     day = dt.datetime(2024, 1, 1)
-    pats = [tuple(day if b else None for b in bits) for bits in itertools.product([0, 1], repeat=9)]
-    cols = ["sup", "cfs", "apol", "dpol", "apod", "opod", "arail", "drail", "dlv"]
-    df = spark.createDataFrame(pats, ", ".join(f"{c} timestamp_ntz" for c in cols))
-    order = ["dlv", "drail", "arail", "opod", "apod", "dpol", "apol", "cfs", "sup"]
-    got = df.select(*cols, ST.shipment_status(*[F.col(c) for c in order]).alias("s")).collect()
+    stages = [c for c, _ in ST.WATERFALL]  # highest first
+    label = dict(ST.WATERFALL)
+    pats = [tuple(day if b else None for b in bits) for bits in itertools.product([0, 1], repeat=len(stages))]
+    df = spark.createDataFrame(pats, ", ".join(f"{c} timestamp_ntz" for c in stages))
+    got = df.select(*stages, ST.shipment_status(*[F.col(c) for c in stages]).alias("s")).collect()
+    assert len(got) == 512
     for r in got:
-        assert r.s == _pandas_form(tuple(r[c] for c in cols)), r
+        assert r.s == next((label[c] for c in stages if r[c] is not None), None), r
 
 
 def test_lookup_first_and_last(spark):
@@ -210,14 +187,24 @@ def test_column_helpers(spark):
 
 
 def test_materialize_layers(spark, tmp_path):
+    """Two loads: RAW keeps both, the layers above hold every event once."""
     from quayside.plans.warehouse import materialize_layers
+    from quayside.plans import tracking as TR
     from quayside.sources.catalog import load_inputs
 
-    paths = materialize_layers(load_inputs(spark, "/root/testdata/sf0.001"), str(tmp_path), AS_OF, AS_OF)
-    assert set(paths) >= {"raw/hlcu_tracking", "staging/stg_shipments", "analytics/dim_containers"}
-    assert spark.read.parquet(paths["analytics/fct_tracking_events"]).count() > 0
+    t = load_inputs(spark, "/root/testdata/sf0.001")
+    paths = materialize_layers(t, str(tmp_path), AS_OF, AS_OF)
     raw = spark.read.parquet(paths["raw/hlcu_tracking"])
     assert raw.columns[:3] == ["container_number", "concat_1", "concat_2"]
+    n = raw.count()
+    facts = spark.read.parquet(paths["analytics/fct_tracking_events"])
+    columns = ["event_id", "type_of_tracking", "vessel_name", "last_updated", "ordinal"]
+    want = TR.fct_tracking_events(t, AS_OF).select(*columns)
+    assert facts.select(*columns).exceptAll(want).count() == 0 and facts.count() == want.count()
+    materialize_layers(t, str(tmp_path), AS_OF + dt.timedelta(days=1), AS_OF)
+    assert spark.read.parquet(paths["raw/hlcu_tracking"]).count() == 2 * n
+    again = spark.read.parquet(paths["analytics/fct_tracking_events"])
+    assert again.select(*columns).exceptAll(want).count() == 0 and again.count() == want.count()
 
 
 def test_cluster_conf_scales_with_input():
@@ -228,3 +215,22 @@ def test_cluster_conf_scales_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) == 65536
     assert int(cluster_conf(1 << 40)["spark.sql.shuffle.partitions"]) == 4096
     assert big["spark.sql.adaptive.autoBroadcastJoinThreshold"] == str(64 << 20)
+
+
+def test_plain_ids_are_no_serial_dates(spark):
+    df = spark.createDataFrame([(45000,)], "n bigint")
+    r = df.select(TP.id_key("n").alias("plain"), TP.id_key("n", spreadsheet=True).alias("cell")).first()
+    assert (r.plain, r.cell) == (45000, 20230315)
+
+
+def test_no_local_fallback_off_local_mode():
+    from types import SimpleNamespace as N
+
+    import pytest
+
+    from quayside.session import checkpoint_root
+
+    conf = N(get=lambda key, default=None: default)
+    sc = N(getConf=lambda: conf, getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError):
+        checkpoint_root(N(sparkContext=sc))

@@ -50,3 +50,49 @@ def test_classify_with_a_hot_container(spark):
     hot_cur = out.filter((F.col("container_number") == "HOT") & (F.col("type_of_tracking") == C.CURRENT)).first()
     past = [(ts, -o) for o, c, ts, s in rows if c == "HOT" and ts is not None and ts <= dt.datetime(2024, 1, 15)]
     assert hot_cur.ordinal == -max(past)[1]
+
+
+def _skewed(spark, kind, n=4000):
+    key = {"null": lambda i: None if i % 3 else f"k{i % 50}", "hot": lambda i: "hot" if i % 3 == 0 else f"k{i % 50}"}[kind]
+    base = spark.createDataFrame([(i, key(i), "x" * 40) for i in range(n)], "i int, key string, pad string").repartition(8)
+    dim = spark.createDataFrame([(f"k{j % 50}", f"v{j}", j) for j in range(200)] + [("hot", "vh", 1)], "k string, v string, ordinal int")
+    return base, dim
+
+
+def test_null_keys_are_spread_over_reducers(spark):
+    from quayside.operators import lookups as L
+
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        base, dim = _skewed(spark, "null")
+        out = L.lookup_join(base, dim, "key", "k", {"v": "v"})
+        sizes = out.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+        assert max(r["count"] for r in sizes) < 0.4 * 4000
+        want = {f"k{j % 50}": f"v{150 + j % 50}" for j in range(50)}
+        assert all(r.v == want.get(r.key) for r in out.collect()) and out.count() == 4000
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+def test_a_hot_lookup_key_is_split(spark):
+    from quayside.operators import lookups as L
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {c: spark.conf.get(c, None) for c in conf}
+    for c, v in conf.items():
+        spark.conf.set(c, v)
+    try:
+        base, dim = _skewed(spark, "hot")
+        out = L.lookup_join(base, dim, "key", "k", {"v": "v"})
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+        assert len(rows) == 4000 and all((r.v == "vh") == (r.key == "hot") for r in rows)
+    finally:
+        for c, v in old.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
