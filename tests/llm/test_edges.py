@@ -1,7 +1,9 @@
 """Every query on odd rows, on columns with clashing names and on empty tables."""
 import pytest
 
-from quayside.llm.registry import QUERIES
+from llm_data import SMALL
+
+from quayside.llm.registry import QUERIES, SQL
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -17,3 +19,11 @@ def test_odd_rows(spark, odd_dir, name):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables(spark, empty_dir, name):
     assert QUERIES[name](spark, empty_dir).collect() == []
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_oracle(spark, duck, name):
+    from quayside.plans.verify import compare
+
+    ok, said = compare(QUERIES[name](spark, SMALL), duck, SQL[name])
+    assert ok, said
