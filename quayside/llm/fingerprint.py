@@ -41,26 +41,29 @@ def anchor_words() -> list[str]:
     return sorted({w for words in ANCHORS.values() for w in words.split()})
 
 
-def words(text: Column) -> Column:
-    """Lower-cased runs of letters and digits between single spaces; empty
-    without any (null as empty)."""
-    plain = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    return F.when(plain != "", F.concat(F.lit(" "), plain, F.lit(" "))).otherwise(F.lit(""))
+# Marks the common words in a sequence.
+MARK = "\x01"
 
 
-def chains(sequence: Column, anchors: list[str] | None = None, chain: int = CHAIN) -> Column:
-    """The signatures of `words(text)`, one per line."""
-    common = "(?:" + "|".join(anchors or anchor_words()) + ")(?= )"
-    link = f"(?: {common})*+ [^ ]++"
-    pattern = f"(?<= )(?=({common}{link}(?:{link}){{0,{chain - 1}}}+))"
-    found = F.array_join(F.regexp_extract_all(sequence, F.lit(pattern), F.lit(1)), "\n")
-    return F.regexp_replace(found, f" {common}", "")
+def sequence(text: Column) -> Column:
+    """Lower-cased runs of letters and digits (null as none), common words
+    marked, joined by single spaces."""
+    runs = F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " ")), " ")
+    return F.array_join(F.transform(runs, lambda w: F.when(w.isin(anchor_words()), F.concat(F.lit(MARK), w)).otherwise(w)), " ")
 
 
-def signature_set(sequence: Column, lines: Column) -> Column:
+def chains(marked: Column, chain: int = CHAIN) -> Column:
+    """The signatures of a `sequence`, one per line."""
+    link = f"(?: {MARK}[^ ]++)*+ [^{MARK} ][^ ]*+"
+    pattern = f"(?={MARK}([^ ]++{link}(?:{link}){{0,{chain - 1}}}+))"
+    found = F.array_join(F.regexp_extract_all(marked, F.lit(pattern), F.lit(1)), "\n")
+    return F.regexp_replace(found, f" {MARK}[^ ]++", "")
+
+
+def signature_set(marked: Column, lines: Column) -> Column:
     """Sorted distinct 32-bit hashes of the signatures (`chains`) of a sequence."""
-    found = (F.when(sequence == "", F.array().cast("array<string>"))
-             .when(lines == "", F.array(sequence)).otherwise(F.split(lines, "\n")))
+    found = (F.when(marked == "", F.array().cast("array<string>"))
+             .when(lines == "", F.array(marked)).otherwise(F.split(lines, "\n")))
     return F.array_sort(F.array_distinct(F.transform(found, lambda s: F.hash(s))))
 
 
@@ -84,16 +87,18 @@ def pruned_jaccard(a: Column, b: Column, least: float = 0.0) -> Column:
             .otherwise(both / (n + m - both)))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, next_text): the text of the next document by ascending
-    doc_id (after the last: the first); rows with one doc_id follow each other
-    by text; a row with a null doc_id is its own successor.
+def with_next(docs: DataFrame, *also: str) -> DataFrame:
+    """(doc_id, text, `also`, and the next document's text and `also` as
+    next_*), by ascending doc_id (after the last: the first); rows with one
+    doc_id follow each other by text; a row with a null doc_id is its own
+    successor.
 
     Documents are dealt to blocks of `BLOCK` consecutive ids; the first row of
     each block is also a guest of the block before, so every block finds its
     successors by itself.  The order of the blocks is found in two levels."""
     block = F.floor(F.col("doc_id") / BLOCK).cast("bigint")
-    named = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *also)
+    named = docs.where("doc_id is not null")
     firsts = named.groupBy(block.alias("block")).agg(F.min("doc_id").alias("doc_id"))
     firsts = firsts.withColumn("upper", F.floor(F.col("block") / BLOCK))
     uppers = firsts.groupBy("upper").agg(F.max("block").alias("top"))
@@ -103,35 +108,34 @@ def with_next(docs: DataFrame) -> DataFrame:
     inner = Window.partitionBy("upper").orderBy("block")
     firsts = firsts.join(uppers, "upper").select(
         "doc_id", F.coalesce(F.lag("block").over(inner), "before_all").alias("home"))
-    guests = named.join(firsts, "doc_id").groupBy("doc_id", "home").agg(F.min("text").alias("text"))
-    both = named.select(block.alias("block"), "doc_id", "text", F.lit(0).alias("guest")).union(
-        guests.select(F.col("home").alias("block"), "doc_id", "text", F.lit(1).alias("guest")))
+    guests = named.join(firsts, "doc_id").groupBy("doc_id", "home").agg(F.min(F.struct("text", *also)).alias("g"))
+    both = named.select(block.alias("block"), "doc_id", "text", *also, F.lit(0).alias("guest")).union(
+        guests.select(F.col("home").alias("block"), "doc_id", "g.*", F.lit(1).alias("guest")))
     order = Window.partitionBy("block").orderBy("guest", "doc_id", "text")
-    out = both.withColumn("next_text", F.lead("text").over(order)).where("guest = 0").select("doc_id", "text", "next_text")
-    alone = docs.where("doc_id is null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return out.union(alone.withColumn("next_text", F.col("text")))
+    following = {f"next_{c}": F.lead(c).over(order) for c in ("text", *also)}
+    out = both.withColumns(following).where("guest = 0").drop("block", "guest")
+    alone = docs.where("doc_id is null").withColumns({f"next_{c}": F.col(c) for c in ("text", *also)})
+    return out.unionByName(alone)
 
 
 def fingerprints(df: DataFrame, text: str, name: str) -> DataFrame:
     """`df` with the signature set of a text column.  Step by step, so that
     no expression is evaluated twice."""
-    sequence, lines = fresh(df, "sequence"), fresh(df, "lines")
-    df = df.withColumn(sequence, words(F.col(text)))
-    df = df.withColumn(lines, chains(F.col(sequence)))
-    return df.withColumn(name, signature_set(F.col(sequence), F.col(lines))).drop(sequence, lines)
+    marked, lines = fresh(df, "marked"), fresh(df, "lines")
+    df = df.withColumn(marked, sequence(F.col(text)))
+    df = df.withColumn(lines, chains(F.col(marked)))
+    return df.withColumn(name, signature_set(F.col(marked), F.col(lines))).drop(marked, lines)
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = with_next(table(spark, sf_dir, "documents"))
+    own = fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "own")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.left("text", n - half), F.left("next_text", half))
-    df = pairs.withColumn("edited", edited)
-    for text, name in (("text", "own"), ("edited", "changed"), ("next_text", "following")):
-        df = fingerprints(df, text, name)
+    df = with_next(own, "own").withColumn("edited", F.concat(F.left("text", n - half), F.left("next_text", half)))
+    df = fingerprints(df, "edited", "changed")
     return df.select(
         "doc_id", n.cast("bigint").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         listed(F.col("own")).alias("fingerprint"), listed(F.col("changed")).alias("edited_fingerprint"),
         pruned_jaccard(F.col("own"), F.col("changed")).alias("near_edited"),
-        pruned_jaccard(F.col("own"), F.col("following")).alias("near_next"),
+        pruned_jaccard(F.col("own"), F.col("next_own")).alias("near_next"),
         length_partition(F.size("own")).alias("length_partition"))
