@@ -36,7 +36,6 @@ REACH = 9
 LONGEST = 256
 _GEAR = np.random.default_rng(20240301).integers(0, 1 << 32, size=256, dtype=np.uint32)
 
-_CHUNKS = "array<struct<digest:bigint,first:int,n:int,window:bigint>>"
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -51,12 +50,13 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunks(words: list[bytes]) -> list[tuple[int, int, int, int | None]]:
-    """(digest, first word, word count, digest of the `LEAST` words from the
-    first on, or None if the text ends before) of the chunks of a word
-    sequence."""
+def chunk_arrays(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the chunks of a word sequence: digest, first word, word count, and
+    the digest of the `LEAST` words from the first on (0 if the text ends
+    before)."""
     if not words:
-        return []
+        none = np.empty(0, np.int64)
+        return none, none, none, none
     text = b" ".join(words)
     data = np.frombuffer(text, np.uint8)
     spaces = np.flatnonzero(data == 32)
@@ -68,30 +68,38 @@ def chunks(words: list[bytes]) -> list[tuple[int, int, int, int | None]]:
         forced = [np.arange(end - size + LONGEST, end, LONGEST) for end, size in zip(last, sizes) if size > LONGEST]
         last = np.unique(np.concatenate([last, *forced]))
         sizes = np.diff(np.append(-1, last))
-    firsts = (last - sizes + 1).tolist()
-    ends = np.append(spaces, len(text)).tolist()  # of every word
-    digest, out, at = xxhash.xxh3_64_intdigest, [], 0
-    for first, end in zip(firsts, last.tolist()):
-        stop, far = ends[end], first + LEAST - 1
-        window = digest(text[at:ends[far]]) - (1 << 63) if far < len(ends) else None
-        out.append((digest(text[at:stop]) - (1 << 63), first, end - first + 1, window))
-        at = stop + 1
-    return out
-
-
-def _chunked(texts: pd.Series) -> pd.Series:
-    return pd.Series([[{"digest": d, "first": f, "n": n, "window": w} for d, f, n, w in chunks(t.lower().split())] for t in texts])
+    firsts = last - sizes + 1
+    ends = np.append(spaces, len(text))  # of every word
+    starts = np.append(0, ends[:-1] + 1)[firsts].tolist()
+    whole = firsts + LEAST <= len(words)
+    digest = xxhash.xxh3_64_intdigest
+    own = [digest(text[a:b]) for a, b in zip(starts, ends[last].tolist())]
+    windows = np.zeros(len(own), np.uint64)
+    windows[whole] = [digest(text[a:b]) for a, b in zip(starts, ends[firsts[whole] + LEAST - 1].tolist())]
+    return np.array(own, np.uint64).view(np.int64), firsts, sizes, windows.view(np.int64)
+
+
+def _chunk_rows(batches):
+    columns = ["doc_id", "idx", "digest", "first", "n", "window", "before", "after"]
+    for batch in batches:
+        parts: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in columns]
+        for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            digests, firsts, sizes, windows = chunk_arrays(text.lower().split())
+            m = len(digests)
+            if m:
+                row = (np.full(m, doc_id), np.arange(m), digests, firsts, sizes, windows,
+                       np.append(0, sizes[:-1]), np.append(sizes[1:], 0))
+                for part, values in zip(parts, row):
+                    part.append(values)
+        yield pd.DataFrame({c: np.concatenate(part) for c, part in zip(columns, parts)})
 
 
 def chunk_rows(docs: DataFrame) -> DataFrame:
     """One row per chunk: doc_id, idx, digest, first word, word count, digest of
-    the window that starts with it, and the word counts of its neighbours (0 at
-    an end of the text)."""
-    c = docs.select("doc_id", F.pandas_udf(_chunked, _CHUNKS)(utf8("text")).alias("c"))
-    beside = F.transform("c", lambda x, i: F.struct(
-        x["digest"].alias("digest"), x["first"].alias("first"), x["n"].alias("n"), x["window"].alias("window"),
-        F.coalesce(F.get("c.n", i - 1), F.lit(0)).alias("before"), F.coalesce(F.get("c.n", i + 1), F.lit(0)).alias("after")))
-    return c.select("doc_id", F.posexplode(beside).alias("idx", "x")).select("doc_id", "idx", "x.*")
+    the window that starts with it (0 without one), and the word counts of its
+    neighbours (0 at an end of the text)."""
+    schema = "doc_id bigint, idx int, digest bigint, first int, n int, window bigint, before int, after int"
+    return docs.select("doc_id", utf8("text").alias("text")).mapInPandas(_chunk_rows, schema)
 
 
 def _windows(batches):
@@ -111,7 +119,7 @@ def repeated(rows: DataFrame, key: str) -> DataFrame:
     doc_id that has it.  Counts are combined before the shuffle; the join's key
     is unique on the counts' side, so a key of a great many documents can be
     split."""
-    known = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
+    known = rows.groupBy(key).agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
     return merged(rows, known.where("first_doc < last_doc").select(key, "first_doc"), key)
 
 
@@ -151,7 +159,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     docs = docs.where("doc_id is not null").select("doc_id", "text")
     found = stored(repeated(chunk_rows(docs), "digest").drop("first_doc"), "chunks")
-    sure = stored(joined_windows(repeated(found.select("doc_id", F.col("first").alias("word"), "window"), "window")), "sure")
+    sure = stored(joined_windows(repeated(found.where("window != 0").select("doc_id", F.col("first").alias("word"), "window"), "window")), "sure")
 
     # Documents without a shared window at a cut: all windows of the runs that
     # could be a part of a passage, and of the surroundings of the same chunks
