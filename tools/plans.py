@@ -53,10 +53,10 @@ def main():
     md = "--markdown" in args
     keys = [a for a in args if not a.startswith("/") and not a.startswith("--")]
     from quayside.session import build_session
-    import __spark_entry__ as ent
+    from quayside.plans.registry import all_queries
 
     spark = build_session()
-    qs = ent.queries()
+    qs = all_queries()
     if md:
         print("| query | final-plan operators | pushed filters (sample) |")
         print("|---|---|---|")
