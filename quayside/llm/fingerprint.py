@@ -14,6 +14,8 @@ lengths bounds the similarity of any two sets before they are intersected.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -87,17 +89,18 @@ def pruned_jaccard(a: Column, b: Column, least: float = 0.0) -> Column:
             .otherwise(both / (n + m - both)))
 
 
-def with_next(docs: DataFrame, *also: str) -> DataFrame:
-    """(doc_id, text, `also`, and the next document's text and `also` as
-    next_*), by ascending doc_id (after the last: the first); rows with one
-    doc_id follow each other by text; a row with a null doc_id is its own
-    successor.
+def with_next(docs: DataFrame, derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """(doc_id, text, the columns that `derive` adds, and the same columns but
+    the id of the next document as next_*), by ascending doc_id (after the
+    last: the first); rows with one doc_id follow each other by text; a row
+    with a null doc_id is its own successor.  Only ids and texts are shuffled;
+    `derive` is applied where a document and its successor have met.
 
     Documents are dealt to blocks of `BLOCK` consecutive ids; the first row of
     each block is also a guest of the block before, so every block finds its
     successors by itself.  The order of the blocks is found in two levels."""
     block = F.floor(F.col("doc_id") / BLOCK).cast("bigint")
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *also)
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     named = docs.where("doc_id is not null")
     firsts = named.groupBy(block.alias("block")).agg(F.min("doc_id").alias("doc_id"))
     firsts = firsts.withColumn("upper", F.floor(F.col("block") / BLOCK))
@@ -108,14 +111,15 @@ def with_next(docs: DataFrame, *also: str) -> DataFrame:
     inner = Window.partitionBy("upper").orderBy("block")
     firsts = firsts.join(uppers, "upper").select(
         "doc_id", F.coalesce(F.lag("block").over(inner), "before_all").alias("home"))
-    guests = named.join(firsts, "doc_id").groupBy("doc_id", "home").agg(F.min(F.struct("text", *also)).alias("g"))
-    both = named.select(block.alias("block"), "doc_id", "text", *also, F.lit(0).alias("guest")).union(
-        guests.select(F.col("home").alias("block"), "doc_id", "g.*", F.lit(1).alias("guest")))
+    guests = named.join(firsts, "doc_id").groupBy("doc_id", "home").agg(F.min("text").alias("text"))
+    both = named.select(block.alias("block"), "doc_id", "text", F.lit(0).alias("guest")).union(
+        guests.select(F.col("home").alias("block"), "doc_id", "text", F.lit(1).alias("guest")))
+    both = derive(both.repartition("block"))
+    carried = [c for c in both.columns if c not in ("block", "doc_id", "guest")]
     order = Window.partitionBy("block").orderBy("guest", "doc_id", "text")
-    following = {f"next_{c}": F.lead(c).over(order) for c in ("text", *also)}
-    out = both.withColumns(following).where("guest = 0").drop("block", "guest")
-    alone = docs.where("doc_id is null").withColumns({f"next_{c}": F.col(c) for c in ("text", *also)})
-    return out.unionByName(alone)
+    out = both.withColumns({f"next_{c}": F.lead(c).over(order) for c in carried}).where("guest = 0").drop("block", "guest")
+    alone = derive(docs.where("doc_id is null"))
+    return out.unionByName(alone.withColumns({f"next_{c}": F.col(c) for c in carried}))
 
 
 def fingerprints(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -128,10 +132,10 @@ def fingerprints(df: DataFrame, text: str, name: str) -> DataFrame:
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "own")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    df = with_next(own, "own").withColumn("edited", F.concat(F.left("text", n - half), F.left("next_text", half)))
+    df = with_next(table(spark, sf_dir, "documents"), lambda d: fingerprints(d, "text", "own"))
+    df = df.withColumn("edited", F.concat(F.left("text", n - half), F.left("next_text", half)))
     df = fingerprints(df, "edited", "changed")
     return df.select(
         "doc_id", n.cast("bigint").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
