@@ -5,9 +5,10 @@ texts; add-`SMOOTHING` estimates give P(trigram | language).  A text is a
 mixture of languages: expectation-maximisation estimates its proportions from
 its trigram counts.  The set of languages is selected by penalised likelihood:
 starting with the best single language, a language joins while that raises the
-log-likelihood by more than `PENALTY` * log(trigrams).  The languages found in
-a set with all of them bound any smaller set's likelihood, so most texts need
-one run.  The language with the largest proportion is the prediction.
+log-likelihood by more than `PENALTY` * log(trigrams); the three languages with
+the largest proportions among all are tried.  The likelihood reached with all
+languages bounds that of fewer (up to the estimation's tolerance), so most texts
+need one run.  The language with the largest proportion is the prediction.
 
 The model is a table of languages x `BUCKETS` numbers.  Its size does not grow
 with the corpus; the number of distinct languages is checked against

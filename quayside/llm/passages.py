@@ -37,7 +37,6 @@ LONGEST = 256
 _GEAR = np.random.default_rng(20240301).integers(0, 1 << 32, size=256, dtype=np.uint32)
 
 
-
 def gear(data: np.ndarray) -> np.ndarray:
     """The gear hash after every byte: each byte's random number, shifted by
     its distance; bits 11 to 15 depend on the last 16 bytes at most.  The sum
