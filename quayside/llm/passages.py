@@ -9,10 +9,10 @@ a digest found in two documents is a repeat.
 A repeated passage is a window of `LEAST` words that two documents share.  A
 passage that is a little longer than that holds a cut early enough for the
 window that starts there to lie inside; so the windows that start with a
-repeated chunk are compared by digest first.  In documents without such a
-match, a run of repeated chunks that could be a part of a passage is decided
-exactly: all windows around it are compared with those around the same chunks
-in the other documents.
+repeated chunk are compared by digest first.  In every run of repeated chunks
+that could be a part of a passage, the other windows are decided exactly where
+those matches leave them open (`chunk_claims`): they are compared with the
+windows around the same chunk in the other documents.
 """
 
 from __future__ import annotations
@@ -122,16 +122,77 @@ def repeated(rows: DataFrame, key: str) -> DataFrame:
     return merged(rows, known.where("first_doc < last_doc").select(key, "first_doc"), key)
 
 
-def runs(chunks_: DataFrame) -> DataFrame:
-    """Maximal runs of neighbouring repeated chunks of each document: doc_id,
-    their digests and the word range [wide_lo, wide_hi) with the neighbouring
-    chunks, which holds any passage that the run is a part of (the cut that
-    starts the chunk before the run can depend on words `REACH` before it)."""
-    order = Window.partitionBy("doc_id").orderBy("idx")
-    grouped = chunks_.withColumn("run", F.col("idx") - F.dense_rank().over(order))
-    return grouped.groupBy("doc_id", "run").agg(
-        F.min(F.col("first") - F.col("before") - REACH).alias("wide_lo"),
-        F.max(F.col("first") + F.col("n") + F.col("after")).alias("wide_hi"), F.collect_set("digest").alias("digests"))
+def _open_starts(lo: int, hi: int, chunks_: list[tuple], words: list[int], docs: list[int]) -> list[int]:
+    """The window starts of the run [lo, hi) that the shared windows at cuts
+    (their first words in order, and their first documents) leave open.  Those
+    between two of them are settled if both cover all words between, have one
+    first document, and a chunk inside all windows between has that one too:
+    then no smaller document can share such a window."""
+    settled = set(words)
+    for a, b, f, g in zip(words, words[1:], docs, docs[1:]):
+        if b - a <= LEAST and f == g and any(
+                first >= b - 1 + REACH and first + n <= a + 1 + LEAST and doc == f for first, n, _, doc in chunks_):
+            settled.update(range(a + 1, b))
+    return [k for k in range(max(lo, 0), hi - LEAST + 1) if k not in settled]
+
+
+def _claims(chunks_: list[tuple], starts: list[int]) -> dict[tuple, list[int]]:
+    """(first, digest) of a chunk -> its distances from the open windows that
+    are to be looked for around it.  Each window names one chunk of those that
+    lie inside it with the bytes that decide their cuts (all documents with the
+    window have them): the one with the largest first document, a rare one.
+    Without any, all chunks inside it."""
+    out: dict[tuple, list[int]] = {}
+    for k in starts:
+        inside = [c for c in chunks_ if c[0] >= k and c[0] + c[1] <= k + LEAST]
+        sound = [c for c in inside if c[0] - REACH >= k]
+        for first, _, digest, _ in [max(sound, key=lambda c: (c[3], c[2], c[0]))] if sound else inside:
+            out.setdefault((first, digest), []).append(first - k)
+    return out
+
+
+def _claim_rows(batches):
+    columns = ["doc_id", "digest", "first", "lo", "hi", "near", "far"]
+    for batch in batches:
+        rows: list[tuple] = []
+        for doc_id, idx, first, n, digest, before, after, owner, words, docs in batch.itertuples(index=False):
+            idx, first, n, before, after = (x.tolist() for x in (idx, first, n, before, after))
+            digest, owner = digest.tolist(), owner.tolist()
+            found = sorted(dict(zip(words.tolist(), docs.tolist())).items()) if words is not None else []
+            at = 0
+            while at < len(idx):
+                end = at + 1
+                while end < len(idx) and idx[end] - idx[end - 1] <= 1:
+                    end += 1
+                lo = min(first[i] - before[i] for i in range(at, end)) - REACH
+                hi = max(first[i] + n[i] + after[i] for i in range(at, end))
+                if hi - lo >= LEAST:
+                    chunks_ = sorted(set(zip(first[at:end], n[at:end], digest[at:end], owner[at:end])))
+                    known = [w for w in found if lo <= w[0] < hi]
+                    claims = _claims(chunks_, _open_starts(lo, hi, chunks_, [w for w, _ in known], [d for _, d in known]))
+                    for c in chunks_:
+                        spans = claims.get((c[0], c[2]))
+                        rows.append((doc_id, c[2], c[0], lo, hi, min(spans) if spans else None, max(spans) if spans else None))
+                at = end
+        out = pd.DataFrame(rows, columns=columns)
+        yield out.astype({"near": "Int32", "far": "Int32"})
+
+
+def chunk_claims(chunks_: DataFrame, sure: DataFrame) -> DataFrame:
+    """The repeated chunks in maximal runs of neighbouring repeated chunks that
+    can be a part of a passage: doc_id, digest, first, the word range [lo, hi)
+    of the run with the neighbouring chunks, which holds any passage that the
+    run is a part of (the cut that starts the chunk before the run can depend
+    on words `REACH` before it), and the smallest and largest distance (near,
+    far) from the open windows that are looked for around the chunk (null if
+    none)."""
+    row = F.sort_array(F.collect_list(F.struct("idx", "first", "n", "digest", "before", "after", "first_doc"))).alias("c")
+    by_doc = chunks_.groupBy("doc_id").agg(row)
+    known = sure.groupBy("doc_id").agg(F.collect_list(F.struct("word", "first_doc")).alias("w"))
+    both = merged(by_doc, known, "doc_id", "left").select(
+        "doc_id", *[F.col(f"c.{x}").alias(x) for x in ("idx", "first", "n", "digest", "before", "after", "first_doc")],
+        F.col("w.word").alias("words"), F.col("w.first_doc").alias("docs"))
+    return both.mapInPandas(_claim_rows, "doc_id bigint, digest bigint, first int, lo int, hi int, near int, far int")
 
 
 def joined_windows(windows: DataFrame) -> DataFrame:
@@ -145,40 +206,43 @@ def joined_windows(windows: DataFrame) -> DataFrame:
         F.min("word").alias("lo"), (F.max("word") + LEAST).alias("hi"), F.min("first_doc").alias("first_doc")).drop("run")
 
 
+def shared_windows(docs: DataFrame) -> DataFrame:
+    """(doc_id, word, first_doc): windows of `LEAST` words that a document
+    shares with another, by their first word, with the smallest doc_id that
+    has the window.  Windows between two rows that cover all their words are
+    left out if they add no smaller doc_id."""
+    small_batches(docs.sparkSession)
+    docs = docs.where("doc_id is not null").select("doc_id", "text")
+    found = stored(repeated(chunk_rows(docs), "digest"), "chunks")
+    sure = stored(repeated(found.where("window != 0").select("doc_id", F.col("first").alias("word"), "window"), "window")
+                  .select("doc_id", "word", "first_doc"), "sure")
+    claims = stored(chunk_claims(found, sure), "claims")
+    wanted = claims.where("near is not null").groupBy("digest").agg(F.min("near").alias("least"), F.max("far").alias("most"))
+    regions = merged(claims.drop("near", "far"), wanted, "digest").select(
+        "doc_id", F.greatest("lo", F.col("first") - F.col("most")).alias("lo"),
+        F.least("hi", F.col("first") - F.col("least") + LEAST).alias("hi")).where(F.col("hi") - F.col("lo") >= LEAST)
+    regions = regions.groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("regions"))
+    texts = merged(docs, regions, "doc_id").groupBy("doc_id").agg(
+        F.min(F.coalesce("text", F.lit(""))).alias("text"), F.first("regions").alias("regions"))
+    texts = texts.select("doc_id", F.col("text").cast("binary").alias("text"), F.col("regions.lo").alias("lo"), F.col("regions.hi").alias("hi"))
+    windows = stored(texts.mapInPandas(_windows, "window bigint, doc_id bigint, word int"), "windows")
+    return sure.union(repeated(windows, "window").select("doc_id", "word", "first_doc"))
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """(doc_id, start_word, n_words, first_doc_id): the passages of `LEAST`
-    words or more that a document shares with another, one row each;
-    first_doc_id is the smallest doc_id that shares a part of it.
+    words or more that a document shares with others, one row each (the words
+    covered by shared windows that overlap or touch); first_doc_id is the
+    smallest doc_id that shares a part of it.
 
     Words are runs without ASCII white space, A-Z lower-cased.  Documents that
     repeat no passage (null and empty texts too) have no row.  Rows with one
     doc_id are one document and repeat nothing by themselves (given different
     texts, their chunks are searched together).  A null doc_id is not searched.
     """
-    small_batches(docs.sparkSession)
-    docs = docs.where("doc_id is not null").select("doc_id", "text")
-    found = stored(repeated(chunk_rows(docs), "digest").drop("first_doc"), "chunks")
-    sure = stored(joined_windows(repeated(found.where("window != 0").select("doc_id", F.col("first").alias("word"), "window"), "window")), "sure")
-
-    # Documents without a shared window at a cut: all windows of the runs that
-    # could be a part of a passage, and of the surroundings of the same chunks
-    # in the other documents.
-    sure_docs = sure.select("doc_id").distinct()
-    near = runs(found).where(F.col("wide_hi") - F.col("wide_lo") >= LEAST)
-    near = stored(merged(near, sure_docs, "doc_id", "left_anti"), "near")
-    wanted = near.select(F.explode("digests").alias("digest")).distinct()
-    partners = merged(merged(found, wanted, "digest", "left_semi"), sure_docs, "doc_id", "left_semi").select(
-        "doc_id", (F.col("first") - LEAST + 1).alias("lo"), (F.col("first") + F.col("n") + LEAST - 1).alias("hi"))
-    regions = near.select("doc_id", F.col("wide_lo").alias("lo"), F.col("wide_hi").alias("hi")).union(partners) \
-        .groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("regions"))
-    texts = merged(docs, regions, "doc_id").groupBy("doc_id").agg(
-        F.min(F.coalesce("text", F.lit(""))).alias("text"), F.first("regions").alias("regions"))
-    texts = texts.select("doc_id", F.col("text").cast("binary").alias("text"), F.col("regions.lo").alias("lo"), F.col("regions.hi").alias("hi"))
-    windows = stored(texts.mapInPandas(_windows, "window bigint, doc_id bigint, word int"), "windows")
-    exact = joined_windows(merged(repeated(windows, "window"), near.select("doc_id").distinct(), "doc_id", "left_semi"))
-    both = sure.select("doc_id", "lo", "hi", "first_doc").union(exact.select("doc_id", "lo", "hi", "first_doc"))
-    return both.select("doc_id", F.col("lo").cast("bigint").alias("start_word"), (F.col("hi") - F.col("lo")).cast("bigint").alias("n_words"),
-                       F.col("first_doc").alias("first_doc_id"))
+    return joined_windows(shared_windows(docs)).select(
+        "doc_id", F.col("lo").cast("bigint").alias("start_word"), (F.col("hi") - F.col("lo")).cast("bigint").alias("n_words"),
+        F.col("first_doc").alias("first_doc_id"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -202,6 +266,5 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     changed = joined.where("cut is not null").select("doc_id", remove(utf8("text"), "cut").alias("text"))
     return joined.where("cut is null").select("doc_id", "text").union(changed)
 
-
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))

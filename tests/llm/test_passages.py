@@ -79,3 +79,55 @@ def test_removal(spark, rng):
     rows = [(1, " ".join(["a"] * 3 + passage + ["b"])), (2, " ".join(["c"] + passage)), (3, "x y"), (4, None)]
     got = {r.doc_id: r.text for r in P.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1] == rows[0][1] and got[3] == "x y" and got[4] is None and len(got[2].split()) < 30
+
+
+def brute_passages(rows):
+    """doc_id -> [(start, words, smallest doc_id that shares a window)]."""
+    first, where = {}, {}
+    for i, t in rows:
+        w = t.encode().lower().split()
+        for k in range(len(w) - P.LEAST + 1):
+            where.setdefault(tuple(w[k:k + P.LEAST]), []).append((i, k))
+    for at in where.values():
+        if len({i for i, _ in at}) > 1:
+            for i, k in at:
+                first.setdefault(i, {})[k] = min(j for j, _ in at)
+    out = set()
+    for i, starts in first.items():
+        runs = []
+        for k in sorted(starts):
+            if runs and k <= runs[-1][1]:
+                runs[-1] = (runs[-1][0], k + P.LEAST, min(runs[-1][2], starts[k]))
+            else:
+                runs.append((k, k + P.LEAST, starts[k]))
+        out |= {(i, a, b - a, f) for a, b, f in runs}
+    return out
+
+
+def test_several_passages_in_a_document(spark, rng):
+    """Long boilerplate with shorter passages beside it: start, length and
+    first document of each."""
+    def prose(n):
+        return ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 8))) for _ in range(n)]
+
+    plate, base = prose(200), prose(400)
+    rows, n = [], 0
+    for length in [51, 52, 53, 55, 58, 60, 65, 70] * 6:
+        passage = prose(length)
+        for _ in range(2):
+            parts = [plate, passage]
+            rng.shuffle(parts)
+            rows.append((n, " ".join(prose(30) + parts[0] + prose(40) + parts[1] + prose(30))))
+            n += 1
+    rows += [(n + k, " ".join(base)) for k in range(3)]
+    # two families of long copies with a short passage in common
+    for _ in range(6):
+        short = prose(rng.randint(51, 56))
+        for _ in range(2):
+            family = " ".join(prose(90) + short + prose(90))
+            rows += [(n + 10, family), (n + 11, family)]
+            n += 10
+    for k in range(8):
+        rows.append((n + 20 + k, " ".join(prose(20) + base[30 * k:30 * k + 53] + prose(20))))
+    got = found(spark, rows)
+    assert {(r.doc_id, r.start_word, r.n_words, r.first_doc_id) for r in got} == brute_passages(rows)
