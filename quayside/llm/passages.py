@@ -246,10 +246,11 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """`docs` (doc_id, text) with every repeated passage removed but in the
-    smallest doc_id that shares it; words of changed texts are joined by one space."""
-    cut = repeated_passages(docs).where("doc_id != first_doc_id").groupBy("doc_id").agg(
-        F.collect_list(F.struct("start_word", "n_words")).alias("cut"))
+    """`docs` (doc_id, text) without the words of every window that a smaller
+    doc_id has too, so each repeated word stays where its windows occur first;
+    words of changed texts are joined by one space."""
+    cut = joined_windows(shared_windows(docs).where("first_doc < doc_id")).groupBy("doc_id").agg(
+        F.collect_list(F.struct(F.col("lo").alias("start_word"), (F.col("hi") - F.col("lo")).alias("n_words"))).alias("cut"))
 
     @F.pandas_udf("string")
     def remove(texts: pd.Series, cuts: pd.Series) -> pd.Series:

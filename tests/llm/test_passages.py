@@ -131,3 +131,12 @@ def test_several_passages_in_a_document(spark, rng):
         rows.append((n + 20 + k, " ".join(prose(20) + base[30 * k:30 * k + 53] + prose(20))))
     got = found(spark, rows)
     assert {(r.doc_id, r.start_word, r.n_words, r.first_doc_id) for r in got} == brute_passages(rows)
+
+
+def test_removal_keeps_one_copy_of_each_passage(spark):
+    """A document holds a passage of a smaller one directly followed by one
+    that only a larger document has too."""
+    p1, p2 = [f"p{k}" for k in range(80)], [f"q{k}" for k in range(80)]
+    rows = [(1, " ".join(["a"] * 3 + p1 + ["b"])), (10, " ".join(["c"] + p1 + p2 + ["d"])), (50, " ".join(["e"] + p2 + ["f"]))]
+    got = {r.doc_id: r.text for r in P.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 10: " ".join(["c"] + p2 + ["d"]), 50: "e f"}
