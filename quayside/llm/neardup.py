@@ -14,6 +14,12 @@ keys whose members still lie in different components, with centres drawn anew
 from both sides, and go on for the keys that the last round changed; where that
 adds no link, all pairs across components of the keys with few members are
 compared.  Each candidate is verified on the full shingle sets.
+
+Draws can miss a link in a key with many members.  So the documents of such
+keys that still lie in several components are joined in the end by a prefix
+filter on their full sets: of two sets that reach the threshold, the rarest
+common shingle is among the rarest few of both.  Shingles with few holders list
+their pairs; those with many are compared block by block.
 """
 
 from __future__ import annotations
@@ -32,6 +38,9 @@ BANDS, ROWS = 7, 2
 # centres drawn from each side of a table key, and members up to which all
 # pairs of a key are compared in the end
 DRAWS, FEW = 2, 16
+# members and shingles that a block of a frequent shingle's holders has about
+# at most, and shingles multiplied at a time
+BLOCK, BLOCK_SHINGLES, COLUMNS = 256, 1 << 20, 4096
 # multiplier (odd) and summand of every minhash
 _SEEDS = np.random.default_rng(20240229).integers(1, 2**63, size=(2 * BANDS * ROWS, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 # shingles hashed at a time
@@ -201,6 +210,80 @@ def _all_across(shared: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
     return _pairs(mixed, mixed.select("tkey", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("comp").alias("comp2")), percent)
 
 
+def _shingle_rows(batches):
+    for batch in batches:
+        sets = [np.frombuffer(x, np.int64) for x in batch["shingles"]]
+        yield pd.DataFrame({"node": np.repeat(batch["node"].to_numpy(), [len(x) for x in sets]),
+                            "tkey": np.concatenate([np.empty(0, np.int64), *sets])})
+
+
+def _prefixes(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(tkey, node, n, comp): the shingles of each set, rarest first, one of
+    which any two sets that reach the threshold share.  Those of one holder
+    come first and are left out."""
+    rows = stored(merged(sets, open_.select("node"), "node").mapInPandas(_shingle_rows, "node bigint, tkey bigint"), "shingles")
+    held = rows.groupBy("tkey").agg(F.count("*").alias("k")).where("k > 1")
+    shared = merged(rows, held, "tkey").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("k", "tkey"))).alias("c"))
+    # of n shingles, a partner shares ceil(n * percent / 100) at least
+    both = merged(shared, open_, "node").withColumn("p", F.size("c") - F.ceil(F.col("n") * percent / F.lit(100)).cast("int") + 1)
+    cut = both.where("p > 0").select("node", "n", "comp", F.explode(F.slice("c", 1, F.col("p"))).alias("c"))
+    return stored(cut.select(F.col("c.tkey").alias("tkey"), "node", "n", "comp"), "prefixes")
+
+
+def _compared(percent: int):
+    def compare(block: pd.DataFrame) -> pd.DataFrame:
+        """The first link found between any two components of the block."""
+        sets = [np.frombuffer(x, np.uint64) for x in block["shingles"]]
+        node, comp, side = (block[c].to_numpy() for c in ("node", "comp", "side"))
+        n = np.array([len(x) for x in sets])
+        _, at, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        doc = np.repeat(np.arange(len(sets)), n)
+        kept = held[at] > 1
+        column = (np.cumsum(held > 1) - 1)[at[kept]]
+        order = np.argsort(column, kind="stable")
+        column, doc = column[order], doc[kept][order]
+        common = np.zeros((len(sets), len(sets)), np.int64)
+        for lo in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+            a, b = np.searchsorted(column, [lo, lo + COLUMNS])
+            part = np.zeros((len(sets), COLUMNS), np.float32)
+            part[doc[a:b], column[a:b] - lo] = 1
+            common += (part @ part.T).astype(np.int64)
+        link = (100 * common >= percent * (n[:, None] + n[None, :] - common)) & (comp[:, None] < comp[None, :])
+        if block["i"].iloc[0] != block["j"].iloc[0]:
+            link &= side[:, None] != side[None, :]
+        x, y = np.nonzero(link)
+        out = pd.DataFrame({"a": np.maximum(node[x], node[y]), "b": np.minimum(node[x], node[y]), "x": comp[x], "y": comp[y]})
+        return out.drop_duplicates(["x", "y"])[["a", "b"]]
+
+    return compare
+
+
+def _exact_across(shared: DataFrame, comp: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links across components among the members of the table keys of more
+    than `FEW` members, whatever the draws."""
+    label = merged(shared, comp, "node", "left").select("tkey", "node", "n", F.coalesce("comp", "node").alias("comp"))
+    many = label.groupBy("tkey").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k")) \
+        .where("lo != hi").where(F.col("k") > FEW).select("tkey")
+    open_ = stored(merged(label, many, "tkey").select("node", "n", "comp").distinct(), "open")
+    prefixes = _prefixes(open_, sets, percent)
+    members = [F.sum(F.xxhash64("node", F.lit(k)).cast("decimal(38,0)")).alias(f"h{k}") for k in (0, 1)]
+    groups = stored(prefixes.groupBy("tkey").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k"),
+                                                 F.sum("n").alias("total"), *members).where("lo != hi").drop("lo", "hi"), "groups")
+    few = merged(prefixes, groups.where(F.col("k") <= FEW).select("tkey"), "tkey")
+    few = stored(few, "few")
+    pairs = _pairs(few, few.select("tkey", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("comp").alias("comp2")), percent)
+    listed = _confirmed(pairs, sets, percent)
+    # Shingles with the same holders are one; the holders are dealt to blocks,
+    # and every two blocks meet in one group.
+    parts = F.greatest(F.ceil(F.col("k") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+    big = groups.where(F.col("k") > FEW).groupBy("k", "total", "h0", "h1").agg(F.min("tkey").alias("tkey")).select("tkey", parts.alias("parts"))
+    dealt = merged(prefixes, big, "tkey").withColumn("side", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "tkey", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "node", "comp", "side")
+    blocks = merged(dealt, sets, "node").groupBy("tkey", "i", "j").applyInPandas(_compared(percent), "a bigint, b bigint")
+    return stored(listed.union(blocks).distinct(), "links")
+
+
 def _touched(shared: DataFrame, links: DataFrame) -> DataFrame:
     """The rows of the table keys that hold a newly linked document."""
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
@@ -268,6 +351,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         comp, drawn = _joined(comp, links), _touched(shared, links)
         if not any(x is shared for x in listed):
             listed.append(drawn)
+    # What the draws missed in the large keys.
+    links = _exact_across(shared, comp, sets, percent)
+    if not links.isEmpty():
+        comp = _joined(comp, links)
 
     by_set = merged(reps, comp, "node", "left").select("key", F.coalesce("comp", "node").alias("comp"))
     out = merged(sk, by_set, "key", "left")
