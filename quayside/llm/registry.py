@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, fingerprint, language, neardup, pagetext, passages, pii, records, secret_scan
+from . import bpe, decontaminate, fingerprint, language, neardup, pagetext, passages, pieces, pii, records, secret_scan, variants, whitening
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,9 @@ QUERIES = {
     "op8_secret_entropy": secret_scan.op8,
     "op9_gear_chunk_dedup": passages.op9,
     "op10_wu_manber_decontamination": decontaminate.op10,
+    "op11_distinct_chunk_pieces": pieces.op11,
+    "op12_bit_sliced_whitening": whitening.op12,
+    "op13_trie_variants": variants.op13,
     "pipeline": pipeline,
 }
 SQL = {

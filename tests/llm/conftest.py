@@ -26,14 +26,17 @@ def odd_dir(spark, odd_docs, tmp_path_factory):
     bench = spark.createDataFrame([(1, "the cat sat on the mat"), (2, None), (3, ""), (None, "sun shone"), (4, PROSE)], "item_id long, text string")
     pages = spark.createDataFrame([(1, None, None, "x"), (None, "http://a/b", "<p>t", "x"), (2, "http://a/b", "", "x")],
                                   "page_id long, url string, html string, lines string")
-    return written(wide, tmp_path_factory.mktemp("odd"), benchmark=bench, pages=pages)
+    vectors = spark.createDataFrame([(1, None, "x"), (None, [1.0, 0.0], "x"), (2, [0.0, 2.0], "x"), (2, [0.0, 2.0], "x"), (3, [], "x"), (4, [3.0, None], "x")],
+                                    "vec_id long, embedding array<float>, whitened string")
+    return written(wide, tmp_path_factory.mktemp("odd"), benchmark=bench, pages=pages, embeddings=vectors)
 
 
 @pytest.fixture(scope="session")
 def empty_dir(spark, empty_docs, tmp_path_factory):
     bench = spark.createDataFrame([], "item_id long, text string")
     pages = spark.createDataFrame([], "page_id long, url string, html string")
-    return written(empty_docs, tmp_path_factory.mktemp("empty"), benchmark=bench, pages=pages)
+    vectors = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    return written(empty_docs, tmp_path_factory.mktemp("empty"), benchmark=bench, pages=pages, embeddings=vectors)
 
 
 @pytest.fixture

@@ -12,7 +12,9 @@ def test_odd_rows(spark, odd_dir, name):
     docs = spark.read.parquet(f"{odd_dir}/documents.parquet").count()
     if name.startswith("op7"):
         assert len(got) == 3
-    elif not name.startswith(("op9", "pipeline")):
+    elif name.startswith("op12"):
+        assert len(got) == 3  # three usable vectors, one component with variance
+    elif not name.startswith(("op9", "op13", "pipeline")):
         assert len(got) == docs
 
 
