@@ -1,10 +1,9 @@
 """Spelling variants: words one edit apart, found by a trie frontier.
 
-The words form a compressed trie, kept as a table with a row per node: the
-node's text, the word counts at and below its edges, and its outgoing edges (a
-label each; at most one edge per letter of the alphabet).  A table of states
-(word, position, node, edits) starts with every word at the root and is joined
-with the node table level by level.  A state follows the edge whose label
+The words form a compressed trie, kept as a table of edges: a node (its text),
+a label, and the count of the word at the edge's end (at most one edge of a node
+per letter of the alphabet).  A table of states (word, position, node, edits)
+starts with every word at the root and is joined with the edges level by level.  A state follows the edge whose label
 matches the word from its position on.  Without an edit so far it also takes
 
 * every edge whose first letter is smaller than the word's next one, if the
@@ -113,65 +112,78 @@ def _common(a: str, b: str) -> Column:
 
 
 def trie(words: DataFrame) -> DataFrame:
-    """(node, edges: array<struct<label, n>>) of the inner nodes of the words'
-    compressed trie; `n` is the count of the word that the edge leads to, null
-    where it leads to no word."""
+    """The edges (node, label, n, heads) of the words' compressed trie.  `n` is
+    the count of the word that the edge leads to, null where it leads to none;
+    `heads` are the first letters of the edges that go on from there."""
     forks = with_previous(words.select("word"), "word", "before").select(_common("before", "word").alias("node"))
     nodes = forks.distinct().withColumn("n", F.lit(None).cast("bigint")).unionByName(words.select(F.col("word").alias("node"), "n"))
     nodes = nodes.groupBy("node").agg(F.max("n").alias("n"))
-    nodes = with_previous(nodes, "node", "before").where(F.col("node") != "")
-    edges = nodes.withColumn("parent", _common("before", "node"))
-    label = F.substring("node", F.length("parent") + 1, F.length("node"))
-    return edges.groupBy(F.col("parent").alias("node")).agg(F.collect_list(F.struct(label.alias("label"), "n")).alias("edges"))
+    nodes = with_previous(nodes, "node", "before").where(F.col("node") != "").withColumn("parent", _common("before", "node"))
+    nodes = stored(nodes.withColumn("label", F.substring("node", F.length("parent") + 1, F.length("node"))).drop("before"), "nodes")
+    heads = nodes.groupBy(F.col("parent").alias("node")).agg(F.array_join(F.collect_list(F.left("label", F.lit(1))), "").alias("heads"))
+    return merged(nodes, heads, "node", "left").select(F.col("parent").alias("node"), "label", "n", F.coalesce("heads", F.lit("")).alias("heads"))
 
 
-def _moves() -> Column:
-    """The next states of a state at its node, one per move."""
-    word, at, size = F.col("word"), F.col("at"), F.length("word")
+def _letters(start: Column, length: Column | int = 1) -> Column:
+    """Letters of a state's word from the 0-based `start` on."""
+    return F.substring("word", start + 1, F.lit(length) if isinstance(length, int) else length)
+
 
-    def part(start: Column, length: Column) -> Column:
-        return F.substring(word, start + 1, length)
+def _step(label: Column, n: Column, heads: Column, passed: Column, edits: Column | int) -> Column:
+    return F.struct((F.col("at") + passed).alias("at"), F.concat("node", label).alias("node"),
+                    (F.lit(edits) if isinstance(edits, int) else edits).alias("edits"), n.alias("node_n"), heads.alias("heads"))
 
-    def state(e: Column, step: Column, edits: Column) -> Column:
-        return F.struct((at + step).alias("at"), F.concat("node", e["label"]).alias("node"), edits.alias("edits"), e["n"].alias("node_n"))
 
-    own, fresh, edges = F.col("edits"), F.col("edits") == 0, F.col("edges")
-    match = F.filter(edges, lambda e: e["label"] == part(at, F.length(e["label"])))
-    smaller = F.filter(edges, lambda e: fresh & (F.left(e["label"], F.lit(1)) < part(at, F.lit(1)))
-                       & (F.substring(e["label"], F.lit(2), F.length(e["label"])) == part(at + 1, F.length(e["label"]) - 1)))
-    behind = F.filter(edges, lambda e: fresh & (at + 1 < size) & (part(at, F.lit(1)) != part(at + 1, F.lit(1)))
-                      & (e["label"] == part(at + 1, F.length(e["label"]))))
-    return F.concat(F.transform(match, lambda e: state(e, F.length(e["label"]), own)),
-                    F.transform(smaller, lambda e: state(e, F.length(e["label"]), F.lit(1))),
-                    F.transform(behind, lambda e: state(e, F.length(e["label"]) + 1, F.lit(1))))
+def _moves() -> Column:
+    """The next states of a state without an edit at its node (`edges`)."""
+    at, edges = F.col("at"), F.col("edges")
+    own = F.filter(edges, lambda e: e["label"] == _letters(at, F.length(e["label"])))
+    smaller = F.filter(edges, lambda e: (F.left(e["label"], F.lit(1)) < _letters(at))
+                       & (F.substring(e["label"], F.lit(2), F.length(e["label"])) == _letters(at + 1, F.length(e["label"]) - 1)))
+    behind = F.filter(edges, lambda e: (_letters(at) != _letters(at + 1)) & (e["label"] == _letters(at + 1, F.length(e["label"]))))
 
+    def steps(some: Column, more: int, edits: int) -> Column:
+        return F.transform(some, lambda e: _step(e["label"], e["n"], e["heads"], F.length(e["label"]) + more, edits))
 
-STATE = ["word", "n", "at", "node", "edits", "node_n"]
+    return F.concat(steps(own, 0, 0), steps(smaller, 0, 1), steps(behind, 1, 1))
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """(word, n, other, other_n): every ordered pair of words of (word, n) that
-    differ by exactly one inserted, deleted or replaced code point."""
+    differ by exactly one inserted, deleted or replaced code point.
+
+    States with an edit can only follow the one edge of their next letter, so
+    they meet the table by (node, letter); a state is not kept if its node has
+    no edge of its next letter."""
     deep = F.length("node") > SHALLOW
     places = F.when(deep, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    nodes = stored(trie(words).withColumn("place", F.explode(places)), "trie")
     here = F.when(deep, F.lit(0)).otherwise(F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int"))
-    states = words.select("word", "n", F.lit(0).alias("at"), F.lit("").alias("node"), F.lit(0).alias("edits"),
-                          F.lit(None).cast("bigint").alias("node_n"))
+    edges = stored(trie(words), "edges")
+    nodes = edges.groupBy("node").agg(F.collect_list(F.struct("label", "n", "heads")).alias("edges"))
+    nodes = stored(nodes.withColumn("place", F.explode(places)), "nodes")
+    edges = stored(edges.withColumns({"letter": F.left("label", F.lit(1)), "place": F.explode(places)}), "edges")
+    at, ended = F.col("at"), F.col("at") == F.length("word")
+    alive = F.when(ended, (F.col("edits") == 1) & F.col("node_n").isNotNull()).otherwise(
+        (F.col("edits") == 0) | F.contains("heads", _letters(at)))
+    fresh = words.select("word", "n", F.lit(0).alias("at"), F.lit("").alias("node"), F.lit(None).cast("bigint").alias("node_n"))
+    edited = fresh.where(F.lit(False))
     pairs = None
     while True:
         # A word whose last letter is deleted is the word that its node is.
-        shorter = states.where((F.col("edits") == 0) & (F.col("at") + 1 == F.length("word")) & F.col("node_n").isNotNull())
-        met = merged(states.withColumn("place", here), nodes, ["node", "place"])
-        moved = met.select("word", "n", "node", "at", "edits", "edges").select("word", "n", F.explode(_moves()).alias("s")).select("word", "n", "s.*")
-        ended = F.col("at") == F.length("word")
-        moved = moved.where(~ended | ((F.col("edits") == 1) & F.col("node_n").isNotNull())).select(*STATE)
-        moved = stored(moved, "frontier")
-        found = moved.where(ended).unionByName(shorter).select("word", "n", F.col("node").alias("other"), F.col("node_n").alias("other_n"))
+        shorter = fresh.where((at + 1 == F.length("word")) & F.col("node_n").isNotNull())
+        met = merged(fresh.drop("node_n").withColumn("place", here), nodes, ["node", "place"])
+        moved = met.select("word", "n", F.explode(_moves()).alias("s"))
+        edited = edited.select("word", F.col("n").alias("word_n"), "at", "node", _letters(at).alias("letter"), here.alias("place"))
+        met = merged(edited, edges, ["node", "letter", "place"]).where(F.col("label") == _letters(at, F.length("label")))
+        moved = moved.unionByName(met.select("word", F.col("word_n").alias("n"), _step(
+            F.col("label"), F.col("n"), F.col("heads"), F.length("label"), 1).alias("s")))
+        moved = stored(moved.select("word", "n", "s.*").where(alive).drop("heads"), "frontier")
+        found = moved.where(ended).unionByName(shorter, allowMissingColumns=True)
+        found = found.select("word", "n", F.col("node").alias("other"), F.col("node_n").alias("other_n"))
         pairs = found if pairs is None else pairs.unionByName(found)
-        states = moved.where(~ended)
-        if states.isEmpty():
+        if moved.where(~ended).isEmpty():
             break
+        fresh, edited = (moved.where(~ended & (F.col("edits") == k)).drop("edits") for k in (0, 1))
     return pairs.unionByName(pairs.select(F.col("other").alias("word"), F.col("other_n").alias("n"),
                                           F.col("word").alias("other"), F.col("n").alias("other_n")))
 
