@@ -15,11 +15,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quayside.session import drop_scratch
+from quayside.session import drop_scratch, path_exists
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], load_ts: str = "last_updated",
@@ -31,6 +31,11 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], load_ts: str =
     stored and are left out (`upsert_metrics` counts them as failed).  This is
     the whole-table merge; `merge_snapshot` feeds it only the partitions a
     batch touches."""
+    return _merged(target, batch, keys, load_ts, seq).select(*target.columns)
+
+
+def _merged(target: DataFrame, batch: DataFrame, keys: list[str], load_ts: str, seq: str, marks: dict[str, Column] | None = None) -> DataFrame:
+    """The merged rows, with further aggregates per key (`marks`)."""
     stored = batch.where(_has_key(keys))
     sent = [c for c in target.columns if c in batch.columns and c not in keys]
     kept = [c for c in target.columns if c not in batch.columns]
@@ -40,9 +45,24 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], load_ts: str =
     picks = [F.max_by(F.struct(*sent), order).alias("_w")]
     if kept:
         picks.append(F.max_by(F.struct(*kept), F.when(F.col("_old"), order)).alias("_k"))
-    g = both.groupBy(*keys).agg(*picks)
+    marks = marks or {}
+    g = both.groupBy(*keys).agg(*picks, *[m.alias(name) for name, m in marks.items()])
     return g.select(*[F.col(c) if c in keys else F.col("_w" if c in sent else "_k").getField(c).alias(c)
-                      for c in target.columns])
+                      for c in target.columns], *marks)
+
+
+def _observed_merge(target: DataFrame, batch: DataFrame, keys: list[str], load_ts: str, seq: str, seen: Observation) -> DataFrame:
+    """`upsert`, whose counts the writing job leaves in `seen`."""
+    content = [c for c in target.columns if c in batch.columns and c not in (*keys, load_ts, seq)]
+    digest = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in content])
+    order = F.struct(F.col(load_ts), F.col(seq))
+    df = _merged(target, batch, keys, load_ts, seq, {
+        "_ops": F.count_if(~F.col("_old")), "_before": F.max_by(F.when(F.col("_old"), digest), F.when(F.col("_old"), order)),
+        "_after": F.max_by(digest, order)})
+    sent, new = F.col("_ops") > 0, F.col("_before").isNull()
+    return df.observe(seen, F.count_if(sent & new).alias("inserted"), F.count_if(sent & ~new).alias("matched"),
+                      F.count_if(sent & (F.col("_before") != F.col("_after"))).alias("modified"),
+                      F.sum("_ops").alias("total_processed")).drop("_ops", "_before", "_after")
 
 
 def _has_key(keys: list[str]) -> Column:
@@ -67,36 +87,25 @@ def upsert_metrics(target: DataFrame, batch: DataFrame, keys: list[str], group:
     operations that modify a stored document (an identical resend modifies
     nothing: of equal contents sent for one key only one counts, and none if
     the target holds it already); `failed` operations without a full key;
-    `total_processed` all operations."""
+    `total_processed` all operations.  `group` columns are keys.
+
+    One pass without a join: target and batch rows of one content meet in a
+    grouped aggregate per (key, content), and these per key."""
     group = group or []
-    content = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in batch.columns if c != seq])
-    stored = batch.where(_has_key(keys)).withColumn("_h", content)
-    sent = stored.groupBy(*keys, "_h").agg(F.count(F.lit(1)).alias("_ops"))
-    # Only target keys that the batch touches matter.
     have = [c for c in batch.columns if c != seq]
-    old = target.select(*[c for c in have if c in target.columns], *[F.lit(None).cast("string").alias(c) for c in have if c not in target.columns])
-    old = old.select(*keys, F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in have]).alias("_old"))
-    known = old.join(stored.select(*keys), keys, "left_semi").groupBy(*keys).agg(F.max("_old").alias("_old"))
-    per = sent.join(known, keys, "left").groupBy(*keys).agg(
-        F.sum("_ops").alias("_ops"), F.max(F.col("_old").isNull()).alias("_new"),
-        F.count_if(F.col("_old").isNull() | (F.col("_old") != F.col("_h"))).alias("_changes"))
-    m = per.groupBy(*group).agg(
-        F.count_if("_new").alias("inserted"),
-        F.sum(F.col("_changes") - F.col("_new").cast("bigint")).cast("bigint").alias("updated"),
-        F.sum("_ops").cast("bigint").alias("_stored"))
-    lost = batch.where(~_has_key(keys)).groupBy(*group).agg(F.count(F.lit(1)).alias("failed"))
-    zero = F.lit(0).cast("bigint")
-    if group:
-        lost = lost.select(*[F.col(c).alias(f"_l_{c}") for c in group], "failed")
-        same = [F.col(c).eqNullSafe(F.col(f"_l_{c}")) for c in group]
-        j = m.join(lost, same, "full")
-        j = j.select(*[F.when(F.col("_stored").isNull(), F.col(f"_l_{c}")).otherwise(F.col(c)).alias(c) for c in group],
-                     "inserted", "updated", "_stored", "failed")
-    else:
-        j = m.withColumn("_one", F.lit(1)).join(lost.withColumn("_one", F.lit(1)), "_one")  # one row each
-    return j.select(*group, F.coalesce("inserted", zero).alias("inserted"), F.coalesce("updated", zero).alias("updated"),
-                    (F.coalesce("_stored", zero) + F.coalesce("failed", zero)).alias("total_processed"),
-                    F.coalesce("failed", zero).alias("failed"))
+    content = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in have])
+    absent = {c: F.lit(None).cast("string") for c in have if c not in target.columns}
+    old = target.where(_has_key(keys)).withColumns(absent).select(*keys, content.alias("_h"), F.lit(0).alias("_op"))
+    sent = batch.select(*keys, content.alias("_h"), F.lit(1).alias("_op"))
+    per = old.unionByName(sent).groupBy(*keys, "_h").agg(F.sum("_op").alias("_ops"), (F.min("_op") == 0).alias("_old"))
+    per = per.groupBy(*keys).agg(F.sum("_ops").alias("_ops"), F.max("_old").alias("_known"),
+                                 F.count_if((F.col("_ops") > 0) & ~F.col("_old")).alias("_changes")).where(F.col("_ops") > 0)
+    stored, new = _has_key(keys), ~F.col("_known")
+    return per.groupBy(*group).agg(
+        F.count_if(stored & new).alias("inserted"),
+        F.coalesce(F.sum(F.when(stored, F.col("_changes") - new.cast("bigint"))), F.lit(0)).cast("bigint").alias("updated"),
+        F.coalesce(F.sum("_ops"), F.lit(0)).cast("bigint").alias("total_processed"),
+        F.coalesce(F.sum(F.when(~stored, F.col("_ops"))), F.lit(0)).cast("bigint").alias("failed"))
 
 
 # ---------------------------------------------------------- snapshots
@@ -124,29 +133,85 @@ def write_partitions(df: DataFrame, path: str, partition_by: list[str], sort_by:
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
+# Touched partitions named one by one in the filter of a merge's read.  A
+# snapshot's partitions are listed on the driver in any case; beyond this the
+# read is reduced by a semi join instead.
+NAMED_PARTITIONS = 20_000
+METRICS = ["inserted", "matched", "modified", "total_processed", "failed"]
+
+
+def staged_once(batch: DataFrame, path: str) -> DataFrame:
+    """`batch` as written under `path`: by this call, or by an earlier one that
+    finished writing.  Whatever reads it sees the same rows, even if the batch
+    gives others each time it is evaluated."""
+    spark = batch.sparkSession
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        batch.write.mode("overwrite").parquet(path)
+    return spark.read.schema(batch.schema).parquet(path)
+
+
+def touched_partitions(snapshot: DataFrame, batch: DataFrame, partition_by: list[str]) -> DataFrame:
+    """The rows of the snapshot's partitions that hold a partition value of
+    the batch.  The values become literals, so the scan lists and reads no
+    other partition."""
+    touched = batch.select(*partition_by).distinct()
+    rows = touched.limit(NAMED_PARTITIONS + 1).collect()
+    if len(rows) > NAMED_PARTITIONS:
+        return snapshot.join(touched, partition_by, "left_semi")
+    by: dict[tuple, list] = {}
+    for *first, last in map(tuple, rows):
+        by.setdefault(tuple(first), []).append(last)
+    named = F.lit(False)
+    for first, lasts in by.items():
+        one = F.col(partition_by[-1]).isin(lasts)
+        for c, v in zip(partition_by, first):
+            one = (F.col(c) == F.lit(v)) & one
+        named = named | one
+    return snapshot.where(named)
+
+
 def merge_snapshot(path: str, batch: DataFrame, keys: list[str], partition_by: list[str], staging: str,
                    sort_by: list[str] | None = None, load_ts: str = "last_updated", seq: str = "seq",
-                   schema: StructType | None = None, after_stage=None) -> None:
-    """Upsert `batch` into the snapshot at `path`, rewriting only the
-    partitions the batch touches.
+                   schema: StructType | None = None, ledger: str | None = None, after_stage=None) -> dict[str, int] | None:
+    """Upsert `batch` into the snapshot at `path`, reading and rewriting only
+    the partitions the batch touches.
 
     `partition_by` columns must be functions of the key, so that a key never
-    changes partition, and without null or blank values.  The merged content is
-    first written under `staging` and then swapped in.  If a run dies in
-    between, running the same batch with the same `staging` again merges the
-    snapshot, what was staged and the batch, so nothing is lost whichever
-    partitions the first run had swapped, and merges made meanwhile stay.
+    changes partition, and without null or blank values.
+
+    1. The batch is written under `staging` once; every later step reads those
+       files, also when the merge is run again with the same `staging`.
+    2. The partitions it touches become literal predicates of the read.
+    3. The merged content is written under `staging` and then swapped in.  If
+       a run dies in between, running it again merges the snapshot, what was
+       staged and the batch, so nothing is lost whichever partitions the first
+       run had swapped, and merges made meanwhile stay.
+    4. `ledger`, a path, marks the batch as finished.  A merge whose mark
+       exists does nothing and returns None.
+
     `staging` is removed at the end.  `schema` is the snapshot's schema
-    (default: the batch's)."""
+    (default: the batch's).  Returns what the write itself observed: `inserted`
+    and `matched` keys, matched keys whose content was `modified`, operations
+    in all (`total_processed`) and those `failed` for want of a full key."""
     spark = batch.sparkSession
-    schema = schema or batch.schema
-    touched = batch.select(*partition_by).distinct()
-    current = read_snapshot(spark, path, schema).join(touched, partition_by, "left_semi")
-    staged = read_snapshot(spark, f"{staging}/*", schema)
-    known = current.select(*schema.names).unionByName(staged.select(*schema.names))
-    attempt = f"{staging}/{uuid.uuid4().hex[:12]}"
-    upsert(known, batch, keys, load_ts, seq).write.parquet(attempt)
+    if ledger is not None and path_exists(spark, f"{ledger}/_SUCCESS"):
+        return None
+    rows = staged_once(batch, f"{staging}/batch")
+    schema = schema or rows.schema
+    current = touched_partitions(read_snapshot(spark, path, schema), rows, partition_by)
+    earlier = read_snapshot(spark, f"{staging}/merged/*", schema)
+    known = current.select(*schema.names).unionByName(earlier.select(*schema.names))
+    seen = Observation()
+    merged = _observed_merge(known, rows, keys, load_ts, seq, seen)
+    attempt = f"{staging}/merged/{uuid.uuid4().hex[:12]}"
+    merged.write.parquet(attempt)
     if after_stage is not None:  # test hook: fail between the two writes
         after_stage()
     write_partitions(spark.read.schema(schema).parquet(attempt), path, partition_by, sort_by)
+    if ledger is not None:
+        spark.range(1).write.mode("overwrite").parquet(ledger)
+    failed = rows.where(~_has_key(keys)).count()
+    counts = {**{m: int(seen.get[m] or 0) for m in METRICS[:-1]}, "failed": failed}
+    counts["total_processed"] += failed
     drop_scratch(spark, staging)
+    return counts

@@ -406,7 +406,7 @@ def q_stream_upsert(spark, d):
         return with_event_partition(rows).select(*first.columns)
 
     ING.upsert_available(spark, src, path, KEYS, PARTITIONS, prepare, ckpt, schema=schema, sort_by=["container_number"])
-    drop_scratch(spark, src, ckpt, f"{ckpt}-staged")
+    drop_scratch(spark, src, ckpt, f"{ckpt}-staged", f"{ckpt}-ledger")
     return U.read_snapshot(spark, path, first.schema).drop("seq", *PARTITIONS)
 
 

@@ -94,6 +94,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/quayside/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists on the file system that its path names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def drop_scratch(spark: SparkSession, *paths: str) -> None:
     """Remove scratch folders whose files nothing reads any more."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()

@@ -36,16 +36,17 @@ def upsert_available(spark: SparkSession, source_dir: str, table: str, keys: lis
     Every micro-batch is merged into the partitions it touches
     (`merge_snapshot`); no version numbers are kept, so batch merges and other
     streams can write the same table before and after.  A retried micro-batch
-    finds what its first run staged under the checkpoint's name.  The merge
+    finds what its first run staged under the checkpoint's name, and one that
+    the ledger beside the checkpoint lists as finished is passed over.  The merge
     picks one winner per key by (load time, sequence), so a key repeated inside
     one batch, or a file delivered twice, leaves the table as if it had been
     seen once.  `prepare(df)` turns raw lines into rows with the table's
     columns.
     """
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        rows = prepare(batch)
-        merge_snapshot(table, rows, keys, partition_by, f"{checkpoint.rstrip('/')}-staged/{epoch_id}", sort_by,
-                       after_stage=None if after_stage is None else lambda: after_stage(epoch_id))
+        base = checkpoint.rstrip("/")
+        merge_snapshot(table, prepare(batch), keys, partition_by, f"{base}-staged/{epoch_id}", sort_by,
+                       ledger=f"{base}-ledger/{epoch_id}", after_stage=None if after_stage is None else lambda: after_stage(epoch_id))
         if after_merge is not None:  # test hook: fail between write and offset commit
             after_merge(epoch_id)
 

@@ -54,7 +54,7 @@ def test_stream_upsert_survives_a_crash(spark, when):
     with pytest.raises(StreamingQueryException):
         ING.upsert_available(spark, src, path, RM.KEYS, RM.PARTITIONS, _prepare(first.columns), ckpt, **run, **{when: crash})
     # Another writer merges before the stream comes back.
-    extra = first.limit(1).withColumns({"_id": F.lit("other|x|2024-01-05|1"), "date": F.lit("2024-01-05"), "last_updated": F.lit(dt.datetime(2024, 2, 1))})
+    extra = first.orderBy(*RM.KEYS).limit(1).withColumns({"_id": F.lit("other|x|2024-01-05|1"), "date": F.lit("2024-01-05"), "last_updated": F.lit(dt.datetime(2024, 2, 1))})
     extra = RM.with_event_partition(extra.drop(*RM.PARTITIONS)).select(*first.columns)
     U.merge_snapshot(path, extra, RM.KEYS, RM.PARTITIONS, scratch_path(spark, "t-other"))
     ING.upsert_available(spark, src, path, RM.KEYS, RM.PARTITIONS, _prepare(first.columns), ckpt, **run)
@@ -122,3 +122,66 @@ def test_fields_absent_from_a_batch_survive_and_failures_count(spark):
     assert got == [("a", "new", "keep"), ("b", "x", None)]
     m = U.upsert_metrics(target, batch, ["k"]).first()
     assert (m.inserted, m.updated, m.total_processed, m.failed) == (1, 1, 4, 1)
+
+
+def test_a_batch_that_differs_at_each_evaluation_loses_nothing(spark):
+    """The carrier, and with it the partition, is drawn anew whenever the batch
+    is evaluated; every merge reads one written copy of it."""
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    draw = F.udf(lambda: __import__("random").choice(["HLCU", "MAEU"])).asNondeterministic()
+    for run in range(4):
+        path = scratch_path(spark, "t-drawn")
+        first = _rows(spark, [(c, f"{c}{k}", "2024-01-05", "C", "old", t1, k) for c in ("HLCU", "MAEU") for k in range(10)])
+        U.write_partitions(first, path, RM.PARTITIONS)
+        batch = _rows(spark, [("x", f"new{run}", "2024-01-05", "C", "new", t2, 1)]).withColumn("carrier", draw())
+        batch = RM.with_event_partition(batch.drop(*RM.PARTITIONS)).select(*first.columns)
+        got = U.merge_snapshot(path, batch, RM.KEYS, RM.PARTITIONS, scratch_path(spark, "t-drawn-staged"))
+        assert U.read_snapshot(spark, path, first.schema).count() == 21
+        assert got == {"inserted": 1, "matched": 0, "modified": 0, "total_processed": 1, "failed": 0}
+
+
+def test_a_merge_reads_only_the_partitions_it_touches(spark):
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    path = scratch_path(spark, "t-pruned")
+    days = [f"2024-01-{d:02d}" for d in range(1, 21)]
+    first = _rows(spark, [("HLCU", f"{d}|{k}", d, "C", "old", t1, k) for d in days for k in range(3)])
+    U.write_partitions(first, path, RM.PARTITIONS)
+    batch = _rows(spark, [("HLCU", f"{days[4]}|1", days[4], "C", "new", t2, 9), ("MAEU", "n", days[5], "C", "new", t2, 9),
+                          ("HLCU", f"{days[7]}|1", days[7], "C", "old", t2, 9)])
+    snapshot = U.read_snapshot(spark, path, first.schema)
+    read = U.touched_partitions(snapshot, batch, RM.PARTITIONS)
+    plan = read._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [" in plan.toString() and "_pday" in plan.toString().split("PartitionFilters: ")[1]
+    files = {r[0].split("/part-")[0][-10:] for r in read.select(F.input_file_name()).distinct().collect()}
+    assert files == {days[4], days[7]}
+    # Files that the scan itself opened, from its metrics.
+    scan = read.select("_id")._jdf.queryExecution()
+    scan.executedPlan().executeCollect()
+    leaves = scan.executedPlan().collectLeaves()
+    opened = [leaves.apply(k).metrics().apply("numFiles").value() for k in range(leaves.size())]
+    assert sum(opened) == 2 < len(list(snapshot.inputFiles()))
+    before = {r.file: r.n for r in U.read_snapshot(spark, path, first.schema).groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n")).collect()}
+    got = U.merge_snapshot(path, batch, RM.KEYS, RM.PARTITIONS, scratch_path(spark, "t-pruned-staged"))
+    assert got == {"inserted": 1, "matched": 2, "modified": 1, "total_processed": 3, "failed": 0}
+    after = {r[0] for r in U.read_snapshot(spark, path, first.schema).select(F.input_file_name()).distinct().collect()}
+    kept = {f for f in before if f.split("/part-")[0][-10:] not in (days[4], days[7])}
+    assert kept <= after and U.read_snapshot(spark, path, first.schema).count() == 61
+
+
+def test_many_touched_partitions_are_reduced_by_a_join(spark, monkeypatch):
+    monkeypatch.setattr(U, "NAMED_PARTITIONS", 1)
+    t1 = dt.datetime(2024, 1, 1)
+    first = _rows(spark, [("HLCU", f"{d}", f"2024-01-0{d}", "C", "old", t1, d) for d in range(1, 6)])
+    read = U.touched_partitions(first, first.where("seq < 4"), RM.PARTITIONS)
+    assert sorted(r._id for r in read.collect()) == ["1", "2", "3"]
+
+
+def test_a_finished_batch_is_merged_once(spark):
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    path, ledger = scratch_path(spark, "t-once"), scratch_path(spark, "t-once-ledger")
+    U.write_partitions(_rows(spark, [("HLCU", "a", "2024-01-05", "C", "old", t1, 1)]), path, RM.PARTITIONS)
+    batch = _rows(spark, [("HLCU", "a", "2024-01-05", "C", "new", t2, 1), (None, "b", "2024-01-05", "C", "new", t2, 1)])
+    merge = lambda: U.merge_snapshot(path, batch, RM.KEYS, RM.PARTITIONS, scratch_path(spark, "t-once-staged"), ledger=ledger)
+    assert merge() == {"inserted": 0, "matched": 1, "modified": 1, "total_processed": 2, "failed": 1}
+    files = sorted(U.read_snapshot(spark, path, batch.schema).inputFiles())
+    assert merge() is None and sorted(U.read_snapshot(spark, path, batch.schema).inputFiles()) == files
