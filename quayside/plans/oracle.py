@@ -862,12 +862,14 @@ SELECT 'HLCU' AS carrier, ordinal, container_number FROM watch WHERE container_n
 UNION ALL SELECT 'MAEU', ordinal, container_number FROM watch""")
 
 q("payload_build", ("trk",), "SELECT carrier, scraped_at, count(*) AS total_events FROM trk GROUP BY carrier, scraped_at")
-q("payload_explode", ("trk",), f"""
+_PAYLOAD = f"""
 SELECT carrier, scraped_at, row_number() OVER (PARTITION BY carrier, scraped_at ORDER BY ordinal) - 1 AS ordinal,
   container_number, container_number || coalesce(status, '') || part || '{C.CURRENT}' AS concat_1,
   container_number || coalesce(status, '') || part AS concat_2, container_number || '{C.CURRENT}' AS concat_3,
   status, date, time
-FROM (SELECT *, CASE WHEN carrier = '{C.HLCU}' THEN {_HPART} ELSE '' END AS part FROM trk)""")
+FROM (SELECT *, CASE WHEN carrier = '{C.HLCU}' THEN {_HPART} ELSE '' END AS part FROM trk)"""
+q("payload_explode", ("trk",), _PAYLOAD)
+q("payload_round_trip", ("trk",), f"SELECT * FROM ({_PAYLOAD}) p WHERE scraped_at = (SELECT max(scraped_at) FROM trk WHERE trk.carrier = p.carrier)")
 q("stream_ingest", ("trk",), "SELECT carrier, scraped_at, ordinal, container_number, status, date, time FROM trk")
 
 q("dq_payload", ("trk",), f"""

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quayside import config as C
 from quayside.functions import text as T
@@ -318,7 +317,10 @@ def q_payload_build(spark, d):
 def q_payload_explode(spark, d):
     path = scratch_path(spark, "payload-env")
     PL.write_envelopes(PL.build_envelopes(_export_events(load_inputs(spark, d)), MAX_RECORDS_PER_PAYLOAD), path)
-    out = PL.load_payloads(spark, path, scratch_path(spark, "payload-rejects"))
+    return _payload_columns(PL.load_payloads(spark, path, scratch_path(spark, "payload-rejects")))
+
+
+def _payload_columns(out):
     return out.select(F.col("payload_carrier").alias("carrier"), "scraped_at", "ordinal",
                       *[F.col(f).alias(f.lower()) for f in ("Container_Number", "Concat_1", "Concat_2", "Concat_3",
                                                             "Status", "Date", "Time")])
@@ -346,22 +348,24 @@ def q_dq_payload(spark, d):
 
 @query("latest_file_per_carrier")
 def q_latest_file_per_carrier(spark, d):
-    """Payload files of all runs are written, the newest run of each carrier
-    last but for some notes; the pick is made from the folder's listing."""
+    """One file per run, named and dated by the run, and notes beside them;
+    the pick is made from the folder's listing."""
     runs = SRC.tracking_events(load_inputs(spark, d)).groupBy("carrier", "scraped_at").agg(F.count(F.lit(1)).alias("total_events"))
-    runs = runs.withColumn("last", F.col("scraped_at") == F.max("scraped_at").over(Window.partitionBy("carrier")))
     path = scratch_path(spark, "payload-files")
-
-    def write(df, name):
-        df.select(name.alias("name"), F.to_json(F.struct("carrier", "scraped_at", "total_events")).alias("value")) \
-            .write.mode("append").partitionBy("name").text(path)
-
-    stem = F.coalesce(*[F.when(F.col("carrier") == c["carrier"], F.lit(c["pattern"])) for c in C.CARRIER_FILES])
-    name = F.replace(stem, F.lit("*"), F.col("scraped_at"))
-    write(runs.filter(~F.col("last")), name)
-    write(runs.filter("last"), name)
-    write(runs, F.concat(F.lit("notes_"), F.col("scraped_at"), F.lit(".txt")))
-    return PL.latest_file_per_carrier(PL.list_files(spark, path, folders=True)).select("carrier", "file_name")
+    names = F.array(PL.run_file_name(), F.concat(F.lit("notes_"), F.col("scraped_at"), F.lit(".txt")))
+    PL.write_named_files(runs.select(F.explode(names).alias("name"), F.lit(0).alias("place"),
+                                     F.to_json(F.struct("carrier", "scraped_at", "total_events")).alias("value")), path)
+    return PL.latest_file_per_carrier(PL.list_files(spark, path)).select("carrier", "file_name")
+
+
+@query("payload_round_trip")
+def q_payload_round_trip(spark, d):
+    """All runs written as one named file each, the latest of each carrier
+    picked by the folder's listing and loaded again."""
+    path = scratch_path(spark, "payload-runs")
+    PL.write_run_files(PL.build_envelopes(_export_events(load_inputs(spark, d)), MAX_RECORDS_PER_PAYLOAD), path)
+    out = PL.load_latest(spark, path, scratch_path(spark, "payload-rejects"), multi_line=False)
+    return _payload_columns(out)
 
 
 @query("extract_table_rows")

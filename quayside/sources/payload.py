@@ -7,14 +7,17 @@ the run) comes from its place in the file.
 
 from __future__ import annotations
 
+import datetime as dt
 import re
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from quayside import config as C
+from quayside.session import drop_scratch, path_exists, scratch_path
 
 RECORD_FIELDS = C.RECORD_FIELDS
 CARRIER_FILES = C.CARRIER_FILES
@@ -62,14 +65,66 @@ def write_envelopes(envelopes: DataFrame, path: str) -> None:
     out.write.mode("overwrite").text(path)
 
 
+def write_named_files(files: DataFrame, directory: str) -> None:
+    """Rows (name, place, value) -> one text file per `name` in `directory`,
+    its lines by `place`.
+
+    All files are first written and committed by Spark in a folder that
+    readers do not list, and then moved to their names, each in one step, so no
+    reader sees a part of a file.  A run that died while moving is finished by
+    the next one.  A file of the same name is replaced.  A time stamp in the
+    name (a run's) becomes the file's modification time, so the order of the
+    runs is that of their times whatever the order of writing.  One writer a
+    folder; a file is written by one task, line by line."""
+    spark, staging = files.sparkSession, f"{directory.rstrip('/')}/_writing"
+    if path_exists(spark, f"{staging}/_SUCCESS"):
+        _publish(spark, staging, directory)
+    lines = files.where(F.col("name").isNotNull()).repartition("name").sortWithinPartitions("name", "place")
+    lines.select("name", "value").write.mode("overwrite").partitionBy("name").text(staging)
+    _publish(spark, staging, directory)
+
+
+def _publish(spark: SparkSession, staging: str, directory: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(staging).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for file in fs.globStatus(path(f"{staging}/name=*/part-*")):
+        name = unquote(file.getPath().getParent().getName().removeprefix("name="))
+        to = path(directory, name)
+        if fs.exists(to):
+            fs.delete(to, False)
+        if not fs.rename(file.getPath(), to):
+            raise OSError(f"could not move {file.getPath()} to {to}")
+        if stamp := re.search(r"\d{8}_\d{6}", name):
+            when = dt.datetime.strptime(stamp[0], "%Y%m%d_%H%M%S").replace(tzinfo=dt.timezone.utc)
+            fs.setTimes(to, int(when.timestamp() * 1000), -1)
+    drop_scratch(spark, staging)
+
+
+def run_file_name(config=CARRIER_FILES) -> Column:
+    """The file name of a run (carrier, scraped_at) after its carrier's
+    pattern; null for other carriers."""
+    stem = F.coalesce(*[F.when(F.col("carrier") == c["carrier"], F.lit(c["pattern"])) for c in config])
+    return F.replace(stem, F.lit("*"), F.col("scraped_at"))
+
+
+def write_run_files(envelopes: DataFrame, directory: str, config=CARRIER_FILES) -> None:
+    """One file per run, named so that `latest_file_per_carrier` finds it, with
+    an envelope a line in the order of the parts."""
+    value = F.to_json(F.struct(*RUN, "total_events", "part", "records"))
+    write_named_files(envelopes.select(run_file_name(config).alias("name"), F.col("part").alias("place"), value.alias("value")), directory)
+
+
 def read_envelopes(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Read envelopes with an explicit schema, with the file each came from;
-    malformed text lands in `_corrupt_record` instead of failing the job.
+    """Read envelopes with an explicit schema, with the file each came from
+    and its place there: where the piece of the file starts that a task reads
+    (`block`), and a number that grows from line to line of it (`line`).
+    Malformed text lands in `_corrupt_record` instead of failing the job.
     `multi_line` reads pretty-printed one-envelope-per-file payloads."""
     env = (spark.read.schema(ENVELOPE_SCHEMA).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt_record")
            .option("multiLine", multi_line).json(path))
-    return env.select("*", F.col("_metadata.file_path").alias("file"))
+    return env.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                      F.monotonically_increasing_id().alias("line"), F.size(F.coalesce("records", F.array())).alias("n_records"))
 
 
 def rejected_envelopes(env: DataFrame) -> DataFrame:
@@ -81,35 +136,42 @@ def rejected_envelopes(env: DataFrame) -> DataFrame:
 def explode_envelopes(env: DataFrame) -> DataFrame:
     """Well-formed envelopes -> one row per record (missing records -> none),
     with its position in the run as `ordinal`: the records of the earlier
-    parts (by part, then file) plus its place in the envelope.  Malformed
-    envelopes are in `rejected_envelopes`."""
+    envelopes of the run (by part, then file, then place in the file) plus its
+    place in the envelope.  Equal envelopes are told apart by their place.
+    Malformed envelopes are in `rejected_envelopes`.
+
+    Only counts are ordered per run; the records stay where they are until
+    their envelope's offset meets them."""
     e = env.filter(F.col("_corrupt_record").isNull()).withColumn("_e", F.struct(
-        F.coalesce("part", F.lit(0)).alias("part"), "file", F.xxhash64("records").alias("h")))
-    e = e.withColumn("records", F.coalesce("records", F.array()))
+        F.coalesce("part", F.lit(0)).alias("part"), "file", "block", "line"))
     order = Window.partitionBy(*RUN).orderBy("_e").rowsBetween(Window.unboundedPreceding, -1)
-    first = (e.groupBy(*RUN, "_e").agg(F.sum(F.size("records")).alias("_n"))
-             .select(F.col("carrier").alias("_c"), F.col("scraped_at").alias("_s"), F.col("_e").alias("_f"),
-                     F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_first")))
-    same = F.col("carrier").eqNullSafe(F.col("_c")) & F.col("scraped_at").eqNullSafe(F.col("_s")) & F.col("_e").eqNullSafe(F.col("_f"))
-    j = e.join(first, same).select(F.col("carrier").alias("payload_carrier"), "scraped_at", "_first", F.posexplode("records").alias("_pos", "r"))
+    first = e.select(F.col("_e").alias("_f"), F.coalesce(F.sum("n_records").over(order), F.lit(0)).alias("_first"))
+    j = e.join(first, F.col("_e") == F.col("_f")).select(
+        F.col("carrier").alias("payload_carrier"), "scraped_at", "_first", F.posexplode(F.coalesce("records", F.array())).alias("_pos", "r"))
     return j.select("payload_carrier", "scraped_at", (F.col("_first") + F.col("_pos")).cast("bigint").alias("ordinal"), "r.*")
 
 
 def load_payloads(spark: SparkSession, path: str, rejects: str, multi_line: bool = False) -> DataFrame:
     """Records of the payloads under `path`; malformed envelopes are appended
-    as text to the folder `rejects`, so none is lost without a sign."""
+    as text to the folder `rejects`, so none is lost without a sign.  The
+    payloads are parsed once, into the scratch folder that the result reads, so
+    that an envelope's place is one value for all that follows."""
     env = read_envelopes(spark, path, multi_line)
+    parsed = scratch_path(spark, "envelopes")
+    env.write.parquet(parsed)
+    env = spark.read.schema(env.schema).parquet(parsed)
     rejected_envelopes(env).write.mode("append").parquet(rejects)
     return explode_envelopes(env)
 
 
-def load_latest(spark: SparkSession, directory: str, rejects: str, config=CARRIER_FILES) -> DataFrame:
+def load_latest(spark: SparkSession, directory: str, rejects: str, config=CARRIER_FILES, multi_line: bool = True) -> DataFrame:
     """The records of each carrier's latest payload file, one load driven by
     the carrier configuration; carriers without a file are skipped.  Only the
-    chosen names (one per carrier) pass the driver."""
+    chosen names (one per carrier) pass the driver.  `multi_line` is for
+    pretty-printed files; `write_run_files` writes an envelope a line."""
     out = None
     for row in latest_file_per_carrier(list_files(spark, directory), config=config).collect():
-        df = load_payloads(spark, f"{directory.rstrip('/')}/{row.file_name}", rejects, multi_line=True)
+        df = load_payloads(spark, f"{directory.rstrip('/')}/{row.file_name}", rejects, multi_line)
         df = df.withColumn("carrier", F.lit(row.carrier))
         out = df if out is None else out.unionByName(df)
     return out
@@ -138,13 +200,11 @@ def glob_regex(pattern: str) -> str:
     return "^" + re.escape(pattern).replace(r"\*", ".*").replace(r"\?", ".") + "$"
 
 
-def list_files(spark: SparkSession, directory: str, glob: str = "*", folders: bool = False) -> DataFrame:
+def list_files(spark: SparkSession, directory: str, glob: str = "*") -> DataFrame:
     """(file_name, modified_at) of the files in `directory`, from the
-    `binaryFile` source; the content column is never read.  `folders` names a
-    file by the folder it stands in (`<key>=<name>`), as Spark writes them."""
+    `binaryFile` source; the content column is never read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
-    name = r"([^/=]+)/[^/]+$" if folders else r"([^/]+)$"
-    return files.select(F.regexp_extract("path", name, 1).alias("file_name"),
+    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
                         F.col("modificationTime").alias("modified_at"))
 
 

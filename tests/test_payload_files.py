@@ -62,3 +62,67 @@ def test_latest_file_of_each_carrier_is_loaded(spark, tmp_path):
     assert got == {C.HLCU: "hapag_lloyd_tracking_20230102_000000.json", C.MAEU: "maersk_tracking_20230101_000000.json"}
     rows = PL.load_latest(spark, str(d), str(tmp_path / "rejects")).collect()
     assert sorted((r.carrier, r.Container_Number) for r in rows) == [(C.HLCU, "BOXU0000002"), (C.MAEU, "BOXU0000003")]
+
+
+def _envelope(names, **more):
+    return json.dumps({"carrier": C.HLCU, "scraped_at": "20230204_000000", "total_events": 7, **more,
+                       "records": [{"Container_Number": n} for n in names]})
+
+
+def test_envelopes_of_one_file_keep_their_order(spark, tmp_path):
+    """Without part numbers the place in the file decides, and equal envelopes
+    are two envelopes."""
+    d = tmp_path / "many"
+    d.mkdir()
+    (d / "run.json").write_text("\n".join(map(_envelope, ["AB", "CD", "AB", "E"])))
+    rows = PL.load_payloads(spark, str(d), str(tmp_path / "rejects")).collect()
+    assert sorted((r.ordinal, r.Container_Number) for r in rows) == list(enumerate("ABCDABE"))
+
+
+def test_order_holds_over_the_pieces_of_a_large_file(spark, tmp_path):
+    """A file that several tasks read in pieces."""
+    d = tmp_path / "large"
+    d.mkdir()
+    names = [f"B{k:05d}" for k in range(3000)]
+    (d / "run.json").write_text("\n".join(_envelope(names[k:k + 10]) for k in range(0, 3000, 10)))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        env = PL.read_envelopes(spark, str(d))
+        assert env.select("block").distinct().count() > 3
+        rows = PL.load_payloads(spark, str(d), str(tmp_path / "rejects")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((r.ordinal, r.Container_Number) for r in rows) == list(enumerate(names))
+
+
+def _runs(spark, stamps, n=5):
+    rows = [(c, s, k, f"{c}{s}{k}") for c in (C.HLCU, C.MAEU, "OTHER") for s in stamps for k in range(n)]
+    return spark.createDataFrame(rows, "carrier string, scraped_at string, ordinal bigint, container_number string")
+
+
+def test_written_runs_are_found_again(spark, tmp_path):
+    d = str(tmp_path / "runs")
+    PL.write_run_files(PL.build_envelopes(_runs(spark, ["20230101_000000", "20230102_000000", "20230103_120000"]), 2), d)
+    assert sorted(os.listdir(d))[-1].startswith("maersk") and len([f for f in os.listdir(d) if f[0] not in "._"]) == 6
+    # An older run written later does not become the latest.
+    PL.write_run_files(PL.build_envelopes(_runs(spark, ["20221231_000000"]), 2), d)
+    got = PL.load_latest(spark, d, str(tmp_path / "rejects"), multi_line=False).collect()
+    assert sorted((r.carrier, r.ordinal, r.Container_Number) for r in got) == [
+        (c, k, f"{c}20230103_120000{k}") for c in (C.HLCU, C.MAEU) for k in range(5)]
+
+
+def test_a_publication_that_died_is_finished_by_the_next_run(spark, tmp_path, monkeypatch):
+    d = str(tmp_path / "died")
+    publish = PL._publish
+    monkeypatch.setattr(PL, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    try:
+        PL.write_run_files(PL.build_envelopes(_runs(spark, ["20230101_000000"]), 10), d)
+    except RuntimeError:
+        pass
+    assert PL.list_files(spark, d).count() == 0  # nothing half-written is listed
+    monkeypatch.setattr(PL, "_publish", publish)
+    PL.write_run_files(PL.build_envelopes(_runs(spark, ["20230102_000000"]), 10), d)
+    assert PL.list_files(spark, d).count() == 4
