@@ -10,7 +10,7 @@ combined per partition before the shuffle, and the join key is unique.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside import config as C
@@ -206,46 +206,41 @@ def latest_duplicates(df: DataFrame) -> DataFrame:
 
 
 def journey_timeline(df: DataFrame, key: str = "container_number", ts: str = "event_ts",
-                     ordinal: str = "ordinal", status: str = "status", parts: int | None = None) -> DataFrame:
+                     ordinal: str = "ordinal", status: str = "status") -> DataFrame:
     """Step number and previous status of every dated event of a container.
 
-    Ordered per container without ever putting a whole container in one
-    task: the rows are range-partitioned on (container, ts, ordinal), so a
-    container with a large share of all rows spans several partitions in
-    order.  The partition index is fixed with a reliable checkpoint (shared
-    checkpoint folder; re-reads are stable even if executors are lost), which
-    runs when the plan is built: both branches below must see the same slices.
-    Per-(container, partition) counts and last statuses -- at most one row
-    per partition per container -- give each slice its running offset and
-    the status before it; inside a slice, row_number/lag run over at most one
-    partition's rows.
+    Ordered per container without ever putting a whole container in one task,
+    and without a job when the plan is built: a slice is a container's minute,
+    a function of the row alone.  Rows are numbered within their slice.  What
+    comes before a slice is summed over two light tables, minutes of a day and
+    days of a container, so no window holds more than 1,440 minutes, the days
+    of one container, or the events of one container in one minute.
     """
-    from quayside.session import checkpoint_root
-
-    spark = df.sparkSession
-    checkpoint_root(spark)  # make sure a checkpoint folder is configured
-    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ev = (df.filter(F.col(ts).isNotNull())
-          .repartitionByRange(n, F.col(key), F.col(ts), F.col(ordinal))
-          .withColumn("_slice", F.spark_partition_id())
-          .checkpoint(eager=True))
-    order_key = F.struct(F.col(ts), F.col(ordinal))
-    slices = ev.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n"),
-                                           F.max_by(F.col(status), order_key).alias("_last"))
-    ws = Window.partitionBy(key).orderBy("_slice")
-    slices = slices.select(
-        key, "_slice",
-        F.coalesce(F.sum("_n").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
-        F.lag("_last").over(ws).alias("_prev_last"),
-    )
-    wi = Window.partitionBy(key, "_slice").orderBy(ts, ordinal)
-    ev = ev.withColumn("_rn", F.row_number().over(wi)).withColumn("_lag", F.lag(status).over(wi))
-    out = ev.join(slices, [key, "_slice"], "inner")
-    return out.select(
-        "*",
-        (F.col("_offset") + F.col("_rn")).cast("bigint").alias("step"),
-        F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col("_lag")).alias("prev_status"),
-    ).drop("_slice", "_rn", "_lag", "_offset", "_prev_last")
+    keys = [key, "_day", "_minute"]
+    at = F.col(ts)
+    # From calendar parts, so the slices keep the order in any session zone.
+    ev = df.filter(at.isNotNull()).withColumns({"_day": F.unix_date(F.to_date(at)), "_minute": F.hour(at) * 60 + F.minute(at)})
+    # The last status is wrapped: a null status is still the previous one.
+    minutes = ev.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max_by(F.struct(status), F.struct(ts, ordinal)).alias("_last"))
+    days = minutes.groupBy(key, "_day").agg(F.sum("_n").alias("_n"), F.max_by("_last", "_minute").alias("_last"))
+
+    def before(w: Window, n: str, last: str) -> list[Column]:
+        total = F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1))
+        return [F.coalesce(total, F.lit(0)).alias(n), F.lag("_last").over(w).alias(last)]
+
+    days = days.select(key, "_day", *before(Window.partitionBy(key).orderBy("_day"), "_n_days", "_last_day"))
+    minutes = minutes.select(*keys, *before(Window.partitionBy(key, "_day").orderBy("_minute"), "_n_minutes", "_last_minute"))
+    same_day = F.col(key).eqNullSafe(F.col("_k")) & (F.col("_day") == F.col("_d"))
+    slices = minutes.join(days.select(F.col(key).alias("_k"), F.col("_day").alias("_d"), "_n_days", "_last_day"), same_day)
+    slices = slices.select(F.col(key).alias("_k"), F.col("_day").alias("_d"), F.col("_minute").alias("_m"),
+                           (F.col("_n_days") + F.col("_n_minutes")).alias("_offset"),
+                           F.coalesce("_last_minute", "_last_day").alias("_before"))
+    w = Window.partitionBy(*keys).orderBy(ts, ordinal)
+    ev = ev.withColumns({"_rn": F.row_number().over(w), "_lag": F.lag(F.struct(status)).over(w)})
+    same = F.col(key).eqNullSafe(F.col("_k")) & (F.col("_day") == F.col("_d")) & (F.col("_minute") == F.col("_m"))
+    return ev.join(slices, same).select(
+        *df.columns, (F.col("_offset") + F.col("_rn")).cast("bigint").alias("step"),
+        F.coalesce("_lag", "_before").getField(status).alias("prev_status"))
 
 
 def container_lookup(df: DataFrame, container: str, tracking_type: str | None = None) -> DataFrame:
@@ -254,3 +249,22 @@ def container_lookup(df: DataFrame, container: str, tracking_type: str | None =
     if tracking_type is not None:
         out = out.filter(F.col("type_of_tracking") == tracking_type)
     return out
+
+
+def write_lookup_snapshot(df: DataFrame, path: str, key: str = "container_number", then: tuple[str, ...] = ("type_of_tracking",),
+                          row_group_bytes: int = 16 << 20) -> None:
+    """Store `df` for point access by `key`: range-partitioned and sorted by
+    it, so that a value lies in few files and few row groups, whose minimum and
+    maximum leave out the others; a bloom filter of each row group answers for
+    values in between that do not occur.  A hot value spans several files
+    (sorting goes on by `then` and the row's hash)."""
+    spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    out = df.withColumn("_spread", spread).repartitionByRange(key, *then, "_spread").sortWithinPartitions(key, *then, "_spread").drop("_spread")
+    (out.write.mode("overwrite").option("parquet.block.size", row_group_bytes)
+     .option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(path))
+
+
+def stored_container_lookup(spark: SparkSession, path: str, container: str, tracking_type: str | None = None) -> DataFrame:
+    """Point access to what `write_lookup_snapshot` stored: the container (and
+    type) are pushed to the scan."""
+    return container_lookup(spark.read.parquet(path), container, tracking_type)

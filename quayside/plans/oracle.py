@@ -304,6 +304,8 @@ q("container_lookup", ("hexp",), """
 SELECT ordinal, container_number, status, date, time, type_of_tracking, duplicates
 FROM hexp WHERE container_number = 'CONT0000007'""")
 
+SQL["stored_container_lookup"] = SQL["container_lookup"]
+
 q("run_summary", ("hexp", "watch"), """
 SELECT total_containers, successful, total_containers - successful AS failed,
   round(100.0 * successful / total_containers, 1) AS success_rate_pct,
@@ -330,6 +332,7 @@ q("stg_hlcu", ("stg_h",), "SELECT * FROM stg_h")
 q("stg_maeu", ("stg_m",), "SELECT * FROM stg_m")
 q("fct_tracking_events", ("fct",), "SELECT * FROM fct")
 
+SQL["layer_run"] = SQL["fct_tracking_events"]
 q("cross_carrier_counts", ("fct",), """
 SELECT carrier, type_of_tracking, count(*) AS n_events, count(DISTINCT container_number) AS n_containers
 FROM fct GROUP BY carrier, type_of_tracking""")
@@ -385,7 +388,7 @@ SELECT * EXCLUDE (rn) FROM (
 
 q("stg_shipments", ("stg_ship",), "SELECT * FROM stg_ship")
 
-q("fct_shipment_status", ("stg_ship",), """
+q("fct_shipment_status", ("stg_ship", "fct"), f"""
 SELECT sti_number, container_number, scac_code AS carrier,
   CASE WHEN actual_arrival_final_dest IS NOT NULL THEN '12. Delivered'
        WHEN actual_departure_dest_rail IS NOT NULL THEN '11. Outgate Destination Rail'
@@ -397,10 +400,14 @@ SELECT sti_number, container_number, scac_code AS carrier,
        WHEN actual_departure_consol IS NOT NULL THEN '4. Outgate CFS'
        WHEN ship_date_from_supplier IS NOT NULL THEN '2. Departed Supplier'
   END AS status_of_container,
-  pol, pod, vessel_name, eta, actual_arrival_pod, cbm, weight_kg,
+  pol, pod, s.vessel_name, eta, actual_arrival_pod, cbm, weight_kg,
   ship_date_from_supplier, actual_departure_consol, actual_arrival_pol, actual_departure_pol, actual_outgate_pod,
-  actual_arrival_dest_rail, actual_departure_dest_rail, actual_arrival_final_dest
-FROM stg_ship""")
+  actual_arrival_dest_rail, actual_departure_dest_rail, actual_arrival_final_dest,
+  e.carrier AS tracking_carrier, e.status AS tracking_status, e.location AS tracking_location, e.event_timestamp AS tracking_time
+FROM stg_ship s LEFT JOIN (
+  SELECT container_number AS box, carrier, status, location, event_timestamp,
+    row_number() OVER (PARTITION BY container_number ORDER BY event_timestamp DESC, ordinal DESC) AS rn
+  FROM fct WHERE event_timestamp <= {AS_OF}) e ON s.container_number = e.box AND e.rn = 1""")
 
 q("dim_containers", ("fct", "stg_ship"), """
 SELECT g.container_number, g.carrier, g.vessel_name, p.pol, p.pod, g.latest_event_time, g.current_status
@@ -699,6 +706,7 @@ q("master_report", ("rep",), f"""SELECT {_K}, lsc, specialized_transport, sid_nu
   actual_arrival_final_dest, destination_duns, final_delivery_location_name, destination_city,
   destination_state, destination_country, plant_name, cbm, weight_in_kg, ocean_or_air_lane_id,
   origin_consol, status_of_container FROM rep""")
+SQL["report_export"] = SQL["master_report"]
 q("dim_suppliers", ("locl", "q3"), """SELECT k AS location_alias, name, city, state, country_name FROM locl
 WHERE k IN (SELECT origin_dun FROM q3)""")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quayside import config as C
 from quayside.operators import events as E
 from quayside.plans import tracking as TR
+from quayside.session import scratch_path
 from quayside.sources import inputs as SRC
 from quayside.sources.catalog import load_inputs
 
@@ -136,6 +137,15 @@ def q_container_lookup(spark, d):
     return E.flag_latest(df, rows=E.with_concat_2_hlcu(rows)).select(*LOOKUP_COLUMNS)
 
 
+@query("stored_container_lookup")
+def q_stored_container_lookup(spark, d):
+    """The exported events stored for point access, and one container's rows
+    read back."""
+    path = scratch_path(spark, "lookup")
+    E.write_lookup_snapshot(TR.hlcu_export(load_inputs(spark, d)).select(*LOOKUP_COLUMNS), path)
+    return E.stored_container_lookup(spark, path, LOOKUP_CONTAINER)
+
+
 @query("container_type_lookup")
 def q_container_type_lookup(spark, d):
     """Point access by (container, tracking type)."""

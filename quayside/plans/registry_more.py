@@ -15,6 +15,7 @@ from quayside.operators import tms as TM
 from quayside.operators import upsert as U
 from quayside.plans import report as RP
 from quayside.plans import tracking as TR
+from quayside.plans import warehouse as WH
 from quayside.plans.registry import query
 from quayside.session import drop_scratch, scratch_path
 from quayside.sources import pages as PG
@@ -274,6 +275,29 @@ def q_incremental_read(spark, d):
     return reader.changes(U.read_snapshot(spark, path, first.schema)).drop("seq", *PARTITIONS)
 
 
+@query("layer_run")
+def q_layer_run(spark, d):
+    """Two daily loads through the layers: a first export without a third of
+    the events, then the whole export.  The second run stages the second load
+    alone; the fact then holds every event once, as the second load has it."""
+    t, root = load_inputs(spark, d), scratch_path(spark, "layers")
+    exports = WH.layer_exports(t)
+    first = {n: df.where(F.col("ordinal") % 3 != 0) if n.endswith("_tracking") else df for n, df in exports.items()}
+    for load, loaded_at in ((first, T1), (exports, T2)):
+        WH.load_raw(load, root, loaded_at)
+        paths, _ = WH.run_layers(spark, root, t)
+    return spark.read.schema(TR.fct_tracking_events(t).schema).parquet(paths["analytics/fct_tracking_events"])
+
+
+@query("report_export")
+def q_report_export(spark, d):
+    """The master report as its sink stores it, read back."""
+    path = scratch_path(spark, "report")
+    report = RP.master_report(load_inputs(spark, d))
+    WH.write_report(report, path)
+    return spark.read.schema(report.schema).parquet(f"{path}/parquet")
+
+
 @query("raw_append")
 def q_raw_append(spark, d):
     """Daily CSV exports (header row) loaded into one append-only RAW table."""

@@ -61,7 +61,7 @@ def _present(df: DataFrame, *columns: str) -> list:
     return [F.col(c) for c in columns if c in df.columns]
 
 
-def stage_hlcu(df: DataFrame) -> DataFrame:
+def stage_hlcu(df: DataFrame, keep_key: bool = False) -> DataFrame:
     """Carrier-H export rows (with or without tracking type and flag) ->
     staged events: snake_case, one event_timestamp, no null status, normalised
     container and type, de-duplicated on (container, status, event_timestamp)
@@ -75,10 +75,10 @@ def stage_hlcu(df: DataFrame) -> DataFrame:
         F.col("date").alias("event_date"), F.col("time").alias("event_time"),
         F.col("event_ts").alias("event_timestamp"), "transport",
         *typed, *_present(df, "duplicates", "last_updated", "_loaded_at"), "ordinal", _undated("date", "event_ts"))
-    return _dedupe_natural(df)
+    return _dedupe_natural(df, keep_key)
 
 
-def stage_maeu(df: DataFrame) -> DataFrame:
+def stage_maeu(df: DataFrame, keep_key: bool = False) -> DataFrame:
     """Carrier-M export rows (with or without flag) -> staged events: vessel
     split out of the status, date text reformatted to yyyy-MM-dd, one
     event_timestamp, de-duplicated as carrier H."""
@@ -95,7 +95,7 @@ def stage_maeu(df: DataFrame) -> DataFrame:
         "transport",
         T.standardize_tracking_type("type_of_tracking").alias("type_of_tracking"),
         *_present(df, "duplicates", "last_updated", "_loaded_at"), "ordinal", _undated("date", ts))
-    return _dedupe_natural(df)
+    return _dedupe_natural(df, keep_key)
 
 
 def _undated(date: str, ts) -> Column:
@@ -104,12 +104,13 @@ def _undated(date: str, ts) -> Column:
     return F.when(ts.isNull(), text).alias("_undated")
 
 
-def _dedupe_natural(df: DataFrame) -> DataFrame:
+def _dedupe_natural(df: DataFrame, keep_key: bool = False) -> DataFrame:
+    """One row per natural key, the latest; `keep_key` keeps its hidden part."""
     keys = ["container_number", "status", "event_timestamp", "_undated"]
     rest = [c for c in df.columns if c not in keys]
     latest = F.struct("_loaded_at", "ordinal") if "_loaded_at" in df.columns else F.col("ordinal")
     g = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), latest).alias("_r"))
-    return g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*[c for c in df.columns if c != "_undated"])
+    return g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*[c for c in df.columns if keep_key or c != "_undated"])
 
 
 def stg_hlcu(t: Inputs, as_of=None) -> DataFrame:
@@ -141,6 +142,11 @@ def fct_tracking_events(t: Inputs, as_of=None) -> DataFrame:
     return unified_events(stage_hlcu(hlcu_classified(t, as_of)), stage_maeu(maeu_rows(t)))
 
 
+def carrier_events(t: Inputs) -> DataFrame:
+    """All carrier events unified, without tracking type or duplicate flag."""
+    return unified_events(stage_hlcu(hlcu_rows(t)), stage_maeu(maeu_rows(t)))
+
+
 def latest_per_container(ship: DataFrame) -> DataFrame:
     """Latest staged shipment per container (by load time, then sti)."""
     k = F.struct(F.col("_loaded_at"), F.col("sti_number"))
@@ -153,7 +159,7 @@ def dim_containers(t: Inputs, events: DataFrame | None = None, shipments: DataFr
     """One row per (container, carrier): latest event time and status, the
     vessel of that event, and POL/POD of the container's latest shipment.
     Neither tracking type nor duplicate flag takes part."""
-    f = unified_events(stage_hlcu(hlcu_rows(t)), stage_maeu(maeu_rows(t))) if events is None else events
+    f = carrier_events(t) if events is None else events
     key = F.struct(F.col("event_timestamp").isNotNull().alias("has"),
                    F.col("event_timestamp").alias("t"), F.col("ordinal").alias("o"))
     g = f.groupBy("container_number", "carrier").agg(

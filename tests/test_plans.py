@@ -78,3 +78,28 @@ def test_container_filter_stands_below_the_winner_picks(spark):
 def test_tms_extract_reduces_branches_first(plans):
     p = plans["tms_extract"]
     assert "LeftSemi" in p
+
+
+def _scan(df):
+    """Rows that the scans of `df` put out, from their metrics."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()))
+
+
+def test_stored_lookup_skips_row_groups(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from quayside.operators import events as E
+
+    path = str(tmp_path / "lookup")
+    rows = spark.range(200_000).select(F.format_string("BOX%07d", F.col("id") * 2 % 40_000).alias("container_number"),
+                                       (F.col("id") % 3).cast("string").alias("type_of_tracking"), F.sha2(F.col("id").cast("string"), 256).alias("rest"))
+    E.write_lookup_snapshot(rows, path, row_group_bytes=256 << 10)
+    one = E.stored_container_lookup(spark, path, "BOX0020000")
+    assert "PushedFilters: [IsNotNull(container_number), EqualTo(container_number,BOX0020000)]" in plan_of(one)
+    assert one.count() == 10
+    assert 10 <= _scan(one) < 20_000  # of 200,000 rows
+    # An absent value between two that exist: the bloom filters answer.
+    assert _scan(E.stored_container_lookup(spark, path, "BOX0020001")) == 0

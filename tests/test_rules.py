@@ -207,6 +207,55 @@ def test_materialize_layers(spark, tmp_path):
     assert again.select(*columns).exceptAll(want).count() == 0 and again.count() == want.count()
 
 
+def test_staging_reads_new_loads_only(spark, tmp_path):
+    """The second run reads the second load's files, merges only the days it
+    touches, and a third run without a load changes nothing."""
+    from quayside.plans import warehouse as WH
+    from quayside.sources.catalog import load_inputs
+
+    t, root = load_inputs(spark, "/root/testdata/sf0.001"), str(tmp_path)
+    exports = {n: df.cache() for n, df in WH.layer_exports(t, AS_OF).items()}
+    events = exports["hlcu_tracking"]
+    days = events.where("status is not null and date != ''").groupBy("date").count().orderBy(F.desc("count"), "date").limit(2).collect()
+    first = {**exports, "hlcu_tracking": events.where(~F.col("date").isin([r.date for r in days]))}
+    WH.load_raw(first, root, AS_OF)
+    paths, counts = WH.run_layers(spark, root, t)
+    assert counts["stg_hlcu_tracking"]["inserted"] == spark.read.parquet(paths["staging/stg_hlcu_tracking"]).count()
+    files = {f for f in spark.read.parquet(paths["staging/stg_hlcu_tracking"]).inputFiles()}
+    late = events.where(F.col("date").isin([r.date for r in days]))
+    WH.load_raw({"hlcu_tracking": late}, root, AS_OF + dt.timedelta(days=1))
+    rows, loads = WH.new_loads(spark, root, "hlcu_tracking")
+    assert len(loads) == 1 and rows.count() == late.count()
+    assert {f.split("load=")[1].split("/")[0] for f in (r[0] for r in rows.select(F.input_file_name()).distinct().collect())} == set(loads)
+    paths, counts = WH.run_layers(spark, root, t)
+    assert counts["stg_maeu_tracking"] is None and counts["stg_shipments"] is None
+    n = counts["stg_hlcu_tracking"]
+    assert n["inserted"] > 0 and n["matched"] == n["modified"] == 0
+    after = {f for f in spark.read.parquet(paths["staging/stg_hlcu_tracking"]).inputFiles()}
+    assert files <= after and {f.split("_part=")[1].split("/")[0] for f in after - files} == {r.date for r in days}
+    want = spark.read.parquet(paths["staging/stg_hlcu_tracking"]).count()
+    assert want == WH.TR.stage_hlcu(WH.E.with_hlcu_ts(events)).count()
+    assert all(c is None for c in WH.run_layers(spark, root, t)[1].values())
+    for df in exports.values():
+        df.unpersist()
+
+
+def test_report_and_run_exports(spark, tmp_path):
+    """The report sink writes parquet and CSV; a run's export is partitioned by
+    carrier and run stamp, and a second run is added."""
+    from quayside.plans import warehouse as WH
+
+    df = spark.createDataFrame([(1, "a,b"), (2, None)], "id int, name string")
+    WH.write_report(df, str(tmp_path / "report"), csv_copy=True)
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "report/parquet")).collect())) == [(1, "a,b"), (2, None)]
+    back = spark.read.option("header", True).csv(str(tmp_path / "report/csv"))
+    assert back.columns == ["id", "name"] and back.count() == 2
+    for day in (1, 2):
+        WH.write_export(df, str(tmp_path / "runs"), "HLCU", dt.datetime(2024, 1, day, 3))
+    runs = spark.read.parquet(str(tmp_path / "runs"))
+    assert runs.groupBy("carrier").count().collect()[0]["count"] == 4 and runs.select("scraped_at").distinct().count() == 2
+
+
 def test_cluster_conf_scales_with_input():
     from quayside.session import cluster_conf
 
