@@ -3,10 +3,11 @@ consolidation location, and the full shipment extract."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside import config as C
+from quayside.session import stored
 
 
 def eav_attributes(refs: DataFrame, id_col: str, types: dict[int, str],
@@ -55,6 +56,25 @@ def restrict_to_ids(df: DataFrame, ids: DataFrame, df_col: str, ids_col: str) ->
     return df.join(ids.select(F.col(ids_col).alias("_id")), F.col(df_col) == F.col("_id"), "left_semi")
 
 
+def _kinds(**kinds: tuple[DataFrame, Column, list[Column]]) -> DataFrame:
+    """Frames of one key as one tall frame: `_id`, and per kind a struct of its
+    values, null in the rows of the other kinds (so a struct of nulls is still
+    a value)."""
+    out = None
+    for name, (df, key, values) in kinds.items():
+        rows = df.select(key.alias("_id"), F.struct(*values).alias(name))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
+def _combined(df: DataFrame, *sets: str) -> DataFrame:
+    """Every combination of the values in the set columns; an empty set counts
+    as one null."""
+    for c in sets:
+        df = df.withColumn(c, F.explode_outer(c))
+    return df.select(*[c for c in df.columns if c not in sets], *[f"{c}.*" for c in sets])
+
+
 def shipment_extract(es: DataFrame, srefs: DataFrame, milestones: DataFrame, ul_refs: DataFrame,
                      cassn: DataFrame, cattr: DataFrame, sdocs: DataFrame, sdoc_refs: DataFrame,
                      oassn: DataFrame, opkg: DataFrame, entities: DataFrame, active_ids: DataFrame) -> DataFrame:
@@ -62,71 +82,68 @@ def shipment_extract(es: DataFrame, srefs: DataFrame, milestones: DataFrame, ul_
     of the left-joined attributes (multi-valued references, milestones and
     packages fan out), then DISTINCT over the whole row.
 
-    Because the result is a set, each fan-out branch is reduced to the
-    distinct values the output needs *before* it is joined (and combined
-    map-side): milestone rows to (shipment, unit load, consol DUNS), unit-load
-    attributes to one set per unit load, packages to one set per shipment.
-    The branches then meet on the shipment id, so the shipment side is
-    partitioned once.
-
-    Only active shipments are kept, so every branch is first reduced to their
-    ids (semi joins), and the unit-load tables to the unit loads of those.  The
-    four kinds of references come from one scan and one de-duplication.  Every
-    branch is distinct per shipment, so their combinations are distinct and no
-    DISTINCT over the wide result is needed.
-    """
+    1. The active shipments are stored once.
+    2. What hangs on a shipment (four kinds of references, packages, milestones
+       with their consolidation DUNS) is reduced to the active ids by semi
+       joins and gathered in one grouped pass into sets of distinct values per
+       shipment, also stored: the (shipment, unit load) pairs come from it.
+    3. What hangs on a unit load (bills of lading, containers, lanes) is
+       reduced to those pairs' loads and gathered in one grouped pass too.
+
+    Only then do the sets fan out.  A set holds the distinct values of one
+    shipment or unit load, whose combinations are rows of the result; sets are
+    combined before the shuffle."""
     s = es.filter(F.col("current_state_type_id") == C.ACTIVE_STATE)
-    s = restrict_to_ids(s, active_ids, "em_shipment_id", "sti").select(
+    s = stored(restrict_to_ids(s, active_ids, "em_shipment_id", "sti").select(
         "em_shipment_id", "shipment_id_number", "shipment_pieces", "ultimate_origin_alias", "ultimate_dest_alias",
-        "shipment_cube", "shipment_weight").distinct()
-    ids = s.select(F.col("em_shipment_id").alias("_id")).distinct()
-
-    def active(df: DataFrame, col: str, of: DataFrame = ids) -> DataFrame:
-        return df.join(of, df[col] == of["_id"], "left_semi")
-
-    kinds = ((C.REF_MODE, "mode"), (C.REF_CCA_LOCATION, "cca_location"), (C.REF_PRN, "prn"), (C.REF_SO, "so"))
-    refs = srefs.filter(F.col("reference_type_id").isin([k for k, _ in kinds]))
-    refs = active(refs.select("em_shipment_id", "reference_type_id", "reference_number"), "em_shipment_id").distinct()
-    for type_id, name in kinds:
-        r = refs.filter(F.col("reference_type_id") == type_id).select(
-            F.col("em_shipment_id").alias(f"_e_{name}"), F.col("reference_number").alias(name))
-        s = s.join(r, s["em_shipment_id"] == r[f"_e_{name}"], "left").drop(f"_e_{name}")
-
-    # Unit-load branch: milestones (with their consol DUNS) x unit-load attributes.
-    ms = consol_locations(active(milestones, "em_shipment_id"), entities).select(
-        F.col("em_shipment_id").alias("_m_sid"), "master_unitload_id", "consol_dun").distinct()
-    loads = active(milestones, "em_shipment_id").select(F.col("master_unitload_id").alias("_id")).distinct()
-    ul = active(ul_refs, "master_unitload_id", loads)
-    hbl = ul.filter(F.col("reference_type_id") == C.REF_HBL).select(
-        F.col("master_unitload_id").alias("_u"), F.col("reference_number").alias("hbl")).distinct()
-    mbl = priority_pick(ul, "master_unitload_id", dict(C.MBL_PRIORITY), "mbl").select(
-        F.col("master_unitload_id").alias("_u2"), "mbl")
-    ca = active(cassn, "master_unitload_id", loads).select(
-        F.col("master_unitload_id").alias("_v"), F.col("container_attributes_id").alias("_cid"))
-    c = cattr.select(F.col("container_attributes_id").alias("_c"), F.col("conveyance_id_number").alias("cont_id"),
-                     F.col("conveyance_type_desc").alias("cont_type"), F.col("conveyance_cube").alias("vol2"),
-                     F.col("conveyance_weight").alias("weight2"))
-    cont = ca.join(c, ca["_cid"] == c["_c"], "left").drop("_c", "_cid").distinct()
-    sd = active(sdocs, "master_unitload_id", loads).select(F.col("master_unitload_id").alias("_t"), F.col("status_doc_id").alias("_doc"))
-    lane_ref = sdoc_refs.filter(F.col("reference_type_id") == C.REF_LANE).select(
-        F.col("status_doc_id").alias("_sd"), F.col("reference_number").alias("lane_id"))
-    lanes = sd.join(lane_ref, sd["_doc"] == lane_ref["_sd"], "left").drop("_sd", "_doc").distinct()
-
-    u = ms.join(hbl, ms["master_unitload_id"] == hbl["_u"], "left").drop("_u")
-    u = u.join(mbl, u["master_unitload_id"] == mbl["_u2"], "left").drop("_u2")
-    u = u.join(cont, u["master_unitload_id"] == cont["_v"], "left").drop("_v")
-    u = u.join(lanes, u["master_unitload_id"] == lanes["_t"], "left").drop("_t")
-    u = u.drop("master_unitload_id").distinct()
-
-    # Package branch.
-    oa = active(oassn, "em_shipment_id").select(F.col("em_shipment_id").alias("_p_sid"), F.col("order_id").alias("_order"))
-    pk = opkg.select(F.col("order_id").alias("_op"), F.col("package_id_number").alias("packaging_type"))
-    pkg = oa.join(pk, oa["_order"] == pk["_op"], "left").drop("_op", "_order").distinct()
-
-    s = s.join(u, s["em_shipment_id"] == u["_m_sid"], "left").drop("_m_sid")
-    s = s.join(pkg, s["em_shipment_id"] == pkg["_p_sid"], "left").drop("_p_sid")
-
-    return s.select(
+        "shipment_cube", "shipment_weight"), "tms-active")
+
+    def active(df: DataFrame) -> DataFrame:
+        return restrict_to_ids(df, s, "em_shipment_id", "em_shipment_id")
+
+    sid = F.col("em_shipment_id")
+    kinds = {C.REF_MODE: "mode", C.REF_CCA_LOCATION: "cca_location", C.REF_PRN: "prn", C.REF_SO: "so"}
+    refs = active(srefs.filter(F.col("reference_type_id").isin(list(kinds))))
+    orders = active(oassn).select("em_shipment_id", F.col("order_id").alias("_order"))
+    packed = orders.join(opkg.select(F.col("order_id").alias("_op"), "package_id_number"), F.col("_order") == F.col("_op"), "left")
+    tall = _kinds(
+        shipment=(s, sid, [F.col(c) for c in s.columns]),
+        reference=(refs, sid, [F.col("reference_type_id").alias("type"), F.col("reference_number").alias("value")]),
+        package=(packed, sid, [F.col("package_id_number").alias("packaging_type")]),
+        load=(consol_locations(active(milestones), entities), sid, [F.col("master_unitload_id").alias("unit_load"), F.col("consol_dun")]))
+    per = tall.groupBy("_id").agg(*[F.collect_set(c).alias(c) for c in ("shipment", "package", "load")], *[
+        F.collect_set(F.when(F.col("reference.type") == k, F.struct(F.col("reference.value").alias(name)))).alias(name)
+        for k, name in kinds.items()])
+    per = stored(per, "tms-shipments")
+
+    pairs = per.select("_id", F.explode("load").alias("load")).select("_id", "load.*")
+    loads = pairs.select("unit_load")
+
+    def loaded(df: DataFrame) -> DataFrame:
+        return restrict_to_ids(df, loads, "master_unitload_id", "unit_load")
+
+    ul = F.col("master_unitload_id")
+    bills = loaded(ul_refs.filter(F.col("reference_type_id").isin([C.REF_HBL, *dict(C.MBL_PRIORITY)])))
+    boxes = loaded(cassn).join(cattr.select(F.col("container_attributes_id").alias("_c"), "conveyance_id_number", "conveyance_type_desc",
+                                            "conveyance_cube", "conveyance_weight"), F.col("container_attributes_id") == F.col("_c"), "left")
+    lane_refs = sdoc_refs.filter(F.col("reference_type_id") == C.REF_LANE).select(F.col("status_doc_id").alias("_d"), F.col("reference_number").alias("lane_id"))
+    lanes = loaded(sdocs).join(lane_refs, F.col("status_doc_id") == F.col("_d"), "left")
+    tall = _kinds(
+        bill=(bills, ul, [F.col("reference_type_id").alias("type"), F.col("reference_number").alias("value")]),
+        container=(boxes, ul, [F.col("conveyance_id_number").alias("cont_id"), F.col("conveyance_type_desc").alias("cont_type"),
+                               F.col("conveyance_cube").alias("vol2"), F.col("conveyance_weight").alias("weight2")]),
+        lane=(lanes, ul, [F.col("lane_id")]))
+    kind, value = F.col("bill.type"), F.col("bill.value")
+    rank = F.coalesce(*[F.when(kind == k, F.lit(p)) for k, p in C.MBL_PRIORITY])
+    units = tall.groupBy("_id").agg(
+        F.collect_set(F.when(kind == C.REF_HBL, F.struct(value.alias("hbl")))).alias("hbl"),
+        F.min(F.when(rank.isNotNull(), F.struct(rank.alias("p"), value.alias("v")))).getField("v").alias("mbl"),
+        F.collect_set("container").alias("container"), F.collect_set("lane").alias("lane"))
+    u = pairs.join(units.withColumnRenamed("_id", "_u"), F.col("unit_load") == F.col("_u"), "left")
+    u = _combined(u.drop("unit_load", "_u"), "hbl", "container", "lane").distinct().withColumnRenamed("_id", "_sid")
+
+    per = _combined(per.drop("load"), "shipment", "mode", "cca_location", "prn", "so", "package")
+    return per.join(u, per["_id"] == u["_sid"], "left").select(
         F.col("em_shipment_id").alias("sti"), "shipment_id_number",
         F.col("shipment_pieces").alias("number_of_packages"),
         F.col("ultimate_origin_alias").alias("origin_dun"), F.col("ultimate_dest_alias").alias("dest_dun"),

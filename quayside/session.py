@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  AQE re-plans joins from runtime sizes
 # (broadcast only when a side is measured small), coalesces small shuffle
@@ -94,6 +94,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/quayside/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` written once under the checkpoint folder and read back, for frames
+    that several branches of a plan need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on the file system that its path names."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
