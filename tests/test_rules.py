@@ -58,14 +58,14 @@ def test_vessel_extraction(spark):
 
 
 def test_card_parse(spark):
-    parts = [["Port of Baltimore", "Dundalk Marine Terminal", "Discharge", "06 Oct 2025 20:19"],
-             ["", "06 Oct 2025 20:19", "Load on EVER X", "Port A", "Port A"],
+    parts = [["Port Quill", "North Basin", "Discharge", "11 Feb 2031 07:45"],
+             ["", "11 Feb 2031 07:45", "Load on EVER X", "Port A", "Port A"],
              ["Gate in"]]
     df = spark.createDataFrame([(p,) for p in parts], "parts array<string>")
     p = T.parse_card_parts("parts")
     rows = df.select(*[c.alias(k) for k, c in p.items()]).collect()
     assert (rows[0].location, rows[0].status, rows[0].date, rows[0].time) == (
-        "Port of Baltimore - Dundalk Marine Terminal", "Discharge", "06 Oct 2025", "20:19")
+        "Port Quill - North Basin", "Discharge", "11 Feb 2031", "07:45")
     # blank line skipped; terminal equal to location is not repeated
     assert (rows[1].location, rows[1].status, rows[1].vessel_name) == ("Port A", "Load on", "EVER X")
     assert (rows[2].location, rows[2].date, rows[2].time) == ("", "", "")
