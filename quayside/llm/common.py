@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from quayside.session import scratch_path
 
-# Rows per Arrow batch handed to Python.  A batch holds whole texts, so this
-# (not the 10,000 default) bounds a worker's memory.
-ARROW_ROWS = 512
+# Rows and bytes per Arrow batch handed to Python.  A batch holds whole texts:
+# the bytes bound a worker's memory (a longer text is a batch of its own).
+ARROW_ROWS, ARROW_BYTES = 512, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of `ARROW_ROWS` rows for the session's Python workers."""
+    """Arrow batches of `ARROW_ROWS` rows and about `ARROW_BYTES` at most for
+    the session's Python workers."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
