@@ -8,24 +8,25 @@ documents meet in a table if band i and band j both agree; at similarity
 0.85 that fails in all 49 tables with probability 0.0003.
 
 Equal shingle sets are collapsed first, so copies never meet each other in a
-table.  Inside a table key no pairs are listed: in the first round, every
-member is compared with a few centres of its key.  Further rounds look only at
-keys whose members still lie in different components, with centres drawn anew
-from both sides, and go on for the keys that the last round changed; where that
-adds no link, all pairs across components of the keys with few members are
-compared.  Each candidate is verified on the full shingle sets.
-
-Draws can miss a link in a key with many members.  So the documents of such
-keys that still lie in several components are joined in the end by a prefix
-filter on their full sets: of two sets that reach the threshold, the rarest
-common shingle is among the rarest few of both.  Shingles with few holders list
-their pairs; those with many are compared block by block.
+table.  The steps are the same whatever the data, each followed by the
+components of the links so far:
+
+1. every member of a table key is compared with a few centres of the key;
+2. in keys whose members still lie in different components, once more with
+   centres drawn from both sides;
+3. what the draws missed: in keys with few members all pairs across components,
+   and the documents of the other keys that still lie in several components
+   through a prefix filter on their full sets.  Of two sets that reach the
+   threshold, the rarest common shingle is among the rarest few of both.
+   Shingles with few holders list their pairs; those with many are compared
+   block by block.
+
+Each candidate is verified on the full shingle sets.  The last step looks at
+all that is left, so no link depends on the draws.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pandas as pd
 import xxhash
@@ -193,7 +194,7 @@ def _draws(rows: DataFrame, sides: list[Column], turn: int, also: Column | None
 def _across(rows: DataFrame, comp: DataFrame, percent: int, turn: int) -> DataFrame:
     """Candidates among the table keys whose members lie in several
     components: each member against `DRAWS` centres of the key's smallest
-    component and `DRAWS` of the rest, drawn anew every turn."""
+    component and `DRAWS` of the rest."""
     label = merged(rows, comp, "node", "left").select("tkey", "node", "n", F.coalesce("comp", "node").alias("comp"))
     many = label.groupBy("tkey").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").drop("hi")
     mixed = stored(merged(label, many, "tkey"), "mixed")
@@ -284,13 +285,6 @@ def _exact_across(shared: DataFrame, comp: DataFrame, sets: DataFrame, percent:
     return stored(listed.union(blocks).distinct(), "links")
 
 
-def _touched(shared: DataFrame, links: DataFrame) -> DataFrame:
-    """The rows of the table keys that hold a newly linked document."""
-    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
-    hit = merged(shared, ends, "node", "left_semi").select("tkey").distinct()
-    return stored(merged(shared, hit, "tkey", "left_semi"), "touched")
-
-
 def _pairs(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
     members = members.select(F.col("tkey").alias("t"), "node", "n", "comp")
     near = (F.col("t") == F.col("tkey")) & (F.col("comp") != F.col("comp2")) & _sizes_fit("n", "n2", percent)
@@ -336,23 +330,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     alone = shared.withColumn("comp", F.col("node"))
     links = _confirmed(_pairs(alone, _draws(alone, [F.lit(True)], 0, F.col("node")), percent), sets, percent)
     comp = stored(components(links), "comp")
-    # Further rounds: draws on the keys that the last round changed; where they
-    # add nothing, all pairs of the small keys changed since the last time.
-    drawn, listed, turn = shared, [shared], 0
-    while True:
-        turn += 1
-        links = _confirmed(_across(drawn, comp, percent, turn), sets, percent)
-        if links.isEmpty():
-            rows = reduce(DataFrame.union, listed).distinct() if len(listed) > 1 else listed[0]
-            links = _confirmed(_all_across(rows, comp, percent), sets, percent)
-            if links.isEmpty():
-                break
-            listed = []
-        comp, drawn = _joined(comp, links), _touched(shared, links)
-        if not any(x is shared for x in listed):
-            listed.append(drawn)
-    # What the draws missed in the large keys.
-    links = _exact_across(shared, comp, sets, percent)
+    # Once more where the members of a key still lie in different components.
+    links = _confirmed(_across(shared, comp, percent, 1), sets, percent)
+    if not links.isEmpty():
+        comp = _joined(comp, links)
+    # What the draws missed, whatever they were.
+    links = _confirmed(_all_across(shared, comp, percent), sets, percent).union(_exact_across(shared, comp, sets, percent))
     if not links.isEmpty():
         comp = _joined(comp, links)
 
