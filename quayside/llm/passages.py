@@ -17,6 +17,8 @@ windows around the same chunk in the other documents.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -122,16 +124,20 @@ def repeated(rows: DataFrame, key: str) -> DataFrame:
     return merged(rows, known.where("first_doc < last_doc").select(key, "first_doc"), key)
 
 
+def _within(chunks_: list[tuple], firsts: list[int], lo: int, hi: int) -> list[tuple]:
+    """The chunks (in order of their first words, `firsts`) inside the words [lo, hi)."""
+    return [c for c in chunks_[bisect_left(firsts, lo):bisect_left(firsts, hi)] if c[0] + c[1] <= hi]
+
+
 def _open_starts(lo: int, hi: int, chunks_: list[tuple], words: list[int], docs: list[int]) -> list[int]:
     """The window starts of the run [lo, hi) that the shared windows at cuts
     (their first words in order, and their first documents) leave open.  Those
     between two of them are settled if both cover all words between, have one
     first document, and a chunk inside all windows between has that one too:
     then no smaller document can share such a window."""
-    settled = set(words)
+    settled, firsts = set(words), [c[0] for c in chunks_]
     for a, b, f, g in zip(words, words[1:], docs, docs[1:]):
-        if b - a <= LEAST and f == g and any(
-                first >= b - 1 + REACH and first + n <= a + 1 + LEAST and doc == f for first, n, _, doc in chunks_):
+        if b - a <= LEAST and f == g and any(c[3] == f for c in _within(chunks_, firsts, b - 1 + REACH, a + 1 + LEAST)):
             settled.update(range(a + 1, b))
     return [k for k in range(max(lo, 0), hi - LEAST + 1) if k not in settled]
 
@@ -143,8 +149,9 @@ def _claims(chunks_: list[tuple], starts: list[int]) -> dict[tuple, list[int]]:
     window have them): the one with the largest first document, a rare one.
     Without any, all chunks inside it."""
     out: dict[tuple, list[int]] = {}
+    firsts = [c[0] for c in chunks_]
     for k in starts:
-        inside = [c for c in chunks_ if c[0] >= k and c[0] + c[1] <= k + LEAST]
+        inside = _within(chunks_, firsts, k, k + LEAST)
         sound = [c for c in inside if c[0] - REACH >= k]
         for first, _, digest, _ in [max(sound, key=lambda c: (c[3], c[2], c[0]))] if sound else inside:
             out.setdefault((first, digest), []).append(first - k)
