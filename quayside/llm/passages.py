@@ -220,7 +220,7 @@ def shared_windows(docs: DataFrame) -> DataFrame:
     left out if they add no smaller doc_id."""
     small_batches(docs.sparkSession)
     docs = docs.where("doc_id is not null").select("doc_id", "text")
-    found = stored(repeated(chunk_rows(docs), "digest"), "chunks")
+    found = stored(repeated(stored(chunk_rows(docs), "cut"), "digest"), "chunks")
     sure = stored(repeated(found.where("window != 0").select("doc_id", F.col("first").alias("word"), "window"), "window")
                   .select("doc_id", "word", "first_doc"), "sure")
     claims = stored(chunk_claims(found, sure), "claims")
