@@ -23,12 +23,18 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """`stored`, and the path, for tables that are dropped (`drop_scratch`)
+    once the table made from them is written."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` under the shared checkpoint folder and read it back: cuts
     the lineage with files that survive the loss of an executor."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(df, name)[0]
 
 
 def utf8(col: Column | str) -> Column:

@@ -26,7 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import merged, small_batches, stored, table, utf8
+from quayside.session import drop_scratch
+
+from .common import merged, small_batches, stored, table, utf8, written
 
 # words of a passage worth reporting: over 50
 LEAST = 51
@@ -218,12 +220,16 @@ def shared_windows(docs: DataFrame) -> DataFrame:
     shares with another, by their first word, with the smallest doc_id that
     has the window.  Windows between two rows that cover all their words are
     left out if they add no smaller doc_id."""
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.where("doc_id is not null").select("doc_id", "text")
-    found = stored(repeated(stored(chunk_rows(docs), "cut"), "digest"), "chunks")
+    cut, cut_path = written(chunk_rows(docs), "cut")
+    found, found_path = written(repeated(cut, "digest"), "chunks")
+    drop_scratch(spark, cut_path)
     sure = stored(repeated(found.where("window != 0").select("doc_id", F.col("first").alias("word"), "window"), "window")
                   .select("doc_id", "word", "first_doc"), "sure")
-    claims = stored(chunk_claims(found, sure), "claims")
+    claims, claims_path = written(chunk_claims(found, sure), "claims")
+    drop_scratch(spark, found_path)
     wanted = claims.where("near is not null").groupBy("digest").agg(F.min("near").alias("least"), F.max("far").alias("most"))
     regions = merged(claims.drop("near", "far"), wanted, "digest").select(
         "doc_id", F.greatest("lo", F.col("first") - F.col("most")).alias("lo"),
@@ -233,6 +239,7 @@ def shared_windows(docs: DataFrame) -> DataFrame:
         F.min(F.coalesce("text", F.lit(""))).alias("text"), F.first("regions").alias("regions"))
     texts = texts.select("doc_id", F.col("text").cast("binary").alias("text"), F.col("regions.lo").alias("lo"), F.col("regions.hi").alias("hi"))
     windows = stored(texts.mapInPandas(_windows, "window bigint, doc_id bigint, word int"), "windows")
+    drop_scratch(spark, claims_path)
     return sure.union(repeated(windows, "window").select("doc_id", "word", "first_doc"))
 
 
