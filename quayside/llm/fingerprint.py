@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import fresh, table
+from .common import fresh, stored, table
 
 CHAIN = 2
 PRUNE = 0.8
@@ -89,6 +89,20 @@ def pruned_jaccard(a: Column, b: Column, least: float = 0.0) -> Column:
             .otherwise(both / (n + m - both)))
 
 
+def block_order(firsts: DataFrame) -> DataFrame:
+    """(doc_id, home): the first document of each block (block, doc_id) and the
+    block before its own (before the first: the last).  Blocks are sorted by
+    range partitions, stored so that a partition keeps its number; one row for
+    each of these, not for each block, passes a single task."""
+    part = stored(firsts.repartitionByRange("block").withColumn("slice", F.spark_partition_id()), "blocks")
+    ring = Window.orderBy("slice")
+    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = part.groupBy("slice").agg(F.max("block").alias("top"))
+    ends = ends.select("slice", F.coalesce(F.lag("top").over(ring), F.last("top").over(whole)).alias("before_all"))
+    inner = Window.partitionBy("slice").orderBy("block")
+    return part.join(ends, "slice").select("doc_id", F.coalesce(F.lag("block").over(inner), "before_all").alias("home"))
+
+
 def with_next(docs: DataFrame, derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """(doc_id, text, the columns that `derive` adds, and the same columns but
     the id of the next document as next_*), by ascending doc_id (after the
@@ -98,19 +112,11 @@ def with_next(docs: DataFrame, derive: Callable[[DataFrame], DataFrame] = lambda
 
     Documents are dealt to blocks of `BLOCK` consecutive ids; the first row of
     each block is also a guest of the block before, so every block finds its
-    successors by itself.  The order of the blocks is found in two levels."""
+    successors by itself.  The blocks are ordered by `block_order`."""
     block = F.floor(F.col("doc_id") / BLOCK).cast("bigint")
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     named = docs.where("doc_id is not null")
-    firsts = named.groupBy(block.alias("block")).agg(F.min("doc_id").alias("doc_id"))
-    firsts = firsts.withColumn("upper", F.floor(F.col("block") / BLOCK))
-    uppers = firsts.groupBy("upper").agg(F.max("block").alias("top"))
-    ring = Window.orderBy("upper")
-    whole = Window.orderBy("upper").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    uppers = uppers.select("upper", F.coalesce(F.lag("top").over(ring), F.last("top").over(whole)).alias("before_all"))
-    inner = Window.partitionBy("upper").orderBy("block")
-    firsts = firsts.join(uppers, "upper").select(
-        "doc_id", F.coalesce(F.lag("block").over(inner), "before_all").alias("home"))
+    firsts = block_order(named.groupBy(block.alias("block")).agg(F.min("doc_id").alias("doc_id")))
     guests = named.join(firsts, "doc_id").groupBy("doc_id", "home").agg(F.min("text").alias("text"))
     both = named.select(block.alias("block"), "doc_id", "text", F.lit(0).alias("guest")).union(
         guests.select(F.col("home").alias("block"), "doc_id", "text", F.lit(1).alias("guest")))

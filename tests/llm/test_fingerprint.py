@@ -55,6 +55,19 @@ def test_sparse_ids(spark, small_rows, tmp_path, rng):
     check(spark, str(tmp_path), rows)
 
 
+def test_block_order_takes_a_row_per_slice_to_one_task(spark, rng):
+    ids = sorted(rng.sample(range(-10**15, 10**15), 5000))
+    firsts = spark.createDataFrame([(i // S.BLOCK, i) for i in ids], "block long, doc_id long")
+    ordered = S.block_order(firsts)
+    home = {r.doc_id: r.home for r in ordered.collect()}
+    assert home == {i: ids[k - 1] // S.BLOCK for k, i in enumerate(ids)}
+    # what is sorted in a single task is an aggregate by slice
+    plan = ordered._jdf.queryExecution().executedPlan().toString().splitlines()
+    single = next(k for k, line in enumerate(plan) if "SinglePartition" in line)
+    assert any("HashAggregate(keys=[slice" in line for line in plan[single:single + 2])
+    assert not any("block#" in line and "SinglePartition" in line for line in plan)
+
+
 def test_one_document_follows_itself(spark, tmp_path):
     spark.createDataFrame([(5, "the cat and the dog")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     r = S.op1(spark, str(tmp_path)).first()
