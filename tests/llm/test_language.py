@@ -1,4 +1,7 @@
+import math
+import unicodedata
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -43,6 +46,73 @@ def test_em_recovers_proportions(rng):
     assert sorted(chosen) == [0, 1]
 
 
+def brute_grams(text):
+    """Bucket -> count of the byte trigrams of a text's letters, any other run
+    as one space, between two spaces."""
+    cleaned, gap = [], False
+    for c in (text or "").lower():
+        if unicodedata.category(c)[0] in "LM":
+            cleaned.append(c)
+            gap = False
+        elif not gap:
+            cleaned.append(" ")
+            gap = True
+    b = (" " + "".join(cleaned) + " ").encode()
+    return Counter((int.from_bytes(b[i:i + 3], "big") * 2654435761 % 2**32) >> 18 for i in range(len(b) - 2))
+
+
+def brute_em(grams, model, names):
+    """Shares by expectation-maximisation, gram by gram, and the log-likelihood."""
+    total, share = sum(grams.values()), {x: 1 / len(names) for x in names}
+    for _ in range(L.ROUNDS):
+        new = dict.fromkeys(names, 0.0)
+        for g, n in grams.items():
+            parts = {x: share[x] * model[x][g] for x in names}
+            whole = sum(parts.values())
+            for x in names:
+                new[x] += n * parts[x] / whole / total
+        moved, share = max(abs(new[x] - share[x]) for x in names), new
+        if moved < 1e-3:
+            break
+    return share, sum(n * math.log(sum(share[x] * model[x][g] for x in names)) for g, n in grams.items())
+
+
+def brute_languages(grams, model):
+    names = sorted(model)
+    single = {x: sum(n * math.log(model[x][g]) for g, n in grams.items()) for x in names}
+    top = max(names, key=lambda x: single[x])
+    share, best, price = {top: 1.0}, single[top], L.PENALTY * math.log(sum(grams.values()))
+    all_shares, most = brute_em(grams, model, names)
+    while len(share) < len(names) and most - best > price:
+        rest = sorted((x for x in names if x not in share), key=lambda x: -all_shares[x])[:3]
+        tried = [brute_em(grams, model, [*share, x]) for x in rest]
+        more, value = max(tried, key=lambda t: t[1])
+        if value - best <= price:
+            break
+        share, best = more, value
+    return share
+
+
+def test_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang").collect()
+    counts = defaultdict(Counter)
+    for r in docs:
+        if r.lang is not None and r.text and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            counts[r.lang] += brute_grams(r.text)
+    model = {x: {g: (n[g] + L.SMOOTHING) / (n.total() + L.SMOOTHING * L.BUCKETS) for g in range(L.BUCKETS)} for x, n in counts.items()}
+    got = {r.doc_id: r for r in L.op2(spark, SMALL).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        g = got[r.doc_id]
+        if not any(c.isalpha() for c in r.text or ""):
+            assert (g.lang_pred, g.score) == ("und", 0.0)
+            continue
+        want = brute_languages(brute_grams(r.text), model)
+        assert set(g.proportions) == set(want)
+        assert all(abs(g.proportions[x] - want[x]) < 1e-9 for x in want)
+        assert g.lang_pred == max(want, key=lambda x: want[x]) and abs(g.score - max(want.values())) < 1e-9
+
+
 def test_odd_texts(spark, odd_docs, empty_docs):
     model = L.train(odd_docs)
     got = {(r.doc_id, r.text): r.language for r in L.with_language(odd_docs, model).collect()}
