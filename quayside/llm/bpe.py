@@ -29,7 +29,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import small_batches, table, unused
 
 # Results a worker remembers before the older ones are let go.
 REMEMBERED = 300_000
@@ -149,7 +149,9 @@ def shipped(spark: SparkSession, path: str) -> str:
 
 
 def encoded(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """`df` with the token ids of each whole text; null and empty text have none."""
+    """`df` with the token ids of each whole text; null and empty text have
+    none.  An input column named like `ids` is an error."""
+    unused(df, ids)
     small_batches(df.sparkSession)
     name = shipped(df.sparkSession, path)
 
@@ -162,7 +164,9 @@ def encoded(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> D
 
 
 def decoded(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """`df` with the decoded text of each id sequence; null ids as none."""
+    """`df` with the decoded text of each id sequence; null ids as none.  An
+    input column named like `text` is an error."""
+    unused(df, text)
     small_batches(df.sparkSession)
     name = shipped(df.sparkSession, path)
 

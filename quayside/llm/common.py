@@ -51,6 +51,13 @@ def fresh(df: DataFrame, stem: str) -> str:
     return name
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, an error if `df` has a column of that name already."""
+    if name.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"the input already has a column {name}")
+    return name
+
+
 def merged(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
     """A sort-merge join, whatever the sizes at hand: for sides that both grow
     with the corpus, so the plan is the same at every size.  Adaptive execution

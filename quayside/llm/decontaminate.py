@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, small_batches, table, utf8
+from .common import fresh, small_batches, table, unused, utf8
 
 WINDOW = 13
 # contaminated: at least this share (1 / SHARE) of the words are hit
@@ -143,7 +143,9 @@ def benchmark_hits(df: DataFrame, benchmark: DataFrame, text: str = "text", hits
     indexes, merged, end exclusive) and the ids of the items with occurring
     windows.  An item of fewer than `window` words is one window; an item or
     document without words matches nothing.  Null text has no words.  Rows are
-    judged one by one, so repeated rows and ties need no rule."""
+    judged one by one, so repeated rows and ties need no rule.  An input column
+    named like `hits` is an error."""
+    unused(df, hits)
     spark = df.sparkSession
     small_batches(spark)
     none = F.struct(F.lit(0).cast("bigint").alias("n_words"),

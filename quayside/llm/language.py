@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, small_batches, table, utf8
+from .common import fresh, small_batches, table, unused, utf8
 
 BUCKETS = 1 << 14
 SMOOTHING = 0.5
@@ -151,7 +151,9 @@ def with_language(df: DataFrame, model: tuple[list[str], np.ndarray], text: str
     """`df` with a struct column: lang, score (its proportion) and the
     proportions of all selected languages.  Null text and text without a
     letter are `und` with score 0; so is every text if nothing was learned.
-    Rows are judged one by one; equal texts get equal results."""
+    Rows are judged one by one; equal texts get equal results.  An input column
+    named like `name` is an error."""
+    unused(df, name)
     small_batches(df.sparkSession)
     predict = predictor(*model, df.sparkSession)
     return df.withColumn(name, predict(letters(F.col(text)).cast("binary"), has_letter(F.col(text))))

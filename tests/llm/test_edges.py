@@ -3,6 +3,7 @@ import pytest
 
 from llm_data import SMALL
 
+from quayside.llm import bpe, decontaminate, language
 from quayside.llm.registry import QUERIES, SQL
 
 
@@ -29,3 +30,16 @@ def test_oracle(spark, duck, name):
 
     ok, said = compare(QUERIES[name](spark, SMALL), duck, SQL[name])
     assert ok, said
+
+
+def test_taken_names_are_errors(odd_docs, empty_docs):
+    path = bpe.vocabulary("word_bpe_49k.json")
+    model = language.train(empty_docs)
+    for column, call in {
+        "IDS": lambda df: bpe.encoded(df, path),
+        "decoded": lambda df: bpe.decoded(df, path),
+        "hits": lambda df: decontaminate.benchmark_hits(df, df),
+        "Language": lambda df: language.with_language(df, model),
+    }.items():
+        with pytest.raises(ValueError, match="already has a column"):
+            call(odd_docs.withColumnRenamed("source", column))
