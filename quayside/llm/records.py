@@ -22,7 +22,10 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,13 +54,23 @@ def masked(data: bytes) -> int:
     return (((crc >> 15) | (crc << 17)) + MASK) & 0xFFFFFFFF
 
 
+def _plain_split() -> re.Pattern:
+    """The splitting pattern of `ByteLevelCodec` for plain texts, whose letters
+    and numbers are listed one by one; the commonest alternatives come first
+    (a contraction begins with neither a space, a letter nor a number)."""
+    plain = [chr(k) for k in (*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x250))]
+    letters, numbers = (re.escape("".join(c for c in plain if unicodedata.category(c)[0] == kind)) for kind in "LN")
+    return re.compile(rf" ?[{letters}]+| ?[{numbers}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s{letters}{numbers}]+|\s+(?!\S)|\s+")
+
+
 class ByteLevelCodec:
-    """Ids of whole texts from a byte-level tokenizer file.  A text is cut
-    before ASCII white space that follows a character, where the tokenizer's
-    own splitting always cuts; each distinct chunk is split by the tokenizer's
-    pattern and its pieces are merged by the library's BPE model once.  A chunk
-    with rare characters is encoded by the library, a text with other white
-    space or with a special token's literal in one piece."""
+    """Ids of whole texts from a byte-level tokenizer file.  A plain text (white
+    space and visible characters of ASCII, Latin letters and signs) is split by
+    the tokenizer's pattern and each distinct piece is merged by the library's
+    BPE model once.  Other texts are cut before ASCII white space that follows a
+    character, where the tokenizer's own splitting always cuts, and each distinct
+    chunk is encoded once; a chunk with rare characters by the library, a text
+    with other white space or with a special token's literal in one piece."""
 
     _CHUNK = re.compile("[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
     _OTHER_SPACE = re.compile(
@@ -65,6 +78,7 @@ class ByteLevelCodec:
     _RARE = re.compile("[^\t\n\r\x20-\x7e\xa1-\xac\xae-\u024f]")
     # Fixed value: the splitting pattern of byte-level BPE vocabularies.
     _SPLIT = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+    _PLAIN = _plain_split()
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -75,12 +89,16 @@ class ByteLevelCodec:
         self.model = self.tokenizer.model
         self.type = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.code = "H" if self.type == "<u2" else "I"
         self.letters = _byte_letters()
         self.pieces = Memory(self._piece)
         self.chunks = Memory(self._chunk)
 
     def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.type).tobytes()
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _piece(self, piece: str) -> bytes:
         return self._packed([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))])
@@ -94,7 +112,11 @@ class ByteLevelCodec:
         return b"".join(map(self.pieces.__getitem__, self._SPLIT.findall(chunk)))
 
     def encode(self, text: str) -> bytes:
-        if self._OTHER_SPACE.search(text) or any(s in text for s in self.special):
+        if any(s in text for s in self.special):
+            return self._whole(text)
+        if not self._RARE.search(text):
+            return b"".join(map(self.pieces.__getitem__, self._PLAIN.findall(text)))
+        if self._OTHER_SPACE.search(text):
             return self._whole(text)
         return b"".join(map(self.chunks.__getitem__, self._CHUNK.findall(text)))
 

@@ -68,3 +68,20 @@ def test_damage_is_seen(spark, odd_docs, tmp_path):
             f.write(broken)
         with pytest.raises((ValueError, struct.error)):
             list(R.records(path, 2))
+
+
+def test_plain_texts_share_their_pieces():
+    """A word met beside ever new signs is merged once."""
+    codec, words = R.ByteLevelCodec(PATH), ["harbour", "café", "Łódź"]
+    texts = [f" {w}{a}{b} {w}'s" for w in words for a in ".,;:!?" for b in "\")]}»"]
+    met = []
+    codec.pieces.compute = lambda piece: met.append(piece) or codec._piece(piece)
+    for text in texts:
+        assert np.frombuffer(codec.encode(text), "<u2").tolist() == expected(text)
+    assert not codec.chunks and sorted(p for p in met if p.strip() in words) == sorted(f" {w}" for w in words)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from(list("a's'tred9 \t\n\r_-.")), st.characters(min_codepoint=0x21, max_codepoint=0x24F)), max_size=60))
+def test_any_plain_text(text):
+    assert ids_of(text) == expected(text)
