@@ -7,7 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside import config as C
-from quayside.session import stored
+from quayside.session import shuffle_partitions_for, stored
+
+# Active shipments of one initial shuffle partition.
+TASK_SHIPMENTS = 20_000
 
 
 def eav_attributes(refs: DataFrame, id_col: str, types: dict[int, str],
@@ -92,8 +95,12 @@ def shipment_extract(es: DataFrame, srefs: DataFrame, milestones: DataFrame, ul_
 
     Only then do the sets fan out.  A set holds the distinct values of one
     shipment or unit load, whose combinations are rows of the result; sets are
-    combined before the shuffle."""
+    combined before the shuffle.
+
+    All shuffles are by shipment or unit load: they start with a partition per
+    `TASK_SHIPMENTS` shipments in the active state."""
     s = es.filter(F.col("current_state_type_id") == C.ACTIVE_STATE)
+    shuffle_partitions_for(es.sparkSession, s.count(), TASK_SHIPMENTS)
     s = stored(restrict_to_ids(s, active_ids, "em_shipment_id", "sti").select(
         "em_shipment_id", "shipment_id_number", "shipment_pieces", "ultimate_origin_alias", "ultimate_dest_alias",
         "shipment_cube", "shipment_weight"), "tms-active")
