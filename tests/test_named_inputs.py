@@ -63,7 +63,7 @@ def test_tms_extract_on_given_tables(spark):
 
 
 def test_tms_extract_partitions_follow_the_shipments(spark, monkeypatch):
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    initial, joined = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     f = frames(spark, SRC.TMS + ("intransit",))
     f["em_shipment"] = filled(f["em_shipment"], spark, *[{"em_shipment_id": k, "current_state_type_id": C.ACTIVE_STATE + (k > 38)} for k in range(60)])
     f["intransit"] = filled(f["intransit"], spark, *[{"sti": k} for k in range(60)])
@@ -73,18 +73,20 @@ def test_tms_extract_partitions_follow_the_shipments(spark, monkeypatch):
     extract = lambda: TM.shipment_extract(*[getattr(SRC, n)(t) for n in (
         "em_shipment", "shipment_refs", "shipment_milestones", "unitload_refs", "container_assn", "container_attributes",
         "status_docs", "status_doc_refs", "orders_assn", "order_packages", "location_entities", "intransit")])
-    had = spark.conf.get(initial, None)
+    had, size = spark.conf.get(initial, None), spark.conf.get(joined)
     try:
         spark.conf.unset(initial)
         few = extract().collect()
         assert spark.conf.get(initial, None) is None  # few shipments: the session's own number
         monkeypatch.setattr(TM, "TASK_SHIPMENTS", 1)
         df = extract()
+        assert spark.conf.get(joined) == str(16 << 20)
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(_id" in plan and ", 39)" in plan and ", 8)" not in plan
         assert sorted(df.collect()) == sorted(few) and len(few) == 39
     finally:
         spark.conf.set(initial, had) if had else spark.conf.unset(initial)
+        spark.conf.set(joined, size)
 
 
 def test_events_of_a_carrier_come_from_the_common_table(spark):
