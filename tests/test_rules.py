@@ -240,6 +240,64 @@ def test_staging_reads_new_loads_only(spark, tmp_path):
         df.unpersist()
 
 
+def test_a_load_after_a_crashed_merge_is_not_lost(spark, tmp_path, monkeypatch):
+    """A run dies between the merge's two writes; the next one, with a further
+    load, takes both.  Layers read RAW in place, so no staged batch stands in
+    for the loads."""
+    import pytest
+
+    from quayside.plans import warehouse as WH
+
+    root = str(tmp_path)
+    stage = lambda raw: raw.select("k", "v", "_loaded_at", "seq")
+    take = lambda: WH.stage_new(spark, root, "r", "staging/s", stage, ["k"], F.col("k") % 3, "seq")
+
+    def load(rows, days):
+        WH.load_raw({"r": spark.createDataFrame(rows, "k int, v string, seq int")}, root, AS_OF + dt.timedelta(days=days))
+
+    def dies(*a, **kw):
+        def crash():
+            raise RuntimeError("crash")
+        return U.merge_snapshot(*a, **kw, after_stage=crash)
+
+    load([(1, "a", 1), (1, "b", 2), (2, "c", 1), (4, None, 1)], 0)
+    with monkeypatch.context() as m:
+        m.setattr(WH, "merge_snapshot", dies)
+        with pytest.raises(RuntimeError):
+            take()
+    load([(2, "d", 0), (3, "e", 1)], 1)
+    take()
+    want = [(1, "b"), (2, "d"), (3, "e"), (4, None)]
+    assert sorted((r.k, r.v) for r in spark.read.parquet(f"{root}/staging/s").collect()) == want
+    load([(1, "b", 2), (2, "f", 0), (2, "g", 1), (5, "h", 1)], 2)
+    assert take() == {"inserted": 1, "matched": 2, "modified": 1, "total_processed": 3, "failed": 0}
+
+
+def test_a_snapshot_merge_shuffles_its_rows_once(spark, tmp_path, monkeypatch):
+    """One exchange, by ranges of partition and key, serves the grouping and the
+    write; the swap has none.  Hot keys are combined before it, to the same result."""
+    monkeypatch.setattr(U, "HOT_KEY_ROWS", 100)
+    monkeypatch.setattr(U, "HOT_KEY_SAMPLE", 0.5)
+    rows = [(7 if i % 2 else i, i % 5, i) for i in range(2000)] + [(None, 0, 1)]
+    batch = spark.createDataFrame([(k, k if k is None else k % 4, v, 1, s) for k, v, s in rows], "k int, p int, v int, last_updated int, seq int")
+    assert U.hot_keys_combined(batch, U.key_sample(batch), ["k"]).where("k = 7").count() == 1
+    plans = []
+
+    def plan(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    observed, swap = U._observed_merge, U.swap_partitions
+    monkeypatch.setattr(U, "hot_keys_combined", lambda rows, *a: rows)
+    monkeypatch.setattr(U, "_observed_merge", lambda *a: plan(observed(*a)))
+    monkeypatch.setattr(U, "swap_partitions", lambda df, *a: swap(plan(df), *a))
+    counts = U.merge_snapshot(str(tmp_path / "t"), batch, ["k"], ["p"], str(tmp_path / "s"))
+    assert [p.count("Exchange") for p in plans] == [1, 0] and "rangepartitioning(p" in plans[0]
+    assert counts == {"inserted": 1000 + 1, "matched": 0, "modified": 0, "total_processed": 2001, "failed": 1}
+    got = {r.k: (r.p, r.seq) for r in spark.read.parquet(str(tmp_path / "t")).collect()}
+    assert got == {k: (k % 4, 1999 if k == 7 else k) for k, _, _ in rows if k is not None}
+
+
 def test_report_and_run_exports(spark, tmp_path):
     """The report sink writes parquet and CSV; a run's export is partitioned by
     carrier and run stamp, and a second run is added."""
