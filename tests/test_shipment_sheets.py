@@ -67,3 +67,20 @@ def test_lookups_see_the_winning_row_of_equal_ordinals(spark):
     ship = RP.looked_up(RP.per_shipment(RP.master_sheet(t)), t, RP.with_notes)
     got = ship.select("steamship_line_scac", "steamship_line").collect()
     assert len(got) == 4 and all(r.steamship_line == r.steamship_line_scac for r in got)
+
+
+def test_sheets_are_not_sorted_before_their_shuffle(spark):
+    plan = L.dedupe_sheets(*_sheets(spark), key_alias="id")._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" in plan and "Aggregate" not in plan[plan.index("Exchange"):]
+
+
+def test_rows_of_hot_keys_are_combined_first(spark, monkeypatch):
+    want = sorted(map(tuple, L.dedupe_sheets(*_sheets(spark), key_alias="id").collect()))
+    seen = []
+    monkeypatch.setattr(L, "HOT_KEY_ROWS", 100)
+    monkeypatch.setattr(L, "key_sample", lambda df: df)
+    combined = L._hot_combined
+    monkeypatch.setattr(L, "_hot_combined", lambda tall, *a: seen.append(combined(tall, *a)) or seen[-1])
+    got = L.dedupe_sheets(*_sheets(spark), key_alias="id").collect()
+    assert sorted(map(tuple, got)) == want
+    assert sorted(r.id for r in seen[0].collect()) == [1, 2, 3, 4]  # of 6 rows, the four of key 1 are one
