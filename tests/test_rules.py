@@ -341,3 +341,43 @@ def test_no_local_fallback_off_local_mode():
     sc = N(getConf=lambda: conf, getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(ValueError):
         checkpoint_root(N(sparkContext=sc))
+
+
+def test_a_merge_counts_its_batch_with_its_partitions(spark, tmp_path, monkeypatch):
+    """The pass that finds the touched partitions counts the batch, also beyond
+    the number of partitions that are named; content is hashed as it is."""
+    schema = "k int, p int, at timestamp_ntz, a string, b string, x double, last_updated int, seq int"
+    def rows(day, a, b, x=1.0):
+        return [(k, k, dt.datetime(2024, 1, day), a, b, x, day, k) for k in range(3)] + [(None, None, None, a, b, x, day, 0)]
+
+    for named in (20_000, 2):
+        monkeypatch.setattr(U, "NAMED_PARTITIONS", named)
+        path = str(tmp_path / f"t{named}")
+        merge = lambda r: U.merge_snapshot(path, spark.createDataFrame(r, schema), ["k"], ["p"], f"{path}-s")
+        assert merge(rows(1, "v", None)) == {"inserted": 3, "matched": 0, "modified": 0, "total_processed": 4, "failed": 1}
+        assert merge(rows(1, "v", None))["modified"] == 0
+        assert merge(rows(1, None, "v")) == {"inserted": 0, "matched": 3, "modified": 3, "total_processed": 4, "failed": 1}
+        assert [merge(rows(1, None, "v", x))["modified"] for x in (float("nan"), float("nan"), None)] == [3, 0, 3]
+    text = spark.createDataFrame([], schema).select(U._digest(spark.createDataFrame([], schema)))._jdf.queryExecution().analyzed().toString()
+    assert text.count("cast(") == text.count("cast(x")
+
+
+def test_ids_of_digits_need_no_pattern(spark):
+    ids = ["7", "007", "12345678901234567890123", "", " 7", "7 ", "7.", "1_0", "1e2", "٣", "7\n", "\x007", None]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in ids], "v string").select(TP.normalize_id_text("v")).collect()]
+    assert got == [7.0, 7.0, float("12345678901234567890123"), None, 7.0, 7.0, 7.0, 10.0, 100.0, None, 7.0, None, None]
+    plan = spark.range(1).select(TP.normalize_id_text(F.lit("7")))._jdf.queryExecution().analyzed().toString()
+    assert plan.index("trim") < plan.index("regexp_replace")
+
+
+def test_layers_generate_methods_that_are_compiled(spark, tmp_path):
+    from quayside.plans import warehouse as WH
+
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    old = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "65535")
+        WH.load_raw({"r": spark.createDataFrame([(1,)], "k int")}, str(tmp_path), AS_OF)
+        assert int(spark.conf.get(limit)) == 8000
+    finally:
+        spark.conf.set(limit, old)
