@@ -370,6 +370,13 @@ def test_ids_of_digits_need_no_pattern(spark):
     assert plan.index("trim") < plan.index("regexp_replace")
 
 
+def test_ids_and_types_may_be_numbers_where_text_is_expected(spark):
+    for kind, ids in (("bigint", [7, None]), ("double", [7.0, None])):
+        rows = spark.createDataFrame([(x,) for x in ids], f"v {kind}")
+        for rule in (TP.normalize_id_text, T.standardize_tracking_type):
+            assert [r[0] for r in rows.select(rule("v").alias("x")).collect()] == [7.0, None]
+
+
 def test_layers_generate_methods_that_are_compiled(spark, tmp_path):
     from quayside.plans import warehouse as WH
 
